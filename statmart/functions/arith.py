@@ -52,7 +52,9 @@ def price(now_cost: Column) -> Column:
 
 
 def round_half_even(c: Column, scale: int = 2) -> Column:
-    return F.bround(c, scale)
+    """Half to even on the binary value: ``rint(x * 10^s) / 10^s`` (numpy's ``round``)."""
+    factor = float(10 ** scale)
+    return F.rint(c.cast("double") * factor) / factor
 
 
 # Above this magnitude six decimals are below double precision anyway.

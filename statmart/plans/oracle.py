@@ -165,3 +165,148 @@ ORACLE: dict[str, str] = {
         + r("creativity") + ", " + r("threat") + ", "
         "rank() OVER (ORDER BY influence DESC NULLS LAST) AS rank FROM mart) WHERE rank <= 20"),
 }
+
+
+# --- live dashboard ---------------------------------------------------------------------------
+
+def _case(col: str, mapping: dict, default: str | None) -> str:
+    whens = " ".join(f"WHEN {k} THEN '{v}'" for k, v in mapping.items())
+    tail = f" ELSE '{default}'" if default is not None else ""
+    return f"CASE {col} {whens}{tail} END"
+
+
+def _live_cte() -> str:
+    from statmart.schemas import POSITION_NAMES, TEAM_NAMES
+
+    def p90(x):
+        return f"CAST({x} AS DOUBLE) / NULLIF(CAST(minutes AS DOUBLE) / 90.0e0, 0)"
+
+    return f"""
+live0 AS (
+  SELECT id, web_name, element_type, {_case('team', TEAM_NAMES, 'Unknown')} AS team,
+    CAST(now_cost AS DOUBLE) / 10 AS price,
+    total_points, minutes, goals_scored, assists, clean_sheets, goals_conceded, saves,
+    yellow_cards, red_cards, expected_goals, expected_assists,
+    TRY_CAST(form AS DOUBLE) AS form, TRY_CAST(points_per_game AS DOUBLE) AS points_per_game,
+    {_case('element_type', POSITION_NAMES, None)} AS position
+  FROM players
+),
+live AS (
+  SELECT *,
+    CAST(total_points AS DOUBLE) / NULLIF(price, 0) AS points_per_million,
+    {p90('total_points')} AS points_per_90,
+    {p90('goals_scored')} AS goals_per_90,
+    {p90('assists')} AS assists_per_90,
+    {p90('goals_scored + assists')} AS goal_involvement_per_90,
+    {p90('expected_goals + expected_assists')} AS xGI_per_90,
+    {p90('clean_sheets')} AS clean_sheet_percentage,
+    {p90('goals_conceded')} AS goals_conceded_per_90,
+    points_per_game / NULLIF(price, 0) AS value_ppg_per_cost
+  FROM live0
+),
+filtered AS (
+  SELECT * FROM live WHERE price IS NOT NULL AND total_points >= 0 AND minutes >= 90
+),
+mart_filtered AS (SELECT * FROM mart WHERE price IS NOT NULL AND total_points IS NOT NULL)"""
+
+
+LIVE_DOUBLES = {"price", "form", "points_per_game", "expected_goals", "expected_assists",
+                "points_per_million", "points_per_90", "goals_per_90", "assists_per_90",
+                "goal_involvement_per_90", "xGI_per_90", "clean_sheet_percentage",
+                "goals_conceded_per_90", "value_ppg_per_cost", "influence", "creativity", "threat"}
+ALL_DOUBLES = LIVE_DOUBLES | MART_DOUBLES
+
+
+def with_live(body: str) -> str:
+    return f"WITH {MART_CTE},{_live_cte()}\n{body}"
+
+
+def from_(table: str, columns: list[str], where: str = "") -> str:
+    return with_live(f"SELECT {select_list(columns, ALL_DOUBLES)} FROM {table} {where}")
+
+
+def _board_sql():
+    from statmart.schemas import BOARD_SPECS
+    return {f"board_{n}": from_("filtered", cols) for n, (cols, _) in BOARD_SPECS.items()}
+
+
+def _charts_sql():
+    from statmart.schemas import CHARTS
+    return {
+        "chart_form_price": from_("mart_filtered", CHARTS["form_price"]),
+        "chart_xg_goals": from_("mart_filtered", CHARTS["xg_goals"]),
+        "chart_value": from_("filtered", CHARTS["value"]),
+        "chart_momentum": from_("filtered", CHARTS["momentum"]),
+    }
+
+
+def _stat_summary_sql():
+    from statmart.schemas import SUMMARY_STATS
+    parts = []
+    for s in SUMMARY_STATS:
+        x = f"CAST({s} AS DOUBLE)"
+        parts.append(f"SELECT '{s}' AS stat, {r(f'avg({x})', 'mean')}, "
+                     f"{r(f'quantile_cont({x}, 0.5)', 'median')}, "
+                     f"{r(f'quantile_cont({x}, 0.9)', 'p90')} FROM filtered")
+    return with_live(" UNION ALL ".join(parts))
+
+
+def _agg_metrics_sql():
+    from statmart.schemas import GROUP_METRICS
+    cols = ", ".join(r(f"round_even(avg(CAST({c} AS DOUBLE)) * 100, 0) / 100", c)
+                     for c in GROUP_METRICS)
+    return with_live(f"SELECT position, {cols} FROM mart WHERE position IS NOT NULL "
+                     f"GROUP BY position")
+
+
+LIVE_OUT = ["id", "web_name", "team", "position", "price", "points_per_million",
+            "points_per_90", "goals_per_90", "assists_per_90", "goal_involvement_per_90",
+            "xGI_per_90", "clean_sheet_percentage", "goals_conceded_per_90",
+            "value_ppg_per_cost"]
+FILTER_OUT = ["id", "web_name", "team", "position", "price", "total_points", "minutes"]
+
+
+def _more():
+    from statmart.schemas import COMPARE_COLUMNS
+    return {
+        "live_metrics": from_("live", LIVE_OUT),
+        "lookup_team": from_("live", ["id", "team"]),
+        "lookup_position": from_("live", ["id", "element_type", "position"]),
+        "coerce_numeric": (
+            "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k, "
+            "TRY_CAST(event_type AS DOUBLE) AS event_type_num, " + r("value") + " FROM events"),
+        "coerce_priority": (
+            "SELECT o_orderkey, CAST(round_even(TRY_CAST(split_part(o_orderpriority, '-', 1) "
+            "AS DOUBLE), 0) AS INTEGER) AS priority FROM orders"),
+        "filter_position": from_("mart", FILTER_OUT,
+                                 "WHERE position = 'MID' AND price IS NOT NULL "
+                                 "AND total_points IS NOT NULL"),
+        "filter_bounds": from_("mart", FILTER_OUT,
+                               "WHERE position = 'FWD' AND price >= 95 AND total_points >= 800"),
+        "filter_compound": from_(
+            "live", FILTER_OUT,
+            "WHERE position IN ('MID', 'FWD') "
+            "AND team IN ('Arsenal', 'Chelsea', 'Liverpool', 'Unknown') "
+            "AND price BETWEEN 92.5 AND 97.5 AND total_points >= 600 AND minutes >= 90"),
+        "compare_players": from_("live", COMPARE_COLUMNS,
+                                 "WHERE web_name IN ('small ring', 'red widget', 'blue bolt')"),
+        **_board_sql(),
+        "board_tolerant": from_("filtered", ["web_name", "team", "price"]),
+        **_charts_sql(),
+        "agg_selection": with_live(
+            "SELECT position, count(id) AS id, " + r("avg(selected_by_percent)", "selected_by_percent")
+            + " FROM mart WHERE position IS NOT NULL GROUP BY position"),
+        "agg_metrics": _agg_metrics_sql(),
+        "bounds": with_live(
+            "SELECT " + r("min(price)", "price_min") + ", " + r("max(price)", "price_max")
+            + ", min(total_points) AS total_points_min, max(total_points) AS total_points_max "
+            "FROM mart"),
+        "options": with_live(
+            "SELECT 'position' AS kind, coalesce(position, 'nan') AS value FROM live "
+            "UNION SELECT 'team' AS kind, team AS value FROM live"),
+        "latest_update": "SELECT max(ts) AS last_updated FROM events",
+        "stat_summary": _stat_summary_sql(),
+    }
+
+
+ORACLE.update(_more())

@@ -143,3 +143,176 @@ def q_rank_top20(spark, sf_dir):
 
 
 __all__ = ["QUERIES", "flagship", "rounded", "players", "mart", "live_data", "filters", "stats"]
+
+
+# --- live dashboard: metrics, lookups, coercion -------------------------------------------
+
+LIVE_OUT = ["id", "web_name", "team", "position", "price", "points_per_million",
+            "points_per_90", "goals_per_90", "assists_per_90", "goal_involvement_per_90",
+            "xGI_per_90", "clean_sheet_percentage", "goals_conceded_per_90",
+            "value_ppg_per_cost"]
+
+
+@query("live_metrics")
+def q_live_metrics(spark, sf_dir):
+    """Ten derived metrics; zero denominators give NULL in this run."""
+    return live_data(spark, sf_dir).select(*LIVE_OUT)
+
+
+@query("lookup_team")
+def q_lookup_team(spark, sf_dir):
+    """Team id -> name, 'Unknown' when the id has no name."""
+    return live_data(spark, sf_dir).select("id", "team")
+
+
+@query("lookup_position")
+def q_lookup_position(spark, sf_dir):
+    """Element type -> position, NULL when the code has no label."""
+    return live_data(spark, sf_dir).select("id", "element_type", "position")
+
+
+@query("coerce_numeric")
+def q_coerce_numeric(spark, sf_dir):
+    """Text -> number, bad text -> NULL (events.props $.k, event_type, value)."""
+    from statmart.functions.coerce import to_number
+    ev = testdata.read_table(spark, sf_dir, "events").select(
+        "event_id", F.get_json_object("props", "$.k").alias("k"), "event_type", "value")
+    return ev.select("event_id", to_number(ev, "k").alias("k"),
+                     to_number(ev, "event_type").alias("event_type_num"),
+                     to_number(ev, "value").alias("value"))
+
+
+@query("coerce_priority")
+def q_coerce_priority(spark, sf_dir):
+    """Text before '-' -> rounded integer (orders.o_orderpriority)."""
+    from statmart.functions.coerce import to_int
+    o = testdata.read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.substring_index("o_orderpriority", "-", 1).alias("priority"))
+    return o.select("o_orderkey", to_int(o, "priority").alias("priority"))
+
+
+# --- filters ----------------------------------------------------------------------------------
+
+FILTER_OUT = ["id", "web_name", "team", "position", "price", "total_points", "minutes"]
+COMPOUND = filters.FilterSpec(positions=("MID", "FWD"),
+                              teams=("Arsenal", "Chelsea", "Liverpool", "Unknown"),
+                              price_range=(92.5, 97.5), min_points=600, min_minutes=90)
+COMPARE_NAMES = ("small ring", "red widget", "blue bolt")
+
+
+@query("filter_position")
+def q_filter_position(spark, sf_dir):
+    """position equality on the mart (other sliders at their full-range defaults)."""
+    return filters.filter_board(mart(spark, sf_dir), position="MID").select(*FILTER_OUT)
+
+
+@query("filter_bounds")
+def q_filter_bounds(spark, sf_dir):
+    """position AND price >= 95 AND total points >= 800."""
+    return filters.filter_board(mart(spark, sf_dir), position="FWD", min_price=95.0,
+                                min_points=800).select(*FILTER_OUT)
+
+
+@query("filter_compound")
+def q_filter_compound(spark, sf_dir):
+    """Positions, teams, closed price range, points and minutes floors."""
+    return filters.filter_live(live_data(spark, sf_dir), COMPOUND).select(*FILTER_OUT)
+
+
+@query("compare_players")
+def q_compare_players(spark, sf_dir):
+    """F8/P10: up to three names on the unfiltered rows; repeated names all return."""
+    return filters.compare_players(live_data(spark, sf_dir), COMPARE_NAMES)
+
+
+# --- boards and charts ------------------------------------------------------------------------
+
+def filtered_live(spark, sf_dir):
+    return filters.filter_live(live_data(spark, sf_dir))
+
+
+def filtered_mart(spark, sf_dir):
+    return filters.filter_board(mart(spark, sf_dir))
+
+
+def _board_query(name):
+    @query(f"board_{name}")
+    def q(spark, sf_dir):
+        return boards.board(filtered_live(spark, sf_dir), name)
+    q.__doc__ = f"P7/P9/O3: the {name} board on the filtered rows."
+    return q
+
+
+for _b in ("overview", "attacking", "defensive", "value"):
+    _board_query(_b)
+
+
+@query("board_tolerant")
+def q_board_tolerant(spark, sf_dir):
+    """Repeated and absent columns, absent sort key -> first column, ascending."""
+    return boards.tolerant_board(filtered_live(spark, sf_dir),
+                                 ["web_name", "nope", "team", "web_name", "price"],
+                                 sort_by="not_a_column", ascending=True)
+
+
+@query("chart_form_price")
+def q_chart_form_price(spark, sf_dir):
+    """Form vs price dataset on the filtered mart."""
+    return boards.chart_data(filtered_mart(spark, sf_dir), "form_price")
+
+
+@query("chart_xg_goals")
+def q_chart_xg_goals(spark, sf_dir):
+    """Expected vs actual goals dataset on the filtered mart."""
+    return boards.chart_data(filtered_mart(spark, sf_dir), "xg_goals")
+
+
+@query("chart_value")
+def q_chart_value(spark, sf_dir):
+    """Value analysis dataset on the filtered live rows."""
+    return boards.chart_data(filtered_live(spark, sf_dir), "value")
+
+
+@query("chart_momentum")
+def q_chart_momentum(spark, sf_dir):
+    """Form and momentum dataset on the filtered live rows."""
+    return boards.chart_data(filtered_live(spark, sf_dir), "momentum")
+
+
+# --- aggregates -------------------------------------------------------------------------------
+
+@query("agg_selection")
+def q_agg_selection(spark, sf_dir):
+    """Per position, count of ids and mean selection percentage."""
+    return stats.selection_by_position(mart(spark, sf_dir))
+
+
+@query("agg_metrics")
+def q_agg_metrics(spark, sf_dir):
+    """Per-position means of five metrics, rounded to 2 (half to even)."""
+    return stats.metrics_by_position(mart(spark, sf_dir))
+
+
+@query("bounds")
+def q_bounds(spark, sf_dir):
+    """A4: min/max of price and total points."""
+    return stats.bounds(mart(spark, sf_dir))
+
+
+@query("options")
+def q_options(spark, sf_dir):
+    """Sorted distinct positions (missing -> 'nan') and team names."""
+    return stats.options(live_data(spark, sf_dir))
+
+
+@query("latest_update")
+def q_latest_update(spark, sf_dir):
+    """A10: latest timestamp (events.ts stands in for the load time)."""
+    ev = testdata.read_table(spark, sf_dir, "events").withColumnRenamed("ts", "last_updated")
+    return stats.latest_update(ev)
+
+
+@query("stat_summary")
+def q_stat_summary(spark, sf_dir):
+    """Mean, exact median and p90 of six statistics on the filtered rows."""
+    return stats.stat_summary(filtered_live(spark, sf_dir))
