@@ -310,3 +310,49 @@ def _more():
 
 
 ORACLE.update(_more())
+
+
+# --- names, ingest, sinks ---------------------------------------------------------------------
+
+def _clean(x: str) -> str:
+    return f"regexp_replace({x}, '[^a-zA-Z0-9]', '_', 'g')"
+
+
+def _last_segment(x: str) -> str:
+    return f"string_split({x}, '/')[-1]"
+
+
+_URL_STEM = "split_part(" + _last_segment("url") + ", '.', 1)"
+EXPORT_COLUMNS = ["id", "web_name", "team", "position", "price", "total_points",
+                  "points_per_game", "minutes", "form", "points_per_90", "value_ppg_per_cost"]
+PART_COLUMNS = ("p_partkey, p_name, p_brand, p_type, p_size")
+ORDERS_SQL = ("SELECT o_orderkey, o_custkey, o_orderstatus, " + r("o_totalprice")
+              + ", o_orderdate, o_orderpriority FROM orders")
+
+ORACLE.update({
+    "clean_names": (
+        "SELECT 'player' AS kind, p_partkey AS key, replace('player_' || replace('2023-24', '-', '_')"
+        f" || '_' || {_clean('p_name')}, '-', '_') AS table_name FROM part "
+        "UNION ALL SELECT 'understat' AS kind, page_id AS key, replace('understat_' || "
+        "replace('2022-23', '-', '_') || '_' || " + _clean(_URL_STEM)
+        + ", '-', '_') AS table_name FROM pages "
+        "UNION ALL SELECT 'gw' AS kind, page_id AS key, replace('gw_' || replace('2023-24', '-', '_')"
+        " || '_' || " + _URL_STEM + ", '-', '_') AS table_name FROM pages"),
+    "ingest_csv": f"SELECT {PART_COLUMNS}, " + r("p_retailprice") + " FROM part",
+    "ingest_mixed_headers": (
+        "SELECT s_suppkey, s_name, CASE WHEN s_nationkey < 12 THEN s_nationkey END AS s_nationkey, "
+        + r("s_acctbal") + ", CASE WHEN s_nationkey < 12 THEN '2023-24' ELSE '2022-23' END AS season "
+        "FROM supplier"),
+    "ingest_path_keys": ("SELECT c_custkey, c_name, c_nationkey, " + r("c_acctbal")
+                         + ", c_mktsegment, c_mktsegment AS season FROM customer"),
+    "ingest_json_explode": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "ingest_incremental": ORDERS_SQL,
+    "ingest_anti": ORDERS_SQL,
+    "sink_write_once": f"SELECT {PART_COLUMNS}, " + r("p_retailprice") + " FROM part",
+    "sink_overwrite": f"SELECT {PART_COLUMNS}, " + r("p_retailprice * 2", "p_retailprice")
+                      + " FROM part",
+    "snapshot_log": ("SELECT max(ts) AS snapshot_time, '[\"players\",\"teams\"]' AS tables_updated "
+                     "FROM events UNION ALL SELECT max(ts) AS snapshot_time, "
+                     "'[\"players\",\"teams\"]' AS tables_updated FROM events"),
+    "export_csv": from_("filtered", EXPORT_COLUMNS),
+})

@@ -316,3 +316,195 @@ def q_latest_update(spark, sf_dir):
 def q_stat_summary(spark, sf_dir):
     """Mean, exact median and p90 of six statistics on the filtered rows."""
     return stats.stat_summary(filtered_live(spark, sf_dir))
+
+
+# --- names, ingest, sinks ---------------------------------------------------------------------
+
+@query("clean_names")
+def q_clean_names(spark, sf_dir):
+    """Table names a source gives its files (player folders, file names)."""
+    from statmart.schemas import SEASONS
+    from statmart.sources.csv_files import source_table_name
+    season_now, season_before = F.lit(SEASONS[0]), F.lit(SEASONS[1])
+    part = testdata.read_table(spark, sf_dir, "part")
+    players_path = F.concat(F.lit("/data/"), season_now, F.lit("/players/"), F.col("p_name"),
+                            F.lit("/gw.csv"))
+    named_players = part.select(F.lit("player").alias("kind"), F.col("p_partkey").alias("key"),
+                                source_table_name("players", season_now, players_path)
+                                .alias("table_name"))
+    pages = testdata.read_table(spark, sf_dir, "pages")
+    named_understat = pages.select(F.lit("understat").alias("kind"), F.col("page_id").alias("key"),
+                                   source_table_name("understat", season_before, F.col("url"))
+                                   .alias("table_name"))
+    named_gw = pages.select(F.lit("gw").alias("kind"), F.col("page_id").alias("key"),
+                            source_table_name("gw", season_now, F.col("url")).alias("table_name"))
+    return named_players.unionByName(named_understat).unionByName(named_gw)
+
+
+def _fresh(spark, name):
+    from statmart.plans.landing import fresh
+    return fresh(spark, name)
+
+
+@query("ingest_csv")
+def q_ingest_csv(spark, sf_dir):
+    """Part landed as CSV part files, read back by column name with types."""
+    from statmart.plans.landing import land_csv
+    from statmart.sources.csv_files import SOURCE, read_csv_files, split_quarantine
+    part = testdata.read_table(spark, sf_dir, "part")
+    root = _fresh(spark, "ingest-csv")
+    land_csv(part, f"{root}/part")
+    good, _bad = split_quarantine(read_csv_files(spark, f"{root}/part/*.csv", part.schema))
+    return good.drop(SOURCE)
+
+
+@query("ingest_mixed_headers")
+def q_ingest_mixed_headers(spark, sf_dir):
+    """Supplier landed under two seasons with different headers (reordered, one
+    column missing); columns are matched by name, the missing one is NULL."""
+    from statmart.plans.landing import land_csv
+    from statmart.sources.csv_files import read_family
+    sup = testdata.read_table(spark, sf_dir, "supplier")
+    root = _fresh(spark, "ingest-mixed")
+    land_csv(sup.where(F.col("s_nationkey") < 12)
+             .select("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
+             f"{root}/data/2023-24/gws")
+    land_csv(sup.where(F.col("s_nationkey") >= 12).select("s_acctbal", "s_name", "s_suppkey"),
+             f"{root}/data/2022-23/gws")
+    df = read_family(spark, root, "gw", schema=sup.schema)
+    return df.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "season")
+
+
+@query("ingest_path_keys")
+def q_ingest_path_keys(spark, sf_dir):
+    """Customer landed as data/<season>/gws/*.csv (season = market segment),
+    plus a non-CSV file; season comes from the path, the non-CSV file is skipped."""
+    from statmart.plans.landing import land_by_season, land_text
+    from statmart.sources.csv_files import read_family
+    cust = testdata.read_table(spark, sf_dir, "customer")
+    root = _fresh(spark, "ingest-paths")
+    folders = land_by_season(cust, root, F.col("c_mktsegment"), "gws")
+    land_text(spark, cust.select("c_name"), folders[0])
+    df = read_family(spark, root, "gw", schema=cust.schema)
+    return df.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "season")
+
+
+@query("ingest_json_explode")
+def q_ingest_json_explode(spark, sf_dir):
+    """Nation records landed as snapshot documents (elements + teams), exploded."""
+    from statmart.functions.lookup import join_lookup
+    from statmart.sources.json_docs import explode_records, read_documents, snapshot_schema
+    nation = testdata.read_table(spark, sf_dir, "nation")
+    region = testdata.read_table(spark, sf_dir, "region").withColumnRenamed("r_regionkey",
+                                                                          "n_regionkey")
+    docs = join_lookup(nation, region, "n_regionkey").select(
+        F.array(F.struct("n_nationkey", "n_name", "n_regionkey")).alias("elements"),
+        F.array(F.struct(F.col("n_regionkey").alias("r_regionkey"), "r_name")).alias("teams"))
+    path = _fresh(spark, "snapshot-json")
+    docs.write.mode("overwrite").json(path)
+    schema = snapshot_schema(nation.schema, T.StructType([
+        T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())]))
+    return explode_records(read_documents(spark, path, schema, multi_line=False), "elements")
+
+
+ORDERS_WAVE_SPLIT = "1997-01-01"
+
+
+def _orders_waves(spark, sf_dir):
+    orders = testdata.read_table(spark, sf_dir, "orders")
+    cut = F.lit(ORDERS_WAVE_SPLIT).cast("timestamp_ntz")
+    day = F.col("o_orderdate").cast("timestamp_ntz")
+    return orders, orders.where(day < cut), orders.where(day >= cut)
+
+
+@query("ingest_incremental")
+def q_ingest_incremental(spark, sf_dir):
+    """K7: orders land in two waves; an availableNow file stream loads each file once
+    (the first wave is still there on the second and third runs and is not reloaded)."""
+    from statmart.plans.landing import land_csv
+    from statmart.streaming.incremental import read_target, stream_ingest
+    orders, wave1, wave2 = _orders_waves(spark, sf_dir)
+    root = _fresh(spark, "ingest-stream")
+    target, ckpt = f"{root}/bronze_orders", f"{root}/_checkpoint"
+    land_csv(wave1, f"{root}/land/wave1")
+    stream_ingest(spark, f"{root}/land/*", target, ckpt, schema=orders.schema)
+    land_csv(wave2, f"{root}/land/wave2")
+    stream_ingest(spark, f"{root}/land/*", target, ckpt, schema=orders.schema)
+    stream_ingest(spark, f"{root}/land/*", target, ckpt, schema=orders.schema)
+    return read_target(spark, target).select(*orders.columns)
+
+
+@query("ingest_anti")
+def q_ingest_anti(spark, sf_dir):
+    """Batch twin of K7; files already in the target are removed by a left-anti join."""
+    from statmart.plans.landing import land_csv
+    from statmart.streaming.incremental import batch_ingest, read_target
+    orders, wave1, wave2 = _orders_waves(spark, sf_dir)
+    root = _fresh(spark, "ingest-anti")
+    target = f"{root}/bronze_orders"
+    land_csv(wave1, f"{root}/land/wave1")
+    batch_ingest(spark, f"{root}/land/*", target, schema=orders.schema)
+    land_csv(wave2, f"{root}/land/wave2")
+    batch_ingest(spark, f"{root}/land/*", target, schema=orders.schema)
+    batch_ingest(spark, f"{root}/land/*", target, schema=orders.schema)
+    return read_target(spark, target).select(*orders.columns)
+
+
+def _fresh_database(spark, name):
+    import uuid
+    db = f"sm_{name}_{uuid.uuid4().hex[:10]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{_fresh(spark, 'db-' + name)}'")
+    return db
+
+
+@query("sink_write_once")
+def q_sink_write_once(spark, sf_dir):
+    """Create-if-absent; the second write (prices doubled) is skipped."""
+    from statmart.sinks.tables import create_table_once
+    part = testdata.read_table(spark, sf_dir, "part")
+    name = f"{_fresh_database(spark, 'once')}.parts"
+    create_table_once(part, name)
+    create_table_once(part.withColumn("p_retailprice", F.col("p_retailprice") * 2), name)
+    return spark.table(name)
+
+
+@query("sink_overwrite")
+def q_sink_overwrite(spark, sf_dir):
+    """K2/K5: create-or-replace; the second version wins, an empty third write is skipped."""
+    from statmart.sinks.tables import replace_table
+    part = testdata.read_table(spark, sf_dir, "part")
+    name = f"{_fresh_database(spark, 'replace')}.parts"
+    replace_table(part, name)
+    doubled = part.withColumn("p_retailprice", F.col("p_retailprice") * 2)
+    replace_table(doubled, name)
+    replace_table(doubled.where(F.lit(False)), name)
+    return spark.table(name)
+
+
+@query("snapshot_log")
+def q_snapshot_log(spark, sf_dir):
+    """Two snapshot loads (players, teams) each append one log row; the
+    load time is the latest event time so the output is reproducible."""
+    from statmart.sinks.tables import load_snapshot
+    db = _fresh_database(spark, "snapshot")
+    when = testdata.read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    tables = {f"{db}.players": players(spark, sf_dir),
+              f"{db}.teams": testdata.teams(spark, sf_dir)}
+    for _ in range(2):
+        load_snapshot(spark, tables, f"{db}.snapshot_metadata", snapshot_time=when)
+    return spark.table(f"{db}.snapshot_metadata").select(
+        F.col("snapshot_time").cast("timestamp_ntz").alias("snapshot_time"), "tables_updated")
+
+
+EXPORT_COLUMNS = ["id", "web_name", "team", "position", "price", "total_points",
+                  "points_per_game", "minutes", "form", "points_per_90", "value_ppg_per_cost"]
+
+
+@query("export_csv")
+def q_export_csv(spark, sf_dir):
+    """K6: filtered rows exported as CSV part files and read back."""
+    from statmart.sinks.export import export_csv
+    df = filtered_live(spark, sf_dir).select(*EXPORT_COLUMNS)
+    path = export_csv(df, _fresh(spark, "export"))
+    return (spark.read.schema(df.schema).option("header", True).option("escape", '"')
+            .csv(path))
