@@ -39,6 +39,12 @@ def option_text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("nan"))
 
 
+def decoded_path(uri: Column) -> Column:
+    """File path from Spark's URI form (``_metadata.file_path``): %XX escapes decoded, a
+    literal '+' kept (form decoding would turn it into a blank)."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def file_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

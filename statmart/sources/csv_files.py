@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statmart.functions.text import (
-    before_first_dot, clean_identifier, dashes_to_underscores, file_name, parent_folder,
+    before_first_dot, clean_identifier, dashes_to_underscores, decoded_path, file_name,
+    parent_folder,
 )
 
 CORRUPT = "_corrupt"
@@ -60,7 +61,7 @@ def parse_header(line: str) -> list[str]:
 def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(source_file, header): the first non-blank line of every file."""
     lines = (spark.read.text(paths)
-             .select("value", F.col("_metadata.file_path").alias(SOURCE),
+             .select("value", decoded_path(F.col("_metadata.file_path")).alias(SOURCE),
                      F.col("_metadata.file_block_start").alias("_start"),
                      F.monotonically_increasing_id().alias("_row")))
     first_block = lines.where((F.col("_start") == 0) & (F.trim("value") != ""))
@@ -104,7 +105,8 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
                   .option("columnNameOfCorruptRecord", CORRUPT))
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
-        parts.append(reader.csv(files).withColumn(SOURCE, F.col("_metadata.file_path")))
+        parts.append(reader.csv(files)
+                     .withColumn(SOURCE, decoded_path(F.col("_metadata.file_path"))))
     if not parts:
         fields = [T.StructField(n, t) for n, t in types.items()]
         empty = T.StructType(fields + [T.StructField(CORRUPT, T.StringType()),
@@ -119,12 +121,31 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without ``_corrupt``, quarantined rows with their raw text)."""
+    """(good rows without ``_corrupt``, quarantined rows with their raw text).
+
+    On a raw read, keep all columns in what you select: the CSV parser only checks the
+    columns a query reads. ``write_bronze`` decides once, over all columns.
+    """
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = df.where(F.col(CORRUPT).isNotNull())
     return good, bad
 
 
+QUARANTINED = "_quarantined"
+
+
+def write_bronze(df: DataFrame, path: str, mode: str = "overwrite") -> tuple[DataFrame, DataFrame]:
+    """Write a raw read once, every column parsed, partitioned by ``_quarantined``; return
+    (good, quarantined) read back with partition pruning."""
+    (df.withColumn(QUARANTINED, F.col(CORRUPT).isNotNull().cast("int"))
+     .write.mode(mode).partitionBy(QUARANTINED).parquet(path))
+    back = df.sparkSession.read.parquet(path)
+    flag = F.col(QUARANTINED).cast("int")
+    good = back.where(flag == 0).drop(QUARANTINED, CORRUPT)
+    bad = back.where(flag == 1).drop(QUARANTINED)
+    return good, bad
+
+
 # --- landed folder layouts --------------------------------------------------------------------
 
 def family_glob(root: str, family: str, season: str = "*", file_glob: str | None = None) -> str:

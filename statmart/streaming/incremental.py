@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statmart.functions.text import decoded_path
 from statmart.sources.csv_files import SOURCE, read_csv_files
 
 BINARY_FILE_SCHEMA = T.StructType([
@@ -32,7 +33,7 @@ BINARY_FILE_SCHEMA = T.StructType([
 def list_files(spark: SparkSession, glob: str, file_filter: str = "*.csv") -> DataFrame:
     """(source_file) of the files matching ``glob`` (contents are not read)."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", file_filter).load(glob)
-            .select(F.col("path").alias(SOURCE)))
+            .select(decoded_path(F.col("path")).alias(SOURCE)))
 
 
 def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
@@ -41,7 +42,7 @@ def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
     """Load the files that landed since the last run into ``target`` (parquet folder)."""
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # one path per new file in this micro-batch (bounded by max_files_per_batch)
-        paths = [r[0] for r in batch.select("path").collect()]
+        paths = [r[0] for r in batch.select(decoded_path(F.col("path"))).collect()]
         if not paths:
             return
         rows = read_csv_files(batch.sparkSession, paths, schema)
