@@ -37,17 +37,5 @@ def land_by_season(df: DataFrame, root: str, season: Column, folder: str,
     return out
 
 
-def land_snapshot_lines(elements: DataFrame, teams_of_element: Column | None, path: str) -> str:
-    """One JSON document per line: ``{"elements": [record], "teams": [...]}``.
-
-    Each record is its own document, so nothing is gathered into one row or one task.
-    """
-    cols = [c for c in elements.columns if c != "_teams"]
-    docs = elements.select(F.array(F.struct(*cols)).alias("elements"),
-                           *( [teams_of_element.alias("teams")] if teams_of_element is not None else []))
-    docs.write.mode("overwrite").json(path)
-    return path
-
-
 def fresh(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, name)

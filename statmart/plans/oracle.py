@@ -356,3 +356,5 @@ ORACLE.update({
                      "'[\"players\",\"teams\"]' AS tables_updated FROM events"),
     "export_csv": from_("filtered", EXPORT_COLUMNS),
 })
+
+ORACLE["models_materialized"] = mart_select(MART_COLUMNS)

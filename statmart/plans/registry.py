@@ -508,3 +508,14 @@ def q_export_csv(spark, sf_dir):
     path = export_csv(df, _fresh(spark, "export"))
     return (spark.read.schema(df.schema).option("header", True).option("escape", '"')
             .csv(path))
+
+
+@query("models_materialized")
+def q_models_materialized(spark, sf_dir):
+    """Players -> dim and fact tables -> mart table, read back (load time
+    left out)."""
+    from statmart.plans.models import build_models
+    from statmart.sinks.tables import replace_table
+    db = _fresh_database(spark, "models")
+    replace_table(players(spark, sf_dir), f"{db}.players")
+    return build_models(spark, db, last_updated=False)

@@ -30,10 +30,24 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
-def list_files(spark: SparkSession, glob: str, file_filter: str = "*.csv") -> DataFrame:
-    """(source_file) of the files matching ``glob`` (contents are not read)."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", file_filter).load(glob)
-            .select(decoded_path(F.col("path")).alias(SOURCE)))
+def list_files(spark: SparkSession, glob: str | list[str], file_filter: str = "*.csv") -> DataFrame:
+    """(source_file) of the files matching ``glob`` (contents are not read); a glob that
+    matches nothing gives no rows."""
+    globs = [glob] if isinstance(glob, str) else list(glob)
+    found = []
+    for g in globs:
+        try:
+            found.append(spark.read.format("binaryFile").option("pathGlobFilter", file_filter)
+                         .load(g).select(decoded_path(F.col("path")).alias(SOURCE)))
+        except Exception as e:  # noqa: BLE001
+            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+                raise
+    if not found:
+        return spark.createDataFrame([], f"{SOURCE} string")
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.distinct()
 
 
 def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
