@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,11 +48,17 @@ def counted_values(long_df: DataFrame, key: str, value: str) -> DataFrame:
     ensure_checkpoint_dir(spark)
     vals = (long_df.select(F.col(key).alias("_g"), nan_to_null(F.col(value).cast("double")).alias("_v"))
             .where(F.col("_v").isNotNull()))
-    counts = vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = (counts.repartitionByRange(default_parallelism(spark), "_g", "_v")
-              .sortWithinPartitions("_g", "_v")
-              .withColumn("_pid", F.spark_partition_id()))
-    return ranged.checkpoint(eager=True)
+    # persisted only while the checkpoint is written: the range partitioner samples its
+    # input in a job of its own, and the input should be computed once, not twice
+    counts = (vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        ranged = (counts.repartitionByRange(default_parallelism(spark), "_g", "_v")
+                  .sortWithinPartitions("_g", "_v")
+                  .withColumn("_pid", F.spark_partition_id()))
+        return ranged.checkpoint(eager=True)
+    finally:
+        counts.unpersist()
 
 
 def exact_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str, float],

@@ -2,7 +2,7 @@
 
 * ``load_snapshot_file``: snapshot JSON -> ``players``, ``teams`` tables (replaced) + log.
 * ``build_models``: ``players`` -> ``dim_players``, ``fact_player_history`` ->
-  ``fpl_player_stats`` (the gold mart), each written as a table.
+  ``player_stats`` (the gold mart), each written as a table.
 * ``board_dashboard`` / ``live_dashboard``: every table and chart dataset of the two
   dashboards for one filter state, as lazy DataFrames (no collect inside).
 * ``load_history``: landed season CSV families -> one bronze table per family,
@@ -49,8 +49,8 @@ def build_models(spark: SparkSession, database: str, source: str = "players",
     mart = build_mart(spark.table(f"{database}.dim_players"),
                       spark.table(f"{database}.fact_player_history"),
                       last_updated=last_updated)
-    replace_table(mart, f"{database}.fpl_player_stats")
-    return spark.table(f"{database}.fpl_player_stats")
+    replace_table(mart, f"{database}.player_stats")
+    return spark.table(f"{database}.player_stats")
 
 
 def board_dashboard(mart: DataFrame, position: str = filters.ALL, min_price=None,

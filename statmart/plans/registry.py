@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -488,10 +489,14 @@ def q_snapshot_log(spark, sf_dir):
     from statmart.sinks.tables import load_snapshot
     db = _fresh_database(spark, "snapshot")
     when = testdata.read_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
-    tables = {f"{db}.players": players(spark, sf_dir),
-              f"{db}.teams": testdata.teams(spark, sf_dir)}
-    for _ in range(2):
-        load_snapshot(spark, tables, f"{db}.snapshot_metadata", snapshot_time=when)
+    # the stand-in snapshot is an aggregate used by several actions: compute it once
+    snap = players(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    tables = {f"{db}.players": snap, f"{db}.teams": testdata.teams(spark, sf_dir)}
+    try:
+        for _ in range(2):
+            load_snapshot(spark, tables, f"{db}.snapshot_metadata", snapshot_time=when)
+    finally:
+        snap.unpersist()
     return spark.table(f"{db}.snapshot_metadata").select(
         F.col("snapshot_time").cast("timestamp_ntz").alias("snapshot_time"), "tables_updated")
 
@@ -517,5 +522,9 @@ def q_models_materialized(spark, sf_dir):
     from statmart.plans.models import build_models
     from statmart.sinks.tables import replace_table
     db = _fresh_database(spark, "models")
-    replace_table(players(spark, sf_dir), f"{db}.players")
+    snap = players(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        replace_table(snap, f"{db}.players")
+    finally:
+        snap.unpersist()
     return build_models(spark, db, last_updated=False)
