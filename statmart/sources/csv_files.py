@@ -69,10 +69,15 @@ def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def header_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[str, list[str]]]:
-    """Distinct headers with the files that carry each (sorted, deterministic)."""
-    grouped = (file_headers(spark, paths).groupBy("header")
-               .agg(F.sort_array(F.collect_list(SOURCE)).alias("files")))
-    return sorted((r["header"], list(r["files"])) for r in grouped.collect())
+    """Distinct headers with the files that carry each (sorted, deterministic).
+
+    One (file, header) pair per file comes back, the same metadata a file listing holds;
+    no task gathers a header's file list.
+    """
+    groups: dict[str, list[str]] = {}
+    for r in file_headers(spark, paths).toLocalIterator():
+        groups.setdefault(r["header"], []).append(r[SOURCE])
+    return sorted((h, sorted(fs)) for h, fs in groups.items())
 
 
 def _schema_for(columns: Sequence[str], types: Mapping[str, T.DataType] | None) -> T.StructType:
@@ -194,5 +199,8 @@ def read_family(spark: SparkSession, root: str, family: str,
 
 def first_file_per_table(df: DataFrame) -> DataFrame:
     """When cleaned names collide, keep only the rows of the first file by path order."""
+    from statmart.functions.lookup import join_lookup
+    # one row per table name: broadcast when proven small, else a shuffle join (AQE splits
+    # a file that holds most of the rows)
     firsts = df.groupBy("table_name").agg(F.min(SOURCE).alias(SOURCE))
-    return df.join(firsts, ["table_name", SOURCE], "left_semi")
+    return join_lookup(df, firsts, ["table_name", SOURCE], "left_semi")
