@@ -77,6 +77,9 @@ def append_log(spark: SparkSession, name: str, tables: Sequence[str],
         stamp = F.current_timestamp()
     elif isinstance(snapshot_time, Column):
         stamp = snapshot_time
+    elif snapshot_time.tzinfo is None:
+        # a wall-clock time: keep it as written, whatever the process or session zone
+        stamp = F.lit(snapshot_time.isoformat()).cast("timestamp_ntz")
     else:
         stamp = F.lit(snapshot_time)
     row = spark.range(1).select(stamp.cast("timestamp").alias("snapshot_time"),
