@@ -63,13 +63,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/statmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side checks in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "local_path", "default_parallelism"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "default_parallelism"]

@@ -47,16 +47,37 @@ def create_table_once(df: DataFrame, name: str, path: str | None = None,
     return True
 
 
+def _table_base(spark: SparkSession, name: str) -> str:
+    """Folder that holds a table's versions: under its database's location."""
+    db, _, table = name.rpartition(".")
+    db = db or spark.catalog.currentDatabase()
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}"
+
+
 def replace_table(df: DataFrame, name: str, path: str | None = None,
                   partition_by: Sequence[str] = ()) -> bool:
     """K2/K5: create or replace the table with ``df`` (schema too).
 
-    An empty ``df`` writes nothing and the old table stays. ``df`` must not read the
-    table it replaces (materialise it elsewhere first).
+    ``df`` is computed once and written to a new version folder; only when that write has
+    committed is the table pointed at it (a catalog change, no data moves). A failed job
+    leaves the old table as it was. An empty ``df`` leaves the old table too (its empty
+    version folder is never referenced).
     """
-    if df.isEmpty():
+    import uuid
+
+    spark = df.sparkSession
+    name = safe_name(name)
+    version = f"{(path or _table_base(spark, name)).rstrip('/')}/v_{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(version)
+    if spark.read.parquet(version).isEmpty():
         return False
-    _writer(df, "overwrite", path, partition_by).saveAsTable(safe_name(name))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=version, source="parquet")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
     return True
 
 
