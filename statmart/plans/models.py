@@ -22,7 +22,9 @@ from statmart.operators.mart import build_mart
 from statmart.schemas import BOARD_SPECS, CHARTS, FAMILIES, TOP_BOARD_COLUMNS
 from statmart.sinks.export import export_csv
 from statmart.sinks.tables import load_snapshot, replace_table
-from statmart.sources.csv_files import SOURCE, family_glob, read_csv_files, with_path_keys
+from statmart.sources.csv_files import (
+    SOURCE, family_glob, literal_path, read_csv_files, with_path_keys,
+)
 from statmart.sources.json_docs import explode_records, read_documents
 from statmart.streaming.incremental import list_files
 
@@ -117,7 +119,8 @@ def load_history(spark: SparkSession, root: str, out_dir: str,
         new = sorted(r[0] for r in files.collect())
         loaded[family] = len(new)
         if new:
-            rows = with_path_keys(read_csv_files(spark, new, (schemas or {}).get(family)), family)
+            rows = with_path_keys(read_csv_files(spark, [literal_path(p) for p in new],
+                                                 (schemas or {}).get(family)), family)
             rows.write.mode("append").partitionBy("season").parquet(target)
     return loaded
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import csv
 import io
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +44,11 @@ FAMILIES: dict[str, tuple[str, str, str]] = {
 TABLE_PREFIX = {"gw": "gw", "players": "player", "understat": "understat"}
 
 
+def literal_path(path: str) -> str:
+    """A concrete file path made safe to pass where Spark expects a glob pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def parse_header(line: str) -> list[str]:
     """Column names of a CSV header line (quotes honoured); repeats get '.1', '.2'..."""
     names = next(csv.reader(io.StringIO(line)))
@@ -110,7 +116,7 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
                   .option("columnNameOfCorruptRecord", CORRUPT))
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
-        parts.append(reader.csv(files)
+        parts.append(reader.csv([literal_path(f) for f in files])
                      .withColumn(SOURCE, decoded_path(F.col("_metadata.file_path"))))
     if not parts:
         fields = [T.StructField(n, t) for n, t in types.items()]

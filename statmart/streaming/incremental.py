@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statmart.functions.text import decoded_path
-from statmart.sources.csv_files import SOURCE, read_csv_files
+from statmart.sources.csv_files import SOURCE, literal_path, read_csv_files
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -59,7 +59,7 @@ def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
         paths = [r[0] for r in batch.select(decoded_path(F.col("path"))).collect()]
         if not paths:
             return
-        rows = read_csv_files(batch.sparkSession, paths, schema)
+        rows = read_csv_files(batch.sparkSession, [literal_path(p) for p in paths], schema)
         rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
 
     query = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
@@ -94,7 +94,7 @@ def batch_ingest(spark: SparkSession, glob: str, target: str,
     paths = sorted(r[0] for r in files.collect())
     if not paths:
         return 0
-    rows = read_csv_files(spark, paths, schema)
+    rows = read_csv_files(spark, [literal_path(p) for p in paths], schema)
     run = run_id or uuid.uuid4().hex[:12]
     rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/run_id={run}")
     return len(paths)

@@ -121,3 +121,14 @@ def test_incremental_ingest_twice_is_once(spark, tmp_dir):
     assert sorted(rows(incremental.read_target(spark, t2), "id", "v")) == [
         (1, "x"), (2, "y"), (3, "z")]
     assert incremental.read_target(spark, t2).select(F.countDistinct("source_file")).first()[0] == 2
+
+
+def test_file_names_with_glob_characters(spark, tmp_dir):
+    _write(f"{tmp_dir}/land/w/a[1] {{x}}.csv", "id,v\n7,q\n")
+    _write(f"{tmp_dir}/land/w/a1 x.csv", "id,v\n8,r\n")
+    t = f"{tmp_dir}/target"
+    assert incremental.batch_ingest(spark, f"{tmp_dir}/land/*", t, {"id": T.LongType()}) == 2
+    got = incremental.read_target(spark, t)
+    assert sorted(rows(got, "id", "v")) == [(7, "q"), (8, "r")]
+    assert sorted(r.source_file.rsplit("/", 1)[1] for r in got.collect()) == [
+        "a1 x.csv", "a[1] {x}.csv"]
