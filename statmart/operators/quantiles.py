@@ -112,3 +112,14 @@ def mean_from_counts(ranged: DataFrame, key: str, name: str = "mean") -> DataFra
     """Per-group mean from the counted values (no second pass over the input)."""
     return ranged.groupBy("_g").agg(
         (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias(name)).withColumnRenamed("_g", key)
+
+
+def approx_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str, float],
+                     accuracy: int = 10_000) -> DataFrame:
+    """Bounded-memory alternative: ``percentile_approx`` per group (rank error at most
+    n / accuracy, the result is a value from the data, no interpolation)."""
+    v = nan_to_null(F.col(value).cast("double"))
+    names = list(probs)
+    agg = long_df.groupBy(key).agg(
+        F.percentile_approx(v, [float(probs[n]) for n in names], accuracy).alias("_qs"))
+    return agg.select(key, *[F.col("_qs")[i].alias(n) for i, n in enumerate(names)])

@@ -15,7 +15,9 @@ from statmart.functions.arith import round_half_even
 from statmart.functions.coerce import nan_to_null, to_double
 from statmart.functions.text import format_2f, option_text
 from statmart.operators.filters import has_columns
-from statmart.operators.quantiles import counted_values, exact_quantiles, mean_from_counts
+from statmart.operators.quantiles import (
+    approx_quantiles, counted_values, exact_quantiles, mean_from_counts,
+)
 from statmart.schemas import GROUP_METRICS, SUMMARY_STATS
 
 QUANTILES = {"median": 0.5, "p90": 0.9}
@@ -75,12 +77,23 @@ def long_form(df: DataFrame, stats: Sequence[str]) -> DataFrame:
 
 
 def stat_summary(df: DataFrame, stats: Sequence[str] = SUMMARY_STATS,
-                 quantiles: Mapping[str, float] = QUANTILES) -> DataFrame:
-    """One row per statistic with its mean and exact quantiles (median, p90)."""
+                 quantiles: Mapping[str, float] = QUANTILES, exact: bool = True,
+                 accuracy: int = 10_000) -> DataFrame:
+    """One row per statistic with its mean and quantiles (median, p90).
+
+    ``exact=True`` (default): linear interpolation between the closest ranks, computed
+    without any task holding a whole group. ``exact=False``: ``percentile_approx``.
+    """
     stats = has_columns(df, stats)
-    counted = counted_values(long_form(df, stats), "stat", "value")
-    means = mean_from_counts(counted, "stat")
-    qs = exact_quantiles(None, "stat", "value", quantiles, counted=counted)
+    long = long_form(df, stats)
+    if exact:
+        counted = counted_values(long, "stat", "value")
+        means = mean_from_counts(counted, "stat")
+        qs = exact_quantiles(None, "stat", "value", quantiles, counted=counted)
+    else:
+        means = long.groupBy("stat").agg(F.avg("value").alias("mean"))
+        qs = approx_quantiles(long, "stat", "value", quantiles, accuracy)
+    # every listed statistic gets a row, NULL when it has no values
     names = df.sparkSession.createDataFrame([(s,) for s in stats], "stat string")
     return (names.join(means, "stat", "left").join(qs, "stat", "left")
             .select("stat", "mean", *quantiles.keys()))

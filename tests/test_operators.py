@@ -187,3 +187,12 @@ def test_stat_summary_and_groups(spark):
 def test_summary_text(spark):
     df = spark.createDataFrame([("a", 2.675)], "stat string, mean double")
     assert stats.summary_text(df).first().mean_text == "2.68"
+
+
+def test_stat_summary_approx_switch(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "total_points double")
+    exact = stats.stat_summary(df, ["total_points"]).first()
+    approx = stats.stat_summary(df, ["total_points"], exact=False).first()
+    assert exact.median == 50.5 and abs(exact.p90 - 90.1) < 1e-9
+    assert approx.mean == exact.mean and approx.median in (50.0, 51.0)
+    assert approx.p90 in (90.0, 91.0)
