@@ -57,12 +57,10 @@ def bounds(df: DataFrame, columns: Sequence[str] = ("price", "total_points")) ->
 
 def options(df: DataFrame, columns: Sequence[str] = ("position", "team")) -> DataFrame:
     """Distinct values of each column as text (missing -> 'nan'), sorted."""
-    parts = [df.select(F.lit(c).alias("kind"), option_text(F.col(c)).alias("value"))
-             for c in has_columns(df, columns)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct().orderBy("kind", "value")
+    cols = has_columns(df, columns)
+    # one scan: each row becomes (kind, value) pairs, then one distinct
+    texts = df.select(*[option_text(F.col(c)).alias(c) for c in cols])
+    return texts.unpivot([], cols, "kind", "value").distinct().orderBy("kind", "value")
 
 
 def latest_update(df: DataFrame, column: str = "last_updated") -> DataFrame:
