@@ -196,3 +196,26 @@ def test_stat_summary_approx_switch(spark):
     assert exact.median == 50.5 and abs(exact.p90 - 90.1) < 1e-9
     assert approx.mean == exact.mean and approx.median in (50.0, 51.0)
     assert approx.p90 in (90.0, 91.0)
+
+
+def test_price_range_keeps_both_ends(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, 7.5), (3, 7.51), (4, 4.99)], "id long, price double")
+    spec = filters.FilterSpec(positions=None, teams=None, price_range=(5.0, 7.5),
+                              min_points=None, min_minutes=None)
+    got = sorted(r.id for r in df.where(filters.within("price", spec.price_range)).collect())
+    assert got == [1, 2]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["GK", "DEF", "MID"]), st.integers(0, 5),
+                          st.integers(0, 200)), min_size=1, max_size=30))
+def test_properties_identity_filter_and_rank_size(spark, data):
+    recs = [(i, pos, "Arsenal", 5.0 + i, pts, mins, float(pts % 7))
+            for i, (pos, pts, mins) in enumerate(data)]
+    df = spark.createDataFrame(recs, "id long, position string, team string, price double, "
+                                     "total_points int, minutes int, influence double")
+    off = filters.FilterSpec(min_points=None, min_minutes=None)
+    assert filters.filter_live(df, off).count() == len(recs)
+    ranked = boards.rank_top(df, "influence", 20)
+    assert ranked.count() >= min(20, len(recs))
+    assert all(r["rank"] <= 20 for r in ranked.collect())
