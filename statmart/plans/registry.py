@@ -90,11 +90,10 @@ def q_mart_join(spark, sf_dir):
     """Mart built by joining the dim and fact models on id = player_id.
 
     Both models read one materialised source, as they read one source table: the
-    stand-in is checkpointed once instead of being aggregated from lineitem per side.
+    stand-in is written once instead of being aggregated from lineitem per side.
     """
-    from statmart.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    p = players(spark, sf_dir).checkpoint(eager=True)
+    from statmart.session import materialize
+    p = materialize(players(spark, sf_dir), "players")
     return build_mart(dim_players(p), fact_player_history(p), last_updated=False)
 
 
@@ -150,9 +149,8 @@ def q_rank_top20(spark, sf_dir):
     The rank reads its input twice (the 20th value first), so the mart is materialised
     once, as the chart reads the gold table.
     """
-    from statmart.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    gold = mart(spark, sf_dir).checkpoint(eager=True)
+    from statmart.session import materialize
+    gold = materialize(mart(spark, sf_dir), "gold")
     return boards.influence_chart(gold).withColumn("rank", F.col("rank").cast("long"))
 
 

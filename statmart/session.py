@@ -63,8 +63,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/statmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the input once, and later reads
+    get column pruning and filter pushdown on the written files.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "default_parallelism"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "materialize", "default_parallelism"]
