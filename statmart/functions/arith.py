@@ -15,7 +15,8 @@ MODES = ("zero", "ieee", "null")
 
 
 def _d(c: Column) -> Column:
-    return c.cast("double")
+    # numbers convert as a cast does; text that is not a number becomes NULL, never an error
+    return c.try_cast("double")
 
 
 def ratio(num: Column, den: Column, on_zero: str = "null") -> Column:

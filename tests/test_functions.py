@@ -107,3 +107,8 @@ def test_names(spark):
                     text.option_text(F.lit(None).cast("string"))).first()
     assert tuple(out) == ("A_e_x_1", "2023_24", "gw12", "player_2023_24_A_e_x_1",
                           '["players","teams"]', "2.68", "nan")
+
+
+def test_price_from_text_cost(spark):
+    df = spark.createDataFrame([("105",), ("abc",), (None,)], "c string")
+    assert [r[0] for r in df.select(arith.price(F.col("c"))).collect()] == [10.5, None, None]
