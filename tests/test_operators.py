@@ -219,3 +219,18 @@ def test_properties_identity_filter_and_rank_size(spark, data):
     ranked = boards.rank_top(df, "influence", 20)
     assert ranked.count() >= min(20, len(recs))
     assert all(r["rank"] <= 20 for r in ranked.collect())
+
+
+def test_quantiles_with_a_hot_value_and_many_groups(spark):
+    rng = np.random.default_rng(7)
+    data = []
+    for g in ("a", "b", "c"):
+        vals = np.concatenate([np.full(1000, 42.0), rng.normal(40, 10, 2000).round(3)])
+        data += [(g, float(v)) for v in vals]
+    df = spark.createDataFrame(data, "k string, v double")
+    probs = {"p10": 0.1, "median": 0.5, "p90": 0.9, "top": 1.0}
+    got = {r.k: r for r in exact_quantiles(df, "k", "v", probs).collect()}
+    for g in ("a", "b", "c"):
+        vals = np.array([v for k, v in data if k == g])
+        for name, p in probs.items():
+            assert abs(got[g][name] - float(np.quantile(vals, p))) < 1e-9
