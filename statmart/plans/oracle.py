@@ -358,3 +358,8 @@ ORACLE.update({
 })
 
 ORACLE["models_materialized"] = mart_select(MART_COLUMNS)
+
+ORACLE["ingest_name_collisions"] = (
+    "SELECT c_custkey, c_name, c_nationkey, " + r("c_acctbal") + ", c_mktsegment, "
+    "'player_2023_24_name_' || " + _clean("c_mktsegment") + " || '_x' AS table_name "
+    "FROM customer WHERE c_nationkey < 12")

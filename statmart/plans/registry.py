@@ -398,6 +398,23 @@ def q_ingest_path_keys(spark, sf_dir):
     return df.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "season")
 
 
+@query("ingest_name_collisions")
+def q_ingest_name_collisions(spark, sf_dir):
+    """Customer landed in player folders '<segment>-x' and '<segment>_x' (one write,
+    partitioned by folder name); both clean to the same table name and the first folder
+    by path order wins, with all of its files."""
+    from statmart.sources.csv_files import first_file_per_table, read_family
+    cust = testdata.read_table(spark, sf_dir, "customer")
+    root = _fresh(spark, "ingest-collisions")
+    folder = F.concat(F.col("c_mktsegment"),
+                      F.when(F.col("c_nationkey") < 12, F.lit("-x")).otherwise(F.lit("_x")))
+    (cust.withColumn("name", folder).write.partitionBy("name").option("header", True)
+     .csv(f"{root}/data/2023-24/players"))
+    df = read_family(spark, root, "players", schema=cust.schema, file_glob="*/*.csv")
+    return first_file_per_table(df, "players").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "table_name")
+
+
 @query("ingest_json_explode")
 def q_ingest_json_explode(spark, sf_dir):
     """Nation records landed as snapshot documents (elements + teams), exploded."""

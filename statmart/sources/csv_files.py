@@ -203,10 +203,17 @@ def read_family(spark: SparkSession, root: str, family: str,
     return with_path_keys(read_csv_files(spark, globs, schema), family)
 
 
-def first_file_per_table(df: DataFrame) -> DataFrame:
-    """When cleaned names collide, keep only the rows of the first file by path order."""
+def first_file_per_table(df: DataFrame, family: str = "gw") -> DataFrame:
+    """When cleaned names collide, keep only the rows of the first source by path order.
+
+    The source is the file, or for a family named by folder (players) the folder, so
+    every file of the winning folder is kept.
+    """
     from statmart.functions.lookup import join_lookup
+    by_folder = FAMILIES[family][2] == "folder"
+    unit = F.regexp_replace(F.col(SOURCE), "/[^/]*$", "") if by_folder else F.col(SOURCE)
+    keyed = df.withColumn("_unit", unit)
     # one row per table name: broadcast when proven small, else a shuffle join (AQE splits
-    # a file that holds most of the rows)
-    firsts = df.groupBy("table_name").agg(F.min(SOURCE).alias(SOURCE))
-    return join_lookup(df, firsts, ["table_name", SOURCE], "left_semi")
+    # a source that holds most of the rows)
+    firsts = keyed.groupBy("table_name").agg(F.min("_unit").alias("_unit"))
+    return join_lookup(keyed, firsts, ["table_name", "_unit"], "left_semi").drop("_unit")

@@ -58,7 +58,7 @@ def test_families_and_path_keys(spark, tmp_dir):
     assert rows(only, "season") == [("2022-23",)]
     pl = csv_files.read_family(spark, tmp_dir, "players")
     assert {r.table_name for r in pl.collect()} == {"player_2023_24_A_e_x_1"}
-    first = csv_files.first_file_per_table(pl)
+    first = csv_files.first_file_per_table(pl, "players")
     assert rows(first, "pts") == [("7",)]
     us = csv_files.read_family(spark, tmp_dir, "understat")
     assert rows(us, "table_name", "entity") == [("understat_2023_24_Bo_B", "Bo_B")]
