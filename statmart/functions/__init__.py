@@ -1,0 +1 @@
+"""Scalar Column helpers: coercion, ratios, rounding, names, lookups."""

@@ -1,0 +1 @@
+"""DataFrame -> DataFrame operators: models, metrics, filters, boards, statistics."""

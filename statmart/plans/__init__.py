@@ -1,0 +1 @@
+"""End-to-end plans, registered queries and their SQL oracle."""

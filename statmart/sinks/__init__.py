@@ -1,0 +1 @@
+"""Writers: tables (once, replace, log) and CSV export."""
