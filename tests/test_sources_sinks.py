@@ -132,3 +132,14 @@ def test_file_names_with_glob_characters(spark, tmp_dir):
     assert sorted(rows(got, "id", "v")) == [(7, "q"), (8, "r")]
     assert sorted(r.source_file.rsplit("/", 1)[1] for r in got.collect()) == [
         "a1 x.csv", "a[1] {x}.csv"]
+
+
+def test_replace_partitioned_and_empty(spark, tmp_dir):
+    db = "t_sinks_part"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
+    v = spark.createDataFrame([(1, "2023-24"), (2, "2022-23")], "id long, season string")
+    assert tables.replace_table(v, f"{db}.gw", partition_by=["season"])
+    assert not tables.replace_table(v.where("id < 0"), f"{db}.gw", partition_by=["season"])
+    got = spark.table(f"{db}.gw")
+    assert sorted(rows(got, "id", "season")) == [(1, "2023-24"), (2, "2022-23")]
+    assert rows(got.where("season = '2022-23'"), "id") == [(2,)]
