@@ -143,3 +143,11 @@ def test_replace_partitioned_and_empty(spark, tmp_dir):
     got = spark.table(f"{db}.gw")
     assert sorted(rows(got, "id", "season")) == [(1, "2023-24"), (2, "2022-23")]
     assert rows(got.where("season = '2022-23'"), "id") == [(2,)]
+
+
+def test_missing_season_reads_as_empty(spark, tmp_dir):
+    _write(f"{tmp_dir}/data/2023-24/gws/gw1.csv", "id,pts\n1,3\n")
+    with pytest.warns(UserWarning):
+        df = csv_files.read_family(spark, tmp_dir, "gw", seasons=["2019-20"],
+                                   schema={"id": T.LongType()})
+    assert df.count() == 0 and "id" in df.columns and "season" in df.columns
