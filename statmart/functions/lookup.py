@@ -20,6 +20,8 @@ def map_lookup(key: Column, mapping: Mapping, default: str | None = None) -> Col
     pairs = []
     for k, v in mapping.items():
         pairs += [F.lit(k), F.lit(v)]
+    if mapping and all(isinstance(k, int) for k in mapping):
+        key = key.try_cast("int")  # ids may arrive as text; one that is not a number misses
     found = F.try_element_at(F.create_map(*pairs), key)
     return found if default is None else F.coalesce(found, F.lit(default))
 

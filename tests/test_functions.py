@@ -112,3 +112,9 @@ def test_names(spark):
 def test_price_from_text_cost(spark):
     df = spark.createDataFrame([("105",), ("abc",), (None,)], "c string")
     assert [r[0] for r in df.select(arith.price(F.col("c"))).collect()] == [10.5, None, None]
+
+
+def test_lookup_with_text_ids(spark):
+    df = spark.createDataFrame([("1",), ("abc",), ("20",), (None,)], "team string")
+    got = [r[0] for r in df.select(lookup.map_lookup(F.col("team"), TEAM_NAMES, "Unknown")).collect()]
+    assert got == ["Arsenal", "Unknown", "Wolves", "Unknown"]
