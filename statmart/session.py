@@ -25,6 +25,8 @@ def build_session(master: str | None = None, app: str = "statmart", shuffle_part
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # checkpoint files of DataFrames that are no longer referenced are removed
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():
