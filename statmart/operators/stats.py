@@ -80,7 +80,9 @@ def stat_summary(df: DataFrame, stats: Sequence[str] = SUMMARY_STATS,
     """One row per statistic with its mean and quantiles (median, p90).
 
     ``exact=True`` (default): linear interpolation between the closest ranks, computed
-    without any task holding a whole group. ``exact=False``: ``percentile_approx``.
+    without any task holding a whole group; the value counts are checkpointed when this is
+    called (one job), the returned DataFrame reads them. ``exact=False``:
+    ``percentile_approx``, fully lazy.
     """
     stats = has_columns(df, stats)
     long = long_form(df, stats)

@@ -43,7 +43,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset *and* Spark runs in local mode (tests) do we set our own;
     a cluster without a shared folder configured is an error, never a silent local path.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session: the server owns the setting
+        conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
