@@ -50,6 +50,17 @@ def list_files(spark: SparkSession, glob: str | list[str], file_filter: str = "*
     return out.distinct()
 
 
+def write_batch(spark: SparkSession, paths: list[str], batch_id: int, target: str,
+                schema: T.StructType | Mapping[str, T.DataType] | None = None) -> None:
+    """Load one micro-batch's files into ``<target>/batch_id=<n>``, replacing that folder:
+    running the same batch again (after a failure before its commit) writes the same rows
+    once, never twice."""
+    if not paths:
+        return
+    rows = read_csv_files(spark, [literal_path(p) for p in paths], schema)
+    rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+
+
 def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
                   schema: T.StructType | Mapping[str, T.DataType] | None = None,
                   file_filter: str = "*.csv", max_files_per_batch: int = 1000) -> None:
@@ -57,10 +68,7 @@ def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # one path per new file in this micro-batch (bounded by max_files_per_batch)
         paths = [r[0] for r in batch.select(decoded_path(F.col("path"))).collect()]
-        if not paths:
-            return
-        rows = read_csv_files(batch.sparkSession, [literal_path(p) for p in paths], schema)
-        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+        write_batch(batch.sparkSession, paths, batch_id, target, schema)
 
     query = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", file_filter)

@@ -151,3 +151,12 @@ def test_missing_season_reads_as_empty(spark, tmp_dir):
         df = csv_files.read_family(spark, tmp_dir, "gw", seasons=["2019-20"],
                                    schema={"id": T.LongType()})
     assert df.count() == 0 and "id" in df.columns and "season" in df.columns
+
+
+def test_rerun_of_a_batch_writes_once(spark, tmp_dir):
+    _write(f"{tmp_dir}/land/a.csv", "id,v\n1,x\n2,y\n")
+    target = f"{tmp_dir}/target"
+    paths = [f"file:{tmp_dir}/land/a.csv"]
+    incremental.write_batch(spark, paths, 0, target, {"id": T.LongType()})
+    incremental.write_batch(spark, paths, 0, target, {"id": T.LongType()})  # replayed batch
+    assert sorted(rows(incremental.read_target(spark, target), "id", "v")) == [(1, "x"), (2, "y")]
