@@ -2,6 +2,8 @@ import json
 import os
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -160,3 +162,21 @@ def test_rerun_of_a_batch_writes_once(spark, tmp_dir):
     incremental.write_batch(spark, paths, 0, target, {"id": T.LongType()})
     incremental.write_batch(spark, paths, 0, target, {"id": T.LongType()})  # replayed batch
     assert sorted(rows(incremental.read_target(spark, target), "id", "v")) == [(1, "x"), (2, "y")]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.permutations(["a", "b", "c", "d"]).flatmap(
+    lambda cols: st.integers(1, 4).map(lambda k: cols[:k])), min_size=1, max_size=4))
+def test_headers_in_any_order_match_by_name(spark, headers):
+    import tempfile
+    root = tempfile.mkdtemp(prefix="statmart-hdr-", dir="/tmp")
+    expected = []
+    for i, cols in enumerate(headers):
+        vals = {c: f"{c}{i}" for c in cols}
+        _write(f"{root}/f{i}.csv", ",".join(cols) + "\n" + ",".join(vals[c] for c in cols) + "\n")
+        expected.append(tuple(vals.get(c) for c in "abcd"))
+    df = csv_files.read_csv_files(spark, f"{root}/*.csv")
+    for c in "abcd":
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast("string"))
+    assert sorted(rows(df, "a", "b", "c", "d"), key=repr) == sorted(expected, key=repr)
