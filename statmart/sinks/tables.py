@@ -61,7 +61,8 @@ def replace_table(df: DataFrame, name: str, path: str | None = None,
     ``df`` is computed once and written to a new version folder; only when that write has
     committed is the table pointed at it (a catalog change, no data moves). A failed job
     leaves the old table as it was. An empty ``df`` leaves the old table too (its empty
-    version folder is never referenced).
+    version folder is never referenced). ``df`` may read the table it replaces: the old
+    version's files are not touched while the new one is written.
     """
     import uuid
 

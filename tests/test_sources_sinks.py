@@ -180,3 +180,12 @@ def test_headers_in_any_order_match_by_name(spark, headers):
         if c not in df.columns:
             df = df.withColumn(c, F.lit(None).cast("string"))
     assert sorted(rows(df, "a", "b", "c", "d"), key=repr) == sorted(expected, key=repr)
+
+
+def test_replace_a_table_from_itself(spark, tmp_dir):
+    db = "t_sinks_self"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
+    name = f"{db}.players"
+    assert tables.replace_table(spark.createDataFrame([(1, 10)], "id long, pts int"), name)
+    assert tables.replace_table(spark.table(name).withColumn("pts", F.col("pts") * 2), name)
+    assert rows(spark.table(name)) == [(1, 20)]
