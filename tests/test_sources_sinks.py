@@ -103,7 +103,7 @@ def test_csv_export_quoting(spark, tmp_dir):
     part = [f for f in os.listdir(path) if f.endswith(".csv")]
     assert len(part) == 1
     with open(f"{path}/{part[0]}", encoding="utf-8") as f:
-        assert f.read().splitlines() == ["a,b,c", '"q""r,s",,true']
+        assert f.read().splitlines() == ["a,b,c", '"q""r,s",,True']
 
 
 def test_incremental_ingest_twice_is_once(spark, tmp_dir):
