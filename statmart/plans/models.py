@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statmart.operators import boards, filters, live, stats
@@ -76,9 +77,18 @@ def board_dashboard(mart: DataFrame, position: str = filters.ALL, min_price=None
     }
     if "last_updated" in data.columns:
         out["last_updated"] = stats.latest_update(data)
+    # F11 / F12 as lazy one-row flags: nothing matched the filters; no selection values
+    out["no_rows"] = _no_rows(chosen)
+    out["selection_missing"] = out["selection_by_position"].agg(
+        filters.all_missing("selected_by_percent").alias("all_missing"))
     return out
 
 
+def _no_rows(df: DataFrame) -> DataFrame:
+    """One row, ``empty`` = no row in ``df`` (reads at most one row of it)."""
+    return df.limit(1).agg((F.count(F.lit(1)) == 0).alias("empty"))
+
+
 def live_dashboard(players: DataFrame, spec: filters.FilterSpec = filters.FilterSpec(),
                    compare: Sequence[str] = (), export_path: str | None = None,
                    on_zero: str = "ieee") -> dict[str, DataFrame]:
@@ -92,6 +102,7 @@ def live_dashboard(players: DataFrame, spec: filters.FilterSpec = filters.Filter
     out["summary"] = stats.stat_summary(chosen)
     out["bounds"] = stats.bounds(data)
     out["options"] = stats.options(data)
+    out["no_rows"] = _no_rows(chosen)
     if export_path:
         export_csv(chosen, export_path)
     return out

@@ -47,6 +47,10 @@ def test_snapshot_models_and_dashboards(spark, tmp_dir):
     assert 0 < len(top) <= 10 and all(r.position == "MID" for r in top)
     assert board["influence"].count() == min(20, board["form_price"].count())
     assert board["last_updated"].count() == 1
+    assert board["no_rows"].first().empty is False
+    assert board["selection_missing"].first().all_missing is False
+    nothing = models.board_dashboard(mart, position="MID", min_price=1e9)
+    assert nothing["no_rows"].first().empty is True
     assert {r.position for r in board["selection_by_position"].collect()} <= {
         "GK", "DEF", "MID", "FWD", "Unknown"}
 
