@@ -55,7 +55,8 @@ def _table_base(spark: SparkSession, name: str) -> str:
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None,
-                  partition_by: Sequence[str] = ()) -> bool:
+                  partition_by: Sequence[str] = (),
+                  bucket_by: tuple[int, str] | None = None) -> bool:
     """K2/K5: create or replace the table with ``df`` (schema too).
 
     ``df`` is computed once and written to a new version folder; only when that write has
@@ -68,7 +69,10 @@ def replace_table(df: DataFrame, name: str, path: str | None = None,
 
     spark = df.sparkSession
     name = safe_name(name)
-    version = f"{(path or _table_base(spark, name)).rstrip('/')}/v_{uuid.uuid4().hex}"
+    token = uuid.uuid4().hex
+    version = f"{(path or _table_base(spark, name)).rstrip('/')}/v_{token}"
+    if bucket_by is not None:
+        return _replace_bucketed(df, name, version, token, partition_by, bucket_by)
     writer = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -88,6 +92,26 @@ def replace_table(df: DataFrame, name: str, path: str | None = None,
     return True
 
 
+def _replace_bucketed(df: DataFrame, name: str, version: str, token: str,
+                      partition_by: Sequence[str], bucket_by: tuple[int, str]) -> bool:
+    """Bucketed version: bucket metadata lives in the catalog, so the new version is saved
+    as a side table, then renamed over the old one (both catalog-only changes)."""
+    spark = df.sparkSession
+    n, col = bucket_by
+    side = f"{name}__v_{token}"
+    writer = (df.write.mode("errorifexists").format("parquet").option("path", version)
+              .bucketBy(n, col).sortBy(col))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(side)
+    if spark.table(side).isEmpty():
+        spark.sql(f"DROP TABLE {side}")
+        return False
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {side} RENAME TO {name}")
+    return True
+
+
 def ensure_log_table(spark: SparkSession, name: str, path: str | None = None) -> None:
     """K3: the snapshot log with its declared schema, created if absent."""
     name = safe_name(name)

@@ -44,3 +44,27 @@ def test_top_k_and_rank_are_bounded(spark, tmp_dir):
     # the only window runs over the <= 20 rows of the top-k, never over the data
     assert "TakeOrderedAndProject" in plan and "BroadcastHashJoin" in plan
     assert plan.count("Window (") <= 1 and "Arguments: 20," in plan
+
+
+def test_bucketed_models_join_without_shuffle(spark, tmp_dir):
+    from statmart.operators.conform import dim_players
+    from statmart.operators.mart import build_mart
+    from statmart.plans.models import build_models
+    from statmart.sinks.tables import replace_table
+    db = "t_bucketed"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
+    replace_table(testdata.players(spark, SF), f"{db}.players")
+    mart = build_models(spark, db, last_updated=False, buckets=4)
+    assert mart.count() == spark.table(f"{db}.players").count()
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = build_mart(spark.table(f"{db}.dim_players"),
+                            spark.table(f"{db}.fact_player_history"), last_updated=False)
+        plan = _plan(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert replace_table(dim_players(spark.table(f"{db}.players")), f"{db}.dim_players",
+                         bucket_by=(4, "id"))
+    assert spark.table(f"{db}.dim_players").count() == mart.count()
