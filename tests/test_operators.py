@@ -4,7 +4,6 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from statmart.operators import boards, filters, live, stats
 from statmart.operators.conform import dim_players, fact_player_history
