@@ -9,7 +9,8 @@ distinct value of a group in one task. Here the work stays spread out:
    then checkpoint them to the shared checkpoint folder (stable partition ids, and a
    lost executor re-reads the checkpoint instead of recomputing);
 3. per (partition, group) totals -> offsets by a window over at most
-   ``partitions x groups`` rows; running counts inside each partition in one pass;
+   ``partitions x groups`` rows; running counts in one pass over only the partitions
+   that hold a wanted rank (the others are dropped in the JVM);
 4. the ranks a quantile needs (floor and ceil of ``(n - 1) * p``) are looked up by a
    broadcast join with the at most ``groups x probs x 2`` target rows.
 """
@@ -71,17 +72,10 @@ def exact_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str
     ranged = counted if counted is not None else counted_values(long_df, key, value)
     totals = ranged.groupBy("_pid", "_g").agg(F.sum("_c").alias("_t"))
     before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", "_g",
+    offsets = totals.select("_pid", "_g", "_t",
                             F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
     sizes = totals.groupBy("_g").agg(F.sum("_t").alias("_n"))
 
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_cum", T.LongType())])
-    local = ranged.mapInPandas(_running_counts, schema)
-    placed = local.join(F.broadcast(offsets), ["_pid", "_g"]).select(
-        "_g", "_v",
-        (F.col("_off") + F.col("_cum") - F.col("_c") + 1).alias("_first"),
-        (F.col("_off") + F.col("_cum")).alias("_last"))
-
     wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("_q"), F.lit(float(p)).alias("_p"))
                                  for n, p in probs.items()]))
     pos = (F.col("_n") - 1) * F.col("_p")
@@ -93,6 +87,19 @@ def exact_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str
                            F.struct(F.lit(1).alias("_side"), (F.ceil(pos) + 1).cast("long").alias("_r")),
                        )).alias("_t"))
                .select("_g", "_q", "_frac", "_t._side", "_t._r"))
+
+    # only the range partitions that hold a wanted rank need running counts (at most
+    # groups x probs x 2 of them): a broadcast semi-join keeps their rows, in order
+    needed = (targets.join(offsets, "_g")
+              .where((F.col("_r") > F.col("_off")) & (F.col("_r") <= F.col("_off") + F.col("_t")))
+              .select("_pid", "_g").distinct())
+    schema = T.StructType(ranged.schema.fields + [T.StructField("_cum", T.LongType())])
+    local = (ranged.join(F.broadcast(needed), ["_pid", "_g"], "left_semi")
+             .mapInPandas(_running_counts, schema))
+    placed = local.join(F.broadcast(offsets.drop("_t")), ["_pid", "_g"]).select(
+        "_g", "_v",
+        (F.col("_off") + F.col("_cum") - F.col("_c") + 1).alias("_first"),
+        (F.col("_off") + F.col("_cum")).alias("_last"))
     hits = placed.join(
         F.broadcast(targets.withColumnRenamed("_g", "_tg")),
         (F.col("_g") == F.col("_tg")) & (F.col("_r") >= F.col("_first")) & (F.col("_r") <= F.col("_last")),
