@@ -68,3 +68,21 @@ def test_bucketed_models_join_without_shuffle(spark, tmp_dir):
     assert replace_table(dim_players(spark.table(f"{db}.players")), f"{db}.dim_players",
                          bucket_by=(4, "id"))
     assert spark.table(f"{db}.dim_players").count() == mart.count()
+
+
+def test_selective_player_filter_reaches_lineitem_as_bloom_filter(spark):
+    from statmart.operators import live as live_ops
+    conf = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1",
+            "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    prev = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        data = live_ops.live_metrics(testdata.players(spark, SF))
+        q = filters.compare_players(data, ["small ring"])
+        q.collect()
+        plan = q._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    assert "might_contain" in plan and "xxhash64(l_partkey" in plan
