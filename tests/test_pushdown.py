@@ -86,3 +86,10 @@ def test_selective_player_filter_reaches_lineitem_as_bloom_filter(spark):
         for k, v in prev.items():
             spark.conf.set(k, v)
     assert "might_contain" in plan and "xxhash64(l_partkey" in plan
+
+
+def test_options_is_one_scan(spark, tmp_dir):
+    from statmart.operators import stats
+    gold = _gold(spark, tmp_dir)
+    tree = _plan(stats.options(gold, ["position", "team"])).split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and "Expand" in tree
