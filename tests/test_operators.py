@@ -233,3 +233,10 @@ def test_quantiles_with_a_hot_value_and_many_groups(spark):
         vals = np.array([v for k, v in data if k == g])
         for name, p in probs.items():
             assert abs(got[g][name] - float(np.quantile(vals, p))) < 1e-9
+
+
+def test_stat_summary_on_empty_input(spark):
+    df = spark.createDataFrame([], "total_points double, assists double")
+    got = {r.stat: (r.mean, r.median, r.p90) for r in
+           stats.stat_summary(df, ["total_points", "assists"]).collect()}
+    assert got == {"total_points": (None, None, None), "assists": (None, None, None)}
