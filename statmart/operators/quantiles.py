@@ -11,6 +11,10 @@ distinct value of a group in one task. Here the work stays spread out:
 3. per (partition, group) totals -> offsets by a window over at most
    ``partitions x groups`` rows; running counts in one pass over only the partitions
    that hold a wanted rank (the others are dropped in the JVM);
+
+When one action proves that no group has more than ``SMALL_GROUP_ROWS`` distinct values,
+steps 2-3 are replaced by a window per group (one bounded task per group, no checkpoint,
+no Python); beyond that bound the distributed path above is taken.
 4. the ranks a quantile needs (floor and ceil of ``(n - 1) * p``) are looked up by a
    broadcast join with the at most ``groups x probs x 2`` target rows.
 """
@@ -43,63 +47,62 @@ def _running_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf
 
 
-def counted_values(long_df: DataFrame, key: str, value: str) -> DataFrame:
-    """Distinct (group, value) with counts, range-partitioned, sorted and checkpointed."""
-    spark = long_df.sparkSession
-    ensure_checkpoint_dir(spark)
+# A group with at most this many distinct values may be ordered inside one task (a window).
+SMALL_GROUP_ROWS = 1_000_000
+
+
+def value_counts(long_df: DataFrame, key: str, value: str) -> DataFrame:
+    """(_g, _v, _c): distinct (group, value) with counts; NULL and NaN values skipped."""
     vals = (long_df.select(F.col(key).alias("_g"), nan_to_null(F.col(value).cast("double")).alias("_v"))
             .where(F.col("_v").isNotNull()))
-    # persisted only while the checkpoint is written: the range partitioner samples its
-    # input in a job of its own, and the input should be computed once, not twice
-    counts = (vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    return vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def widest_group(counts: DataFrame) -> int:
+    """Largest number of distinct values in one group (an action over the counts)."""
+    return counts.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
+
+
+def materialized_counts(long_df: DataFrame, key: str, value: str) -> DataFrame:
+    """``value_counts`` computed once and checkpointed to the shared checkpoint folder: the
+    sizing check, the means and the quantiles all read it instead of the input."""
+    ensure_checkpoint_dir(long_df.sparkSession)
+    # persisted only while the checkpoint is written, so the input is computed once
+    counts = value_counts(long_df, key, value).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        ranged = (counts.repartitionByRange(default_parallelism(spark), "_g", "_v")
-                  .sortWithinPartitions("_g", "_v")
-                  .withColumn("_pid", F.spark_partition_id()))
-        return ranged.checkpoint(eager=True)
+        return counts.checkpoint(eager=True)
     finally:
         counts.unpersist()
 
 
-def exact_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str, float],
-                    counted: DataFrame | None = None) -> DataFrame:
-    """One row per group: ``key`` and one column per entry of ``probs`` (name -> p).
+def counted_values(counts: DataFrame) -> DataFrame:
+    """Materialised counts, range-partitioned, sorted within partitions and checkpointed
+    (stable partition ids for the running counts)."""
+    spark = counts.sparkSession
+    ranged = (counts.repartitionByRange(default_parallelism(spark), "_g", "_v")
+              .sortWithinPartitions("_g", "_v")
+              .withColumn("_pid", F.spark_partition_id()))
+    return ranged.checkpoint(eager=True)
 
-    Linear interpolation between the closest ranks, NULL/NaN values skipped: the same
-    definition as a continuous quantile (``q(0.5)`` of 1, 2, 3, 4 is 2.5; ``q(0.9)`` 3.7).
-    """
-    ranged = counted if counted is not None else counted_values(long_df, key, value)
-    totals = ranged.groupBy("_pid", "_g").agg(F.sum("_c").alias("_t"))
-    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", "_g", "_t",
-                            F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
-    sizes = totals.groupBy("_g").agg(F.sum("_t").alias("_n"))
 
+def _targets(sizes: DataFrame, probs: Mapping[str, float]) -> DataFrame:
+    """(_g, _q, _frac, _side, _r): the two 1-based ranks each quantile interpolates between."""
     wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("_q"), F.lit(float(p)).alias("_p"))
                                  for n, p in probs.items()]))
     pos = (F.col("_n") - 1) * F.col("_p")
-    targets = (sizes.select("_g", "_n", wanted.alias("_qp"))
-               .select("_g", "_n", "_qp._q", "_qp._p")
-               .select("_g", "_q", (pos - F.floor(pos)).alias("_frac"),
-                       F.explode(F.array(
-                           F.struct(F.lit(0).alias("_side"), (F.floor(pos) + 1).cast("long").alias("_r")),
-                           F.struct(F.lit(1).alias("_side"), (F.ceil(pos) + 1).cast("long").alias("_r")),
-                       )).alias("_t"))
-               .select("_g", "_q", "_frac", "_t._side", "_t._r"))
-
-    # only the range partitions that hold a wanted rank need running counts (at most
-    # groups x probs x 2 of them): a broadcast semi-join keeps their rows, in order
-    needed = (targets.join(offsets, "_g")
-              .where((F.col("_r") > F.col("_off")) & (F.col("_r") <= F.col("_off") + F.col("_t")))
-              .select("_pid", "_g").distinct())
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_cum", T.LongType())])
-    local = (ranged.join(F.broadcast(needed), ["_pid", "_g"], "left_semi")
-             .mapInPandas(_running_counts, schema))
-    placed = local.join(F.broadcast(offsets.drop("_t")), ["_pid", "_g"]).select(
-        "_g", "_v",
-        (F.col("_off") + F.col("_cum") - F.col("_c") + 1).alias("_first"),
-        (F.col("_off") + F.col("_cum")).alias("_last"))
+    return (sizes.select("_g", "_n", wanted.alias("_qp"))
+            .select("_g", "_n", "_qp._q", "_qp._p")
+            .select("_g", "_q", (pos - F.floor(pos)).alias("_frac"),
+                    F.explode(F.array(
+                        F.struct(F.lit(0).alias("_side"), (F.floor(pos) + 1).cast("long").alias("_r")),
+                        F.struct(F.lit(1).alias("_side"), (F.ceil(pos) + 1).cast("long").alias("_r")),
+                    )).alias("_t"))
+            .select("_g", "_q", "_frac", "_t._side", "_t._r"))
+
+
+def _interpolate(placed: DataFrame, targets: DataFrame, key: str,
+                 probs: Mapping[str, float]) -> DataFrame:
+    """Values at the target ranks (broadcast range lookup), then linear interpolation."""
     hits = placed.join(
         F.broadcast(targets.withColumnRenamed("_g", "_tg")),
         (F.col("_g") == F.col("_tg")) & (F.col("_r") >= F.col("_first")) & (F.col("_r") <= F.col("_last")),
@@ -115,8 +118,60 @@ def exact_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str
     return out.withColumnRenamed("_g", key)
 
 
+def _quantiles_small(counts: DataFrame, key: str, probs: Mapping[str, float]) -> DataFrame:
+    """Every group proven to hold at most SMALL_GROUP_ROWS distinct values: running counts by
+    a window per group (one bounded task per group), all in the JVM."""
+    upto = Window.partitionBy("_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.select("_g", "_v", (F.sum("_c").over(upto) - F.col("_c") + 1).alias("_first"),
+                           F.sum("_c").over(upto).alias("_last"))
+    sizes = counts.groupBy("_g").agg(F.sum("_c").alias("_n"))
+    return _interpolate(placed, _targets(sizes, probs), key, probs)
+
+
+def _quantiles_ranged(ranged: DataFrame, key: str, probs: Mapping[str, float]) -> DataFrame:
+    """Any group size: running counts per range partition of the checkpointed counts."""
+    totals = ranged.groupBy("_pid", "_g").agg(F.sum("_c").alias("_t"))
+    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", "_g", "_t",
+                            F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
+    sizes = totals.groupBy("_g").agg(F.sum("_t").alias("_n"))
+    targets = _targets(sizes, probs)
+    # only the range partitions that hold a wanted rank need running counts (at most
+    # groups x probs x 2 of them): a broadcast semi-join keeps their rows, in order
+    needed = (targets.join(offsets, "_g")
+              .where((F.col("_r") > F.col("_off")) & (F.col("_r") <= F.col("_off") + F.col("_t")))
+              .select("_pid", "_g").distinct())
+    schema = T.StructType(ranged.schema.fields + [T.StructField("_cum", T.LongType())])
+    local = (ranged.join(F.broadcast(needed), ["_pid", "_g"], "left_semi")
+             .mapInPandas(_running_counts, schema))
+    placed = local.join(F.broadcast(offsets.drop("_t")), ["_pid", "_g"]).select(
+        "_g", "_v",
+        (F.col("_off") + F.col("_cum") - F.col("_c") + 1).alias("_first"),
+        (F.col("_off") + F.col("_cum")).alias("_last"))
+    return _interpolate(placed, targets, key, probs)
+
+
+def exact_quantiles(long_df: DataFrame | None, key: str, value: str,
+                    probs: Mapping[str, float], counts: DataFrame | None = None,
+                    small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+    """One row per group: ``key`` and one column per entry of ``probs`` (name -> p).
+
+    Linear interpolation between the closest ranks, NULL/NaN values skipped: the same
+    definition as a continuous quantile (``q(0.5)`` of 1, 2, 3, 4 is 2.5; ``q(0.9)`` 3.7).
+    ``counts`` may be passed from ``materialized_counts``. One action measures the widest
+    group; up to ``small_group_rows`` distinct values per group a window orders each group
+    in one task, beyond that the counts are range-partitioned and checkpointed so that no
+    task holds a group.
+    """
+    if counts is None:
+        counts = materialized_counts(long_df, key, value)
+    if widest_group(counts) <= small_group_rows:
+        return _quantiles_small(counts, key, probs)
+    return _quantiles_ranged(counted_values(counts), key, probs)
+
+
 def mean_from_counts(ranged: DataFrame, key: str, name: str = "mean") -> DataFrame:
-    """Per-group mean from the counted values (no second pass over the input)."""
+    """Per-group mean from (group, value, count) rows."""
     return ranged.groupBy("_g").agg(
         (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias(name)).withColumnRenamed("_g", key)
 
