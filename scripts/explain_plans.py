@@ -59,6 +59,8 @@ def main() -> None:
         ("means by position", stats.metrics_by_position(gold)),
         ("options (one scan)", stats.options(gold, ["position", "team"])),
         ("live filter + overview board", boards.board(filters.filter_live(liv), "overview")),
+        ("mean / median / p90 summary (counts checkpointed; window path, groups proven small)",
+         stats.stat_summary(gold, ["total_points", "points_per_game", "goals_scored"])),
     ]
     # dim and fact written bucketed on the player id: the mart join needs no exchange
     from statmart.operators.conform import dim_players, fact_player_history
