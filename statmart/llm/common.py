@@ -121,3 +121,29 @@ class PieceTable:
         ends = np.cumsum(lengths)
         places = np.arange(total, dtype=np.int64) + np.repeat(self.starts[codes] - (ends - lengths), lengths)
         return self.flat[places]
+
+
+def groups_of(raws: list[bytes], size: int = 1 << 20):
+    """(first, last) slices of a batch's texts of about ``size`` bytes, so that long texts don't
+    meet in memory as lists of words."""
+    first, held = 0, 0
+    for i, raw in enumerate(raws):
+        held += len(raw)
+        if held >= size:
+            yield first, i + 1
+            first, held = i + 1, 0
+    if first < len(raws):
+        yield first, len(raws)
+
+
+def range_buckets(df: DataFrame, key: str, buckets: int, output: str) -> DataFrame:
+    """``df`` with an int column ``output`` that cuts the order of a numeric key into ranges of
+    about equal row counts (quantiles over all rows; null keys fall in the lowest range)."""
+    from pyspark.ml.feature import Bucketizer
+
+    asked = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(df.select(F.col(key).cast("double")).approxQuantile(key, asked, 0.25 / buckets))) if asked else []
+    number, real = f"__{output}_key", f"__{output}_real"
+    keyed = df.withColumn(number, F.coalesce(F.col(key).cast("double"), F.lit(-1.7e308)))
+    cut = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol=number, outputCol=real).transform(keyed)
+    return cut.withColumn(output, F.col(real).cast("int")).drop(number, real)

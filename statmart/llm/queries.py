@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statmart.llm import ngram_join
+from statmart.llm import fingerprints, ngram_join, token_files
 from statmart.llm.common import table
 
 
@@ -14,8 +14,18 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_fingerprints": op4_fingerprints,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op10_token_files": op10_token_files,
 }
 
 #: Words of a text as DuckDB sees them.
