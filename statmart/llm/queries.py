@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statmart.llm import fingerprints, ngram_join, token_files
+from statmart.llm import fingerprints, mixing, ngram_join, outliers, token_files, url_filter
 from statmart.llm.common import table
 
 
@@ -14,17 +14,32 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("node")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.neighbour_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality_verdicts(table(spark, sf_dir, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op4_fingerprints": op4_fingerprints,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_quality_outliers": op6_quality_outliers,
+    "op7_source_mixing": op7_source_mixing,
     "op10_token_files": op10_token_files,
 }
 
@@ -51,5 +66,29 @@ m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
 SELECT s.doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles, coalesce(m.component_id, s.doc_id) AS component_id
 FROM s LEFT JOIN c ON len(s.sh) > 0 AND md5(list_aggregate(list_sort(s.sh), 'string_agg', chr(10))) = c.k
 LEFT JOIN m ON m.a = c.rep
+""",
+    "op7_source_mixing": rf"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len({_WORDS.format("text")}) AS BIGINT) AS size,
+    md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+t AS (SELECT source, sum(size) AS s FROM d GROUP BY source),
+w AS (
+  SELECT source, s, [5.0e0, 2.0e0, 1.0e0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w,
+    CAST(s AS DOUBLE) * 2 AS cap, CAST(sum(s) OVER () AS DOUBLE) * 1.5e0 AS goal FROM t),
+l AS (
+  SELECT *, (goal - coalesce(sum(cap) OVER (ORDER BY cap / w, coalesce('s' || source, '') ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(w) OVER (ORDER BY cap / w, coalesce('s' || source, '') ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+g AS (SELECT source, s, least(cap, max(level) OVER () * w) AS target FROM l),
+n AS (SELECT *, CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END AS whole FROM g),
+o AS (
+  SELECT source, h, sum(size) AS size, coalesce(sum(sum(size)) OVER (
+    PARTITION BY source ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM d GROUP BY source, h),
+x AS (
+  SELECT o.source, o.h, o.at + o.size / 2.0e0 < n.target - n.whole * n.s AS more
+  FROM o JOIN n ON o.source IS NOT DISTINCT FROM n.source)
+SELECT d.doc_id, d.size, CAST(n.s AS BIGINT) AS source_size, n.target,
+  CAST(d.size * (n.whole + CASE WHEN x.more THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source
+JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
 """,
 }
