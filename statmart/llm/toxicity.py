@@ -266,7 +266,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
                            F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
 
-    least = max(5, ones // 50)
+    least = max(4, ones // 100)
     frequent = (_counted(learnt.where("toxic = 1"), logs, lambda word: features_of(word) or None)
                 .where(F.col("seen") >= least).orderBy(F.desc("seen"), "feature").limit(CANDIDATES))
     toxic_seen = {r["feature"]: r["seen"] for r in frequent.collect()}
