@@ -23,16 +23,14 @@ doc_id stay repeated. A null doc_id never becomes a component's id unless all it
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statmart.llm.common import Memo, batches, partitions, ragged, text_bytes
-from statmart.session import materialize, scratch_path
+from statmart.llm.common import batches, groups_of, partitions, ragged, text_bytes
+from statmart.session import materialize
 
 WORDS = 5
 PERCENT = 80
@@ -45,18 +43,62 @@ BITMAP_WORDS = 8
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 
 
-def shingle_hashes(raw: bytes, memo: Memo, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of a text's word shingles (A-Z lower-cased, ASCII white space)."""
-    tokens = raw.lower().split()
-    if not tokens:
-        return np.zeros(0, dtype=np.uint64)
-    codes = np.fromiter(map(memo.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-    size = min(words, len(tokens))
-    out = np.full(len(tokens) - size + 1, size, dtype=np.uint64)
-    for j in range(size):
-        out = (out ^ codes[j:len(tokens) - size + 1 + j]) * np.uint64(MIX[0])
-        out ^= out >> np.uint64(29)
-    return np.unique(out)
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_LONG_WORD = 256
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h * np.uint64(MIX[0])
+    return h ^ (h >> np.uint64(29))
+
+
+def word_hashes(joined: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word of a buffer (padded by 8 bytes), eight bytes of all words at a time."""
+    order = np.argsort(-lengths, kind="stable")
+    at, size = starts[order], lengths[order]
+    eights = np.ndarray(shape=(len(joined) - 7,), dtype="<u8", buffer=joined, strides=(1,))
+    h = size.astype(np.uint64)
+    first = 0
+    while first < len(size) and size[first] > _LONG_WORD:
+        h[first] = xxhash.xxh64_intdigest(joined[at[first]:at[first] + size[first]])
+        first += 1
+    for done in range(0, int(size[first]) if first < len(size) else 0, 8):
+        m = first + int(np.searchsorted(-size[first:], -done, side="left"))  # words longer than ``done``
+        left = size[first:m] - done
+        chunk = eights[at[first:m] + done]
+        chunk &= np.where(left >= 8, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << (np.uint64(8) * np.minimum(left, 7).astype(np.uint64))) - np.uint64(1))
+        h[first:m] = _mixed(h[first:m] ^ chunk)
+    out = np.empty_like(h)
+    out[order] = h
+    return out
+
+
+def shingle_sets(raws: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """For each text the sorted distinct 64-bit hashes of its word shingles (A-Z lower-cased,
+    ASCII white space)."""
+    joined = b"\n".join(raws).lower() + b"\n" * 9
+    blank = _BLANK[np.frombuffer(joined, dtype=np.uint8)]
+    change = np.flatnonzero(np.diff(blank, prepend=True))
+    starts, ends = change[0::2], change[1::2]
+    codes = word_hashes(joined, starts, ends - starts)
+    # shingles over the whole buffer; those that stay within a text are cut out below
+    whole = np.full(max(0, len(codes) - words + 1), words, dtype=np.uint64)
+    for j in range(words):
+        whole = _mixed(whole ^ codes[j:j + len(whole)])
+    text_ends = np.cumsum([len(r) + 1 for r in raws])
+    bounds = np.concatenate([[0], np.searchsorted(starts, text_ends)])
+    out = []
+    for first, last in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if last - first >= words:
+            hashes = np.sort(whole[first:last - words + 1])
+            out.append(hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])])
+        else:
+            short = np.full(min(1, last - first), last - first, dtype=np.uint64)
+            for j in range(first, last):
+                short = _mixed(short ^ codes[j])
+            out.append(short)
+    return out
 
 
 def node_of(hashes: np.ndarray) -> int:
@@ -87,15 +129,16 @@ def _heavy_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
     """Shingles seen several times within input partitions, with their counts (at most WEIGHTED)."""
 
     def count(stream):
-        memo = Memo(xxhash.xxh64_intdigest)
         for batch in stream:
             if not batch.num_rows:
                 continue
-            sets = [shingle_hashes(x, memo, words) for x in text_bytes(batch)]
-            keys, counts = np.unique(np.concatenate(sets), return_counts=True)
-            keep = counts >= REPORTED
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[keep].view(np.int64)), pa.array(counts[keep].astype(np.int64))], ["token", "seen"])
+            raws = text_bytes(batch)
+            sets = [x for first, last in groups_of(raws) for x in shingle_sets(raws[first:last], words)]
+            hashes = np.sort(np.concatenate(sets))
+            places = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, dtype=np.int64)
+            seen = np.diff(np.append(places, len(hashes)))
+            keep = seen >= REPORTED
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[places[keep]].view(np.int64)), pa.array(seen[keep])], ["token", "seen"])
 
     seen = docs.select("text").mapInArrow(count, "token long, seen long").groupBy("token").agg(F.sum("seen").alias("seen"))
     rows = seen.orderBy(F.desc("seen"), "token").limit(WEIGHTED).toPandas()
@@ -103,76 +146,70 @@ def _heavy_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
     return keys, rows["seen"].to_numpy(dtype=np.int64)[order]
 
 
+def parity_bitmap(hashes: np.ndarray) -> np.ndarray:
+    """Bits tell whether an odd number of shingles falls in each class. Two sets' bitmaps differ in
+    at most as many bits as the sets differ in shingles."""
+    odd = np.bincount((hashes >> np.uint64(7)) % np.uint64(64 * BITMAP_WORDS), minlength=64 * BITMAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signatures(docs: DataFrame, heavy, words: int, percent: int) -> DataFrame:
-    """(doc_id, node, n, prefix): the set's identity and size and its prefix under order 1."""
+    """(doc_id, node, n, bitmap, prefix): the set's identity, size and bitmap, and its prefix under order 1."""
 
     def work():
-        memo = Memo(xxhash.xxh64_intdigest)
         keys, weights = heavy.value
 
         def run(batch):
-            sizes, nodes, prefixes = [], [], []
-            for raw in text_bytes(batch):
-                hashes = shingle_hashes(raw, memo, words)
-                sizes.append(len(hashes))
-                nodes.append(node_of(hashes))
-                prefixes.append(_prefix(hashes, _weights_of(hashes, keys, weights), 0, percent) if len(hashes) else hashes)
+            raws = text_bytes(batch)
+            sizes, nodes, bitmaps, prefixes = [], [], [], []
+            for first, last in groups_of(raws):
+                for hashes in shingle_sets(raws[first:last], words):
+                    sizes.append(len(hashes))
+                    nodes.append(node_of(hashes))
+                    bitmaps.append(parity_bitmap(hashes))
+                    prefixes.append(_prefix(hashes, _weights_of(hashes, keys, weights), 0, percent) if len(hashes) else hashes)
             return pa.RecordBatch.from_arrays([
-                batch.column("doc_id").cast(pa.int64()),
-                pa.array(nodes, type=pa.int64()),
-                pa.array(sizes, type=pa.int32()),
+                batch.column("doc_id").cast(pa.int64()), pa.array(nodes, type=pa.int64()), pa.array(sizes, type=pa.int32()),
+                ragged(np.concatenate(bitmaps), np.full(len(bitmaps), BITMAP_WORDS), pa.int64()),
                 ragged(np.concatenate(prefixes).view(np.int64), np.array([len(p) for p in prefixes]), pa.int64()),
-            ], ["doc_id", "node", "n", "prefix"])
+            ], ["doc_id", "node", "n", "bitmap", "prefix"])
 
         return run
 
-    return batches(docs.select("doc_id", "text"), work, "doc_id long, node long, n int, prefix array<long>")
+    return batches(docs.select("doc_id", "text"), work, "doc_id long, node long, n int, bitmap array<long>, prefix array<long>")
 
 
-def _node_sets(docs: DataFrame, wanted: DataFrame, heavy, words: int, percent: int) -> DataFrame:
-    """For one document of each wanted node: full set, prefixes under orders 2 and 3, parity bitmap."""
+def _node_sets(docs: DataFrame, signed: DataFrame, nodes: DataFrame, heavy, words: int, percent: int) -> DataFrame:
+    """(node, hashes, second, third) of the wanted nodes, from one document of each: the full set and its
+    prefixes under orders 2 and 3."""
 
     def work():
-        memo = Memo(xxhash.xxh64_intdigest)
         keys, weights = heavy.value
 
         def run(batch):
-            nodes, sets, second, third, bitmaps = [], [], [], [], []
-            for node, raw in zip(batch.column("node").to_pylist(), text_bytes(batch)):
-                hashes = shingle_hashes(raw, memo, words)
-                if node_of(hashes) != node:  # another text under the same doc_id
-                    continue
-                nodes.append(node)
-                w = _weights_of(hashes, keys, weights)
-                sets.append(hashes.tobytes())
-                for order, out in ((1, second), (2, third)):
-                    out.append(_prefix(hashes, w, order, percent).astype(np.uint32))
-                parity = np.bincount((hashes >> np.uint64(7)) % np.uint64(64 * BITMAP_WORDS), minlength=64 * BITMAP_WORDS) & 1
-                bitmaps.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
-            if not nodes:
+            raws, found = text_bytes(batch), ([], [], [], [])
+            wanted = iter(batch.column("node").to_pylist())
+            for first, last in groups_of(raws):
+                for hashes in shingle_sets(raws[first:last], words):
+                    node = next(wanted)
+                    if node_of(hashes) != node:  # another text under the same doc_id
+                        continue
+                    w = _weights_of(hashes, keys, weights)
+                    for out, value in zip(found, (node, hashes.tobytes(), _prefix(hashes, w, 1, percent).astype(np.uint32),
+                                                  _prefix(hashes, w, 2, percent).astype(np.uint32))):
+                        out.append(value)
+            if not found[0]:
                 return None
             return pa.RecordBatch.from_arrays([
-                pa.array(nodes, type=pa.int64()),
-                pa.array(sets, type=pa.binary()),
-                *[ragged(np.concatenate(x).view(np.int32), np.array([len(p) for p in x]), pa.int32()) for x in (second, third)],
-                ragged(np.concatenate(bitmaps), np.full(len(bitmaps), BITMAP_WORDS), pa.int64()),
-            ], ["node", "hashes", "second", "third", "bitmap"])
+                pa.array(found[0], type=pa.int64()), pa.array(found[1], type=pa.binary()),
+                *[ragged(np.concatenate(x).view(np.int32), np.array([len(p) for p in x]), pa.int32()) for x in found[2:]],
+            ], ["node", "hashes", "second", "third"])
 
         return run
 
-    wanted = wanted.select("node", F.col("doc_id").alias("wanted_id"))
-    chosen = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    return batches(chosen.select("node", "text"), work,
-                   "node long, hashes binary, second array<int>, third array<int>, bitmap array<long>")
-
-
-def _bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
-    """Write ``df`` bucketed by ``key`` in the shared folder, so joins on it don't move it again."""
-    spark = df.sparkSession
-    table = f"{name}_{uuid.uuid4().hex[:12]}"
-    (df.write.bucketBy(partitions(spark), key).sortBy(key).format("parquet")
-     .option("path", scratch_path(spark, name)).saveAsTable(table))
-    return spark.table(table)
+    chosen = signed.select("doc_id", "node").join(nodes, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("wanted_id"))
+    texts = docs.select("doc_id", "text").join(chosen, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
+    return materialize(batches(texts.select("node", "text"), work, "node long, hashes binary, second array<int>, third array<int>"), "node-sets")
 
 
 def overlap_needed(n: Column, m: Column, percent: int) -> Column:
@@ -185,27 +222,41 @@ def _reachable(n: Column, k: Column, m: Column, j: Column, percent: int) -> Colu
     return (F.lit(1) + F.least(n - k - 1, m - j - 1)) >= overlap_needed(n, m, percent)
 
 
+def _close(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose bitmaps don't prove them too far apart."""
+    x, y = marks.alias("x"), marks.alias("y")
+    joined = pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node"))
+    return joined.where(_bitmaps_allow(percent)).select("a", "b")
+
+
+def _bitmaps_allow(percent: int) -> Column:
+    differing = sum((F.bit_count(F.col("x.bitmap")[i].bitwiseXOR(F.col("y.bitmap")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
+    n, m = F.col("x.n"), F.col("y.n")
+    return differing <= n + m - 2 * overlap_needed(n, m, percent)
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes that link: filtered by orders 2 and 3, then verified on the full sets."""
-    left = sets.select(F.col("node").alias("a"), F.col("second").alias("a2"), F.col("third").alias("a3"))
-    right = sets.select(F.col("node").alias("b"), F.col("second").alias("b2"), F.col("third").alias("b3"))
-    shared = (pairs.join(right, "b").join(left, "a")
-              .where(F.arrays_overlap("a2", "b2") & F.arrays_overlap("a3", "b3")).select("a", "b"))
 
     def work():
         def run(batch):
             keep = []
             for x, y in zip(batch.column("xs").to_pylist(), batch.column("ys").to_pylist()):
-                p, q = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                common = len(p) + len(q) - len(np.union1d(p, q))
-                keep.append(100 * common >= percent * (len(p) + len(q) - common))
+                both = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)]))
+                common = int((both[1:] == both[:-1]).sum())
+                keep.append(100 * common >= percent * (len(both) - common))
             return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
         return run
 
-    full = (shared.join(sets.select(F.col("node").alias("b"), F.col("hashes").alias("ys")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("xs")), "a"))
-    return batches(full.select("a", "b", "xs", "ys"), work, "a long, b long")
+    x, y = sets.alias("x"), sets.alias("y")
+    full = (pairs.join(y, F.col("b") == F.col("y.node")).join(x, F.col("a") == F.col("x.node"))
+            .where(F.arrays_overlap("x.second", "y.second") & F.arrays_overlap("x.third", "y.third")))
+    return batches(full.select("a", "b", F.col("x.hashes").alias("xs"), F.col("y.hashes").alias("ys")), work, "a long, b long")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -249,29 +300,30 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
                                          F.max("node").over(by_token).alias("hi"))
                          .where("lo < hi").drop("lo", "hi"), "postings")
 
-    docs_of_nodes = signed.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    sets = _bucketed(_node_sets(docs, docs_of_nodes, heavy, words, percent), "node_sets", "node")
+    # a line for each node that shares a prefix shingle
+    marks = materialize(signed.where("n > 0").select("node", "n", "bitmap")
+                        .join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "marks")
 
     starred = shared.select("token", "node", "n", "k", F.explode(F.array(*[f"hub{i}" for i in range(HUBS)])).alias("hub"))
     first = (starred.where((F.col("node") != F.col("hub.node"))
                            & _reachable(F.col("n"), F.col("k"), F.col("hub.n"), F.col("hub.k"), percent))
              .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
+    first = materialize(_close(first, marks, percent), "pairs")
+    sets = _node_sets(docs, signed, _ends(first), heavy, words, percent)
     links = materialize(_verify(first, sets, percent), "links")
 
-    comps = connected_components(links)
-    labelled = (shared.select("token", "node", "n", "k").join(comps, "node", "left")
+    labelled = (shared.select("token", "node", "n", "k").join(connected_components(links), "node", "left")
                 .withColumn("comp", F.coalesce("comp", "node")))
     mixed = (labelled.withColumns({"lo": F.min("comp").over(by_token), "hi": F.max("comp").over(by_token)})
-             .where("lo < hi").drop("lo", "hi").join(sets.select("node", "bitmap"), "node"))
+             .where("lo < hi").drop("lo", "hi").join(marks.select("node", "bitmap"), "node"))
     x, y = mixed.alias("x"), mixed.alias("y")
-    differing = sum((F.bit_count(F.col("x.bitmap")[i].bitwiseXOR(F.col("y.bitmap")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
-    n, m = F.col("x.n"), F.col("y.n")
     second = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
                      & (F.col("x.comp") != F.col("y.comp"))
-                     & _reachable(n, F.col("x.k"), m, F.col("y.k"), percent)
-                     & (differing <= n + m - 2 * overlap_needed(n, m, percent)))
+                     & _reachable(F.col("x.n"), F.col("x.k"), F.col("y.n"), F.col("y.k"), percent) & _bitmaps_allow(percent))
               .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
-    more = materialize(_verify(second, sets, percent), "links")
+    second = materialize(second.join(first, ["a", "b"], "left_anti"), "pairs")
+    more_sets = _node_sets(docs, signed, _ends(second).join(sets.select("node"), "node", "left_anti"), heavy, words, percent)
+    more = materialize(_verify(second, sets.unionByName(more_sets), percent), "links")
 
     comps = connected_components(links.union(more))
     least = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")).join(comps, "node", "left")
