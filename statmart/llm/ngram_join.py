@@ -140,8 +140,12 @@ def _heavy_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
             keep = seen >= REPORTED
             yield pa.RecordBatch.from_arrays([pa.array(hashes[places[keep]].view(np.int64)), pa.array(seen[keep])], ["token", "seen"])
 
-    seen = docs.select("text").mapInArrow(count, "token long, seen long").groupBy("token").agg(F.sum("seen").alias("seen"))
-    rows = seen.orderBy(F.desc("seen"), "token").limit(WEIGHTED).toPandas()
+    seen = materialize(docs.select("text").mapInArrow(count, "token long, seen long").groupBy("token").agg(F.sum("seen").alias("seen")), "shingles")
+    found = seen.count()
+    if found > WEIGHTED:  # the most frequent ones; those at the limit stay without weight
+        limit = seen.approxQuantile("seen", [1 - WEIGHTED / found], min(0.01, WEIGHTED / found / 10))[0]
+        seen = seen.where(F.col("seen") > limit)
+    rows = seen.toPandas()
     keys, order = np.unique(rows["token"].to_numpy(dtype=np.int64).view(np.uint64), return_index=True)
     return keys, rows["seen"].to_numpy(dtype=np.int64)[order]
 

@@ -12,8 +12,8 @@ random field with labels none, email, ip, card and phone:
 
 Loopy belief propagation passes messages along both sorts of edges; runs of tokens with one
 label of belief of at least BELIEF that no base match touches, and whose digits pass the
-label's check, become added spans. Parameters are learnt from the base matches of at most
-``sample`` documents with such tokens (chosen by hash); every document is tagged whole.
+label's check, become added spans. Parameters are learnt from the base matches of about
+``sample`` documents with such tokens at most (chosen by hash); every document is tagged whole.
 
 Defined results: null and empty texts have no spans; repeated rows repeat; an empty table gives none;
 without any base match to learn from nothing is added.
@@ -30,8 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statmart.llm.common import batches
-from statmart.session import materialize
+from statmart.llm.common import batches, bounded_sample
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -208,9 +207,8 @@ def added_spans(text: str, base: list[tuple[int, int, int]], field: Field) -> li
 
 
 def learn_field(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Potentials learnt from base matches of at most ``sample`` documents with candidate tokens."""
-    chosen = materialize(docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]"))
-                         .orderBy(F.xxhash64("doc_id", F.length("text")), "doc_id", F.xxhash64("text")).limit(sample).select("text"), "pii-sample")
+    """Potentials learnt from base matches of about ``sample`` documents at most, with candidate tokens."""
+    chosen = bounded_sample(docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]")), sample, "doc_id", "text").select("text")
 
     def count(stream):
         seen: Counter = Counter()

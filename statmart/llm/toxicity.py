@@ -9,7 +9,7 @@
    that are much more frequent in toxic labelled texts; a logistic regression on the weights of
    the words found gives the score.
 
-Lexicon and regression are fitted on at most ``sample`` labelled documents, chosen by hash; only
+Lexicon and regression are fitted on about ``sample`` labelled documents at most, chosen by hash; only
 their texts and ``toxic`` are used. Trigram counts and scores cover all documents.
 
 Defined results: null and empty texts get the score of a text without findings; labels that
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statmart.llm.common import MEMO_ENTRIES, batches, groups_of
+from statmart.llm.common import MEMO_ENTRIES, batches, bounded_sample, groups_of
 from statmart.session import materialize
 
 SAMPLE = 30_000
@@ -257,7 +257,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     context = docs.sparkSession.sparkContext
     logs = context.broadcast(log_probabilities(trigram_counts(docs)))
     marked = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = marked.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    known = bounded_sample(materialize(marked.where(~held_out(F.col("doc_id"))), "toxicity-labels"), sample, "doc_id")
     learnt = materialize(docs.select("doc_id", "text").join(known, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic")),
                          "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in learnt.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}

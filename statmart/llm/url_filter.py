@@ -3,7 +3,7 @@
 Only DataFrame functions and Spark's own machine-learning library are used. Features of a url:
 length, path depth, digit ratio, character entropy, number of parameters, hyphens and labels of
 the host, and statistics of the host's suffixes (how many labelled urls end so, and the smoothed share of
-blocked ones). Trees are fitted on at most ``sample`` labelled urls (chosen by hash, so reruns
+blocked ones). Trees are fitted on about ``sample`` labelled urls at most (chosen by hash, so reruns
 agree); suffix statistics are taken over all labelled urls; every url is scored.
 
 Defined results: a null url or one without ``://`` has empty host and path, matches no rule, and
@@ -19,6 +19,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from statmart.llm.common import bounded_sample
 from statmart.session import materialize
 
 #: (verdict, host, path): the rule fits the host and its subdomains where the path starts so.
@@ -95,7 +96,7 @@ def score_urls(urls: DataFrame, labelled: DataFrame, sample: int = SAMPLE) -> Da
     if known.agg(F.count_distinct("label")).first()[0] < 2:
         return urls.withColumn("score", F.lit(None).cast("double"))
     vector = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    chosen = known.orderBy(F.xxhash64("url", F.lit(SEED)), "url").limit(sample)
+    chosen = bounded_sample(known, sample, "url")
     training = materialize(vector.transform(_with_suffixes(chosen, known)).select("features", "label"), "training-urls")
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED).fit(training.coalesce(1))
     ready = vector.transform(_with_suffixes(lexical_features(urls), known))
