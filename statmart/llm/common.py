@@ -123,13 +123,17 @@ class PieceTable:
         return self.flat[places]
 
 
-def bounded_sample(df: DataFrame, sample: int, *keys: str) -> DataFrame:
-    """About ``sample`` rows of ``df`` (all, if it has no more), chosen by a hash of ``keys`` alone:
-    the same rows in every run, found without moving any."""
-    rows = df.count()
+def sample_condition(rows: int, sample: int, *keys: str) -> Column:
+    """True for about ``sample`` of ``rows`` rows (for all, if there are no more), by a hash of
+    ``keys`` alone: the same rows in every run, found without moving any."""
     if rows <= sample:
-        return df
-    return df.where(F.pmod(F.xxhash64(*keys, F.lit(29)), F.lit(1 << 30)) < int(sample / rows * (1 << 30)))
+        return F.lit(True)
+    return F.pmod(F.xxhash64(*keys, F.lit(29)), F.lit(1 << 30)) < int(sample / rows * (1 << 30))
+
+
+def bounded_sample(df: DataFrame, sample: int, *keys: str) -> DataFrame:
+    """About ``sample`` rows of ``df`` at most, see ``sample_condition``."""
+    return df.where(sample_condition(df.count(), sample, *keys))
 
 
 def groups_of(raws: list[bytes], size: int = 1 << 20):

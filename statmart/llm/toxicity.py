@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statmart.llm.common import MEMO_ENTRIES, batches, bounded_sample, groups_of
+from statmart.llm.common import MEMO_ENTRIES, batches, groups_of, sample_condition
 from statmart.session import materialize
 
-SAMPLE = 30_000
+SAMPLE = 20_000
 THRESHOLD = 0.3
 #: Features kept as candidates (most frequent in toxic texts first) and in the lexicon.
 CANDIDATES, LEXICON = 100_000, 20_000
@@ -208,8 +208,13 @@ def _counted(texts: DataFrame, logs, value_of_word) -> DataFrame:
     return texts.select("text").mapInArrow(count, "feature string, seen long").groupBy("feature").agg(F.sum("seen").alias("seen"))
 
 
-def _findings(docs: DataFrame, logs, lexicon, keep: list[str]) -> DataFrame:
-    """``keep`` columns with x0, x1, x2: greatest weight, sum of the three greatest, findings."""
+#: Columns of a text's findings: greatest weight, sum of the three greatest, number of findings.
+FOUND = ("__x0", "__x1", "__x2")
+
+
+def _findings(docs: DataFrame, logs, lexicon) -> DataFrame:
+    """``docs`` with the columns FOUND."""
+    columns = docs.columns
 
     def work():
         weights = lexicon.value
@@ -222,15 +227,14 @@ def _findings(docs: DataFrame, logs, lexicon, keep: list[str]) -> DataFrame:
 
         def run(batch):
             rows = [sorted(tokens.of_text(x or ""), reverse=True) for x in batch.column("text").to_pylist()]
-            columns = [[r[0] if r else 0.0 for r in rows], [sum(r[:3]) for r in rows], [math.log1p(len(r)) for r in rows]]
-            return pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *[pa.array(c, type=pa.float64()) for c in columns]],
-                                              [*keep, "x0", "x1", "x2"])
+            found = [[r[0] if r else 0.0 for r in rows], [sum(r[:3]) for r in rows], [math.log1p(len(r)) for r in rows]]
+            return pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], *[pa.array(c, type=pa.float64()) for c in found]],
+                                              [*columns, *FOUND])
 
         return run
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join([*[f"{c} {kinds[c]}" for c in keep], "x0 double, x1 double, x2 double"])
-    return batches(docs.select(*keep, "text"), work, schema)
+    schema = docs.select("*", *[F.lit(0.0).alias(c) for c in FOUND]).schema
+    return batches(docs, work, schema)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -251,20 +255,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for every row of ``docs`` (doc_id, text), learnt from
-    ``labels`` (doc_id, toxic) of rows that are not held out."""
+def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with ``__score``, learnt from ``labels`` (doc_id, toxic) of rows that
+    are not held out."""
     context = docs.sparkSession.sparkContext
     logs = context.broadcast(log_probabilities(trigram_counts(docs)))
-    marked = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = bounded_sample(materialize(marked.where(~held_out(F.col("doc_id"))), "toxicity-labels"), sample, "doc_id")
-    learnt = materialize(docs.select("doc_id", "text").join(known, "doc_id").select("text", F.col("toxic").cast("int").alias("toxic")),
-                         "toxicity-sample")
+    known = materialize(labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
+                        .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")), "toxicity-labels")
+    chosen = sample_condition(known.count(), sample, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(~held_out(F.col("doc_id")) & chosen)
+    learnt = materialize(texts.join(known.where(chosen), "doc_id").select("text", "toxic"), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in learnt.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     ones, zeros = sizes.get(1, 0), sizes.get(0, 0)
     if not ones or not zeros:
-        return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"),
-                           F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+        return docs.withColumn("__score", F.lit(0.0))
 
     least = max(4, ones // 100)
     frequent = (_counted(learnt.where("toxic = 1"), logs, lambda word: features_of(word) or None)
@@ -280,16 +284,20 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     kept = sorted(((w, f) for f, w in odds.items() if w >= LEAST_LOG_ODDS), reverse=True)[:LEXICON]
     lexicon = context.broadcast({f: w for w, f in kept})
 
-    fitted = _findings(learnt, logs, lexicon, ["toxic"]).toPandas()
-    weights = _logistic(fitted[["x0", "x1", "x2"]].to_numpy(), fitted["toxic"].to_numpy(dtype=np.float64))
-    found = _findings(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), logs, lexicon, ["doc_id"])
-    z = sum((F.col(f"x{i}") * float(weights[i + 1]) for i in range(3)), F.lit(float(weights[0])))
+    fitted = _findings(learnt, logs, lexicon).select("toxic", *FOUND).toPandas()
+    weights = _logistic(fitted[list(FOUND)].to_numpy(), fitted["toxic"].to_numpy(dtype=np.float64))
+    z = sum((F.col(c) * float(w) for c, w in zip(FOUND, weights[1:])), F.lit(float(weights[0])))
     score = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))))
-    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"),
-                        F.when(score >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+    return _findings(docs, logs, lexicon).withColumn("__score", score).drop(*FOUND)
+
+
+def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(doc_id, held_out, score, predicted) for every row of ``docs`` (doc_id, text)."""
+    found = scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), labels, sample)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"),
+                        F.when(F.col("__score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic (a doc_id is dropped if any of its rows is)."""
-    rejected = toxicity_scores(docs, labels, sample).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that are not predicted toxic."""
+    return scored(docs, labels, sample).where(F.col("__score") < THRESHOLD).select(docs.columns)
