@@ -80,10 +80,24 @@ class Memo(dict):
         return value
 
 
+class _Numbers(dict):
+    """Key -> its number in order of first use; ``new`` collects keys not seen before."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key):
+        self.new.append(key)
+        value = self[key] = len(self)
+        return value
+
+
 class PieceTable:
     """Integer sequences of distinct units (words), encoded once per task and gathered per text.
 
     ``encode(units)`` returns (concatenated values, lengths, extra columns...) for a list of new units.
+    The table is emptied before a call once it holds ``limit`` units.
     """
 
     def __init__(self, encode, limit: int = MEMO_ENTRIES):
@@ -91,28 +105,25 @@ class PieceTable:
         self.reset()
 
     def reset(self):
-        self.index: dict = {}
+        self.index = _Numbers()
         self.flat = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
         self.extra: list[np.ndarray] = []
 
     def codes(self, units: list) -> np.ndarray:
-        """Index of each unit, encoding those not seen before."""
-        new = [u for u in dict.fromkeys(units) if u not in self.index]
-        if new:
-            if self.index and len(self.index) + len(new) > self.limit:
-                self.reset()
-                new = list(dict.fromkeys(units))
-            flat, lengths, *extra = self.encode(new)
-            base = len(self.flat)
-            self.starts = np.concatenate([self.starts, base + np.cumsum(lengths) - lengths])
+        """Number of each unit, encoding those not seen before."""
+        if len(self.index) > self.limit:
+            self.reset()
+        codes = np.fromiter(map(self.index.__getitem__, units), dtype=np.int64, count=len(units))
+        if self.index.new:
+            flat, lengths, *extra = self.encode(self.index.new)
+            self.index.new = []
+            self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.flat = np.concatenate([self.flat, flat])
             self.lengths = np.concatenate([self.lengths, lengths])
             self.extra = [np.concatenate([a, b]) for a, b in zip(self.extra, extra)] if self.extra else list(extra)
-            first = len(self.index)
-            self.index.update(zip(new, range(first, first + len(new))))
-        return np.fromiter(map(self.index.__getitem__, units), dtype=np.int64, count=len(units))
+        return codes
 
     def gather(self, codes: np.ndarray) -> np.ndarray:
         """The values of the units, concatenated in order."""

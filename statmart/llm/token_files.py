@@ -20,6 +20,7 @@ documents; an empty table gives an empty dataset.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 
@@ -90,6 +91,18 @@ class EliasFano:
 _POINT = re.compile(rb"(?<=[a-z])([,.])(?=[ \n])")
 
 
+#: Units of letters that normalisation leaves as they are and that are one token of the pre-tokenizer.
+_PLAIN = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The characters by which the byte-level step writes the UTF-8 bytes of U+00DF to U+00FF."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+
+
 def word_tokenizer(path: str):
     """``encode(raws) -> [ids]`` with a lower-casing word BPE of the tokenizers library.
 
@@ -99,15 +112,21 @@ def word_tokenizer(path: str):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
+    words, plain, written = model.model, _PLAIN.fullmatch, _byte_characters()
 
     def encode_units(units: list[bytes]):
-        flat, lengths = [], []
-        for i in range(0, len(units), 4000):
-            part = [u.decode() for u in units[i:i + 4000]]
-            out = model.encode(part, is_pretokenized=True, add_special_tokens=False)
-            flat.append(np.array(out.ids, dtype=np.int32))
-            lengths.append(np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(part)))
-        return np.concatenate(flat), np.concatenate(lengths)
+        decoded = [u.decode() for u in units]
+        found: list = [[t.id for t in words.tokenize(u if u.isascii() else u.translate(written))] if plain(u) else None for u in decoded]
+        rest = [i for i, x in enumerate(found) if x is None]
+        for first in range(0, len(rest), 4000):
+            part = rest[first:first + 4000]
+            out = model.encode([decoded[i] for i in part], is_pretokenized=True, add_special_tokens=False)
+            for i in part:
+                found[i] = []
+            for word, token in zip(out.word_ids, out.ids):
+                found[part[word]].append(token)
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum())), lengths
 
     table = PieceTable(encode_units)
 
