@@ -11,28 +11,19 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Lookup tables up to this many rows may be broadcast.
-BROADCAST_MAX_ROWS = 100_000
-
-
 def map_lookup(key: Column, mapping: Mapping, default: str | None = None) -> Column:
     """Label for ``key`` from a fixed mapping; a miss is ``default`` (NULL if None)."""
     pairs = []
     for k, v in mapping.items():
         pairs += [F.lit(k), F.lit(v)]
     if mapping and all(isinstance(k, int) for k in mapping):
-        key = key.try_cast("int")  # ids may arrive as text; one that is not a number misses
+        number = key.try_cast("double")  # ids may arrive as text; what is not an integer misses
+        key = F.when(number == F.floor(number), number.try_cast("int"))
     found = F.try_element_at(F.create_map(*pairs), key)
     return found if default is None else F.coalesce(found, F.lit(default))
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_lookup(df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a lookup table; broadcast it only when it is proven small, else a shuffle join."""
-    right = F.broadcast(table) if is_small(table, max_rows) else table
-    return df.join(right, on, how)
+def join_lookup(df: DataFrame, table: DataFrame, on: str | list[str], how: str = "left") -> DataFrame:
+    """Join a lookup table; Spark broadcasts it where its measured bytes are under the session's
+    threshold, else it is a shuffle join."""
+    return df.join(table, on, how)

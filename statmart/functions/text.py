@@ -30,8 +30,12 @@ def json_list(*items: str) -> Column:
 
 
 def format_2f(c: Column) -> Column:
-    """Display text with two decimals (keep the number itself in the data)."""
-    return F.format_string("%.2f", c)
+    """Display text with two decimals, the exact binary value rounded half to even; missing shows
+    as 'nan' (keep the number itself in the data)."""
+    value = c.cast("double")
+    infinite = F.when(value == float("inf"), "inf").when(value == float("-inf"), "-inf")
+    return (F.when(value.isNull() | F.isnan(value), "nan").when(infinite.isNotNull(), infinite)
+            .otherwise(F.replace(F.call_function("format_number", value, F.lit("0.00")), F.lit(","), F.lit(""))))
 
 
 def option_text(c: Column) -> Column:

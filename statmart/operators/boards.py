@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,19 +28,30 @@ def _order(column: str, ascending: bool) -> Column:
     return F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
 
 
+class BoardPlan(NamedTuple):
+    """What a board can show: its sort key, its columns in order, and those not available."""
+
+    sort_key: str
+    shown: tuple[str, ...]
+    dropped: tuple[str, ...]
+
+
+def plan_board(available: Sequence[str], wanted: Sequence[str], sort_by: str) -> BoardPlan:
+    """Lay a board's columns over the available ones; no data is read."""
+    order = {c: i for i, c in reversed(list(enumerate(wanted)))}  # a repeated column counts once
+    by_place = sorted(order, key=order.__getitem__)
+    have = frozenset(available)
+    key = sort_by if sort_by in have else by_place[0]
+    return BoardPlan(key, tuple(c for c in by_place if c in have), tuple(c for c in by_place if c not in have))
+
+
 def tolerant_board(df: DataFrame, columns: Sequence[str], sort_by: str = "total_points",
                    ascending: bool = False) -> DataFrame:
-    """Sort by ``sort_by`` (first listed column if absent) and keep the listed columns
-    that exist (absent ones are dropped with a warning)."""
-    unique = list(dict.fromkeys(columns))
-    if sort_by not in df.columns:
-        warnings.warn(f"sort column {sort_by!r} not found; sorting by {unique[0]!r}")
-        sort_by = unique[0]
-    existing = has_columns(df, unique)
-    missing = [c for c in unique if c not in existing]
-    if missing:
-        warnings.warn(f"columns not found: {', '.join(missing)}")
-    return df.orderBy(_order(sort_by, ascending)).select(*existing)
+    """The board that ``plan_board`` lays out; a change from what was asked is a warning."""
+    plan = plan_board(df.columns, columns, sort_by)
+    if plan.dropped or plan.sort_key != sort_by:
+        warnings.warn(f"board sorted by {plan.sort_key!r}; not available: {list(plan.dropped)}")
+    return df.orderBy(_order(plan.sort_key, ascending)).select(*plan.shown)
 
 
 def board(df: DataFrame, name: str) -> DataFrame:

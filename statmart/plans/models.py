@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,8 +144,10 @@ def load_history(spark: SparkSession, root: str, out_dir: str,
 def _loaded_files(spark: SparkSession, target: str) -> DataFrame | None:
     try:
         return spark.read.parquet(target).select(SOURCE).distinct()
-    except Exception:  # noqa: BLE001 - nothing loaded yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing loaded yet
+            return None
+        raise
 
 
 def read_history(spark: SparkSession, out_dir: str, family: str) -> DataFrame:

@@ -48,10 +48,11 @@ def create_table_once(df: DataFrame, name: str, path: str | None = None,
 
 
 def _table_base(spark: SparkSession, name: str) -> str:
-    """Folder that holds a table's versions: under its database's location."""
+    """Folder that holds a table's versions: beside the tables' own folders in its database's
+    location, so dropping a managed table never takes a version with it."""
     db, _, table = name.rpartition(".")
     db = db or spark.catalog.currentDatabase()
-    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}"
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/_versions/{table}"
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None,

@@ -119,6 +119,7 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
     for header, files in header_groups(spark, paths):
         reader = (spark.read.schema(_schema_for(parse_header(header), types))
                   .option("header", True).option("mode", "PERMISSIVE")
+                  .option("quote", '"').option("escape", '"')  # doubled quotes, as common tools write
                   .option("columnNameOfCorruptRecord", CORRUPT))
         for k, v in (options or {}).items():
             reader = reader.option(k, v)

@@ -81,7 +81,7 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Both sides end hash-partitioned on l_partkey, so joining them adds no exchange.
     starts = (li.select("l_partkey", "l_orderkey").distinct()
               .groupBy("l_partkey").agg(F.count(F.lit(1)).cast("int").alias("starts")))
-    stats = stats.join(starts, "l_partkey")
+    stats = stats.join(starts, "l_partkey", "left")
     base = part.select(
         F.col("p_partkey").alias("id"),
         F.split_part("p_name", F.lit(" "), F.lit(1)).alias("first_name"),
@@ -91,7 +91,7 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_size") % 5).alias("element_type"),
         F.col("p_retailprice").alias("now_cost"),
     )
-    joined = base.join(stats, base["id"] == stats["l_partkey"], "inner").drop("l_partkey")
+    joined = base.join(stats, base["id"] == stats["l_partkey"], "left").drop("l_partkey")
     ppg = _n(F.col("total_points") / F.col("starts")).cast("string")
     return joined.withColumn("points_per_game", ppg)
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,8 +86,10 @@ def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
 def loaded_files(spark: SparkSession, target: str) -> DataFrame | None:
     try:
         return spark.read.parquet(target).select(SOURCE).distinct()
-    except Exception:  # noqa: BLE001 - no target yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing loaded yet
+            return None
+        raise
 
 
 def batch_ingest(spark: SparkSession, glob: str, target: str,
@@ -109,4 +112,5 @@ def batch_ingest(spark: SparkSession, glob: str, target: str,
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.parquet(target)
+    """The target with the union of all batches' columns."""
+    return spark.read.option("mergeSchema", True).parquet(target)

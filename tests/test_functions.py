@@ -89,13 +89,21 @@ def test_lookups(spark):
     assert POSITION_NAMES[3] == "MID"
 
 
-def test_join_lookup_checks_size(spark):
-    left = spark.createDataFrame([(1,), (2,)], "k int")
+def test_join_lookup(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     right = spark.createDataFrame([(1, "a")], "k int, v string")
-    plan_small = lookup.join_lookup(left, right, "k")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan_small
-    big = lookup.join_lookup(left, right, "k", max_rows=0)
-    assert sorted(tuple(r) for r in big.collect()) == [(1, "a"), (2, None)]
+    assert {r.k: r.v for r in lookup.join_lookup(left, right, "k").collect()} == {1: "a", 2: None, None: None}
+
+
+def test_lookup_misses_on_fractions(spark):
+    df = spark.createDataFrame([("2",), ("2.0",), ("2.4",), ("2.7",), ("x",), (None,)], "k string")
+    got = [r[0] for r in df.select(lookup.map_lookup(F.col("k"), {2: "two", 3: "three"}, "Unknown")).collect()]
+    assert got == ["two", "two", "Unknown", "Unknown", "Unknown", "Unknown"]
+
+
+def test_two_decimals(spark):
+    df = spark.createDataFrame([(0.125,), (2.675,), (1234567.891,), (float("inf"),), (float("nan"),), (None,), (-0.5,)], "v double")
+    assert [r[0] for r in df.select(text.format_2f(F.col("v"))).collect()] == ["0.12", "2.67", "1234567.89", "inf", "nan", "nan", "-0.50"]
 
 
 def test_names(spark):
@@ -106,7 +114,7 @@ def test_names(spark):
                     text.json_list("players", "teams"), text.format_2f(F.lit(2.675)),
                     text.option_text(F.lit(None).cast("string"))).first()
     assert tuple(out) == ("A_e_x_1", "2023_24", "gw12", "player_2023_24_A_e_x_1",
-                          '["players","teams"]', "2.68", "nan")
+                          '["players","teams"]', "2.67", "nan")
 
 
 def test_price_from_text_cost(spark):

@@ -190,7 +190,7 @@ def test_stat_summary_and_groups(spark):
 
 def test_summary_text(spark):
     df = spark.createDataFrame([("a", 2.675)], "stat string, mean double")
-    assert stats.summary_text(df).first().mean_text == "2.68"
+    assert stats.summary_text(df).first().mean_text == "2.67"
 
 
 def test_stat_summary_approx_switch(spark):

@@ -189,3 +189,26 @@ def test_replace_a_table_from_itself(spark, tmp_dir):
     assert tables.replace_table(spark.createDataFrame([(1, 10)], "id long, pts int"), name)
     assert tables.replace_table(spark.table(name).withColumn("pts", F.col("pts") * 2), name)
     assert rows(spark.table(name)) == [(1, 20)]
+
+
+def test_replacing_a_managed_table_keeps_its_rows(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS sm_replace_managed")
+    try:
+        from statmart.sinks.tables import create_table_once, replace_table
+
+        name = "sm_replace_managed.t"
+        create_table_once(spark.range(5), name)
+        assert replace_table(spark.range(7), name) and spark.table(name).count() == 7
+        assert replace_table(spark.table(name).where("id > 2"), name) and spark.table(name).count() == 4
+        assert not replace_table(spark.range(0), name) and spark.table(name).count() == 4
+    finally:
+        spark.sql("DROP DATABASE sm_replace_managed CASCADE")
+
+
+def test_quoted_csv_fields(spark, tmp_dir):
+    from statmart.sources.csv_files import read_csv_files
+
+    with open(f"{tmp_dir}/q.csv", "w") as f:
+        f.write('id,name,n\n1,"say ""hi"", ok",5\n2,"""q""",6\n')
+    got = sorted((r.id, r.name, r.n) for r in read_csv_files(spark, f"{tmp_dir}/q.csv").collect())
+    assert got == [("1", 'say "hi", ok', "5"), ("2", '"q"', "6")]
