@@ -167,6 +167,7 @@ def range_buckets(df: DataFrame, key: str, buckets: int, output: str) -> DataFra
 
     asked = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(df.select(F.col(key).cast("double")).approxQuantile(key, asked, 0.25 / buckets))) if asked else []
+    bounds = bounds or [0.0]  # an empty table, or a single range
     number, real = f"__{output}_key", f"__{output}_real"
     keyed = df.withColumn(number, F.coalesce(F.col(key).cast("double"), F.lit(-1.7e308)))
     cut = Bucketizer(splits=[-float("inf"), *bounds, float("inf")], inputCol=number, outputCol=real).transform(keyed)
