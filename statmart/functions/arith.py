@@ -58,17 +58,12 @@ def round_half_even(c: Column, scale: int = 2) -> Column:
     return F.rint(c.cast("double") * factor) / factor
 
 
-# Above this magnitude six decimals are below double precision anyway.
-_FIXED_LIMIT = 1e9
-
-
 def round_fixed(c: Column, decimals: int = 6) -> Column:
-    """Round half up on the binary value: ``floor(x * 10^d + 0.5) / 10^d``.
+    """Round half to even on the binary value: ``rint(x * 10^d) / 10^d``, at every magnitude.
 
     Plain IEEE arithmetic, so any engine doing the same operations gets the same double
     (``round`` rounds the shortest decimal text instead, which differs at exact ties).
-    Large magnitudes, inf and NaN pass through unchanged.
+    Infinities and NaN stay what they are.
     """
     scale = float(10 ** decimals)
-    x = c.cast("double")
-    return F.when(F.abs(x) < _FIXED_LIMIT, F.floor(x * scale + 0.5) / scale).otherwise(x)
+    return F.rint(c.cast("double") * scale) / scale

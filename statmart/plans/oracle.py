@@ -10,11 +10,9 @@ D = 6  # decimals for double outputs
 
 
 def fx(expr: str, d: int = D) -> str:
-    """Round half up on the binary value (same IEEE steps as the Spark side)."""
+    """Round half to even on the binary value, at every magnitude."""
     scale = f"1e{d}"
-    return (f"(CASE WHEN abs(CAST({expr} AS DOUBLE)) < 1e9 "
-            f"THEN floor(CAST({expr} AS DOUBLE) * {scale} + 0.5) / {scale} "
-            f"ELSE CAST({expr} AS DOUBLE) END)")
+    return f"(round_even(CAST({expr} AS DOUBLE) * {scale}, 0) / {scale})"
 
 
 def r(col: str, alias: str | None = None) -> str:
