@@ -349,6 +349,8 @@ ORACLE.update({
     "sink_write_once": f"SELECT {PART_COLUMNS}, " + r("p_retailprice") + " FROM part",
     "sink_overwrite": f"SELECT {PART_COLUMNS}, " + r("p_retailprice * 2", "p_retailprice")
                       + " FROM part",
+    "sink_replace_managed": f"SELECT {PART_COLUMNS}, " + r("p_retailprice * 2", "p_retailprice")
+                      + " FROM part WHERE p_partkey % 2 = 0",
     "snapshot_log": ("SELECT max(ts) AS snapshot_time, '[\"players\",\"teams\"]' AS tables_updated "
                      "FROM events UNION ALL SELECT max(ts) AS snapshot_time, "
                      "'[\"players\",\"teams\"]' AS tables_updated FROM events"),

@@ -507,6 +507,20 @@ def q_sink_overwrite(spark, sf_dir):
     return spark.table(name)
 
 
+@query("sink_replace_managed")
+def q_sink_replace_managed(spark, sf_dir):
+    """K1 then K2: a managed table is replaced, then replaced by a query that reads it, then
+    offered an empty version, which leaves it as it is."""
+    from statmart.sinks.tables import create_table_once, replace_table
+    part = testdata.read_table(spark, sf_dir, "part")
+    name = f"{_fresh_database(spark, 'managed')}.parts"
+    create_table_once(part, name)
+    replace_table(part.withColumn("p_retailprice", F.col("p_retailprice") * 2), name)
+    replace_table(spark.table(name).where(F.col("p_partkey") % 2 == 0), name)
+    replace_table(spark.table(name).where(F.lit(False)), name)
+    return spark.table(name)
+
+
 @query("snapshot_log")
 def q_snapshot_log(spark, sf_dir):
     """Two snapshot loads (players, teams) each append one log row; the
