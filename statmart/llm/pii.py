@@ -104,8 +104,8 @@ def nodes_of(text: str, base: list[tuple[int, int, int]]):
         label = next((k for s, e, k in marks[at:at + 3] if s < end and e > start), -1)
         digits = digits_of(token)
         shape = shape_of(token)
-        before = shape_of(text[max(0, start - 13):max(0, start - 1)].rsplit(None, 1)[-1]) if start > 1 and text[:start - 1][-13:].strip() else "^"
-        after = shape_of(text[end + 1:end + 13].split(None, 1)[0]) if text[end + 1:end + 13].strip() else "$"
+        left, right = text[max(0, start - 13):max(0, start - 1)].split(), text[end + 1:end + 13].split(None, 1)
+        before, after = shape_of(left[-1]) if left else "^", shape_of(right[0]) if right else "$"
         checks = f"{16 <= len(digits) <= 19 and luhn(digits)}{token.count('.') == 3 and all(p.isdigit() and p.isascii() and _octet(p) for p in token.split('.'))}"
         features = (f"s {shape}", f"d {min(len(digits), 20)}", f"c {checks} {shape}", f"@ {'@' in token}", f"b {before} {shape}", f"a {after} {shape}")
         key = token.lower() if "@" in token else digits[-7:] if len(digits) >= 7 else ""

@@ -62,6 +62,15 @@ _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _SIGN_SET = frozenset(SIGNS)
 
 
+#: A run of spread letters is read in windows of twice this length that overlap by half.
+RUN_PART = 128
+
+
+def _parts(run: str) -> list[str]:
+    """Overlapping windows over the whole of a run, so that a long one costs its length, not its square."""
+    return [run[i:i + 2 * RUN_PART] for i in range(0, max(1, len(run) - RUN_PART), RUN_PART)]
+
+
 def class_of(c: str) -> int:
     return int(_CLASS[ord(c)]) if ord(c) < len(_CLASS) else 59 if c.isalpha() else 0
 
@@ -185,9 +194,10 @@ class Tokens:
             if memo[token]:
                 found += memo[token]
         for run in _RUN.finditer(lowered):
-            for word in self.restorer.decode(run.group()).split():
-                if len(word) > 2 and (value := self.value(word)) is not None:
-                    found.append(value)
+            for part in _parts(run.group()):
+                for word in self.restorer.decode(part).split():
+                    if len(word) > 2 and (value := self.value(word)) is not None:
+                        found.append(value)
         return found
 
 

@@ -106,6 +106,9 @@ def test_restorer_reads_disguises():
         assert reader.words(disguised) == [word]
     assert reader.words("house,") == ["house"]
     assert "stupid" in toxicity.Tokens(reader, lambda w: w).of_text("the s t u p i d river")
+    long_run = " ".join("abcdefgh" * 500) + " s t u p i d " + " ".join("abcdefgh" * 500)
+    assert "".join(x[:toxicity.RUN_PART] for x in toxicity._parts(long_run)[:-1]) + toxicity._parts(long_run)[-1] == long_run
+    assert any("stupid" in w for w in toxicity.Tokens(reader, lambda w: w).of_text(long_run))
 
 
 def test_toxicity_learns_and_holds_out(spark):
@@ -182,6 +185,7 @@ def test_added_personal_data_follows_repeats(spark):
     base = pii.base_spans(text)
     assert [text[s:e] for _, s, e in base] == ["+1 (988) 555-2485"]
     assert all(k in (1, 3) for k, _, _ in pii.added_spans(text, base, field)) and "300.1.2.3" not in [text[s:e] for _, s, e in pii.added_spans(text, base, field)]
+    assert pii.nodes_of("word" + 13 * " " + "123", []) and pii.nodes_of("1 2", [])[1][3][4] == "b 9 9"
     empty = pii.find_personal_data(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")).collect()
     assert all(r.spans == "" and r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in empty)
     clean = pii.redact(frame(spark, [(1, "mail a.b@c.org."), (2, None)])).orderBy("doc_id").collect()
