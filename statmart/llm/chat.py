@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statmart.llm.common import batches, partitions, ragged
+from statmart.llm.common import batches, map_batches, partitions, ragged
 from statmart.session import scratch_path
 
 START, END = "<|im_start|>", "<|im_end|>"
@@ -139,8 +139,8 @@ def read_digests(formatted: DataFrame, tokenizer_path: str | None = None) -> Dat
             yield pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in zip(closed(), kinds)], names)
 
     ordered = formatted.repartition(partitions(formatted.sparkSession), "conv_id").sortWithinPartitions("conv_id", "seq")
-    return ordered.select("conv_id", "token_start", "ids", "loss_start", "loss_end").mapInArrow(
-        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return map_batches(
+        ordered.select("conv_id", "token_start", "ids", "loss_start", "loss_end"), run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def write_formatted(conversations: DataFrame, folder: str, tokenizer_path: str | None = None) -> None:

@@ -6,6 +6,8 @@ columns do no harm; a null text counts as empty; repeated rows are kept as repea
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,6 +53,22 @@ def ragged(values: np.ndarray, lengths: np.ndarray, value_type: pa.DataType) ->
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=value_type))
 
 
+#: Bytes an Arrow batch of texts may hold (Spark's default of 64 MB a batch, times the copies that
+#: strings and results make, is too much for two workers beside an executor of 3 GB).
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` over batches of BATCH_BYTES, whatever the length of the texts. The bound is a
+    session setting, which is lowered here and never raised."""
+    spark = df.sparkSession
+    held = re.fullmatch(r"(-?\d+)b?", spark.conf.get(_BATCH_SETTING, "-1"))
+    if held and not 0 < int(held[1]) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` over non-empty batches: ``function()`` is called once per task and gives
     the function that turns one input batch into one output batch (or None)."""
@@ -58,12 +76,12 @@ def batches(df: DataFrame, function, schema: str) -> DataFrame:
     def run(stream):
         work = function()
         for batch in stream:
-            if batch.num_rows:
-                out = work(batch)
-                if out is not None:
-                    yield out
+            out = work(batch) if batch.num_rows else None
+            if out is not None:
+                yield out
+        pa.default_memory_pool().release_unused()  # workers are used again by later stages
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 class Memo(dict):

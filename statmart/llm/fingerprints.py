@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statmart.llm.common import partitions, range_buckets
+from statmart.llm.common import map_batches, partitions, range_buckets
 
 K, S, ANCHORS = 12, 4, 64
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -142,5 +142,5 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
                 names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
                 yield pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(zip(*out), kinds)], names)
 
-    return rows.select("doc_id", "text", "bucket", "copy").mapInArrow(
-        run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return map_batches(
+        rows.select("doc_id", "text", "bucket", "copy"), run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statmart.llm.common import batches, groups_of, partitions, ragged, text_bytes
+from statmart.llm.common import batches, groups_of, map_batches, partitions, ragged, text_bytes
 from statmart.session import materialize
 
 WORDS = 5
@@ -140,7 +140,7 @@ def _heavy_shingles(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray
             keep = seen >= REPORTED
             yield pa.RecordBatch.from_arrays([pa.array(hashes[places[keep]].view(np.int64)), pa.array(seen[keep])], ["token", "seen"])
 
-    seen = materialize(docs.select("text").mapInArrow(count, "token long, seen long").groupBy("token").agg(F.sum("seen").alias("seen")), "shingles")
+    seen = materialize(map_batches(docs.select("text"), count, "token long, seen long").groupBy("token").agg(F.sum("seen").alias("seen")), "shingles")
     found = seen.count()
     if found > WEIGHTED:  # the most frequent ones; those at the limit stay without weight
         limit = seen.approxQuantile("seen", [1 - WEIGHTED / found], min(0.01, WEIGHTED / found / 10))[0]

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from statmart.llm.common import batches, bounded_sample
+from statmart.llm.common import batches, bounded_sample, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -225,7 +225,7 @@ def learn_field(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
             yield pa.RecordBatch.from_pydict({"what": [k for k, _ in seen], "label": pa.array([v for _, v in seen], type=pa.int32()),
                                               "seen": pa.array(seen.values(), type=pa.int64())})
 
-    rows = (chosen.mapInArrow(count, "what string, label int, seen long").groupBy("what", "label").agg(F.sum("seen").alias("seen"))
+    rows = (map_batches(chosen, count, "what string, label int, seen long").groupBy("what", "label").agg(F.sum("seen").alias("seen"))
             .orderBy(F.desc("seen"), "what", "label").limit(SHAPES).collect())
     nodes = [(r["what"].split("\x1f")[1:], r["label"], r["seen"]) for r in rows if r["what"].startswith("n")]
     if not any(label for _, label, _ in nodes):

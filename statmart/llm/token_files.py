@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statmart.llm.common import PieceTable, batches, groups_of, partitions, text_bytes
+from statmart.llm.common import PieceTable, batches, groups_of, map_batches, partitions, text_bytes
 from statmart.session import scratch_path
 
 END_ID = 1
@@ -180,7 +180,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text"))
-    ordered.mapInArrow(pack, SHARD).write.parquet(folder)
+    map_batches(ordered, pack, SHARD).write.parquet(folder)
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from statmart.llm.common import MEMO_ENTRIES, batches, groups_of, sample_condition
+from statmart.llm.common import MEMO_ENTRIES, batches, groups_of, map_batches, sample_condition
 from statmart.session import materialize
 
 SAMPLE = 20_000
@@ -91,7 +91,7 @@ def trigram_counts(docs: DataFrame) -> np.ndarray:
         found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["gram", "seen"])
 
-    rows = docs.select("text").mapInArrow(count, "gram long, seen long").groupBy("gram").agg(F.sum("seen").alias("seen")).toPandas()
+    rows = map_batches(docs.select("text"), count, "gram long, seen long").groupBy("gram").agg(F.sum("seen").alias("seen")).toPandas()
     total = np.zeros(CLASSES ** 3)
     total[rows["gram"].to_numpy(dtype=np.int64)] = rows["seen"].to_numpy(dtype=np.float64)
     return total
@@ -215,7 +215,7 @@ def _counted(texts: DataFrame, logs, value_of_word) -> DataFrame:
         if seen:
             yield pa.RecordBatch.from_pydict({"feature": list(seen), "seen": pa.array(seen.values(), type=pa.int64())})
 
-    return texts.select("text").mapInArrow(count, "feature string, seen long").groupBy("feature").agg(F.sum("seen").alias("seen"))
+    return map_batches(texts.select("text"), count, "feature string, seen long").groupBy("feature").agg(F.sum("seen").alias("seen"))
 
 
 #: Columns of a text's findings: greatest weight, sum of the three greatest, number of findings.
