@@ -80,9 +80,11 @@ def mixing_plan(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs:
              .groupBy("key").agg(F.max("hash").alias("inner_cut")))
     whole_ranges = (starts.join(plan, "key").where((F.col("need") > 0) & (F.col("end") <= F.col("need")))
                     .groupBy("key").agg(F.concat(F.max("range"), F.lit("z")).alias("outer_cut")))
-    return (plan.join(exact, "key", "left").join(whole_ranges, "key", "left")
-            .select("key", "source_size", "target", F.col("whole").cast("int").alias("whole"),
-                    F.coalesce("inner_cut", "outer_cut").alias("cut")))
+    found = (plan.join(exact, "key", "left").join(whole_ranges, "key", "left")
+             .select("key", "source_size", "target", F.col("whole").cast("int").alias("whole"),
+                     F.coalesce("inner_cut", "outer_cut").alias("cut")))
+    # written, so that Spark knows its bytes: under the session's limit it is broadcast and texts stay where they are
+    return materialize(found, "mix-plan")
 
 
 def copies_of(hash_column: Column) -> Column:
