@@ -63,8 +63,8 @@ def map_batches(df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` over batches of BATCH_BYTES, whatever the length of the texts. The bound is a
     session setting, which is lowered here and never raised."""
     spark = df.sparkSession
-    held = re.fullmatch(r"(-?\d+)b?", spark.conf.get(_BATCH_SETTING, "-1"))
-    if held and not 0 < int(held[1]) <= BATCH_BYTES:
+    held = re.fullmatch(r"(\d+)b?", spark.conf.get(_BATCH_SETTING))
+    if held and int(held[1]) > BATCH_BYTES:  # a value written with a unit is the user's own
         spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     return df.mapInArrow(function, schema)
 
