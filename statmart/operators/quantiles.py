@@ -1,54 +1,28 @@
 """Exact quantiles with linear interpolation, computed without one task holding a group.
 
 ``percentile``/``median`` are exact in Spark but their final aggregation keeps every
-distinct value of a group in one task. Here the work stays spread out:
+distinct value of a group in one task. Here the work stays spread out, in one way for every size:
 
 1. count rows per (group, value): map-side partial aggregation, so a value that holds a
    third of all rows becomes one row with a count;
-2. range-partition those (group, value, count) rows and sort them inside each partition,
-   then checkpoint them to the shared checkpoint folder (stable partition ids, and a
-   lost executor re-reads the checkpoint instead of recomputing);
-3. per (partition, group) totals -> offsets by a window over at most
-   ``partitions x groups`` rows; running counts in one pass over only the partitions
-   that hold a wanted rank (the others are dropped in the JVM);
-
-When one action proves that no group has more than ``SMALL_GROUP_ROWS`` distinct values,
-steps 2-3 are replaced by a window per group (one bounded task per group, no checkpoint,
-no Python); beyond that bound the distributed path above is taken.
-4. the ranks a quantile needs (floor and ceil of ``(n - 1) * p``) are looked up by a
-   broadcast join with the at most ``groups x probs x 2`` target rows.
+2. range-partition those (group, value, count) rows and write them once to the shared scratch
+   folder with their partition's number;
+3. per (partition, group) totals -> offsets by a window over at most ``partitions x groups``
+   rows; they tell which partition holds each rank a quantile needs (floor and ceil of
+   ``(n - 1) * p``);
+4. running counts by a window over (partition, group), only where a wanted rank lies; a window
+   never holds more than one range partition.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from statmart.functions.coerce import nan_to_null
-from statmart.session import default_parallelism, ensure_checkpoint_dir
-
-
-def _running_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows arrive sorted by (group, value) inside a partition: add the running count."""
-    carry: dict = {}
-    for pdf in batches:
-        if pdf.empty:
-            yield pdf.assign(_cum=pd.Series([], dtype="int64"))
-            continue
-        run = pdf.groupby("_g", sort=False)["_c"].cumsum()
-        base = pdf["_g"].map(carry).fillna(0).astype("int64")
-        pdf["_cum"] = (run + base).astype("int64")
-        carry.update(pdf.groupby("_g", sort=False)["_cum"].last().to_dict())
-        yield pdf
-
-
-# A group with at most this many distinct values may be ordered inside one task (a window).
-SMALL_GROUP_ROWS = 1_000_000
+from statmart.session import default_parallelism, materialize
 
 
 def value_counts(long_df: DataFrame, key: str, value: str) -> DataFrame:
@@ -58,31 +32,13 @@ def value_counts(long_df: DataFrame, key: str, value: str) -> DataFrame:
     return vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
 
 
-def widest_group(counts: DataFrame) -> int:
-    """Largest number of distinct values in one group (an action over the counts)."""
-    return counts.groupBy("_g").count().agg(F.max("count")).first()[0] or 0
-
-
-def materialized_counts(long_df: DataFrame, key: str, value: str) -> DataFrame:
-    """``value_counts`` computed once and checkpointed to the shared checkpoint folder: the
-    sizing check, the means and the quantiles all read it instead of the input."""
-    ensure_checkpoint_dir(long_df.sparkSession)
-    # persisted only while the checkpoint is written, so the input is computed once
-    counts = value_counts(long_df, key, value).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return counts.checkpoint(eager=True)
-    finally:
-        counts.unpersist()
-
-
-def counted_values(counts: DataFrame) -> DataFrame:
-    """Materialised counts, range-partitioned, sorted within partitions and checkpointed
-    (stable partition ids for the running counts)."""
-    spark = counts.sparkSession
-    ranged = (counts.repartitionByRange(default_parallelism(spark), "_g", "_v")
-              .sortWithinPartitions("_g", "_v")
+def counted_values(long_df: DataFrame, key: str, value: str) -> DataFrame:
+    """(_g, _v, _c, _pid): ``value_counts`` in range partitions of (group, value), written once;
+    means and quantiles read it instead of the input."""
+    spark = long_df.sparkSession
+    ranged = (value_counts(long_df, key, value).repartitionByRange(default_parallelism(spark), "_g", "_v")
               .withColumn("_pid", F.spark_partition_id()))
-    return ranged.checkpoint(eager=True)
+    return materialize(ranged, "value-counts")
 
 
 def _targets(sizes: DataFrame, probs: Mapping[str, float]) -> DataFrame:
@@ -100,76 +56,39 @@ def _targets(sizes: DataFrame, probs: Mapping[str, float]) -> DataFrame:
             .select("_g", "_q", "_frac", "_t._side", "_t._r"))
 
 
-def _interpolate(placed: DataFrame, targets: DataFrame, key: str,
-                 probs: Mapping[str, float]) -> DataFrame:
-    """Values at the target ranks (broadcast range lookup), then linear interpolation."""
-    hits = placed.join(
-        F.broadcast(targets.withColumnRenamed("_g", "_tg")),
-        (F.col("_g") == F.col("_tg")) & (F.col("_r") >= F.col("_first")) & (F.col("_r") <= F.col("_last")),
-        "inner")
+def exact_quantiles(long_df: DataFrame | None, key: str, value: str, probs: Mapping[str, float],
+                    counts: DataFrame | None = None) -> DataFrame:
+    """One row per group: ``key`` and one column per entry of ``probs`` (name -> p).
+
+    Linear interpolation between the closest ranks, NULL/NaN values skipped: the same
+    definition as a continuous quantile (``q(0.5)`` of 1, 2, 3, 4 is 2.5; ``q(0.9)`` 3.7).
+    ``counts`` may be passed from ``counted_values``.
+    """
+    if counts is None:
+        counts = counted_values(long_df, key, value)
+    totals = counts.groupBy("_pid", "_g").agg(F.sum("_c").alias("_t"))
+    earlier = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", "_g", "_t", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
+    sizes = totals.groupBy("_g").agg(F.sum("_t").alias("_n"))
+    wanted = (_targets(sizes, probs).join(offsets, "_g")
+              .where((F.col("_r") > F.col("_off")) & (F.col("_r") <= F.col("_off") + F.col("_t")))
+              .select("_pid", "_g", "_q", "_frac", "_side", (F.col("_r") - F.col("_off")).alias("_r")))
+    upto = Window.partitionBy("_pid", "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    placed = (counts.join(wanted.select("_pid", "_g").distinct(), ["_pid", "_g"], "left_semi")
+              .withColumn("_last", F.sum("_c").over(upto)))
+    hits = placed.join(wanted, ["_pid", "_g"]).where(
+        (F.col("_r") <= F.col("_last")) & (F.col("_r") > F.col("_last") - F.col("_c")))
     ends = hits.groupBy("_g", "_q").agg(
         F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),
         F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"),
         F.max("_frac").alias("_frac"))
     lo, hi, frac = F.col("_lo"), F.col("_hi"), F.col("_frac")
-    interp = F.when((lo == hi) | (frac == 0), lo).otherwise(lo + (hi - lo) * frac)
-    out = (ends.select("_g", "_q", interp.alias("_val"))
+    between = F.when((lo == hi) | (frac == 0), lo).otherwise(lo + (hi - lo) * frac)
+    out = (ends.select("_g", "_q", between.alias("_val"))
            .groupBy("_g").pivot("_q", list(probs)).agg(F.first("_val")))
     return out.withColumnRenamed("_g", key)
 
 
-def _quantiles_small(counts: DataFrame, key: str, probs: Mapping[str, float]) -> DataFrame:
-    """Every group proven to hold at most SMALL_GROUP_ROWS distinct values: running counts by
-    a window per group (one bounded task per group), all in the JVM."""
-    upto = Window.partitionBy("_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.select("_g", "_v", (F.sum("_c").over(upto) - F.col("_c") + 1).alias("_first"),
-                           F.sum("_c").over(upto).alias("_last"))
-    sizes = counts.groupBy("_g").agg(F.sum("_c").alias("_n"))
-    return _interpolate(placed, _targets(sizes, probs), key, probs)
-
-
-def _quantiles_ranged(ranged: DataFrame, key: str, probs: Mapping[str, float]) -> DataFrame:
-    """Any group size: running counts per range partition of the checkpointed counts."""
-    totals = ranged.groupBy("_pid", "_g").agg(F.sum("_c").alias("_t"))
-    before = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", "_g", "_t",
-                            F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_off"))
-    sizes = totals.groupBy("_g").agg(F.sum("_t").alias("_n"))
-    targets = _targets(sizes, probs)
-    # only the range partitions that hold a wanted rank need running counts (at most
-    # groups x probs x 2 of them): a broadcast semi-join keeps their rows, in order
-    needed = (targets.join(offsets, "_g")
-              .where((F.col("_r") > F.col("_off")) & (F.col("_r") <= F.col("_off") + F.col("_t")))
-              .select("_pid", "_g").distinct())
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_cum", T.LongType())])
-    local = (ranged.join(F.broadcast(needed), ["_pid", "_g"], "left_semi")
-             .mapInPandas(_running_counts, schema))
-    placed = local.join(F.broadcast(offsets.drop("_t")), ["_pid", "_g"]).select(
-        "_g", "_v",
-        (F.col("_off") + F.col("_cum") - F.col("_c") + 1).alias("_first"),
-        (F.col("_off") + F.col("_cum")).alias("_last"))
-    return _interpolate(placed, targets, key, probs)
-
-
-def exact_quantiles(long_df: DataFrame | None, key: str, value: str,
-                    probs: Mapping[str, float], counts: DataFrame | None = None,
-                    small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
-    """One row per group: ``key`` and one column per entry of ``probs`` (name -> p).
-
-    Linear interpolation between the closest ranks, NULL/NaN values skipped: the same
-    definition as a continuous quantile (``q(0.5)`` of 1, 2, 3, 4 is 2.5; ``q(0.9)`` 3.7).
-    ``counts`` may be passed from ``materialized_counts``. One action measures the widest
-    group; up to ``small_group_rows`` distinct values per group a window orders each group
-    in one task, beyond that the counts are range-partitioned and checkpointed so that no
-    task holds a group.
-    """
-    if counts is None:
-        counts = materialized_counts(long_df, key, value)
-    if widest_group(counts) <= small_group_rows:
-        return _quantiles_small(counts, key, probs)
-    return _quantiles_ranged(counted_values(counts), key, probs)
-
-
 def mean_from_counts(ranged: DataFrame, key: str, name: str = "mean") -> DataFrame:
     """Per-group mean from (group, value, count) rows."""
     return ranged.groupBy("_g").agg(

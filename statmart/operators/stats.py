@@ -16,7 +16,7 @@ from statmart.functions.coerce import nan_to_null, to_double
 from statmart.functions.text import format_2f, option_text
 from statmart.operators.filters import has_columns
 from statmart.operators.quantiles import (
-    SMALL_GROUP_ROWS, approx_quantiles, exact_quantiles, materialized_counts, mean_from_counts,
+    approx_quantiles, counted_values, exact_quantiles, mean_from_counts,
 )
 from statmart.schemas import GROUP_METRICS, SUMMARY_STATS
 
@@ -76,23 +76,20 @@ def long_form(df: DataFrame, stats: Sequence[str]) -> DataFrame:
 
 def stat_summary(df: DataFrame, stats: Sequence[str] = SUMMARY_STATS,
                  quantiles: Mapping[str, float] = QUANTILES, exact: bool = True,
-                 accuracy: int = 10_000,
-                 small_group_rows: int = SMALL_GROUP_ROWS) -> DataFrame:
+                 accuracy: int = 10_000) -> DataFrame:
     """One row per statistic with its mean and quantiles (median, p90).
 
     ``exact=True`` (default): linear interpolation between the closest ranks. When this is
-    called the value counts are computed once and checkpointed and the groups are sized;
-    groups up to ``small_group_rows`` distinct values are ordered by a window, larger ones
-    by the distributed path in which no task holds a group. ``exact=False``: ``percentile_approx``,
+    called the value counts are computed and written once, in range partitions; no task holds a
+    group. ``exact=False``: ``percentile_approx``,
     fully lazy.
     """
     stats = has_columns(df, stats)
     long = long_form(df, stats)
     if exact:
-        counts = materialized_counts(long, "stat", "value")
+        counts = counted_values(long, "stat", "value")
         means = mean_from_counts(counts, "stat")
-        qs = exact_quantiles(None, "stat", "value", quantiles, counts=counts,
-                             small_group_rows=small_group_rows)
+        qs = exact_quantiles(None, "stat", "value", quantiles, counts=counts)
     else:
         means = long.groupBy("stat").agg(F.avg("value").alias("mean"))
         qs = approx_quantiles(long, "stat", "value", quantiles, accuracy)

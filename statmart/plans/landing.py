@@ -22,6 +22,13 @@ def land_text(spark: SparkSession, df: DataFrame, path: str) -> None:
     df.select(F.col(df.columns[0]).cast("string")).write.mode("append").text(path)
 
 
+def land_lines(lines: DataFrame, header: str, path: str) -> None:
+    """CSV files whose lines (column ``value``) are written as they are under a header."""
+    name = header.replace('"', "")
+    lines.select(F.col("value").alias(name)).write.mode("append").option("header", True).option("quote", "\u0000").option(
+        "escape", "\u0000").option("sep", "\u0001").csv(path)
+
+
 def land_by_season(df: DataFrame, root: str, season: Column, folder: str,
                    drop: Sequence[str] = ()) -> list[str]:
     """``<root>/data/<season>/<folder>/part-*.csv`` for every distinct season value.

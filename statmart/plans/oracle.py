@@ -363,3 +363,30 @@ ORACLE["ingest_name_collisions"] = (
     "SELECT c_custkey, c_name, c_nationkey, " + r("c_acctbal") + ", c_mktsegment, "
     "'player_2023_24_name_' || " + _clean("c_mktsegment") + " || '_x' AS table_name "
     "FROM customer WHERE c_nationkey < 12")
+
+ORACLE["ingest_keep_all"] = (
+    "SELECT c_custkey, c_name, c_nationkey, " + r("c_acctbal") + ", c_mktsegment, "
+    "'player_2023_24_name_' || " + _clean("c_mktsegment") + " || '_x' AS table_name, "
+    "'name=' || c_mktsegment || CASE WHEN c_nationkey < 12 THEN '-x' ELSE '_x' END AS entity FROM customer")
+ORACLE["ingest_csv_quoted"] = (
+    """SELECT p_partkey, '"' || replace(p_name, ' ', ', "') || '"' AS p_name, p_size FROM part""")
+ORACLE["ingest_quarantine"] = "SELECT 'x' || p_partkey || ',bad,1' AS line FROM part"
+
+
+def _ieee(num: str, den: str, alias: str) -> str:
+    """x/0 as an infinity, 0/0 as NaN, missing as NULL."""
+    n, d = f"CAST({num} AS DOUBLE)", f"({den})"
+    return (f"CASE WHEN {n} IS NULL OR {d} IS NULL THEN NULL WHEN {d} <> 0 THEN {fx(f'{n} / {d}')} "
+            f"WHEN {n} > 0 THEN CAST('inf' AS DOUBLE) WHEN {n} < 0 THEN CAST('-inf' AS DOUBLE) "
+            f"ELSE CAST('nan' AS DOUBLE) END AS {alias}")
+
+
+_NINETIES = "CAST(minutes AS DOUBLE) / 90.0e0"
+ORACLE["live_metrics_ieee"] = with_live("SELECT id, " + ", ".join([
+    _ieee("total_points", "price", "points_per_million"), _ieee("total_points", _NINETIES, "points_per_90"),
+    _ieee("goals_scored", _NINETIES, "goals_per_90"), _ieee("assists", _NINETIES, "assists_per_90"),
+    _ieee("(expected_goals + expected_assists)", _NINETIES, "xGI_per_90"),
+    _ieee("points_per_game", "price", "value_ppg_per_cost")]) + " FROM live")
+ORACLE["stat_summary_text"] = (
+    "SELECT stat, printf('%.2f', mean) AS mean_text, printf('%.2f', median) AS median_text, "
+    f"printf('%.2f', p90) AS p90_text FROM ({_stat_summary_sql()})")

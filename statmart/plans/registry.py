@@ -162,12 +162,22 @@ LIVE_OUT = ["id", "web_name", "team", "position", "price", "points_per_million",
             "value_ppg_per_cost"]
 
 
+LIVE_RATIOS = ["points_per_million", "points_per_90", "goals_per_90", "assists_per_90",
+               "xGI_per_90", "value_ppg_per_cost"]
+
+
 @query("live_metrics")
 def q_live_metrics(spark, sf_dir):
     """Ten derived metrics; zero denominators give NULL in this run."""
     return live_data(spark, sf_dir).select(*LIVE_OUT)
 
 
+@query("live_metrics_ieee")
+def q_live_metrics_ieee(spark, sf_dir):
+    """E9-E11 by the live rule: x/0 gives an infinity, 0/0 NaN, a missing number NULL."""
+    return live_data(spark, sf_dir, on_zero="ieee").select("id", *LIVE_RATIOS)
+
+
 @query("lookup_team")
 def q_lookup_team(spark, sf_dir):
     """Team id -> name, 'Unknown' when the id has no name."""
@@ -327,6 +337,13 @@ def q_stat_summary(spark, sf_dir):
     return stats.stat_summary(filtered_live(spark, sf_dir))
 
 
+@query("stat_summary_text")
+def q_stat_summary_text(spark, sf_dir):
+    """The summary's numbers as text with two decimals."""
+    summary = stats.summary_text(rounded(stats.stat_summary(filtered_live(spark, sf_dir))))
+    return summary.select("stat", "mean_text", "median_text", "p90_text")
+
+
 # --- names, ingest, sinks ---------------------------------------------------------------------
 
 @query("clean_names")
@@ -367,6 +384,31 @@ def q_ingest_csv(spark, sf_dir):
     return good.drop(SOURCE)
 
 
+def _quoted_names(spark, sf_dir):
+    """(good, put aside) of parts whose names hold quotes and separators, landed with one bad line."""
+    from statmart.plans.landing import land_csv, land_lines
+    from statmart.sources.csv_files import read_csv_files, write_bronze
+    part = testdata.read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+    named = part.withColumn("p_name", F.concat(F.lit('"'), F.replace("p_name", F.lit(" "), F.lit(', "')), F.lit('"')))
+    root = _fresh(spark, "ingest-quoted")
+    land_csv(named, f"{root}/land")
+    land_lines(part.select(F.concat(F.lit("x"), F.col("p_partkey"), F.lit(",bad,1")).alias("value")),
+               "p_partkey,p_name,p_size", f"{root}/bad")
+    return write_bronze(read_csv_files(spark, [f"{root}/land/*.csv", f"{root}/bad/*.csv"], named.schema), f"{root}/bronze")
+
+
+@query("ingest_csv_quoted")
+def q_ingest_csv_quoted(spark, sf_dir):
+    """Names with quotes at both ends and separators within come back as they were."""
+    return _quoted_names(spark, sf_dir)[0].select("p_partkey", "p_name", "p_size")
+
+
+@query("ingest_quarantine")
+def q_ingest_quarantine(spark, sf_dir):
+    """Lines that don't parse are kept aside with their raw text."""
+    return _quoted_names(spark, sf_dir)[1].select(F.col("_corrupt").alias("line"))
+
+
 @query("ingest_mixed_headers")
 def q_ingest_mixed_headers(spark, sf_dir):
     """Supplier landed under two seasons with different headers (reordered, one
@@ -375,10 +417,11 @@ def q_ingest_mixed_headers(spark, sf_dir):
     from statmart.sources.csv_files import read_family
     sup = testdata.read_table(spark, sf_dir, "supplier")
     root = _fresh(spark, "ingest-mixed")
-    land_csv(sup.where(F.col("s_nationkey") < 12)
+    first = F.coalesce(F.col("s_nationkey") < 12, F.lit(True))  # a missing key lands with the first
+    land_csv(sup.where(first)
              .select("s_suppkey", "s_name", "s_nationkey", "s_acctbal"),
              f"{root}/data/2023-24/gws")
-    land_csv(sup.where(F.col("s_nationkey") >= 12).select("s_acctbal", "s_name", "s_suppkey"),
+    land_csv(sup.where(~first).select("s_acctbal", "s_name", "s_suppkey"),
              f"{root}/data/2022-23/gws")
     df = read_family(spark, root, "gw", schema=sup.schema)
     return df.select("s_suppkey", "s_name", "s_nationkey", "s_acctbal", "season")
@@ -403,16 +446,27 @@ def q_ingest_name_collisions(spark, sf_dir):
     """Customer landed in player folders '<segment>-x' and '<segment>_x' (one write,
     partitioned by folder name); both clean to the same table name and the first folder
     by path order wins, with all of its files."""
-    from statmart.sources.csv_files import first_file_per_table, read_family
+    from statmart.sources.csv_files import first_file_per_table
+    return first_file_per_table(_colliding_folders(spark, sf_dir), "players").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "table_name")
+
+
+@query("ingest_keep_all")
+def q_ingest_keep_all(spark, sf_dir):
+    """Names collide as above, and every folder's rows are kept (told apart by their folder)."""
+    return _colliding_folders(spark, sf_dir).select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "table_name", "entity")
+
+
+def _colliding_folders(spark, sf_dir):
+    from statmart.sources.csv_files import read_family
     cust = testdata.read_table(spark, sf_dir, "customer")
     root = _fresh(spark, "ingest-collisions")
     folder = F.concat(F.col("c_mktsegment"),
                       F.when(F.col("c_nationkey") < 12, F.lit("-x")).otherwise(F.lit("_x")))
     (cust.withColumn("name", folder).write.partitionBy("name").option("header", True)
      .csv(f"{root}/data/2023-24/players"))
-    df = read_family(spark, root, "players", schema=cust.schema, file_glob="*/*.csv")
-    return first_file_per_table(df, "players").select(
-        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "table_name")
+    return read_family(spark, root, "players", schema=cust.schema, file_glob="*/*.csv")
 
 
 @query("ingest_json_explode")
@@ -440,7 +494,8 @@ def _orders_waves(spark, sf_dir):
     orders = testdata.read_table(spark, sf_dir, "orders")
     cut = F.lit(ORDERS_WAVE_SPLIT).cast("timestamp_ntz")
     day = F.col("o_orderdate").cast("timestamp_ntz")
-    return orders, orders.where(day < cut), orders.where(day >= cut)
+    first = F.coalesce(day < cut, F.lit(True))  # a missing day lands with the first wave
+    return orders, orders.where(first), orders.where(~first)
 
 
 @query("ingest_incremental")

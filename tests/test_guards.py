@@ -11,6 +11,7 @@ FORBIDDEN = {
     r"\bcollect_(list|set)\b": "gathers a whole group into one task",
     r"\bF\.(percentile|median)\(": "exact percentile buffers a whole group in one task",
     r"@F\.udf|\budf\(": "row-at-a-time Python UDF",
+    r"\bmapInPandas\b": "Python in the engine's own operators",
     r"\.rdd\b|mapPartitions\(": "RDD API instead of DataFrames",
 }
 

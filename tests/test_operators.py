@@ -145,26 +145,21 @@ def test_rank_top_keeps_ties_at_limit(spark):
     assert got3[4] == 5
 
 
-BOTH_PATHS = pytest.mark.parametrize("small", [0, 1_000_000], ids=["distributed", "window"])
-
-
-@BOTH_PATHS
-def test_quantiles_known_values(spark, small):
+def test_quantiles_known_values(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", 3.0), ("a", 4.0), ("b", 7.0),
                                 ("b", None), ("b", float("nan"))], "k string, v double")
     got = {r.k: (r.median, r.p90) for r in
-           exact_quantiles(df, "k", "v", {"median": 0.5, "p90": 0.9},
-                           small_group_rows=small).collect()}
+           exact_quantiles(df, "k", "v", {"median": 0.5, "p90": 0.9}).collect()}
     assert got["a"][0] == 2.5 and abs(got["a"][1] - 3.7) < 1e-12
     assert got["b"] == (7.0, 7.0)
 
 
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.integers(-50, 50), min_size=1, max_size=40),
-       st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]), st.sampled_from([0, 1_000_000]))
-def test_quantiles_match_numpy(spark, values, p, small):
+       st.sampled_from([0.0, 0.1, 0.5, 0.9, 1.0]))
+def test_quantiles_match_numpy(spark, values, p):
     df = spark.createDataFrame([("s", float(v)) for v in values], "k string, v double")
-    got = exact_quantiles(df, "k", "v", {"q": p}, small_group_rows=small).first()["q"]
+    got = exact_quantiles(df, "k", "v", {"q": p}).first()["q"]
     assert abs(got - float(np.quantile(np.array(values, dtype=float), p))) < 1e-9
 
 
@@ -225,25 +220,23 @@ def test_properties_identity_filter_and_rank_size(spark, data):
     assert all(r["rank"] <= 20 for r in ranked.collect())
 
 
-@BOTH_PATHS
-def test_quantiles_with_a_hot_value_and_many_groups(spark, small):
+def test_quantiles_with_a_hot_value_and_many_groups(spark):
     rng = np.random.default_rng(7)
     data = []
-    for g in ("a", "b", "c"):
-        vals = np.concatenate([np.full(1000, 42.0), rng.normal(40, 10, 2000).round(3)])
+    for g in "abcdefghijkl":  # more groups than shuffle partitions
+        vals = np.concatenate([np.full(1000, 42.0), [3e9, 4e9], rng.normal(40, 10, 2000).round(3)])
         data += [(g, float(v)) for v in vals]
     df = spark.createDataFrame(data, "k string, v double")
     probs = {"p10": 0.1, "median": 0.5, "p90": 0.9, "top": 1.0}
-    got = {r.k: r for r in exact_quantiles(df, "k", "v", probs, small_group_rows=small).collect()}
-    for g in ("a", "b", "c"):
+    got = {r.k: r for r in exact_quantiles(df, "k", "v", probs).collect()}
+    for g in "abcdefghijkl":
         vals = np.array([v for k, v in data if k == g])
         for name, p in probs.items():
             assert abs(got[g][name] - float(np.quantile(vals, p))) < 1e-9
 
 
-@BOTH_PATHS
-def test_stat_summary_on_empty_input(spark, small):
+def test_stat_summary_on_empty_input(spark):
     df = spark.createDataFrame([], "total_points double, assists double")
     got = {r.stat: (r.mean, r.median, r.p90) for r in
-           stats.stat_summary(df, ["total_points", "assists"], small_group_rows=small).collect()}
+           stats.stat_summary(df, ["total_points", "assists"]).collect()}
     assert got == {"total_points": (None, None, None), "assists": (None, None, None)}
