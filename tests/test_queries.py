@@ -63,3 +63,14 @@ def test_query_matches_oracle(spark, duck, name):
     assert got_cols == want_cols
     assert len(got) == len(want)
     assert got == want
+
+
+def test_ieee_ratios_tell_nan_from_null(spark, duck):
+    """The row comparison takes NaN for NULL, so the special values are counted by name here."""
+    from statmart.plans.registry import LIVE_RATIOS
+    df = entry.queries()["live_metrics_ieee"](spark, SF)
+    kinds = {"nulls": "{0} IS NULL", "nans": "isnan({0})", "up": "{0} = CAST('Infinity' AS DOUBLE)"}
+    asked = [f"count(CASE WHEN {test.format(c)} THEN 1 END)" for c in LIVE_RATIOS for test in kinds.values()]
+    got = tuple(df.selectExpr(*[f"{a} AS c{i}" for i, a in enumerate(asked)]).first())
+    expected = duck.execute(f"SELECT {', '.join(asked)} FROM ({entry.oracle_sql()['live_metrics_ieee']})").fetchone()
+    assert got == expected
