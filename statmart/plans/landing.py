@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from statmart.session import scratch_path
@@ -29,6 +29,27 @@ def land_lines(lines: DataFrame, header: str, path: str) -> None:
         "escape", "\u0000").option("sep", "\u0001").csv(path)
 
 
+def land_document(spark: SparkSession, arrays: dict[str, DataFrame], path: str) -> None:
+    """One JSON document over many lines, ``{"<name>": [<record>, ...], ...}``, in one file.
+
+    A document is one file, so one task writes it: for tables that a snapshot holds in one
+    document (some hundred records). Absent values have no key.
+    """
+    lines = None
+    for k, (name, df) in enumerate(arrays.items()):
+        record = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+        order = Window.partitionBy(F.lit(k)).orderBy("value")
+        numbered = record.withColumn("_n", F.row_number().over(order))
+        records = numbered.select(F.lit(k).alias("_k"), "_n", F.concat(
+            F.when(F.col("_n") > 1, F.lit(",")).otherwise(F.lit("")), "value").alias("value"))
+        start = f'{"{" if k == 0 else "],"} "{name}": ['
+        head = spark.range(1).select(F.lit(k).alias("_k"), F.lit(0).alias("_n"), F.lit(start).alias("value"))
+        part = head.unionByName(records)
+        lines = part if lines is None else lines.unionByName(part)
+    end = spark.range(1).select(F.lit(len(arrays)).alias("_k"), F.lit(0).alias("_n"), F.lit("]}").alias("value"))
+    lines.unionByName(end).coalesce(1).sortWithinPartitions("_k", "_n").select("value").write.text(path)
+
+
 def land_by_season(df: DataFrame, root: str, season: Column, folder: str,
                    drop: Sequence[str] = ()) -> list[str]:
     """``<root>/data/<season>/<folder>/part-*.csv`` for every distinct season value.

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,10 +24,10 @@ from statmart.schemas import BOARD_SPECS, CHARTS, FAMILIES, TOP_BOARD_COLUMNS
 from statmart.sinks.export import export_csv
 from statmart.sinks.tables import load_snapshot, replace_table
 from statmart.sources.csv_files import (
-    SOURCE, family_glob, literal_path, read_csv_files, with_path_keys,
+    QUARANTINED, SOURCE, family_glob, literal_path, mark_quarantine, read_csv_files, with_path_keys,
 )
 from statmart.sources.json_docs import explode_records, read_documents
-from statmart.streaming.incremental import list_files
+from statmart.streaming.incremental import list_files, loaded_files, read_target
 
 
 def load_snapshot_file(spark: SparkSession, path: str, database: str,
@@ -116,20 +115,23 @@ def live_dashboard(players: DataFrame, spec: filters.FilterSpec = filters.Filter
 def load_history(spark: SparkSession, root: str, out_dir: str,
                  seasons: Sequence[str] | None = None,
                  families: Sequence[str] = FAMILIES,
-                 schemas: dict[str, T.StructType] | None = None) -> dict[str, int]:
+                 schemas: dict[str, T.StructType] | None = None,
+                 file_globs: dict[str, str] | None = None) -> dict[str, int]:
     """Landed CSV families -> one parquet dataset per family under ``out_dir``,
     partitioned by season.
 
     A file already loaded (its ``source_file`` is in the dataset) is not loaded again.
     Later seasons may add columns: runs append, and ``read_history`` merges the schemas.
+    Rows that did not parse go to a partition of their own (``read_quarantine``). ``file_globs``
+    replaces a family's file pattern within its folder.
     Returns the number of new files per family.
     """
     loaded = {}
     for family in families:
-        globs = [family_glob(root, family, s) for s in (seasons or ["*"])]
+        globs = [family_glob(root, family, s, (file_globs or {}).get(family)) for s in (seasons or ["*"])]
         target = f"{out_dir.rstrip('/')}/{family}"
         files = list_files(spark, globs)
-        done = _loaded_files(spark, target)
+        done = loaded_files(spark, target)
         if done is not None:
             files = files.join(done, SOURCE, "left_anti")
         new = sorted(r[0] for r in files.collect())
@@ -137,22 +139,13 @@ def load_history(spark: SparkSession, root: str, out_dir: str,
         if new:
             rows = with_path_keys(read_csv_files(spark, [literal_path(p) for p in new],
                                                  (schemas or {}).get(family)), family)
-            rows.write.mode("append").partitionBy("season").parquet(target)
+            mark_quarantine(rows).write.mode("append").partitionBy("season", QUARANTINED).parquet(target)
     return loaded
 
 
-def _loaded_files(spark: SparkSession, target: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(target).select(SOURCE).distinct()
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing loaded yet
-            return None
-        raise
-
-
 def read_history(spark: SparkSession, out_dir: str, family: str) -> DataFrame:
-    """A family's dataset with the union of all seasons' columns."""
-    return spark.read.option("mergeSchema", True).parquet(f"{out_dir.rstrip('/')}/{family}")
+    """A family's rows that parsed, with the union of all seasons' columns."""
+    return read_target(spark, f"{out_dir.rstrip('/')}/{family}")
 
 
 __all__ = ["load_snapshot_file", "build_models", "board_dashboard", "live_dashboard",

@@ -371,6 +371,17 @@ ORACLE["ingest_keep_all"] = (
 ORACLE["ingest_csv_quoted"] = (
     """SELECT p_partkey, '"' || replace(p_name, ' ', ', "') || '"' AS p_name, p_size FROM part""")
 ORACLE["ingest_quarantine"] = "SELECT 'x' || p_partkey || ',bad,1' AS line FROM part"
+ORACLE["ingest_schema_growth"] = (
+    "SELECT o_orderkey, " + r("o_totalprice") + ", CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' "
+    "THEN o_orderpriority END AS o_orderpriority FROM orders")
+_SEASON = "CASE WHEN {0} % 2 = 1 THEN '2023-24' ELSE '2022-23' END AS season, {0} AS key, "
+ORACLE["ingest_history"] = (
+    "SELECT 'gw' AS family, " + _SEASON.format("c_custkey") + "c_name AS name, NULL AS entity FROM customer "
+    "UNION ALL SELECT 'players', " + _SEASON.format("p_partkey") + "p_name, 'size=' || p_size FROM part "
+    "UNION ALL SELECT 'understat', " + _SEASON.format("s_suppkey") + "s_name, NULL FROM supplier")
+ORACLE["ingest_snapshot_document"] = (
+    "SELECT 'element' AS kind, n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation "
+    "UNION ALL SELECT 'team', r_regionkey, r_name, r_regionkey FROM region")
 
 
 def _ieee(num: str, den: str, alias: str) -> str:

@@ -531,6 +531,74 @@ def q_ingest_anti(spark, sf_dir):
     return read_target(spark, target).select(*orders.columns)
 
 
+@query("ingest_schema_growth")
+def q_ingest_schema_growth(spark, sf_dir):
+    """The second wave's files have a column more (and another order); rows of the
+    first wave read NULL there."""
+    from statmart.plans.landing import land_csv
+    from statmart.streaming.incremental import batch_ingest, read_target
+    orders, wave1, wave2 = _orders_waves(spark, sf_dir)
+    root = _fresh(spark, "ingest-growth")
+    target = f"{root}/bronze_orders"
+    land_csv(wave1.select("o_orderkey", "o_totalprice"), f"{root}/land/wave1")
+    batch_ingest(spark, f"{root}/land/*", target, schema=orders.schema)
+    land_csv(wave2.select("o_orderpriority", "o_totalprice", "o_orderkey"), f"{root}/land/wave2")
+    batch_ingest(spark, f"{root}/land/*", target, schema=orders.schema)
+    return read_target(spark, target).select("o_orderkey", "o_totalprice", "o_orderpriority")
+
+
+@query("ingest_history")
+def q_ingest_history(spark, sf_dir):
+    """Two seasons of three families through the history loader; the loader runs
+    after the first season, after the second, and once more with nothing new."""
+    from statmart.plans.landing import land_csv
+    from statmart.plans.models import load_history, read_history
+    root = _fresh(spark, "ingest-history")
+    out = f"{root}/bronze"
+    tables = {
+        "gw": testdata.read_table(spark, sf_dir, "customer").select("c_custkey", "c_name"),
+        "players": testdata.read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size"),
+        "understat": testdata.read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+    }
+    schemas = {family: df.schema for family, df in tables.items()}
+    seasons = {"2022-23": 0, "2023-24": 1}
+    for season, rest in [*seasons.items(), (None, None)]:
+        if season:
+            mine = {f: df.where(F.coalesce(df[df.columns[0]] % 2, F.lit(0)) == rest) for f, df in tables.items()}
+            land_csv(mine["gw"], f"{root}/data/{season}/gws")
+            land_csv(mine["understat"], f"{root}/data/{season}/understat")
+            (mine["players"].withColumn("size", F.col("p_size")).write.partitionBy("size").option("header", True)
+             .option("escape", '"').csv(f"{root}/data/{season}/players"))
+        load_history(spark, root, out, list(seasons), schemas=schemas, file_globs={"players": "*/*.csv"})
+    found = None
+    for family, df in tables.items():
+        entity = F.col("entity") if family == "players" else F.lit(None).cast("string")
+        part = read_history(spark, out, family).select(
+            F.lit(family).alias("family"), F.col("season").cast("string").alias("season"),
+            F.col(df.columns[0]).alias("key"), F.col(df.columns[1]).alias("name"), entity.alias("entity"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query("ingest_snapshot_document")
+def q_ingest_snapshot_document(spark, sf_dir):
+    """One document over many lines with all nations as elements and all regions as
+    teams is loaded as a snapshot; both tables are read back."""
+    from statmart.plans.landing import land_document
+    from statmart.plans.models import load_snapshot_file
+    from statmart.sources.json_docs import snapshot_schema
+    nation = testdata.read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    region = testdata.read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    path, db = f"{_fresh(spark, 'snapshot-document')}/doc", _fresh_database(spark, "document")
+    land_document(spark, {"elements": nation, "teams": region}, path)
+    load_snapshot_file(spark, path, db, snapshot_schema(nation.schema, region.schema))
+    return spark.table(f"{db}.players").select(
+        F.lit("element").alias("kind"), F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"),
+        F.col("n_regionkey").alias("region")).unionByName(spark.table(f"{db}.teams").select(
+            F.lit("team").alias("kind"), F.col("r_regionkey").alias("key"), F.col("r_name").alias("name"),
+            F.col("r_regionkey").alias("region")))
+
+
 def _fresh_database(spark, name):
     import uuid
     db = f"sm_{name}_{uuid.uuid4().hex[:10]}"

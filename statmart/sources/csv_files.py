@@ -155,13 +155,19 @@ QUARANTINED = "_quarantined"
 def write_bronze(df: DataFrame, path: str, mode: str = "overwrite") -> tuple[DataFrame, DataFrame]:
     """Write a raw read once, every column parsed, partitioned by ``_quarantined``; return
     (good, quarantined) read back with partition pruning."""
-    (df.withColumn(QUARANTINED, F.col(CORRUPT).isNotNull().cast("int"))
-     .write.mode(mode).partitionBy(QUARANTINED).parquet(path))
-    back = df.sparkSession.read.parquet(path)
+    mark_quarantine(df).write.mode(mode).partitionBy(QUARANTINED).parquet(path)
+    return split_marked(df.sparkSession.read.parquet(path))
+
+
+def mark_quarantine(df: DataFrame) -> DataFrame:
+    """Add the flag by which bronze datasets are partitioned: 1 for rows that did not parse."""
+    return df.withColumn(QUARANTINED, F.col(CORRUPT).isNotNull().cast("int"))
+
+
+def split_marked(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantined) of a dataset written with the flag; each reads its own folders."""
     flag = F.col(QUARANTINED).cast("int")
-    good = back.where(flag == 0).drop(QUARANTINED, CORRUPT)
-    bad = back.where(flag == 1).drop(QUARANTINED)
-    return good, bad
+    return df.where(flag == 0).drop(QUARANTINED, CORRUPT), df.where(flag == 1).drop(QUARANTINED)
 
 
 # --- landed folder layouts --------------------------------------------------------------------

@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statmart.functions.text import decoded_path
-from statmart.sources.csv_files import SOURCE, literal_path, read_csv_files
+from statmart.sources.csv_files import (
+    QUARANTINED, SOURCE, literal_path, mark_quarantine, read_csv_files, split_marked,
+)
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -51,6 +53,11 @@ def list_files(spark: SparkSession, glob: str | list[str], file_filter: str = "*
     return out.distinct()
 
 
+def _write(rows: DataFrame, folder: str) -> None:
+    """Replace a batch's folder; rows that did not parse go to a partition of their own."""
+    mark_quarantine(rows).write.mode("overwrite").partitionBy(QUARANTINED).parquet(folder)
+
+
 def write_batch(spark: SparkSession, paths: list[str], batch_id: int, target: str,
                 schema: T.StructType | Mapping[str, T.DataType] | None = None) -> None:
     """Load one micro-batch's files into ``<target>/batch_id=<n>``, replacing that folder:
@@ -59,7 +66,7 @@ def write_batch(spark: SparkSession, paths: list[str], batch_id: int, target: st
     if not paths:
         return
     rows = read_csv_files(spark, [literal_path(p) for p in paths], schema)
-    rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+    _write(rows, f"{target.rstrip('/')}/batch_id={batch_id}")
 
 
 def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
@@ -107,10 +114,15 @@ def batch_ingest(spark: SparkSession, glob: str, target: str,
         return 0
     rows = read_csv_files(spark, [literal_path(p) for p in paths], schema)
     run = run_id or uuid.uuid4().hex[:12]
-    rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/run_id={run}")
+    _write(rows, f"{target.rstrip('/')}/run_id={run}")
     return len(paths)
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
-    """The target with the union of all batches' columns."""
-    return spark.read.option("mergeSchema", True).parquet(target)
+    """The target's rows that parsed, with the union of all batches' columns."""
+    return split_marked(spark.read.option("mergeSchema", True).parquet(target))[0]
+
+
+def read_quarantine(spark: SparkSession, target: str) -> DataFrame:
+    """The target's rows that did not parse, with their raw text in ``_corrupt``."""
+    return split_marked(spark.read.option("mergeSchema", True).parquet(target))[1]

@@ -7,11 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from statmart.plans import oracle, registry
 from statmart.sources.testdata import TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.QUERIES
+ORACLE = oracle.ORACLE
 
 
 def _norm(v):
@@ -48,6 +49,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
