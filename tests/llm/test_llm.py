@@ -230,3 +230,26 @@ def test_empty_tables(spark, name):
             "prints": fingerprints.neighbour_fingerprints, "quality": outliers.quality_verdicts, "mix": mixing.mixing_report,
             "pii": pii.find_personal_data, "files": token_files.token_digest}[name]
     assert made(empty).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op5_ngram_jaccard", "op7_source_mixing"])
+def test_query_equals_its_sql(spark, name):
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    sf_dir, con = "/root/testdata/sf0.001", duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_dir}/documents.parquet')")
+    expected = con.execute(entry.oracle_sql()[name])
+    columns = [c[0] for c in expected.description]
+    found = entry.queries()[name](spark, sf_dir)
+    assert sorted(found.columns) == sorted(columns)
+    got = sorted(tuple(r) for r in found.select(*columns).collect())
+    assert [pytest.approx(r) for r in sorted(expected.fetchall())] == got
+
+
+def test_every_operator_is_registered():
+    import __spark_entry__ as entry
+
+    names = entry.queries()
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
