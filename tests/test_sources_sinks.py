@@ -125,6 +125,17 @@ def test_incremental_ingest_twice_is_once(spark, tmp_dir):
     assert incremental.read_target(spark, t2).select(F.countDistinct("source_file")).first()[0] == 2
 
 
+def test_ingest_puts_unparsed_rows_aside(spark, tmp_dir):
+    _write(f"{tmp_dir}/land/w1/a.csv", "id,v\n1,x\nbad,y\n")
+    _write(f"{tmp_dir}/land/w1/b.csv", "id,v\nworse,z\n")
+    t, schema = f"{tmp_dir}/target", {"id": T.LongType()}
+    assert incremental.batch_ingest(spark, f"{tmp_dir}/land/*", t, schema) == 2
+    assert incremental.batch_ingest(spark, f"{tmp_dir}/land/*", t, schema) == 0  # a file of bad rows only is loaded too
+    good = incremental.read_target(spark, t)
+    assert "_corrupt" not in good.columns and rows(good, "id", "v") == [(1, "x")]
+    assert sorted(r._corrupt for r in incremental.read_quarantine(spark, t).collect()) == ["bad,y", "worse,z"]
+
+
 def test_file_names_with_glob_characters(spark, tmp_dir):
     _write(f"{tmp_dir}/land/w/a[1] {{x}}.csv", "id,v\n7,q\n")
     _write(f"{tmp_dir}/land/w/a1 x.csv", "id,v\n8,r\n")
