@@ -1,12 +1,15 @@
 """Quality rules: robust multivariate outliers, with DataFrame functions only.
 
 Each text gives five counts; their transformed vector is held against minimum-covariance-
-determinant estimates (location and scatter of the most concentrated three quarters of a group)
-of its language and source, and rejected where the squared Mahalanobis distance passes a cut.
-
-The estimates come from concentration steps, each two aggregations over all rows of all groups:
-distances of the present estimate, their 75 % quantile in each group, then means and covariances
-of the rows within it. Groups of fewer than LEAST rows share one estimate per language, and where
+determinant estimates (location and scatter of the most concentrated half of a group, (n + D + 1) / 2
+of its n rows) of its language and source, and rejected where the squared Mahalanobis distance passes a cut.
+
+The estimates come from concentration steps, each two aggregations over the rows of all groups that
+still change: distances of the present estimate, the quantile of the held share in each group, then
+means and covariances of the rows within it. A group is done when its determinant no longer falls.
+There is one start (medians and their deviations, which half a group of junk can't move far): the
+least determinant of several starts would choose the subset around a large group of copies, which
+have no scatter of their own. Groups of fewer than LEAST rows share one estimate per language, and where
 that has too few rows as well, one over all. No step brings a group to one task.
 
 Defined results: a null or empty text has zero counts and fails the base rule (fewer than 50 words); a null
@@ -16,6 +19,9 @@ group in which nothing varies rejects only rows that differ clearly (variances h
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +32,29 @@ from statmart.session import materialize
 FLOORS = (0.30, 0.25, 0.70, 0.50, 0.70)
 NAMES = ("v0", "v1", "v2", "v3", "v4")
 D = len(NAMES)
-HELD = 0.75
-STEPS = 4
 LEAST = 100
-#: 0.975 and 1 - 1e-5 quantiles of chi-square with 5 degrees of freedom; and the factor that makes
-#: the scatter of the closest 75 % consistent at the normal distribution.
-REWEIGHT, CUT, CONSISTENT = 12.83, 30.86, 1.71
+#: Shares of a group that may be held: from half of it to all, a two-hundredth apart.
+SHARES = [k / 200 for k in range(100, 201)]
+#: A concentration step counts as a fall if the logarithm of the determinant falls by more.
+FALL = 1e-3
+#: 0.975 and 1 - 1e-5 quantiles of chi-square with 5 degrees of freedom.
+REWEIGHT, CUT = 12.83, 30.86
+
+
+def consistency(share: float) -> float:
+    """The factor that makes the scatter of the closest ``share`` of rows consistent at the normal
+    distribution: share / P(chi-square of D + 2 degrees <= quantile of chi-square of D at share)."""
+    if share >= 1:
+        return 1.0
+
+    def below(x: float) -> float:  # chi-square with 5 degrees
+        return math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+
+    low, high = 0.0, 100.0
+    for _ in range(100):
+        middle = (low + high) / 2
+        low, high = (middle, high) if below(middle) < share else (low, middle)
+    return share / (share - math.sqrt(2 / math.pi) * math.exp(-low / 2) * low ** 2.5 / 15)
 
 
 def text_statistics(docs: DataFrame) -> DataFrame:
@@ -79,31 +102,34 @@ def _triangle() -> list[tuple[int, int]]:
     return [(i, j) for i in range(D) for j in range(i + 1)]
 
 
-def _factored(estimate: DataFrame) -> DataFrame:
-    """Adds the Cholesky factor (l00 .. l44) of an estimate's scatter."""
+def _factored(estimate: DataFrame, *more: str) -> DataFrame:
+    """The Cholesky factor (l00 .. l44) of an estimate's scatter, and its log determinant."""
     for i, j in _triangle():
         rest = F.col(_cell(i, j)) - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
         value = F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}")
         estimate = estimate.withColumn(f"l{i}{j}", value)
-    return estimate.select("key", *[f"m{i}" for i in range(D)], *[f"l{i}{j}" for i, j in _triangle()])
+    log_det = 2 * sum((F.log(f"l{i}{i}") for i in range(D)), F.lit(0.0))
+    return estimate.select("key", *[f"m{i}" for i in range(D)], *[f"l{i}{j}" for i, j in _triangle()], log_det.alias("log_det"), *more)
 
 
-def _distance(points: DataFrame, estimate: DataFrame) -> DataFrame:
+def _distance(points: DataFrame, estimate: DataFrame, *more: str) -> DataFrame:
     """``points`` with their squared Mahalanobis distance ``d2`` from their group's estimate."""
     out = points.join(estimate, "key")
     for i in range(D):
         rest = F.col(NAMES[i]) - F.col(f"m{i}") - sum((F.col(f"l{i}{j}") * F.col(f"z{j}") for j in range(i)), F.lit(0.0))
         out = out.withColumn(f"z{i}", rest / F.col(f"l{i}{i}"))
-    return out.withColumn("d2", sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(D)), F.lit(0.0))).select(*points.columns, "d2")
+    return out.withColumn("d2", sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(D)), F.lit(0.0))).select(*points.columns, "d2", *more)
 
 
-def _scatter(points: DataFrame, factor: float) -> DataFrame:
-    """Mean and covariance (times ``factor``, with floors) of each group's points, factored."""
+def _scatter(points: DataFrame, factor: Column, *more: str) -> DataFrame:
+    """Mean and covariance (times ``factor``, with floors) of each group's points, factored; ``more``
+    columns have one value in a group."""
     sums = points.groupBy("key").agg(
+        F.first(factor).alias("factor"), *[F.first(c).alias(c) for c in more],
         *[F.avg(v).alias(f"m{i}") for i, v in enumerate(NAMES)],
         *[F.covar_pop(NAMES[i], NAMES[j]).alias(f"s{i}{j}") for i, j in _triangle()])
-    cells = [(F.col(f"s{i}{j}") * factor + (F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0))).alias(_cell(i, j)) for i, j in _triangle()]
-    return _factored(sums.select("key", *[f"m{i}" for i in range(D)], *cells))
+    cells = [(F.col(f"s{i}{j}") * F.col("factor") + (F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0))).alias(_cell(i, j)) for i, j in _triangle()]
+    return _factored(sums.select("key", *[f"m{i}" for i in range(D)], *cells, *more), *more)
 
 
 def _start(points: DataFrame) -> DataFrame:
@@ -128,15 +154,32 @@ def group_keys(points: DataFrame) -> DataFrame:
     return joined.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), key.alias("key"))
 
 
-def minimum_covariance_determinant(points: DataFrame, steps: int = STEPS) -> DataFrame:
+def _concentrated(points: DataFrame, estimate: DataFrame) -> DataFrame:
+    """The estimate from the closest (n + D + 1) / 2 of each group's n rows by ``estimate``, and
+    the latter's log determinant as ``old_det``."""
+    measured = _distance(points, estimate, "log_det")
+    limits = measured.groupBy("key").agg(F.percentile_approx("d2", F.array(*map(F.lit, SHARES))).alias("limits"), F.count(F.lit(1)).alias("n"),
+                                           F.first("log_det").alias("old_det"))
+    place = F.least(F.ceil(100 * (F.col("n") + D + 1) / F.col("n")), F.lit(200)).cast("int") - 99
+    limits = limits.select("key", "old_det", F.element_at("limits", place).alias("limit"),
+                           F.element_at(F.array(*[F.lit(consistency(x)) for x in SHARES]), place).alias("consistent"))
+    return _scatter(measured.join(limits, "key").where(F.col("d2") <= F.col("limit")), F.col("consistent"), "old_det")
+
+
+def minimum_covariance_determinant(points: DataFrame) -> DataFrame:
     """Factored robust estimates (key, m*, l*) of the vectors in ``points`` (key, v0 .. v4)."""
-    estimate = materialize(_start(points), "mcd")
-    for _ in range(steps):
-        measured = _distance(points, estimate)
-        limits = measured.groupBy("key").agg(F.percentile_approx("d2", HELD).alias("limit"))
-        within = measured.join(limits, "key").where(F.col("d2") <= F.col("limit"))
-        estimate = materialize(_scatter(within, CONSISTENT), "mcd")
-    return materialize(_scatter(_distance(points, estimate).where(F.col("d2") <= REWEIGHT), 1.0), "mcd")
+    # the start's determinant is that of no subset: the first step counts as a fall
+    fallen = materialize(_start(points).withColumn("log_det", F.lit(math.inf)), "mcd")
+    steps = []
+    while not fallen.isEmpty():
+        steps.append(fallen.withColumn("step", F.lit(len(steps))))
+        fallen = materialize(_concentrated(points, fallen).where(F.col("log_det") < F.col("old_det") - FALL).drop("old_det"), "mcd")
+    if not steps:
+        return fallen.drop("log_det")
+    columns = [c for c in steps[0].columns if c not in ("key", "step")]
+    last = reduce(DataFrame.unionByName, steps).groupBy("key").agg(F.max_by(F.struct(*columns), "step").alias("x"))
+    estimate = materialize(last.select("key", "x.*").drop("log_det"), "mcd")
+    return materialize(_scatter(_distance(points, estimate).where(F.col("d2") <= REWEIGHT), F.lit(1.0)).drop("log_det"), "mcd")
 
 
 def quality_verdicts(docs: DataFrame, cut: float = CUT) -> DataFrame:

@@ -154,6 +154,18 @@ def test_statistics_and_verdicts(spark, texts):
     assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == (13, 14, 1, 1, 11)
 
 
+def test_copies_of_junk_in_a_third_of_a_source_are_rejected(spark):
+    rng = random.Random(8)
+    clean = [" ".join(f"word{rng.randrange(2000)}"[:rng.randrange(3, 9)] for _ in range(rng.randrange(80, 400))) for _ in range(400)]
+    junk = " ".join(f"$$#{i} <|{'z' * 30}|>" for i in range(300))
+    rows = [*enumerate(clean), *[(1000 + i, junk) for i in range(200)]]
+    docs = spark.createDataFrame([(i, t, "en", "web") for i, t in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r.kept for r in outliers.quality_verdicts(docs).select("doc_id", "kept").collect()}
+    assert not any(got[i] for i in got if i >= 1000)
+    assert sum(got[i] for i in range(400)) >= 390
+    assert outliers.consistency(0.5) == pytest.approx(1.912, abs=0.001) and outliers.consistency(0.75) == pytest.approx(1.412, abs=0.001)
+
+
 def test_mixing_reaches_targets(spark, texts):
     rows = mixing.mixing_report(frame(spark, texts)).collect()
     assert len(rows) == len(texts) and all(r.taken <= 2 * r.size for r in rows)
