@@ -8,11 +8,14 @@ random field with labels none, email, ip, card and phone:
   regression), and base matches are evidence;
 * neighbouring nodes share a potential learnt from how often their labels stand together;
 * tokens anywhere in a document that repeat the same address, or the same digits in another
-  dress, are linked by skip edges that favour equal labels.
+  dress, also over several neighbouring tokens, are linked by skip edges that favour equal
+  labels to one variable for what they repeat; base matches hold it. Where a base match is repeated in another dress (``jane (at) example.com``,
+  ``10.0.0[.]1``, digits in other groups), the tokens become one node, with the potentials of the
+  match's own tokens, none above that of its label.
 
 Loopy belief propagation passes messages along both sorts of edges; runs of tokens with one
 label of belief of at least BELIEF that no base match touches, and whose digits pass the
-label's check, become added spans. Parameters are learnt from the base matches of about
+label's check (or repeat a base match), become added spans. Parameters are learnt from the base matches of about
 ``sample`` documents with such tokens at most (chosen by hash); every document is tagged whole.
 
 Defined results: null and empty texts have no spans; repeated rows repeat; an empty table gives none;
@@ -23,7 +26,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +51,13 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NODE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+# dresses of a base match: @ and dots spaced, in brackets or as words, other signs between octets
+_AT = r"\s{0,3}[\[({<]?\s{0,3}(?:@|\bat\b)\s{0,3}[\])}>]?\s{0,3}"
+_DOT = r"\s{0,2}[\[({<]?\s{0,2}(?:\.|\bdot\b)\s{0,2}[\])}>]?\s{0,2}"
+_OCTETS = r"\s{0,2}[\[({<]?\s{0,2}(?:[.,:_-]|dot)\s{0,2}[\])}>]?\s{0,2}"
+_MAIL_DRESS = re.compile(rf"(?<![a-z0-9._%+-])(?=([a-z0-9._%+-]+)({_AT})([a-z0-9-]+(?:{_DOT}[a-z0-9-]+)*))", re.ASCII | re.IGNORECASE)
+_LABEL = re.compile(rf"(?:^|{_DOT})([a-z0-9-]+)", re.ASCII | re.IGNORECASE)
+_IP_DRESS = re.compile(rf"(?<![0-9])(?=([0-9]{{1,3}}){_OCTETS}([0-9]{{1,3}}){_OCTETS}([0-9]{{1,3}}){_OCTETS}([0-9]{{1,3}})(?![0-9]))", re.ASCII | re.IGNORECASE)
 
 
 def luhn(digits: str) -> bool:
@@ -113,16 +125,155 @@ def nodes_of(text: str, base: list[tuple[int, int, int]]):
     return out
 
 
-def edges_of(text: str, nodes) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges of tokens next to each other; skip edges along the tokens of one key, in order."""
+def key_of(kind: int, match: str) -> str:
+    """What a base match says whatever its dress."""
+    if kind == 0:
+        local, _, domain = match.lower().partition("@")
+        return f"{local.strip('._%+-')}@{domain}"
+    return ".".join(str(int(x)) for x in match.split(".")) if kind == 1 else digits_of(match)[-7:]
+
+
+def _dressed_addresses(text: str, base) -> list[tuple[int, int, int, str]]:
+    """(start, end, kind, key) of repeats of the base emails and IP addresses in another dress."""
+    out, mails, ips = [], {}, set()
+    for k, s, e in base:
+        if k == 0:
+            local, _, domain = key_of(0, text[s:e]).partition("@")
+            mails.setdefault((local, domain.split(".")[0]), set()).add(tuple(domain.split(".")))
+        elif k == 1:
+            ips.add(key_of(1, text[s:e]))
+    for m in _MAIL_DRESS.finditer(text) if mails else ():
+        local, labels = m.group(1).lower(), [(x.group(1).lower(), x.end()) for x in _LABEL.finditer(m.group(3))]
+        known = mails.get((local.strip("._%+-"), labels[0][0]), ())
+        same = max(((sum(1 for _ in takewhile(lambda x: x[0] == x[1][0], zip(k, labels))), k) for k in known), default=(0, ()))
+        # the word "at" alone needs the whole domain
+        if same[0] and (same[0] == len(same[1]) or m.group(2).strip().lower() != "at"):
+            start = m.start(1) + len(local) - len(local.lstrip("._%+-"))
+            out.append((start, m.start(3) + labels[same[0] - 1][1], 0, f"{local.strip('._%+-')}@{'.'.join(same[1])}"))
+    for m in _IP_DRESS.finditer(text) if ips else ():
+        key = ".".join(str(int(x)) for x in m.groups())
+        if key in ips:
+            out.append((m.start(1), m.end(4), 1, key))
+    return out
+
+
+def _number_runs(text: str, nodes) -> list[list[int]]:
+    """Runs of neighbouring nodes without letters, ``@`` or base match."""
+    runs: list[list[int]] = []
+    for i, n in enumerate(nodes):
+        if n[2] > 0 or not n[4] and not digits_of(text[n[0]:n[1]]) or any(c.isalpha() or c == "@" for c in text[n[0]:n[1]]):
+            continue
+        if runs and runs[-1][-1] == i - 1 and not text[nodes[i - 1][6]:n[5]].strip(" "):
+            runs[-1].append(i)
+        else:
+            runs.append([i])
+    return runs
+
+
+def _dressed_numbers(text: str, nodes, base) -> list[tuple[int, int, int, str]]:
+    """(start, end, kind, key) of repeats of the base cards and phones over neighbouring tokens."""
+    known: dict[str, set] = {}
+    for k, s, e in base:
+        if k >= 2:
+            known.setdefault(key_of(k, text[s:e]), set()).add((k, digits_of(text[s:e])))
+    out = []
+    for run in _number_runs(text, nodes) if known else ():
+        own = [digits_of(text[nodes[i][0]:nodes[i][1]]) for i in run]
+        ends = np.cumsum([len(x) for x in own]).tolist()
+        digits, j = "".join(own), len(run) - 1
+        while j >= 0:
+            best = None
+            for kind, number in known.get(digits[max(0, ends[j] - 7):ends[j]], ()):
+                same = 0
+                while same < min(len(number), ends[j]) and number[-1 - same] == digits[ends[j] - 1 - same]:
+                    same += 1
+                first = j
+                while first > 0 and ends[first - 1] > ends[j] - same:
+                    first -= 1
+                start, bound = ends[first] - len(own[first]), ends[j] - same
+                if start < bound and digits[start:bound].strip("0"):  # other digits before: that token is no part
+                    first, start = first + 1, ends[first]
+                if first <= j and ends[j] - start >= (len(number) if kind == 2 else 7) and ends[j] - start <= 15 + 4 * (kind == 2):
+                    best = min(best or (first, kind), (first, kind))
+            if best:
+                out.append((nodes[run[best[0]]][0], nodes[run[j]][1], best[1], digits[ends[j] - 7:ends[j]]))
+                j = best[0]
+            j -= 1
+    return out
+
+
+def with_repeats(text: str, nodes, base):
+    """``nodes`` with one node (features: a list of its label and those of the base match's tokens) for each
+    repeat of a base match in another dress, and the kind of these by place."""
+    taken = sorted((s, e) for _, s, e in base)
+    found, done, at = [], 0, 0
+    for s, e, kind, key in sorted([*_dressed_addresses(text, base), *_dressed_numbers(text, nodes, base)], key=lambda x: (x[0], -x[1])):
+        while at < len(taken) and taken[at][1] <= s:
+            at += 1
+        if s >= done and not any(a < e and b > s for a, b in taken[at:at + 4]):
+            found.append((s, e, kind, key))
+            done = e
+    if not found:
+        return nodes, {}
+    own: dict[tuple, list] = {}
+    for (k, s, e), tokens in zip(base, _tokens_of(nodes, base)):
+        if tokens:
+            own.setdefault((k, key_of(k, text[s:e])), [nodes[i][3] for i in tokens])
+    out, at = [], 0
+    for s, e, kind, key in found:
+        while at < len(nodes) and nodes[at][6] <= s:
+            out.append(nodes[at])
+            at += 1
+        while at < len(nodes) and nodes[at][5] < e:
+            at += 1
+        out.append((s, e, -1, [kind + 1, *own[kind, key]], key, s, e))
+    marks = {(s, e): kind for s, e, kind, _ in found}
+    out += nodes[at:]
+    return out, {i: marks[n[0], n[1]] for i, n in enumerate(out) if isinstance(n[3], list)}
+
+
+def _tokens_of(nodes, base) -> list[list[int]]:
+    """The nodes that each base match touches."""
+    starts, out = [n[5] for n in nodes], []
+    for _, s, e in base:
+        i, touched = max(0, bisect_right(starts, s) - 1), []
+        while i < len(nodes) and nodes[i][5] < e:
+            if nodes[i][6] > s:
+                touched.append(i)
+            i += 1
+        out.append(touched)
+    return out
+
+
+def edges_of(text: str, nodes, base):
+    """Chain edges of tokens next to each other; skip edges (node, hub) to one hub for each key that
+    occurs twice or more, a key being an address or seven digits that end a token or run of tokens;
+    and the hubs' labels by base matches (0 none, several if matches differ)."""
     chain = [(i, i + 1) for i in range(len(nodes) - 1) if not text[nodes[i][6]:nodes[i + 1][5]].strip(" ")]
-    skip, last = [], {}
+    seen: dict[str, set] = {}
     for i, node in enumerate(nodes):
         if node[4]:
-            if node[4] in last:
-                skip.append((last[node[4]], i))
-            last[node[4]] = i
-    return chain, skip
+            seen.setdefault(node[4], set()).add((i,))
+    for run in _number_runs(text, nodes):
+        own = [digits_of(text[nodes[i][0]:nodes[i][1]]) for i in run]
+        for j in range(1, len(run)):
+            first, tail = j, own[j]
+            while len(tail) < 7 and first > 0:
+                first -= 1
+                tail = own[first] + tail
+            if first < j and len(tail) >= 7:
+                seen.setdefault(tail[-7:], set()).add(tuple(run[first:j + 1]))
+    held: dict[str, set] = {}
+    for (k, s, e), tokens in zip(base, _tokens_of(nodes, base)):
+        key = key_of(k, text[s:e])
+        held.setdefault(key, set()).add(k + 1)
+        seen.setdefault(key, set()).update((i,) for i in tokens)
+    skip, hubs = [], []
+    for key, places in seen.items():
+        if len(places) > 1:
+            skip += [(i, len(hubs)) for i in sorted({i for place in places for i in place})]
+            hubs.append(sorted(held.get(key, ())))
+    return chain, skip, hubs
 
 
 class Field:
@@ -137,16 +288,25 @@ class Field:
         return self.weights, self.bias, self.chain, float(self.skip[0, 0])
 
     def unary(self, features) -> np.ndarray:
+        if isinstance(features, list):  # a repeat: those of the tokens it repeats, whose label is known
+            label, *tokens = features
+            phi = np.mean([self.unary(f) for f in tokens], axis=0)
+            phi[label] = phi.max()
+            return phi
         return self.bias + sum((self.weights[f] for f in features if f in self.weights), np.zeros(len(LABELS)))
 
-    def beliefs(self, nodes, chain, skip) -> np.ndarray:
+    def beliefs(self, nodes, chain, skip, hubs) -> np.ndarray:
         """Marginals of the nodes' labels; base matches hold their label."""
-        phi = np.array([self.unary(n[3]) for n in nodes])
+        phi = np.array([*[self.unary(n[3]) for n in nodes], *np.zeros((len(hubs), len(LABELS)))])
         for i, n in enumerate(nodes):
             if n[2] > 0:
                 phi[i] = -30.0
                 phi[i, n[2]] = 0.0
-        links = [*chain, *skip]
+        for i, kinds in enumerate(hubs):
+            if kinds:
+                phi[len(nodes) + i] = -30.0
+                phi[len(nodes) + i, kinds] = 0.0
+        links = [*chain, *((i, len(nodes) + h) for i, h in skip)]
         if not links:
             return _softmax(phi)
         source = np.array([a for a, _ in links] + [b for _, b in links])
@@ -164,7 +324,7 @@ class Field:
             messages = 0.5 * messages + 0.5 * new
         total = phi.copy()
         np.add.at(total, target, messages)
-        return _softmax(total)
+        return _softmax(total[:len(nodes)])
 
 
 def _logsumexp(x: np.ndarray) -> np.ndarray:
@@ -189,21 +349,21 @@ def plausible(kind: int, text: str) -> bool:
 
 def added_spans(text: str, base: list[tuple[int, int, int]], field: Field) -> list[tuple[int, int, int]]:
     """Spans the field adds: runs of neighbouring tokens of one believed label free of base matches."""
-    nodes = nodes_of(text, base)
+    nodes, repeats = with_repeats(text, nodes_of(text, base), base)
     if not nodes:
         return []
-    chain, skip = edges_of(text, nodes)
-    beliefs = field.beliefs(nodes, chain, skip)
+    chain, skip, hubs = edges_of(text, nodes, base)
+    beliefs = field.beliefs(nodes, chain, skip, hubs)
     labels = np.where(beliefs.max(axis=1) >= BELIEF, beliefs.argmax(axis=1), 0)
     joined, out = set(chain), []
     for i, node in enumerate(nodes):
         if labels[i] == 0 or node[2] > 0 or node[0] == node[1]:
             continue
-        if out and out[-1][3] == i - 1 and (i - 1, i) in joined and out[-1][0] == labels[i] - 1:
+        if out and out[-1][3] == i - 1 and (i - 1, i) in joined and out[-1][0] == labels[i] - 1 and i not in repeats and i - 1 not in repeats:
             out[-1] = (out[-1][0], out[-1][1], node[1], i)
         else:
             out.append((int(labels[i]) - 1, node[0], node[1], i))
-    return [(k, s, e) for k, s, e, _ in out if plausible(k, text[s:e])]
+    return [(k, s, e) for k, s, e, i in out if repeats.get(i) == k or plausible(k, text[s:e])]
 
 
 def learn_field(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
@@ -214,13 +374,18 @@ def learn_field(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
         seen: Counter = Counter()
         for batch in stream:
             for text in batch.column("text").to_pylist():
-                nodes = nodes_of(text, base_spans(text))
+                base = base_spans(text)
+                nodes = nodes_of(text, base)
                 labels = [max(0, n[2]) for n in nodes]
                 for n, label in zip(nodes, labels):
                     seen["\x1f".join(("n", *n[3])), label] += 1
-                for sort, links in zip(("c", "k"), edges_of(text, nodes)):
-                    for a, b in links:
-                        seen[f"{sort}\x1f{labels[a]}", labels[b]] += 1
+                for a, b in edges_of(text, nodes, base)[0]:
+                    seen[f"c\x1f{labels[a]}", labels[b]] += 1
+                # what repeats a base match in another dress has no label of its own to learn from
+                nodes, repeats = with_repeats(text, nodes, base)
+                labels, (_, skip, hubs) = [max(0, n[2]) for n in nodes], edges_of(text, nodes, base)
+                for a, h in ((a, h) for a, h in skip if a not in repeats):
+                    seen[f"k\x1f{labels[a] if labels[a] in hubs[h] else max(hubs[h], default=0)}", labels[a]] += 1
         if seen:
             yield pa.RecordBatch.from_pydict({"what": [k for k, _ in seen], "label": pa.array([v for _, v in seen], type=pa.int32()),
                                               "seen": pa.array(seen.values(), type=pa.int64())})

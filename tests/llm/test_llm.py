@@ -204,6 +204,28 @@ def test_added_personal_data_follows_repeats(spark):
     assert (clean[0].text, clean[0].n_chars, clean[1].text) == ("mail [EMAIL].", 13, None)
 
 
+@pytest.fixture(scope="module")
+def field(spark):
+    rng = random.Random(6)
+    rows = [(i, f"call +1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)} now or see 10.{i % 250}.3.4 version {i % 9}.0. "
+                f"write u{i}@site{i % 9}.org card 4111 1111 1111 1111 page {i} of 400") for i in range(300)]
+    return pii.learn_field(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def added(text, field):
+    return [(pii.KINDS[k], text[s:e]) for k, s, e in pii.added_spans(text, pii.base_spans(text), field)]
+
+
+def test_repeats_of_base_matches_in_another_dress_are_added(field):
+    text = ("jane7@example.com wrote from 10.0.0.1 with card 4111 1111 1111 1111 and +44 20 7946 0958 . Then jane7 @ example.com , "
+            "jane7(at)example.com or jane7@example came from 10.0.0[.]1 and paid by 4111.1111.1111.1111 or 41111111 11111111 , call 020 7946 0958 . bob(at)other.com 11.0.0[.]1")
+    got = added(text, field)
+    for want in (("email", "jane7 @ example.com"), ("email", "jane7(at)example.com"), ("email", "jane7@example"), ("ip", "10.0.0[.]1"),
+                 ("card", "4111.1111.1111.1111"), ("phone", "020 7946 0958")):
+        assert want in got
+    assert not any("bob" in x or "11.0.0[" in x for _, x in got)
+
+
 def test_token_files_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
