@@ -13,7 +13,7 @@ random field with labels none, email, ip, card and phone:
   ``10.0.0[.]1``, digits in other groups), the tokens become one node, with the potentials of the
   match's own tokens, none above that of its label.
 
-Loopy belief propagation passes messages along both sorts of edges; runs of tokens with one
+Loopy belief propagation passes messages along both sorts of edges until they settle; runs of tokens with one
 label of belief of at least BELIEF that no base match touches, and whose digits pass the
 label's check (or repeat a base match), become added spans. Parameters are learnt from the base matches of about
 ``sample`` documents with such tokens at most (chosen by hash); every document is tagged whole.
@@ -42,7 +42,8 @@ LABELS = ("none", *KINDS)
 SAMPLE = 20_000
 SHAPES = 50_000
 BELIEF = 0.8
-ROUNDS = 12
+#: Messages have settled when none changes by more.
+SETTLED = 1e-4
 
 # fixed values: the base patterns
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -315,13 +316,18 @@ class Field:
                                np.repeat(self.chain.T[None], len(chain), 0), np.repeat(self.skip[None], len(skip), 0)])
         back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
         messages = np.zeros((len(source), len(LABELS)))
-        for _ in range(ROUNDS):
+        rounds, share, change = 0, 0.5, 1.0
+        while change > SETTLED:
             total = phi.copy()
             np.add.at(total, target, messages)
             inner = total[source] - messages[back]
             new = _logsumexp(inner[:, :, None] + pair)
             new -= new.max(axis=1, keepdims=True)
-            messages = 0.5 * messages + 0.5 * new
+            change = share * np.abs(new - messages).max()
+            messages = (1 - share) * messages + share * new
+            rounds += 1
+            if rounds % (100 + len(nodes)) == 0:  # messages that swing get smaller steps
+                share /= 2
         total = phi.copy()
         np.add.at(total, target, messages)
         return _softmax(total[:len(nodes)])

@@ -226,6 +226,13 @@ def test_repeats_of_base_matches_in_another_dress_are_added(field):
     assert not any("bob" in x or "11.0.0[" in x for _, x in got)
 
 
+def test_evidence_reaches_every_repeat(field):
+    text = "call +44 20 7946 0958 . " + " words between . 020 7946 0958 . " * 40
+    assert [x for x in added(text, field)] == [("phone", "020 7946 0958")] * 40
+    nodes = pii.nodes_of("7946 0958 and 7946 0958", [])
+    assert {i for i, _ in pii.edges_of("7946 0958 and 7946 0958", nodes, [])[1]} == {0, 1, 2, 3}
+
+
 def test_token_files_round_trip(spark, texts):
     from tokenizers import Tokenizer
 
