@@ -59,6 +59,7 @@ for _sign in SIGNS:
 
 _RUN = re.compile(r"(?<!\S)(?:[^\W_][ \-._*]{1,2}){3,}[^\W_](?!\S)")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
+_STRETCHED = re.compile(r"([^\W\d_])\1{3,}")
 _SIGN_SET = frozenset(SIGNS)
 
 
@@ -155,16 +156,27 @@ class Restorer:
             states = after if len(after) <= 64 else dict(sorted(after.items(), key=lambda s: s[1])[:64])
         return min(states.values())[1].strip()
 
+    def long_words(self, token: str) -> list[str]:
+        """The reading of a token of any length; a long one is read in overlapping windows, whose words
+        at a cut are left to the window that holds them whole."""
+        parts, out = _parts(token), []
+        for i, part in enumerate(parts):
+            read = self.decode(part).split()
+            out += read[int(i > 0):len(read) - int(i < len(parts) - 1)] if len(read) > 2 else read
+        return out
+
     def words(self, token: str) -> list[str]:
         """The restored words of one token (lower-cased, without signs at its ends)."""
         token = token.strip(".,;:?\"'()[]{}#%&*=/\\-_~^!<>|+")
         token = token.strip("$@") if token[-2:] in ("$$", "@@") or token[:2] in ("$$", "@@") else token
-        if not token or len(token) > 64:
-            return re.findall(r"[^\W\d_]+", token)
+        if not token:
+            return []
+        if len(token) > 64:
+            token = _STRETCHED.sub(r"\1\1\1", token)
         if token.isalpha() and not _TRIPLE.search(token):
             return [token]
         if self.suspicious(token):
-            return self.decode(token).split()
+            return self.long_words(token)
         return re.findall(r"[^\W\d_]+", token)
 
 

@@ -111,6 +111,24 @@ def test_restorer_reads_disguises():
     assert any("stupid" in w for w in toxicity.Tokens(reader, lambda w: w).of_text(long_run))
 
 
+@pytest.fixture(scope="module")
+def reader():
+    rng = random.Random(1)
+    plain = " ".join(rng.choice(["loser", "stupid", "trash", "the", "and", "house", "idiot", "river", "clown"]) for _ in range(4000))
+    counts = np.zeros(toxicity.CLASSES ** 3)
+    c = [0, *[toxicity.class_of(x) for x in plain]]
+    for a, b, d in zip(c, c[1:], c[2:]):
+        counts[a * toxicity.CLASSES ** 2 + b * toxicity.CLASSES + d] += 1
+    return toxicity.Restorer(toxicity.log_probabilities(counts))
+
+
+def test_long_tokens_are_restored(reader):
+    assert reader.words("st" + 70 * "u" + "pid") == ["stupid"]
+    glued = "/".join(["house", "river", "tr@sh", "the"] * 40 + ["l0ser"] + ["house", "river"] * 40)
+    assert len(glued) > 64 and {"loser", "trash"} <= set(reader.words(glued))
+    assert reader.words("x" * 30 + "ab" * 30) == ["xxx" + "ab" * 30] or "ab" in reader.words("x" * 30 + "ab" * 30)[0]
+
+
 def test_toxicity_learns_and_holds_out(spark):
     rng = random.Random(2)
     words = ["river", "house", "green", "paper", "stone", "music"]
