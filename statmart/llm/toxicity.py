@@ -5,6 +5,7 @@
    or more, single letters spread out by spaces or signs) becomes a lattice of characters:
    a sign may stand for letters it resembles, a repeated letter or a sign between letters may be
    dropped, each at a cost. Viterbi decoding under the trigram model picks the reading. Any other token has one reading.
+   Where no word of the reading counts, signs at a token's ends are read as letters and doubled letters as single ones.
 3. Features of a restored word are the word and its first four to six letters. A lexicon keeps those
    that are much more frequent in toxic labelled texts; a logistic regression on the weights of
    the words found gives the score.
@@ -57,10 +58,18 @@ for _sign in SIGNS:
     if ord(_sign) < len(_CLASS):
         _CLASS[ord(_sign)] = 60
 
-_RUN = re.compile(r"(?<!\S)(?:[^\W_][ \-._*]{1,2}){3,}[^\W_](?!\S)")
+_MARK = rf"(?:[^\W_]|[{re.escape(''.join(SIGNS))}])"
+_RUN = re.compile(rf"(?<!\S){_MARK}(?:[\s\-._*~^]+{_MARK}){{2,}}(?!\S)")
+_GAP = re.compile(r"[\s\-._*~^]+")
+_DOUBLE = re.compile(r"([^\W\d_])\1+")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _STRETCHED = re.compile(r"([^\W\d_])\1{3,}")
 _SIGN_SET = frozenset(SIGNS)
+#: What is stripped from a token's ends: signs that resemble no letter, and those that also end words.
+ENDS = ".,;:?\"')[]{}#%&*=/\\-_~^>"
+SIGN_ENDS = "(!<|+"
+#: Every choice of doubled letters is tried up to so many; beyond, the lattice picks.
+DOUBLES = 4
 
 
 #: A run of spread letters is read in windows of twice this length that overlap by half.
@@ -72,6 +81,15 @@ def _parts(run: str) -> list[str]:
     return [run[i:i + 2 * RUN_PART] for i in range(0, max(1, len(run) - RUN_PART), RUN_PART)]
 
 
+def _spread(run: str) -> str | None:
+    """A run of spread letters with one space at its narrowest gaps and two at wider ones; None if it
+    holds no letter (four digits or more may still stand for some)."""
+    if not any(c.isalpha() for c in run) and (len(_GAP.findall(run)) < 3 or not all(c.isdigit() for c in _GAP.sub("", run))):
+        return None
+    least = min(len(g) for g in _GAP.findall(run))
+    return _GAP.sub(lambda g: " " if len(g.group()) == least else "  ", run)
+
+
 def class_of(c: str) -> int:
     return int(_CLASS[ord(c)]) if ord(c) < len(_CLASS) else 59 if c.isalpha() else 0
 
@@ -120,8 +138,9 @@ class Restorer:
         return letters > 0 and (not _SIGN_SET.isdisjoint(token) or bool(_TRIPLE.search(token))
                                 or (letters > 2 and any(c in token for c in SEPARATORS)))
 
-    def decode(self, token: str) -> str:
-        """The likeliest reading: words of letters, separated by single spaces."""
+    def decode(self, token: str, forced: frozenset = frozenset()) -> str:
+        """The likeliest reading: words of letters, separated by single spaces; the signs at the places
+        ``forced`` are letters."""
         # states: (last two classes, last letter) -> (cost, reading)
         states = {(0, 0, ""): (0.0, "")}
         for i, c in enumerate(token + " "):
@@ -129,7 +148,8 @@ class Restorer:
             if c.isalpha():
                 options.append((c, 0.0))
             else:
-                options.append((" ", BREAK_COST if c in SIGNS and 0 < i < len(token) - 1 else 0.0))
+                if i not in forced:
+                    options.append((" ", BREAK_COST if c in SIGNS and 0 < i < len(token) - 1 else 0.0))
                 options += [(x, SIGN_COST) for x in SIGNS.get(c, "")]
             inner = 0 < i < len(token)
             drop = None
@@ -167,7 +187,7 @@ class Restorer:
 
     def words(self, token: str) -> list[str]:
         """The restored words of one token (lower-cased, without signs at its ends)."""
-        token = token.strip(".,;:?\"'()[]{}#%&*=/\\-_~^!<>|+")
+        token = token.strip(ENDS + SIGN_ENDS)
         token = token.strip("$@") if token[-2:] in ("$$", "@@") or token[:2] in ("$$", "@@") else token
         if not token:
             return []
@@ -179,6 +199,39 @@ class Restorer:
             return self.long_words(token)
         return re.findall(r"[^\W\d_]+", token)
 
+    def alternatives(self, token: str) -> list[str]:
+        """Words of the other readings of one token: signs at its ends as letters, doubled letters as single ones."""
+        outer = token.strip(ENDS)
+        core = outer.strip(ENDS + SIGN_ENDS)
+        if not any(c.isalpha() for c in core):
+            return []
+        out: list[str] = []
+        if core != outer:
+            first = outer.index(core)
+            last = first + len(core)
+            lead = frozenset([first - 1] if first and outer[first - 1] in SIGNS else [])
+            trail = frozenset([last] if last < len(outer) and outer[last] in SIGNS else [])
+            # places beyond a few signs next to the word are left out of the lattice
+            for forced in {lead, trail, lead | trail} - {frozenset()}:
+                start, end = (first - 1 if lead & forced else first), (last + 1 if trail & forced else last)
+                places = frozenset(i - start for i in forced)
+                out += self.decode(outer[start:end], places).split() if end - start <= 2 * RUN_PART else self.long_words(outer[start:end])
+        for word in dict.fromkeys([*self.words(token), *out]):
+            doubled = [m.span() for m in _DOUBLE.finditer(word)]
+            if not doubled:
+                continue
+            out.append(_DOUBLE.sub(r"\1", word))
+            if len(doubled) > DOUBLES:
+                out += self.long_words(word)
+                continue
+            for choice in range(1, 1 << len(doubled)):
+                parts, at = [], 0
+                for k, (a, b) in enumerate(doubled):
+                    parts.append(word[at:a] + (word[a] if choice >> k & 1 else word[a] * 2))
+                    at = b
+                out.append("".join(parts) + word[at:])
+        return list(dict.fromkeys(out))
+
 
 def features_of(word: str) -> list[str]:
     """The word, and its beginnings with a sign that tells them from words."""
@@ -194,6 +247,9 @@ class Tokens:
         self.restorer, self.value = restorer, value_of_word
         self.memo: dict[str, object] = {}
 
+    def _values(self, words: list[str]) -> list:
+        return [v for v in map(self.value, words) if v is not None]
+
     def of_text(self, text: str) -> list:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
@@ -202,11 +258,12 @@ class Tokens:
         memo, found = self.memo, []
         for token in tokens:
             if token not in memo:
-                memo[token] = [v for v in map(self.value, self.restorer.words(token)) if v is not None] or None
+                memo[token] = (self._values(self.restorer.words(token)) or self._values(self.restorer.alternatives(token))[:1]) or None
             if memo[token]:
                 found += memo[token]
         for run in _RUN.finditer(lowered):
-            for part in _parts(run.group()):
+            spread = _spread(run.group())
+            for part in _parts(spread) if spread else ():
                 for word in self.restorer.decode(part).split():
                     if len(word) > 2 and (value := self.value(word)) is not None:
                         found.append(value)

@@ -129,6 +129,16 @@ def test_long_tokens_are_restored(reader):
     assert reader.words("x" * 30 + "ab" * 30) == ["xxx" + "ab" * 30] or "ab" in reader.words("x" * 30 + "ab" * 30)[0]
 
 
+def test_signs_at_ends_spread_signs_and_doubled_letters(reader):
+    words = {"idiot", "loser", "trash", "clown", "stupid"}
+    tokens = toxicity.Tokens(reader, lambda w: w if w in words else None)
+    for text, word in (("!diot", "idiot"), ("|oser", "loser"), ("+rash", "trash"), ("(lown", "clown"), ("(!diot!)", "idiot"), ("iidioot", "idiot"),
+                       ("t r @ s h", "trash"), ("i d ! 0 t", "idiot"), ("s - t - u - p - i - d", "stupid"), ("s\tt\tu\tp\ti\td", "stupid"),
+                       ("s\nt\nu\np\ni\nd", "stupid"), ("c   l   o   w   n", "clown")):
+        assert tokens.of_text("the " + text + " house") == [word], text
+    assert tokens.of_text("(the) house! | | | river") == []
+
+
 def test_toxicity_learns_and_holds_out(spark):
     rng = random.Random(2)
     words = ["river", "house", "green", "paper", "stone", "music"]
