@@ -6,8 +6,8 @@
    a sign may stand for letters it resembles, a repeated letter or a sign between letters may be
    dropped, each at a cost. Viterbi decoding under the trigram model picks the reading. Any other token has one reading.
    Where no word of the reading counts, signs at a token's ends are read as letters and doubled letters as single ones.
-3. Features of a restored word are the word and its first four to six letters. A lexicon keeps those
-   that are much more frequent in toxic labelled texts; a logistic regression on the weights of
+3. Features of a restored word are the word and its first four to six letters. A lexicon keeps all those
+   that are much more frequent in toxic labelled texts, rare ones if that is hardly by chance; a logistic regression on the weights of
    the words found gives the score.
 
 Lexicon and regression are fitted on about ``sample`` labelled documents at most, chosen by hash; only
@@ -34,8 +34,9 @@ from statmart.session import materialize
 
 SAMPLE = 20_000
 THRESHOLD = 0.3
-#: Features kept as candidates (most frequent in toxic texts first) and in the lexicon.
-CANDIDATES, LEXICON = 100_000, 20_000
+#: A feature occurs in so many toxic texts at least; below a hundredth of them it must be as unlikely
+#: by chance as RARE_CHANCE.
+LEAST_SEEN, RARE_CHANCE = 4, 1e-3
 LEAST_LOG_ODDS = 2.5
 # fixed values: letters that signs resemble
 SIGNS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -234,9 +235,9 @@ class Restorer:
 
 
 def features_of(word: str) -> list[str]:
-    """The word, and its beginnings with a sign that tells them from words."""
+    """The word, and the beginnings of one of four letters or more with a sign that tells them from words."""
     if len(word) < 4:
-        return []
+        return [word]
     return [word, *{f"{word[:k]}*" for k in (4, 5, 6) if len(word) >= k}]
 
 
@@ -329,6 +330,14 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+def chance(toxic: int, clean: int, share: float) -> float:
+    """The chance that of ``toxic + clean`` texts at least ``toxic`` are toxic, if a ``share`` of texts is."""
+    n = toxic + clean
+    logs = (math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(share) + (n - k) * math.log1p(-share)
+            for k in range(toxic, n + 1))
+    return math.fsum(map(math.exp, logs))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learnt from: crc32 of the doc_id as text leaves 2 modulo 4."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -349,9 +358,8 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
     if not ones or not zeros:
         return docs.withColumn("__score", F.lit(0.0))
 
-    least = max(4, ones // 100)
     frequent = (_counted(learnt.where("toxic = 1"), logs, lambda word: features_of(word) or None)
-                .where(F.col("seen") >= least).orderBy(F.desc("seen"), "feature").limit(CANDIDATES))
+                .where(F.col("seen") >= LEAST_SEEN))
     toxic_seen = {r["feature"]: r["seen"] for r in frequent.collect()}
     candidates = context.broadcast(frozenset(toxic_seen))
 
@@ -360,8 +368,9 @@ def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFram
 
     clean_seen = {r["feature"]: r["seen"] for r in _counted(learnt.where("toxic = 0"), logs, known_features).collect()}
     odds = {f: math.log((n + 0.5) / (ones + 1)) - math.log((clean_seen.get(f, 0) + 0.5) / (zeros + 1)) for f, n in toxic_seen.items()}
-    kept = sorted(((w, f) for f, w in odds.items() if w >= LEAST_LOG_ODDS), reverse=True)[:LEXICON]
-    lexicon = context.broadcast({f: w for w, f in kept})
+    share = ones / (ones + zeros)
+    lexicon = context.broadcast({f: w for f, w in odds.items() if w >= LEAST_LOG_ODDS and (
+        100 * toxic_seen[f] >= ones or chance(toxic_seen[f], clean_seen.get(f, 0), share) <= RARE_CHANCE)})
 
     fitted = _findings(learnt, logs, lexicon).select("toxic", *FOUND).toPandas()
     weights = _logistic(fitted[list(FOUND)].to_numpy(), fitted["toxic"].to_numpy(dtype=np.float64))

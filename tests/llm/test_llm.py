@@ -139,6 +139,17 @@ def test_signs_at_ends_spread_signs_and_doubled_letters(reader):
     assert tokens.of_text("(the) house! | | | river") == []
 
 
+def test_rare_and_short_words_enter_the_lexicon(spark):
+    rng = random.Random(5)
+    words = ["river", "house", "green", "paper", "stone", "music"]
+    rare = {0: "grobian", 1: "zzq"}
+    rows = [(i, " ".join([*(rng.choice(words) for _ in range(8)), *([rare.get(i // 4 % 60, "loser")] if i % 4 == 0 else [])]), int(i % 4 == 0)) for i in range(4000)]
+    docs = spark.createDataFrame([*[(i, t) for i, t, _ in rows], (9000, "river grobian house"), (9001, "river zzq house")], "doc_id long, text string")
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity_scores(docs, spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")).collect()}
+    assert got[9000] == got[9001] == 1
+    assert toxicity.chance(4, 0, 0.5) == pytest.approx(1 / 16) and toxicity.chance(1, 1, 0.5) == pytest.approx(0.75)
+
+
 def test_toxicity_learns_and_holds_out(spark):
     rng = random.Random(2)
     words = ["river", "house", "green", "paper", "stone", "music"]
