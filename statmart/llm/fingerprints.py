@@ -2,10 +2,11 @@
 
 A k-mer of code points is a closed syncmer if the least hash among its s-mers stands at its first
 or last place. That depends on the k-mer alone (not on its neighbours), so an edit only disturbs
-anchors it touches. A fingerprint keeps the ANCHORS syncmers of least hash with their positions.
+anchors it touches. A fingerprint keeps the syncmers with hashes up to KEPT (an eighth of all, so their number
+grows with the text), and the ANCHORS of least hash where these are fewer, with their first positions.
 Two fingerprints are compared by their anchors: those of equal hash whose positions keep one
 common order (the longest increasing chain) count as matched; likeness is their share among the
-least hashes of the union, between 0 and 1.
+hashes of the union up to where both are complete, between 0 and 1.
 
 Defined results: empty text (or null): empty fingerprint, likeness 1 to another empty one and 0
 to any other; a text without a syncmer has the hash of the whole text as only anchor. Equal
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from statmart.llm.common import map_batches, partitions, range_buckets
 
 K, S, ANCHORS = 12, 4, 64
+KEPT = (1 << 32) // 8 - 1
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -67,11 +69,12 @@ def fingerprint(text: str, anchors: int = ANCHORS) -> tuple[np.ndarray, np.ndarr
         return np.array([xxhash.xxh32_intdigest(text.encode())], dtype=np.uint32), np.zeros(1, dtype=np.int64)
     if len(hashes) > 4 * anchors:  # only the least hashes can be kept
         bound = np.partition(hashes, 4 * anchors - 1)[4 * anchors - 1]
-        low = hashes <= bound
+        low = hashes <= max(bound, np.uint32(KEPT))
         if len(np.unique(hashes[low])) >= anchors:
             hashes, places = hashes[low], places[low]
     hashes, first = np.unique(hashes, return_index=True)
-    return hashes[:anchors], places[first[:anchors]]
+    kept = max(anchors, int(np.searchsorted(hashes, np.uint32(KEPT), side="right")))
+    return hashes[:kept], places[first[:kept]]
 
 
 def as_string(mark: tuple[np.ndarray, np.ndarray]) -> str:
@@ -80,12 +83,14 @@ def as_string(mark: tuple[np.ndarray, np.ndarray]) -> str:
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], anchors: int = ANCHORS) -> float:
-    """Share of matched anchors among the least hashes of both, 0 to 1."""
+    """Share of matched anchors among the hashes of both up to where both keep all, 0 to 1."""
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
-    union = np.union1d(a[0], b[0])[:anchors]
+    bound = min(max(int(x[0][-1]), KEPT) if len(x[0]) >= anchors else (1 << 32) - 1 for x in (a, b))
+    union = np.union1d(a[0], b[0])
+    union = union[union <= bound]
     common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    within = common <= union[-1]
+    within = common <= bound
     i, j = i[within], j[within]
     chain: list[int] = []
     for place in b[1][j][np.lexsort((b[1][j], a[1][i]))].tolist():

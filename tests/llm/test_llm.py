@@ -173,6 +173,24 @@ def test_closed_syncmers_equal_definition():
     assert fingerprints.closed_syncmers(text)[1].tolist() == expected
 
 
+def test_long_texts_keep_anchors_in_every_passage():
+    rng = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 9))) for _ in range(n))
+
+    shared, empty = words(50), 0
+    own, other = words(6000), words(6000)
+    places = np.sort(fingerprints.fingerprint(own)[1])
+    for at in range(0, len(own) - 300, 300):
+        empty += not ((places >= at) & (places < at + 300 - fingerprints.K)).any()
+    assert empty <= 0.02 * len(own) / 300
+    a, b = (fingerprints.fingerprint(x[:9000] + shared + x[9000:]) for x in (own, other))
+    assert 0 < fingerprints.likeness(a, b) < 0.05
+    assert fingerprints.likeness(a, fingerprints.fingerprint(own)) > 0.97
+    assert fingerprints.likeness(a, a) == 1.0
+
+
 def test_fingerprints_of_neighbours(spark, texts):
     unique = [(i, t) for i, t in texts if i is not None and not (i == 5 and t is texts[-2][1])]
     got = {r.doc_id: r for r in fingerprints.neighbour_fingerprints(frame(spark, unique)).collect()}
