@@ -285,11 +285,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, node) for every row of ``docs`` (doc_id, text).
-
-    ``node`` identifies the set (documents with equal node have equal sets).
-    """
+def _grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, n, node, comp, component_id) of every row: size and identity of its set, a node that
+    names its group (null without a set) and the group's least doc_id."""
     spark = docs.sparkSession
     heavy = spark.sparkContext.broadcast(_heavy_shingles(docs, words))
     signed = materialize(_signatures(docs, heavy, words, percent), "signatures")
@@ -332,16 +330,54 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     comps = connected_components(links.union(more))
     least = signed.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least")).join(comps, "node", "left")
     least = least.withColumn("comp", F.coalesce("comp", "node"))
-    ids = least.join(least.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("node", "component_id")
+    ids = least.join(least.groupBy("comp").agg(F.min("least").alias("component_id")), "comp").select("node", "comp", "component_id")
     out = signed.join(ids, "node", "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                      "node")
+    return out.select("doc_id", "n", "node", "comp", "component_id")
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, node) for every row of ``docs`` (doc_id, text).
+
+    ``node`` identifies the set (documents with equal node have equal sets).
+    """
+    return _grouped(docs, words, percent).select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "node")
+
+
+def _with_nodes(docs: DataFrame, words: int) -> DataFrame:
+    """``docs`` with each row's set identity ``__node``, null without a set."""
+    columns = docs.columns
+
+    def work():
+        def run(batch):
+            raws = text_bytes(batch)
+            nodes = [node_of(hashes) if len(hashes) else None
+                     for first, last in groups_of(raws) for hashes in shingle_sets(raws[first:last], words)]
+            return pa.RecordBatch.from_arrays([*[batch.column(c) for c in columns], pa.array(nodes, type=pa.int64())], [*columns, "__node"])
+
+        return run
+
+    return batches(docs, work, docs.withColumn("__node", F.lit(None).cast("long")).schema)
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` with one document of each group of near duplicates (the least doc_id)
-    kept; documents without a set are all kept. Repeated rows of the kept doc_id stay."""
-    groups = near_duplicates(docs, words, percent)
-    dropped = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` with one row of each group of near duplicates kept: that of the least
+    doc_id (nulls last), then of the least node, then of the least text; documents without a set are all kept."""
+    groups = materialize(_grouped(docs, words, percent).select("doc_id", "n", "node", "comp"), "row-groups")
+    kept = groups.where("n > 0").groupBy("comp").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node")).alias("kept"))
+    # a doc_id of one row tells that row; other rows are told by doc_id and node
+    repeated = materialize(groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1 OR doc_id IS NULL").select("doc_id"), "repeated-ids")
+    dropped = (groups.where("n > 0").join(kept, "comp").where(~F.col("doc_id").eqNullSafe(F.col("kept.doc_id")))
+               .select("doc_id").where("doc_id IS NOT NULL").distinct())
+    if repeated.isEmpty():
+        return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    ids = repeated.withColumnRenamed("doc_id", "__id")
+    told = F.col("doc_id").eqNullSafe(F.col("__id"))
+    single = docs.join(ids, told, "left_anti").join(dropped, "doc_id", "left_anti").select(docs.columns)
+    rows = _with_nodes(docs.join(ids, told, "left_semi"), words)
+    wanted = kept.select(F.col("kept.doc_id").alias("__id"), F.col("kept.node").alias("__kept"))
+    chosen = (rows.join(wanted, (F.col("__node") == F.col("__kept")) & told, "left_semi").groupBy("doc_id", "__node")
+              .agg(F.min_by(F.struct(*docs.columns), F.struct("text", F.xxhash64(*docs.columns))).alias("row")).select("row.*"))
+    return single.unionByName(rows.where("__node IS NULL").select(docs.columns)).unionByName(chosen)

@@ -58,6 +58,15 @@ def test_jaccard_components_equal_brute_force(spark, texts):
     assert kept.columns == [c.split()[0] for c in DOCS.split(", ")]
 
 
+def test_keep_one_decides_by_row(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(20)) for c in "xyz")
+    rows = [(1, one), (2, one), (2, two), (None, three), (None, three), (None, three.upper()), (3, None), (None, ""), (4, two + " more"), (None, one), (5, "own " + three[::-1])]
+    got = [(r.doc_id, r.text) for r in ngram_join.keep_one(frame(spark, rows)).collect()]
+    assert sorted(got, key=str) == sorted([(1, one), (2, two), (None, three.upper()), (3, None), (None, ""), (5, "own " + three[::-1])], key=str)
+    plain = ngram_join.keep_one(frame(spark, [(1, one), (2, one), (3, two), (4, None)])).collect()
+    assert sorted((r.doc_id for r in plain)) == [1, 3, 4]
+
+
 def test_n_best_equals_enumeration():
     model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
 
