@@ -104,10 +104,10 @@ def _triangle() -> list[tuple[int, int]]:
 
 def _factored(estimate: DataFrame, *more: str) -> DataFrame:
     """The Cholesky factor (l00 .. l44) of an estimate's scatter, and its log determinant."""
-    for i, j in _triangle():
-        rest = F.col(_cell(i, j)) - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
-        value = F.sqrt(F.greatest(rest, F.lit(1e-9))) if i == j else rest / F.col(f"l{j}{j}")
-        estimate = estimate.withColumn(f"l{i}{j}", value)
+    for j in range(D):  # a column of the factor at a time, which keeps plans small
+        rest = [F.col(_cell(i, j)) - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0)) for i in range(j, D)]
+        root = F.sqrt(F.greatest(rest[0], F.lit(1e-9)))
+        estimate = estimate.withColumns({f"l{j}{j}": root, **{f"l{i}{j}": rest[i - j] / root for i in range(j + 1, D)}})
     log_det = 2 * sum((F.log(f"l{i}{i}") for i in range(D)), F.lit(0.0))
     return estimate.select("key", *[f"m{i}" for i in range(D)], *[f"l{i}{j}" for i, j in _triangle()], log_det.alias("log_det"), *more)
 
