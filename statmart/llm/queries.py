@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statmart.llm import chat, fingerprints, mixing, ngram_join, outliers, pieces, pii, token_files, toxicity, url_filter
+from statmart.llm import (chat, fingerprints, hard_negatives, importance, mixing, ngram_join, outliers, pieces, pii, suffix_dedup,
+                          token_files, toxicity, url_filter)
 from statmart.llm.common import table
 
 
@@ -53,6 +55,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_sentencepiece": op2_sentencepiece,
@@ -64,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_personal_data": op9_personal_data,
     "op10_token_files": op10_token_files,
+    "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: Words of a text as DuckDB sees them.
@@ -113,5 +133,57 @@ SELECT d.doc_id, d.size, CAST(n.s AS BIGINT) AS source_size, n.target,
   CAST(d.size * (n.whole + CASE WHEN x.more THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source
 JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.h = x.h
+""",
+    "op11_suffix_dedup": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, i, b[i + 1:i + 200] AS s FROM (SELECT r, b, unnest(range(0, octet_length(b) - 199)) AS i FROM d WHERE octet_length(b) >= 200)),
+c AS (SELECT s FROM w GROUP BY s HAVING count(*) > 1),
+m AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 200, true) AS new FROM w SEMI JOIN c USING (s)),
+g AS (SELECT r, min(i) AS a, max(i) + 200 AS e FROM (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS k FROM m) GROUP BY r, k),
+p AS (SELECT r, a, e, coalesce(lag(e) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM g),
+t AS (SELECT d.r, CAST(sum(e - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+        string_agg(hex(b[before + 1:a]), '' ORDER BY a) || hex(any_value(b)[max(e) + 1:]) AS kept
+      FROM p JOIN d USING (r) GROUP BY d.r)
+SELECT d.doc_id, CAST(octet_length(d.b) AS BIGINT) AS n_bytes, coalesce(t.n_removed, 0) AS n_removed, coalesce(t.n_spans, 0) AS n_spans,
+  CASE WHEN t.r IS NULL THEN sha256(d.b) ELSE sha256(unhex(t.kept)) END AS kept_sha256
+FROM d LEFT JOIN t ON d.r = t.r
+""",
+    "op12_importance_resampling": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+dw AS (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(ws) AS w FROM d) GROUP BY r, w),
+bw AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM b) GROUP BY w),
+crc AS (SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, v) ORDER BY v) AS t
+        FROM (SELECT CAST(unnest(range(0, 256)) AS BIGINT) AS v)),
+words AS (SELECT DISTINCT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION ALL SELECT w FROM bw)),
+codes AS (SELECT w, xor(4294967295, list_reduce(list_transform(range(0, len(h) // 2), lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT)),
+        lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8), CAST(4294967295 AS BIGINT))) % 10000 AS k FROM words, crc),
+s AS (SELECT k, sum(n) AS s FROM dw JOIN codes USING (w) GROUP BY k),
+t AS (SELECT k, sum(n) AS t FROM bw JOIN codes USING (w) GROUP BY k),
+n AS (SELECT (SELECT coalesce(sum(n), 0) FROM dw) AS s_all, (SELECT coalesce(sum(n), 0) FROM bw) AS t_all),
+g AS (SELECT k, CAST(floor(1000 * ln((CAST(coalesce(t, 0) + 1 AS DOUBLE) * (s_all + 10000)) / (CAST(s + 1 AS DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain
+      FROM s LEFT JOIN t USING (k), n),
+x AS (SELECT r, sum(dw.n * gain) AS weight FROM dw JOIN codes USING (w) JOIN g USING (k) GROUP BY r),
+y AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+        CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8) AS BIGINT) + 0.5e0) / 4294967296e0))) AS BIGINT) AS score
+      FROM d LEFT JOIN x USING (r)),
+z AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS able FROM y)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * able // 100 THEN place END AS rank FROM z
+""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT p.*, s.other_id AS negative_id, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """,
 }
