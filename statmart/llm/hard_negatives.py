@@ -12,8 +12,8 @@ each group of row blocks, so that a task joins one block of anchors with one of
 shuffled once, nothing goes through the driver, and a task's memory is bound by BLOCK_BYTES. Each
 pair of blocks keeps the first few of each anchor, and a window over those gives the result.
 
-The references are rows of a bounded sample (SAMPLE rows, by a hash of their ids), each as far from
-the earlier ones as can be; they shape costs only.
+The references are rows of a bounded sample (SAMPLE rows at most, by a hash of their ids); they
+shape costs only.
 
 Defined results: rows with a null id, label or vector, or a null, NaN or infinite component take no
 part; vectors of another length than the anchor's aren't compared with it; a row with the anchor's own
@@ -62,16 +62,17 @@ def angles_to(vectors: np.ndarray, norms: np.ndarray, references: np.ndarray) ->
 
 
 def reference_directions(sample: np.ndarray, count: int = REFERENCES) -> np.ndarray:
-    """Unit rows of ``sample``: each the one farthest from those already taken."""
+    """Unit rows of ``sample``: each the one that brings most rows nearer to a direction taken, so
+    that crowded places, where intervals get narrow, come first."""
     norms = np.sqrt((sample * sample).sum(axis=1))
     units = sample[norms > 0] / norms[norms > 0][:, None]
-    if not len(units):
-        return np.zeros((0, sample.shape[1]))
-    taken = [0]
-    nearest = units @ units[0]
+    cosines, taken = units @ units.T, []
+    nearest = np.zeros(len(units))
     while len(taken) < min(count, len(units)):
-        taken.append(int(np.argmin(nearest)))
-        nearest = np.maximum(nearest, units @ units[taken[-1]])
+        gain = np.maximum(cosines - nearest[:, None], 0).sum(axis=0)
+        gain[taken] = -1.0
+        taken.append(int(np.argmax(gain)))
+        nearest = np.maximum(nearest, cosines[:, taken[-1]])
     return units[taken]
 
 
@@ -81,7 +82,7 @@ def angle_index(vectors: DataFrame, sample: int = SAMPLE, count: int = REFERENCE
     rows = rows.where("vec_id is not null and label is not null and embedding is not null")
     held = bounded_sample(rows.select("vec_id", "embedding"), sample, "vec_id").limit(2 * sample).toLocalIterator()
     drawn = [np.floor(SCALE * np.array(r.embedding, dtype=np.float64)) for r in sorted(held, key=lambda r: r.vec_id)
-             if all(x is not None and np.isfinite(x) for x in r.embedding)]
+             if all(x is not None and np.isfinite(x) for x in r.embedding)][:sample]
     width = max({len(x) for x in drawn}, key=lambda w: sum(len(x) == w for x in drawn), default=0)
     same = [x for x in drawn if len(x) == width]
     references = reference_directions(np.array(same).reshape(len(same), width), count)
