@@ -32,7 +32,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statmart.llm.common import batches, map_batches, partitions
@@ -349,7 +349,8 @@ def live(runs: DataFrame) -> DataFrame:
     """Runs whose mark comes more than once: in several places, in a copied text, or twice in a run."""
     twice = F.shiftright("pos", 1).bitwiseAND(F.lit(1).cast("long"))
     often = runs.groupBy("mark").agg(F.sum(1 + _copied() + twice).alias("n")).where("n > 1")
-    return runs.join(often.select("mark"), "mark", "left_semi")
+    # written first: the join can then split a hot mark, which it can't right above an aggregate
+    return runs.join(materialize(often.select("mark"), "suffix-marks"), "mark", "left_semi")
 
 
 def distinct_runs(places: DataFrame) -> DataFrame:
@@ -401,8 +402,10 @@ def repeats_of_runs(units: DataFrame, places: DataFrame, length: int, group: int
     single = whole_suffixes(pieces_of(units, runs.join(hot, "mark", "left_semi"), length), length)
     alike = materialize(live(single), "suffix-whole")
     again = repeated_suffixes(pieces_of(units, distinct_runs(alike), length), length)
-    back = alike.join(again.select("mark", "run").distinct(), ["mark", "run"], "left_semi")
-    return found.unionByName(back.select(F.col("of_mark").alias("mark"), F.col("of_run").alias("run"), F.col("offset").alias("first"), F.col("offset").alias("last")))
+    back = alike.join(again.select("mark", "run"), ["mark", "run"], "left_semi").select(F.col("of_mark").alias("mark"), F.col("of_run").alias("run"), "offset")
+    beside = Window.partitionBy("mark", "run").orderBy("offset")  # at most RUN rows
+    spans = back.withColumn("span", F.col("offset") - F.row_number().over(beside)).groupBy("mark", "run", "span")
+    return found.unionByName(spans.agg(F.min("offset").alias("first"), F.max("offset").alias("last")).drop("span"))
 
 
 def repeated_spans(units: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
