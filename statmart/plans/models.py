@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +24,9 @@ from statmart.operators.mart import build_mart
 from statmart.schemas import BOARD_SPECS, CHARTS, FAMILIES, TOP_BOARD_COLUMNS
 from statmart.sinks.export import export_csv
 from statmart.sinks.tables import load_snapshot, replace_table
-from statmart.sources.csv_files import (
-    QUARANTINED, SOURCE, family_glob, literal_path, mark_quarantine, read_csv_files, with_path_keys,
-)
+from statmart.sources.csv_files import family_glob, with_path_keys
 from statmart.sources.json_docs import explode_records, read_documents
-from statmart.streaming.incremental import list_files, loaded_files, read_target
+from statmart.streaming.incremental import batch_ingest, read_target
 
 
 def load_snapshot_file(spark: SparkSession, path: str, database: str,
@@ -120,26 +119,18 @@ def load_history(spark: SparkSession, root: str, out_dir: str,
     """Landed CSV families -> one parquet dataset per family under ``out_dir``,
     partitioned by season.
 
-    A file already loaded (its ``source_file`` is in the dataset) is not loaded again.
-    Later seasons may add columns: runs append, and ``read_history`` merges the schemas.
-    Rows that did not parse go to a partition of their own (``read_quarantine``). ``file_globs``
-    replaces a family's file pattern within its folder.
+    A file already loaded is not loaded again, a changed one replaces its earlier version
+    (``streaming.incremental``). Later seasons may add columns: runs append, and ``read_history``
+    merges the schemas. Rows that did not parse go to a partition of their own
+    (``read_quarantine``). ``file_globs`` replaces a family's file pattern within its folder.
     Returns the number of new files per family.
     """
     loaded = {}
     for family in families:
         globs = [family_glob(root, family, s, (file_globs or {}).get(family)) for s in (seasons or ["*"])]
-        target = f"{out_dir.rstrip('/')}/{family}"
-        files = list_files(spark, globs)
-        done = loaded_files(spark, target)
-        if done is not None:
-            files = files.join(done, SOURCE, "left_anti")
-        new = sorted(r[0] for r in files.collect())
-        loaded[family] = len(new)
-        if new:
-            rows = with_path_keys(read_csv_files(spark, [literal_path(p) for p in new],
-                                                 (schemas or {}).get(family)), family)
-            mark_quarantine(rows).write.mode("append").partitionBy("season", QUARANTINED).parquet(target)
+        loaded[family] = batch_ingest(
+            spark, globs, f"{out_dir.rstrip('/')}/{family}", (schemas or {}).get(family),
+            transform=partial(with_path_keys, family=family), partition_by=["season"])
     return loaded
 
 

@@ -2,15 +2,17 @@
 
 Files of one family may carry different headers (columns added, dropped or reordered
 between seasons). One Spark CSV read over such files maps columns by *position*, so
-values would land in the wrong column silently. Instead:
+values would land in the wrong column silently. Instead each landed byte is read once:
 
-1. ``file_headers``: one distributed text scan keeps the first non-blank line of every
-   file (the header), found as the earliest row of the file's first block;
-2. files are grouped by header on the cluster; only (header, paths) comes back to the
-   driver, which is file-listing metadata of the same size Spark's own listing has;
-3. one CSV read per distinct header with an explicit schema in that header's column
-   order, then ``unionByName(allowMissingColumns=True)``: a column absent from a file is
-   NULL, never shifted.
+1. ``landed_lines``: one text scan writes every line with its file, the start of its block
+   and a row number to the shared scratch folder;
+2. ``file_headers``: the earliest non-blank line of each file's first block is its header,
+   a small aggregation over the written lines; only the *distinct* headers come to the driver;
+3. headers are joined back to the lines by file, and each line is parsed by ``from_csv``
+   with the schema of its own header: a column absent from a file is NULL, never shifted.
+
+Types come from ``schema`` or, with ``infer=True``, from all values of a column: the kinds of
+its values are combined over all files (``infer_types``), never a sample of them.
 
 Rows that do not parse against the schema keep their raw text in ``_corrupt`` (PERMISSIVE
 mode) and are split off as quarantine instead of failing the load or being dropped.
@@ -21,8 +23,10 @@ from __future__ import annotations
 import csv
 import io
 import re
+import warnings
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +35,7 @@ from statmart.functions.text import (
     before_first_dot, clean_identifier, dashes_to_underscores, decoded_path, file_name,
     parent_folder,
 )
+from statmart.session import materialize
 
 CORRUPT = "_corrupt"
 SOURCE = "source_file"
@@ -64,32 +69,28 @@ def parse_header(line: str) -> list[str]:
     return out
 
 
-def file_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """(source_file, header): the first non-blank line of every file."""
-    lines = (spark.read.text(paths)
-             .select("value", decoded_path(F.col("_metadata.file_path")).alias(SOURCE),
-                     F.col("_metadata.file_block_start").alias("_start"),
-                     F.monotonically_increasing_id().alias("_row")))
-    first_block = lines.where((F.col("_start") == 0) & (F.trim("value") != ""))
-    return first_block.groupBy(SOURCE).agg(F.min_by("value", "_row").alias("header"))
-
+def landed_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame | None:
+    """(value, source_file, _start, _row) of all lines, written once; None where nothing landed.
 
-def header_groups(spark: SparkSession, paths: str | Sequence[str]) -> list[tuple[str, list[str]]]:
-    """Distinct headers with the files that carry each (sorted, deterministic).
-
-    One (file, header) pair per file comes back, the same metadata a file listing holds;
-    no task gathers a header's file list.
+    ``_row`` grows along each file's block, so the least one of a first block is its first line.
     """
-    groups: dict[str, list[str]] = {}
     try:
-        for r in file_headers(spark, paths).toLocalIterator():
-            groups.setdefault(r["header"], []).append(r[SOURCE])
-    except Exception as e:  # noqa: BLE001 - nothing landed under these paths (yet)
-        if "PATH_NOT_FOUND" not in str(e):
+        lines = spark.read.text(paths)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        import warnings
         warnings.warn(f"no files under {paths!r}")
-    return sorted((h, sorted(fs)) for h, fs in groups.items())
+        return None
+    rows = lines.select("value", decoded_path(F.col("_metadata.file_path")).alias(SOURCE),
+                        F.col("_metadata.file_block_start").alias("_start"),
+                        F.monotonically_increasing_id().alias("_row"))
+    return materialize(rows.where(F.trim("value") != ""), "landed-lines")
+
+
+def file_headers(lines: DataFrame) -> DataFrame:
+    """(source_file, header, _header_row): the first non-blank line of every file."""
+    return (lines.where(F.col("_start") == 0).groupBy(SOURCE)
+            .agg(F.min_by("value", "_row").alias("header"), F.min("_row").alias("_header_row")))
 
 
 def _schema_for(columns: Sequence[str], types: Mapping[str, T.DataType] | None) -> T.StructType:
@@ -106,43 +107,126 @@ def _as_types(schema: T.StructType | Mapping[str, T.DataType] | None) -> dict[st
     return dict(schema)
 
 
+def _empty(spark: SparkSession, types: Mapping[str, T.DataType]) -> DataFrame:
+    fields = [T.StructField(n, t) for n, t in types.items()]
+    return spark.createDataFrame([], T.StructType(
+        fields + [T.StructField(CORRUPT, T.StringType()), T.StructField(SOURCE, T.StringType())]))
+
+
+def _field(parsed: Sequence[tuple[Column, Sequence[str]]], name: str) -> Column:
+    """A column from whichever parsed line holds it (the others are NULL)."""
+    found = [line.getField(name) for line, columns in parsed if name in columns]
+    return F.coalesce(*found) if len(found) > 1 else found[0]
+
+
+def _parsed_lines(lines: DataFrame, headers: DataFrame, distinct: Sequence[str],
+                  types: Mapping[str, T.DataType], options: Mapping[str, str] | None) -> DataFrame:
+    """Lines other than headers, parsed by their own file's header."""
+    settings = {"mode": "PERMISSIVE", "quote": '"', "escape": '"',  # doubled quotes, as common tools write
+                "columnNameOfCorruptRecord": CORRUPT, **(options or {})}
+    # one row a file: broadcast when proven small, else a shuffle join (AQE splits a large file)
+    rows = lines.join(headers, SOURCE).where(F.col("_row") != F.col("_header_row"))
+    structs, parsed = {}, []
+    for k, header in enumerate(distinct):
+        schema = _schema_for(parse_header(header), types)
+        line = F.from_csv("value", _ddl(schema), settings)
+        structs[f"_line{k}"] = line if len(distinct) == 1 else F.when(F.col("header") == header, line)
+        parsed.append((F.col(f"_line{k}"), [f.name for f in schema.fields]))
+    names = list(dict.fromkeys(c for _, columns in parsed for c in columns if c != CORRUPT))
+    ordered = [c for c in types if c in names] + [c for c in names if c not in types]
+    return rows.select(SOURCE, *[c.alias(n) for n, c in structs.items()]).select(
+        *[_field(parsed, c).alias(c) for c in [*ordered, CORRUPT]], SOURCE)
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
                    schema: T.StructType | Mapping[str, T.DataType] | None = None,
-                   options: Mapping[str, str] | None = None) -> DataFrame:
+                   options: Mapping[str, str] | None = None, infer: bool = False) -> DataFrame:
     """Read CSV files whose headers may differ; columns are matched by name.
 
-    ``schema`` gives types by column name (absent names are read as text). The result has
-    the union of all columns, ``source_file`` and ``_corrupt`` (NULL for good rows).
+    ``schema`` gives types by column name. Absent names are read as text, or with ``infer``
+    as the narrowest type that holds all their values. The result has the union of all
+    columns, ``source_file`` and ``_corrupt`` (NULL for good rows).
     """
     types = _as_types(schema)
-    parts = []
-    for header, files in header_groups(spark, paths):
-        reader = (spark.read.schema(_schema_for(parse_header(header), types))
-                  .option("header", True).option("mode", "PERMISSIVE")
-                  .option("quote", '"').option("escape", '"')  # doubled quotes, as common tools write
-                  .option("columnNameOfCorruptRecord", CORRUPT))
-        for k, v in (options or {}).items():
-            reader = reader.option(k, v)
-        parts.append(reader.csv([literal_path(f) for f in files])
-                     .withColumn(SOURCE, decoded_path(F.col("_metadata.file_path"))))
-    if not parts:
-        fields = [T.StructField(n, t) for n, t in types.items()]
-        empty = T.StructType(fields + [T.StructField(CORRUPT, T.StringType()),
-                                       T.StructField(SOURCE, T.StringType())])
-        return spark.createDataFrame([], empty)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    ordered = [c for c in types if c in out.columns]
-    rest = [c for c in out.columns if c not in ordered and c not in (CORRUPT, SOURCE)]
-    return out.select(*ordered, *rest, CORRUPT, SOURCE)
+    lines = landed_lines(spark, paths)
+    if lines is None:
+        return _empty(spark, types)
+    headers = materialize(file_headers(lines), "landed-headers")
+    distinct = sorted(r[0] for r in headers.select("header").distinct().toLocalIterator())
+    if not distinct:
+        return _empty(spark, types)
+    rows = _parsed_lines(lines, headers, distinct, types, options)
+    return with_inferred_types(rows, known=types) if infer else rows
+
+
+# --- type inference ---------------------------------------------------------------------------
+
+#: Texts that stand for a missing value in the source's reader.
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+           "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+#: The kinds of values, as bits: the kinds of a column are the OR of those of its values, so
+#: partial results of tasks and files combine in any order.
+INTEGER, REAL, TIME, TRUTH, TEXT = 1, 2, 4, 8, 16
+_TIME = r"\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?"
+
+
+def present(value: Column) -> Column:
+    """A text value, NULL where it stands for a missing one."""
+    return F.when(~F.trim(value).isin(MISSING), value)
+
+
+def kind_bits(value: Column) -> Column:
+    """The kind of one text value as a bit (0 for a missing one)."""
+    text = F.trim(value)
+    return (F.when(value.isNull() | text.isin(MISSING), 0)
+            .when(text.rlike(r"^[+-]?\d+$"), F.when(text.try_cast("bigint").isNotNull(), INTEGER).otherwise(REAL))
+            .when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$") | F.lower(text).rlike(r"^[+-]?inf(inity)?$"), REAL)
+            .when(text.rlike(f"^{_TIME}$") & text.try_cast("timestamp_ntz").isNotNull(), TIME)
+            .when(F.lower(text).isin("true", "false"), TRUTH)
+            .otherwise(TEXT))
+
+
+def type_of_bits(bits: int | None) -> T.DataType:
+    """The narrowest type for the kinds seen; a column without any value is text."""
+    if bits in (INTEGER, TIME, TRUTH):
+        return {INTEGER: T.LongType(), TIME: T.TimestampNTZType(), TRUTH: T.BooleanType()}[bits]
+    return T.DoubleType() if bits in (REAL, REAL | INTEGER) else T.StringType()
+
+
+def infer_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
+    """Types for text columns from all their values: one aggregation, one row comes back."""
+    if not columns:
+        return {}
+    kinds = df.agg(*[F.bit_or(kind_bits(F.col(f"`{c}`"))).alias(str(i)) for i, c in enumerate(columns)]).first()
+    return {c: type_of_bits(kinds[i]) for i, c in enumerate(columns)}
+
+
+def typed(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StringType):
+        return present(value)
+    text = F.trim(value)
+    if isinstance(kind, T.DoubleType):  # the cast reads 'inf' and 'infinity' in one form each
+        text = F.regexp_replace(F.lower(text), "inf(inity)?$", "Infinity")
+    return F.when(~F.trim(value).isin(MISSING), text.try_cast(kind))
+
+
+def with_inferred_types(df: DataFrame, known: Mapping[str, T.DataType] = ()) -> DataFrame:
+    """Columns not in ``known`` as the type that all their values have; missing texts are NULL.
+    Rows that don't have their header's number of fields say nothing about types."""
+    columns = [c for c in df.columns if c not in known and c not in (CORRUPT, SOURCE)]
+    types = infer_types(df.where(F.col(CORRUPT).isNull()), columns)
+    return df.withColumns({c: typed(F.col(f"`{c}`"), t) for c, t in types.items()})
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without ``_corrupt``, quarantined rows with their raw text).
 
-    On a raw read, keep all columns in what you select: the CSV parser only checks the
-    columns a query reads. ``write_bronze`` decides once, over all columns.
+    A line is parsed as a whole, so what is bad does not depend on the columns a query reads.
     """
     good = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = df.where(F.col(CORRUPT).isNotNull())

@@ -1,19 +1,31 @@
 """Incremental, idempotent ingest of landed CSV files.
 
-Streaming form: a ``binaryFile`` file stream lists new CSV paths (the file contents are
-not read by the stream); its checkpoint remembers which files were already seen, so a
-file offered again is not loaded again. ``trigger(availableNow=True)`` processes what has
-landed and stops. Each micro-batch reads its files with the header-aware CSV reader and
-overwrites the folder ``batch_id=<n>`` of the target: a micro-batch that is re-run after
-a failure rewrites the same folder, so nothing is loaded twice.
-
-Batch form: list the files, ``left_anti`` join them with the files the target already
-holds (its own ``source_file`` column is the load log), load the rest.
+A target is a folder of parquet commits, ``<target>/batch=<id>``, and a manifest,
+``<target>/_manifest``, with one row for each file of a commit: path, size, modification time,
+batch, number of rows, time of the commit. Writing the manifest's rows *is* the commit: readers take
+only batches that it names, so a run that fails before leaves nothing visible, and running it again
+loads each file once. A run compares the listing with the manifest and never scans the target:
+
+* a file is new if no manifest row has its path, size and modification time. So a file without
+  any row is remembered, and a file that was delivered again with other contents is seen;
+* rows of a file's earlier version are hidden by readers (``read_target``).
+
+Batch form (``batch_ingest``): new files are loaded in slices of about ``slice_files``, each a
+commit of its own, so the driver never holds more than one slice's paths and a failed run keeps
+the slices that it has committed.
+
+Streaming form (``stream_ingest``): a ``binaryFile`` file stream lists new CSV paths (the file
+contents are not read by the stream); its checkpoint remembers which files were already seen.
+``trigger(availableNow=True)`` processes what has landed and stops. A micro-batch that is re-run
+after a failure replaces its own folder and manifest rows, so nothing is loaded twice.
+
+One run at a time writes to a target.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statmart.functions.text import decoded_path
+from statmart.session import materialize
 from statmart.sources.csv_files import (
     QUARANTINED, SOURCE, literal_path, mark_quarantine, read_csv_files, split_marked,
 )
@@ -31,42 +44,124 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("length", T.LongType()),
     T.StructField("content", T.BinaryType()),
 ])
+MANIFEST = f"{SOURCE} string, size long, modified timestamp, batch string, rows long, committed timestamp"
+#: Files that one commit loads, about; the paths of one commit are held on the driver.
+SLICE_FILES = 10_000
 
 
-def list_files(spark: SparkSession, glob: str | list[str], file_filter: str = "*.csv") -> DataFrame:
-    """(source_file) of the files matching ``glob`` (contents are not read); a glob that
-    matches nothing gives no rows."""
+def list_files(spark: SparkSession, glob: str | Sequence[str], file_filter: str = "*.csv") -> DataFrame:
+    """(source_file, size, modified) of the files matching ``glob`` (contents are not read); a
+    glob that matches nothing gives no rows."""
     globs = [glob] if isinstance(glob, str) else list(glob)
     found = []
     for g in globs:
         try:
-            found.append(spark.read.format("binaryFile").option("pathGlobFilter", file_filter)
-                         .load(g).select(decoded_path(F.col("path")).alias(SOURCE)))
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
+            found.append(spark.read.format("binaryFile").option("pathGlobFilter", file_filter).load(g).select(
+                decoded_path(F.col("path")).alias(SOURCE), F.col("length").alias("size"), F.col("modificationTime").alias("modified")))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
                 raise
     if not found:
-        return spark.createDataFrame([], f"{SOURCE} string")
+        return spark.createDataFrame([], f"{SOURCE} string, size long, modified timestamp")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
-    return out.distinct()
+    return out.dropDuplicates([SOURCE]) if len(found) > 1 else out
 
 
-def _write(rows: DataFrame, folder: str) -> None:
-    """Replace a batch's folder; rows that did not parse go to a partition of their own."""
-    mark_quarantine(rows).write.mode("overwrite").partitionBy(QUARANTINED).parquet(folder)
+# --- manifest ---------------------------------------------------------------------------------
+
+def _folder(target: str) -> str:
+    return f"{target.rstrip('/')}/_manifest"
+
+
+def read_manifest(spark: SparkSession, target: str) -> DataFrame:
+    """The manifest's rows; none where nothing has been committed."""
+    try:
+        return spark.read.schema(MANIFEST).parquet(_folder(target))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Listed files that no commit has loaded in this version."""
+    known = ["size", "modified", SOURCE]
+    return files.join(manifest.select(*known), known, "left_anti")
+
+
+def superseded(manifest: DataFrame) -> DataFrame:
+    """(source_file, batch) of file versions of which a later commit has another one."""
+    latest = manifest.groupBy(SOURCE).agg(
+        F.max_by("batch", F.struct("committed", "batch")).alias("_latest"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return manifest.join(latest, SOURCE).where(F.col("batch") != F.col("_latest")).select(SOURCE, "batch")
+
+
+def commit_files(spark: SparkSession, files: DataFrame, batch: str, target: str,
+                 schema: T.StructType | Mapping[str, T.DataType] | None = None,
+                 transform: Callable[[DataFrame], DataFrame] | None = None,
+                 partition_by: Sequence[str] = ()) -> int:
+    """Load a slice of listed files as one commit (replacing one of the same name): first the
+    rows, then their manifest rows. Returns the number of files."""
+    listed = files.collect()  # one slice at most, see ``slices``
+    if not listed:
+        return 0
+    rows = read_csv_files(spark, [literal_path(r[SOURCE]) for r in listed], schema)
+    rows = mark_quarantine(transform(rows) if transform else rows)
+    folder = f"{target.rstrip('/')}/batch={batch}"
+    rows.write.mode("overwrite").partitionBy(*partition_by, QUARANTINED).parquet(folder)
+    # rows of each file: one narrow column of what this commit has just written
+    try:
+        counts = spark.read.schema(f"{SOURCE} string").parquet(folder).groupBy(SOURCE).agg(F.count(F.lit(1)).alias("rows"))
+    except AnalysisException as e:  # files without any row
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        counts = spark.createDataFrame([], f"{SOURCE} string, rows long")
+    slice_rows = spark.createDataFrame(listed, files.schema)
+    manifest = slice_rows.join(counts, SOURCE, "left").select(
+        SOURCE, "size", "modified", F.lit(batch).alias("batch"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+        F.current_timestamp().alias("committed"))
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{_folder(target)}/commit={batch}")
+    return len(listed)
+
+
+def slices(files: DataFrame, slice_files: int = SLICE_FILES) -> Iterator[DataFrame]:
+    """Disjoint slices of about ``slice_files`` listed files, by a hash of their paths. A listing
+    beyond one slice is written once and the slices read from that; only counts come back."""
+    first = files.limit(slice_files + 1).cache()
+    try:
+        if first.count() <= slice_files:
+            yield first
+            return
+    finally:
+        first.unpersist()
+    count = files.count()
+    parts = -(-count // slice_files)
+    dealt = materialize(files.withColumn("_slice", F.pmod(F.xxhash64(SOURCE), F.lit(parts))), "listing")
+    for k in range(parts):
+        yield dealt.where(F.col("_slice") == k).drop("_slice")
+
+
+def batch_ingest(spark: SparkSession, glob: str | Sequence[str], target: str,
+                 schema: T.StructType | Mapping[str, T.DataType] | None = None,
+                 file_filter: str = "*.csv", run_id: str | None = None, slice_files: int = SLICE_FILES,
+                 transform: Callable[[DataFrame], DataFrame] | None = None,
+                 partition_by: Sequence[str] = ()) -> int:
+    """Load the files, or versions of files, not yet in ``target``; returns how many."""
+    files = new_files(list_files(spark, glob, file_filter), read_manifest(spark, target))
+    run, loaded = run_id or uuid.uuid4().hex[:12], 0
+    for k, part in enumerate(slices(files, slice_files)):
+        loaded += commit_files(spark, part, f"{run}-{k:06d}", target, schema, transform, partition_by)
+    return loaded
 
 
 def write_batch(spark: SparkSession, paths: list[str], batch_id: int, target: str,
                 schema: T.StructType | Mapping[str, T.DataType] | None = None) -> None:
-    """Load one micro-batch's files into ``<target>/batch_id=<n>``, replacing that folder:
-    running the same batch again (after a failure before its commit) writes the same rows
-    once, never twice."""
-    if not paths:
-        return
-    rows = read_csv_files(spark, [literal_path(p) for p in paths], schema)
-    _write(rows, f"{target.rstrip('/')}/batch_id={batch_id}")
+    """Load one micro-batch's files as commit ``stream-<n>``, replacing an earlier try: running the
+    same batch again (after a failure before its commit) writes the same rows once, never twice."""
+    if paths:
+        commit_files(spark, list_files(spark, [literal_path(p) for p in paths], "*"), f"stream-{batch_id:012d}", target, schema)
 
 
 def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
@@ -74,15 +169,14 @@ def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
                   file_filter: str = "*.csv", max_files_per_batch: int = 1000) -> None:
     """Load the files that landed since the last run into ``target`` (parquet folder)."""
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        # one path per new file in this micro-batch (bounded by max_files_per_batch)
-        paths = [r[0] for r in batch.select(decoded_path(F.col("path"))).collect()]
-        write_batch(batch.sparkSession, paths, batch_id, target, schema)
+        # one row per new file in this micro-batch (bounded by max_files_per_batch)
+        commit_files(batch.sparkSession, batch, f"stream-{batch_id:012d}", target, schema)
 
     query = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", file_filter)
              .option("maxFilesPerTrigger", max_files_per_batch)
              .load(glob)
-             .select("path")
+             .select(decoded_path(F.col("path")).alias(SOURCE), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
              .writeStream.foreachBatch(load_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
@@ -90,39 +184,21 @@ def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
     query.awaitTermination()
 
 
-def loaded_files(spark: SparkSession, target: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(target).select(SOURCE).distinct()
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing loaded yet
-            return None
-        raise
-
-
-def batch_ingest(spark: SparkSession, glob: str, target: str,
-                 schema: T.StructType | Mapping[str, T.DataType] | None = None,
-                 file_filter: str = "*.csv", run_id: str | None = None) -> int:
-    """Load the files not yet in ``target``; returns how many files were loaded."""
-    import uuid
-
-    files = list_files(spark, glob, file_filter)
-    done = loaded_files(spark, target)
-    if done is not None:
-        files = files.join(done, SOURCE, "left_anti")
-    paths = sorted(r[0] for r in files.collect())
-    if not paths:
-        return 0
-    rows = read_csv_files(spark, [literal_path(p) for p in paths], schema)
-    run = run_id or uuid.uuid4().hex[:12]
-    _write(rows, f"{target.rstrip('/')}/run_id={run}")
-    return len(paths)
+def _committed(spark: SparkSession, target: str) -> DataFrame:
+    """All rows of the target's commits, with the union of all batches' columns, without rows of
+    batches that were never committed and of replaced file versions."""
+    manifest = read_manifest(spark, target)
+    rows = spark.read.option("mergeSchema", True).parquet(target).withColumn("batch", F.col("batch").cast("string"))
+    # a commit a row: prunes the folders; replaced versions are few, mostly none
+    rows = rows.join(manifest.select("batch").distinct(), "batch", "left_semi")
+    return rows.join(superseded(manifest), [SOURCE, "batch"], "left_anti").drop("batch")
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame:
     """The target's rows that parsed, with the union of all batches' columns."""
-    return split_marked(spark.read.option("mergeSchema", True).parquet(target))[0]
+    return split_marked(_committed(spark, target))[0]
 
 
 def read_quarantine(spark: SparkSession, target: str) -> DataFrame:
     """The target's rows that did not parse, with their raw text in ``_corrupt``."""
-    return split_marked(spark.read.option("mergeSchema", True).parquet(target))[1]
+    return split_marked(_committed(spark, target))[1]
