@@ -17,6 +17,21 @@ def land_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def land_named(df: DataFrame, path: str) -> None:
+    """CSV files ``part-<n>.csv``: landing again under the same path delivers files of the same
+    names with other contents (as many as ``df`` has partitions)."""
+    spark = df.sparkSession
+    land_csv(df, incoming := fresh(spark, "incoming"))
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    file_system = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    file_system.mkdirs(hadoop.Path(path))
+    names = sorted(f.getPath().getName() for f in file_system.listStatus(hadoop.Path(incoming)))
+    for k, name in enumerate(n for n in names if n.startswith("part-")):
+        place = hadoop.Path(f"{path}/part-{k:05d}.csv")
+        file_system.delete(place, False)
+        file_system.rename(hadoop.Path(f"{incoming}/{name}"), place)
+
+
 def land_text(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Append a non-CSV file (``part-*.txt``) into a landing folder."""
     df.select(F.col(df.columns[0]).cast("string")).write.mode("append").text(path)

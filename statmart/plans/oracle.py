@@ -371,6 +371,12 @@ ORACLE["ingest_keep_all"] = (
 ORACLE["ingest_csv_quoted"] = (
     """SELECT p_partkey, '"' || replace(p_name, ' ', ', "') || '"' AS p_name, p_size FROM part""")
 ORACLE["ingest_quarantine"] = "SELECT 'x' || p_partkey || ',bad,1' AS line FROM part"
+ORACLE["ingest_inferred"] = (
+    "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' "
+    "THEN 'C' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey, " + r("o_totalprice") + ", "
+    + r("CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN o_totalprice ELSE floor(o_totalprice) END", "amount")
+    + ", o_orderdate, o_orderpriority, CAST(NULL AS VARCHAR) AS note FROM orders")
+ORACLE["ingest_manifest"] = ORDERS_SQL.replace(" FROM orders", ", 'True 0 True 0' AS loaded FROM orders")
 ORACLE["ingest_schema_growth"] = (
     "SELECT o_orderkey, " + r("o_totalprice") + ", CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' "
     "THEN o_orderpriority END AS o_orderpriority FROM orders")

@@ -547,6 +547,48 @@ def q_ingest_schema_growth(spark, sf_dir):
     return read_target(spark, target).select("o_orderkey", "o_totalprice", "o_orderpriority")
 
 
+@query("ingest_inferred")
+def q_ingest_inferred(spark, sf_dir):
+    """Types come from all values of a column: orders land in two waves; in the last one the
+    customer key turns to text and whole prices to broken ones, and a column is always empty."""
+    from statmart.plans.landing import land_csv
+    from statmart.sources.csv_files import read_csv_files
+    _, wave1, wave2 = _orders_waves(spark, sf_dir)
+    root = _fresh(spark, "ingest-inferred")
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "amount", "o_orderdate", "o_orderpriority", "note"]
+    note = F.lit(None).cast("string")
+    early = wave1.withColumns({"amount": F.floor("o_totalprice"), "note": note})
+    late = wave2.withColumns({"amount": F.col("o_totalprice"), "note": note,
+                              "o_custkey": F.concat(F.lit("C"), F.col("o_custkey").cast("string"))})
+    land_csv(early.select(*columns), f"{root}/land/1")
+    land_csv(late.select(*reversed(columns)), f"{root}/land/2")
+    return read_csv_files(spark, f"{root}/land/*/*.csv", infer=True).select(*columns)
+
+
+@query("ingest_manifest")
+def q_ingest_manifest(spark, sf_dir):
+    """The first wave lands with wrong prices beside a folder whose files hold headers only;
+    the second wave lands and the first is delivered again, under the same names, with right ones.
+    ``loaded`` tells that a run with nothing new (before and after) loads no file."""
+    from statmart.plans.landing import land_csv, land_named
+    from statmart.streaming.incremental import batch_ingest, read_target
+    orders, wave1, wave2 = _orders_waves(spark, sf_dir)
+    root = _fresh(spark, "ingest-manifest")
+    target = f"{root}/bronze_orders"
+
+    def run():
+        return batch_ingest(spark, f"{root}/land/*", target, schema=orders.schema)
+
+    land_named(wave1.withColumn("o_totalprice", F.col("o_totalprice") + 1), f"{root}/land/wave1")
+    land_csv(orders.limit(0), f"{root}/land/empty")
+    first, none = run(), run()
+    land_named(wave1, f"{root}/land/wave1")
+    land_csv(wave2, f"{root}/land/wave2")
+    second, again = run(), run()
+    state = f"{first > 0} {none} {second > 0} {again}"
+    return read_target(spark, target).select(*orders.columns, F.lit(state).alias("loaded"))
+
+
 @query("ingest_history")
 def q_ingest_history(spark, sf_dir):
     """Two seasons of three families through the history loader; the loader runs

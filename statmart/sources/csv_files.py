@@ -39,6 +39,8 @@ from statmart.session import materialize
 
 CORRUPT = "_corrupt"
 SOURCE = "source_file"
+#: Files whose headers may come to the driver; beyond that only the distinct headers do.
+HEADERS = 10_000
 
 # Family -> (folder under the season, file glob inside it, how the entity is named).
 FAMILIES: dict[str, tuple[str, str, str]] = {
@@ -155,8 +157,13 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
     lines = landed_lines(spark, paths)
     if lines is None:
         return _empty(spark, types)
-    headers = materialize(file_headers(lines), "landed-headers")
-    distinct = sorted(r[0] for r in headers.select("header").distinct().toLocalIterator())
+    headers = file_headers(lines)
+    few = headers.take(HEADERS + 1)
+    if len(few) <= HEADERS:  # few files: their headers become a local table, which joins without a job
+        headers, distinct = spark.createDataFrame([tuple(r) for r in few], headers.schema), sorted({r.header for r in few})
+    else:
+        headers = materialize(headers, "landed-headers")
+        distinct = sorted(r[0] for r in headers.select("header").distinct().toLocalIterator())
     if not distinct:
         return _empty(spark, types)
     rows = _parsed_lines(lines, headers, distinct, types, options)

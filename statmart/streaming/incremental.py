@@ -28,7 +28,7 @@ import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,7 +44,8 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("length", T.LongType()),
     T.StructField("content", T.BinaryType()),
 ])
-MANIFEST = f"{SOURCE} string, size long, modified timestamp, batch string, rows long, committed timestamp"
+LISTING = f"{SOURCE} string, size long, modified timestamp"
+MANIFEST = f"{LISTING}, batch string, rows long, committed timestamp"
 #: Files that one commit loads, about; the paths of one commit are held on the driver.
 SLICE_FILES = 10_000
 
@@ -62,7 +63,7 @@ def list_files(spark: SparkSession, glob: str | Sequence[str], file_filter: str
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
     if not found:
-        return spark.createDataFrame([], f"{SOURCE} string, size long, modified timestamp")
+        return spark.createDataFrame([], LISTING)
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -87,8 +88,8 @@ def read_manifest(spark: SparkSession, target: str) -> DataFrame:
 
 def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Listed files that no commit has loaded in this version."""
-    known = ["size", "modified", SOURCE]
-    return files.join(manifest.select(*known), known, "left_anti")
+    known = [SOURCE, "size", "modified"]
+    return files.join(manifest.select(*known), known, "left_anti").select(*known)
 
 
 def superseded(manifest: DataFrame) -> DataFrame:
@@ -98,16 +99,15 @@ def superseded(manifest: DataFrame) -> DataFrame:
     return manifest.join(latest, SOURCE).where(F.col("batch") != F.col("_latest")).select(SOURCE, "batch")
 
 
-def commit_files(spark: SparkSession, files: DataFrame, batch: str, target: str,
+def commit_files(spark: SparkSession, files: Sequence[Row], batch: str, target: str,
                  schema: T.StructType | Mapping[str, T.DataType] | None = None,
                  transform: Callable[[DataFrame], DataFrame] | None = None,
                  partition_by: Sequence[str] = ()) -> int:
     """Load a slice of listed files as one commit (replacing one of the same name): first the
     rows, then their manifest rows. Returns the number of files."""
-    listed = files.collect()  # one slice at most, see ``slices``
-    if not listed:
+    if not files:
         return 0
-    rows = read_csv_files(spark, [literal_path(r[SOURCE]) for r in listed], schema)
+    rows = read_csv_files(spark, [literal_path(r[SOURCE]) for r in files], schema)
     rows = mark_quarantine(transform(rows) if transform else rows)
     folder = f"{target.rstrip('/')}/batch={batch}"
     rows.write.mode("overwrite").partitionBy(*partition_by, QUARANTINED).parquet(folder)
@@ -118,29 +118,25 @@ def commit_files(spark: SparkSession, files: DataFrame, batch: str, target: str,
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         counts = spark.createDataFrame([], f"{SOURCE} string, rows long")
-    slice_rows = spark.createDataFrame(listed, files.schema)
-    manifest = slice_rows.join(counts, SOURCE, "left").select(
+    listed = spark.createDataFrame([tuple(r) for r in files], LISTING)
+    manifest = listed.join(counts, SOURCE, "left").select(
         SOURCE, "size", "modified", F.lit(batch).alias("batch"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
         F.current_timestamp().alias("committed"))
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{_folder(target)}/commit={batch}")
-    return len(listed)
+    return len(files)
 
 
-def slices(files: DataFrame, slice_files: int = SLICE_FILES) -> Iterator[DataFrame]:
-    """Disjoint slices of about ``slice_files`` listed files, by a hash of their paths. A listing
-    beyond one slice is written once and the slices read from that; only counts come back."""
-    first = files.limit(slice_files + 1).cache()
-    try:
-        if first.count() <= slice_files:
-            yield first
-            return
-    finally:
-        first.unpersist()
-    count = files.count()
-    parts = -(-count // slice_files)
+def slices(files: DataFrame, slice_files: int = SLICE_FILES) -> Iterator[list[Row]]:
+    """Disjoint slices of about ``slice_files`` listed files each. A listing beyond one slice is
+    written once and cut by a hash of the paths; the driver holds one slice's rows at a time."""
+    first = files.take(slice_files + 1)
+    if len(first) <= slice_files:
+        yield first
+        return
+    parts = -(-files.count() // slice_files)
     dealt = materialize(files.withColumn("_slice", F.pmod(F.xxhash64(SOURCE), F.lit(parts))), "listing")
     for k in range(parts):
-        yield dealt.where(F.col("_slice") == k).drop("_slice")
+        yield dealt.where(F.col("_slice") == k).drop("_slice").collect()
 
 
 def batch_ingest(spark: SparkSession, glob: str | Sequence[str], target: str,
@@ -161,7 +157,7 @@ def write_batch(spark: SparkSession, paths: list[str], batch_id: int, target: st
     """Load one micro-batch's files as commit ``stream-<n>``, replacing an earlier try: running the
     same batch again (after a failure before its commit) writes the same rows once, never twice."""
     if paths:
-        commit_files(spark, list_files(spark, [literal_path(p) for p in paths], "*"), f"stream-{batch_id:012d}", target, schema)
+        commit_files(spark, list_files(spark, [literal_path(p) for p in paths], "*").collect(), f"stream-{batch_id:012d}", target, schema)
 
 
 def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
@@ -170,7 +166,7 @@ def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
     """Load the files that landed since the last run into ``target`` (parquet folder)."""
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # one row per new file in this micro-batch (bounded by max_files_per_batch)
-        commit_files(batch.sparkSession, batch, f"stream-{batch_id:012d}", target, schema)
+        commit_files(batch.sparkSession, batch.collect(), f"stream-{batch_id:012d}", target, schema)
 
     query = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", file_filter)
