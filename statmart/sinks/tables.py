@@ -1,14 +1,20 @@
 """Table sinks (S11, K1-K5): write-once, replace, and the snapshot log.
 
-Tables are catalog tables; ``path`` makes them external tables at a given (shared)
-location, otherwise the session's warehouse decides.
+A table that may be replaced is a view, ``<name>``, over one of its versions, the catalog tables
+``<name>__v_<time>_<token>``. Replacing it writes a new version and then points the view at it,
+one catalog operation that also changes the schema: a reader finds the old version or the new one,
+never none. ``path`` puts the versions' files under a given (shared) folder; otherwise they lie in
+the database's location.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,75 +47,79 @@ def create_table_once(df: DataFrame, name: str, path: str | None = None,
     Returns True when this call created the table.
     """
     name = safe_name(name)
-    if table_exists(df.sparkSession, name):
+    spark = df.sparkSession
+    if table_exists(spark, name):
+        return False
+    version = _write_version(df, name, path, partition_by, None)
+    try:
+        spark.sql(f"CREATE VIEW {name} AS SELECT * FROM {version}")
+    except AnalysisException as e:  # another writer was first
+        if e.getCondition() != "TABLE_OR_VIEW_ALREADY_EXISTS":
+            raise
+        _drop_version(spark, version)
         return False
-    _writer(df, "ignore", path, partition_by).saveAsTable(name)
     return True
 
 
-def _table_base(spark: SparkSession, name: str) -> str:
-    """Folder that holds a table's versions: beside the tables' own folders in its database's
-    location, so dropping a managed table never takes a version with it."""
-    db, _, table = name.rpartition(".")
+def _write_version(df: DataFrame, name: str, path: str | None, partition_by: Sequence[str],
+                   bucket_by: tuple[int, str] | None) -> str:
+    """Write ``df`` as a new version of ``name``; the version's table name, which sorts by time."""
+    version = f"{name}__v_{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    writer = _writer(df, "errorifexists", f"{path.rstrip('/')}/{version.split('.')[-1]}" if path else None, partition_by)
+    if bucket_by is not None:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+    writer.saveAsTable(version)
+    return version
+
+
+def _point_to(spark: SparkSession, name: str, version: str) -> None:
+    """Make ``name`` the given version, by one catalog operation. A plain table of that name, made
+    by other means, becomes a version itself first (once in its life, by a rename)."""
+    if table_exists(spark, name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v_{0:020d}_{uuid.uuid4().hex[:8]}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+
+
+def versions(spark: SparkSession, name: str) -> list[str]:
+    """The versions of a table, oldest first (also such as a failed replace has left)."""
+    db, _, table = safe_name(name).rpartition(".")
     db = db or spark.catalog.currentDatabase()
-    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/_versions/{table}"
+    found = spark.catalog.listTables(db, f"{table}__v_*")
+    return sorted(f"{db}.{t.name}" for t in found)
+
+
+def _drop_version(spark: SparkSession, version: str) -> None:
+    """Drop a version with its files (the catalog keeps those under a given path)."""
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {version}").collect()}
+    spark.sql(f"DROP TABLE {version}")
+    if detail.get("Type") == "EXTERNAL":
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(detail["Location"])
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def replace_table(df: DataFrame, name: str, path: str | None = None,
                   partition_by: Sequence[str] = (),
-                  bucket_by: tuple[int, str] | None = None) -> bool:
+                  bucket_by: tuple[int, str] | None = None, keep_versions: int | None = None) -> bool:
     """K2/K5: create or replace the table with ``df`` (schema too).
 
-    ``df`` is computed once and written to a new version folder; only when that write has
-    committed is the table pointed at it (a catalog change, no data moves). A failed job
-    leaves the old table as it was. An empty ``df`` leaves the old table too (its empty
-    version folder is never referenced). ``df`` may read the table it replaces: the old
-    version's files are not touched while the new one is written.
+    ``df`` is computed once, into a new version; only when that write has committed does the
+    table show it. A job that fails at any step leaves the old table as it was. An empty ``df``
+    leaves the old table too. ``df`` may read the table it replaces: the old version's files are
+    not touched. ``keep_versions`` removes all but the newest versions, the new one included
+    (at least 1; a query that still reads a removed one fails); by default all are kept.
+    One writer at a time replaces a table; any number read it.
     """
-    import uuid
-
+    if keep_versions is not None and keep_versions < 1:
+        raise ValueError("keep_versions must be at least 1")
     spark = df.sparkSession
     name = safe_name(name)
-    token = uuid.uuid4().hex
-    version = f"{(path or _table_base(spark, name)).rstrip('/')}/v_{token}"
-    if bucket_by is not None:
-        return _replace_bucketed(df, name, version, token, partition_by, bucket_by)
-    writer = df.write.mode("errorifexists").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(version)
-    try:
-        empty = spark.read.parquet(version).isEmpty()
-    except Exception as e:  # noqa: BLE001 - an empty partitioned write has no data files
-        if "UNABLE_TO_INFER_SCHEMA" not in str(e) and "Unable to infer schema" not in str(e):
-            raise
-        empty = True
-    if empty:
-        return False
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=version, source="parquet")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
-    return True
-
-
-def _replace_bucketed(df: DataFrame, name: str, version: str, token: str,
-                      partition_by: Sequence[str], bucket_by: tuple[int, str]) -> bool:
-    """Bucketed version: bucket metadata lives in the catalog, so the new version is saved
-    as a side table, then renamed over the old one (both catalog-only changes)."""
-    spark = df.sparkSession
-    n, col = bucket_by
-    side = f"{name}__v_{token}"
-    writer = (df.write.mode("errorifexists").format("parquet").option("path", version)
-              .bucketBy(n, col).sortBy(col))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(side)
-    if spark.table(side).isEmpty():
-        spark.sql(f"DROP TABLE {side}")
+    version = _write_version(df, name, path, partition_by, bucket_by)
+    if spark.table(version).isEmpty():
+        _drop_version(spark, version)
         return False
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {side} RENAME TO {name}")
+    _point_to(spark, name, version)
+    for old in versions(spark, name)[:-keep_versions] if keep_versions else []:
+        _drop_version(spark, old)
     return True
 
 

@@ -223,3 +223,71 @@ def test_quoted_csv_fields(spark, tmp_dir):
         f.write('id,name,n\n1,"say ""hi"", ok",5\n2,"""q""",6\n')
     got = sorted((r.id, r.name, r.n) for r in read_csv_files(spark, f"{tmp_dir}/q.csv").collect())
     assert got == [("1", 'say "hi", ok', "5"), ("2", '"q"', "6")]
+
+
+def test_readers_never_miss_a_table_that_is_replaced(spark, tmp_dir):
+    import threading
+
+    db = "t_sinks_readers"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
+    name, seen, failed, stop = f"{db}.players", set(), [], threading.Event()
+    tables.replace_table(spark.range(1), name)
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(spark.table(name).count())
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in range(2, 12):
+            columns = ["id"] if n % 2 else ["id", F.lit(n).alias("more")]  # the schema changes as well
+            assert tables.replace_table(spark.range(n).select(*columns), name, keep_versions=6)
+    finally:
+        stop.set()
+        reader.join()
+    assert not failed and seen <= set(range(1, 12)) and len(seen) > 1
+    assert len(tables.versions(spark, name)) == 6 and spark.table(name).columns == ["id"]
+
+
+@pytest.mark.parametrize("step", ["_write_version", "_point_to"])
+def test_a_replace_that_dies_leaves_the_table(spark, tmp_dir, monkeypatch, step):
+    db = "t_sinks_dies" + step
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
+    name = f"{db}.players"
+    tables.replace_table(spark.range(3), name)
+
+    def die(*_):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, step, die)
+        with pytest.raises(KeyboardInterrupt):
+            tables.replace_table(spark.range(5), name)
+    assert spark.table(name).count() == 3
+    assert tables.replace_table(spark.range(7), name, keep_versions=1)
+    assert spark.table(name).count() == 7 and len(tables.versions(spark, name)) == 1
+
+
+def test_versions_under_a_path_are_removed_with_their_files(spark, tmp_dir):
+    db = "t_sinks_path"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
+    for n in (2, 3, 4):
+        assert tables.replace_table(spark.range(n).withColumn("k", F.col("id") % 2), f"{db}.t", f"{tmp_dir}/files",
+                                    partition_by=["k"], bucket_by=(2, "id"), keep_versions=2)
+    assert spark.table(f"{db}.t").count() == 4 and len(os.listdir(f"{tmp_dir}/files")) == 2
+    assert not tables.replace_table(spark.range(0).withColumn("k", F.col("id")), f"{db}.t", f"{tmp_dir}/files", partition_by=["k"])
+    assert len(os.listdir(f"{tmp_dir}/files")) == 2
+    with pytest.raises(ValueError):
+        tables.replace_table(spark.range(1), f"{db}.t", keep_versions=0)
+
+
+def test_a_plain_table_becomes_a_version(spark, tmp_dir):
+    db = "t_sinks_plain"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_dir}/db'")
+    spark.range(3).write.saveAsTable(f"{db}.t")
+    assert tables.replace_table(spark.table(f"{db}.t").where("id > 0"), f"{db}.t")
+    assert spark.table(f"{db}.t").count() == 2 and len(tables.versions(spark, f"{db}.t")) == 2
