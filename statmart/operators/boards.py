@@ -3,24 +3,25 @@
 Scale notes:
 * ``top_k`` is ``orderBy(...).limit(k)``, planned as TakeOrderedAndProject: every task
   keeps its own k best rows, so only (tasks x k) rows ever meet in one place.
-* ``rank_top`` keeps every row whose ``rank()`` is <= k without a global window (which
-  would put the whole input in one task). The k-th best value is found with a top-k, the
-  ranks of the at most k distinct values above it come from a window over <= k rows, and
-  those <= k rows are broadcast back to the data: the broadcast is bounded by k, and rows
-  tied at the limit are all kept however many there are.
+* ``rank_top`` keeps every row whose ``rank()`` is <= k with one scan of its input and without a
+  global window (which would put the whole input in one task): each task keeps its own rows of
+  rank <= k, ties included, by Spark's window group limit before anything is shuffled. On those
+  few the k-th best value is found with a top-k, the ranks of the at most k distinct values
+  above it come from a window over <= k rows, and those <= k rows are broadcast back: rows tied
+  at the limit are all kept however many there are, and never meet in one task.
 """
 
 from __future__ import annotations
 
 import warnings
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statmart.operators.filters import has_columns
 from statmart.schemas import BOARD_SPECS, CHARTS, RANK_LIMIT, TOP_BOARD_COLUMNS, TOP_N
+from statmart.session import materialize
 
 
 def _order(column: str, ascending: bool) -> Column:
@@ -28,30 +29,15 @@ def _order(column: str, ascending: bool) -> Column:
     return F.asc_nulls_last(column) if ascending else F.desc_nulls_last(column)
 
 
-class BoardPlan(NamedTuple):
-    """What a board can show: its sort key, its columns in order, and those not available."""
-
-    sort_key: str
-    shown: tuple[str, ...]
-    dropped: tuple[str, ...]
-
-
-def plan_board(available: Sequence[str], wanted: Sequence[str], sort_by: str) -> BoardPlan:
-    """Lay a board's columns over the available ones; no data is read."""
-    order = {c: i for i, c in reversed(list(enumerate(wanted)))}  # a repeated column counts once
-    by_place = sorted(order, key=order.__getitem__)
-    have = frozenset(available)
-    key = sort_by if sort_by in have else by_place[0]
-    return BoardPlan(key, tuple(c for c in by_place if c in have), tuple(c for c in by_place if c not in have))
-
-
 def tolerant_board(df: DataFrame, columns: Sequence[str], sort_by: str = "total_points",
                    ascending: bool = False) -> DataFrame:
-    """The board that ``plan_board`` lays out; a change from what was asked is a warning."""
-    plan = plan_board(df.columns, columns, sort_by)
-    if plan.dropped or plan.sort_key != sort_by:
-        warnings.warn(f"board sorted by {plan.sort_key!r}; not available: {list(plan.dropped)}")
-    return df.orderBy(_order(plan.sort_key, ascending)).select(*plan.shown)
+    """The columns that exist, sorted by ``sort_by`` or, without it, by the first one."""
+    shown = has_columns(df, columns)
+    key = sort_by if sort_by in df.columns else shown[0]
+    missing = [c for c in columns if c not in shown]
+    if missing or key != sort_by:
+        warnings.warn(f"board sorted by {key!r}; not available: {missing}")
+    return df.orderBy(_order(key, ascending)).select(*shown)
 
 
 def board(df: DataFrame, name: str) -> DataFrame:
@@ -67,19 +53,28 @@ def top_k(df: DataFrame, by: str, k: int = TOP_N, columns: Sequence[str] = TOP_B
     return (df.orderBy(_order(by, ascending), F.asc(tie_break)).limit(k).select(*keep))
 
 
+def leading_rows(df: DataFrame, by: str, k: int, ascending: bool = False) -> DataFrame:
+    """Rows among the first ``k`` ranks of their own task: a superset of those of all ranks <= k."""
+    own = Window.partitionBy("_task").orderBy(_order(by, ascending))
+    return (df.withColumn("_task", F.spark_partition_id()).withColumn("_own", F.rank().over(own))
+            .where(F.col("_own") <= k).drop("_task", "_own"))
+
+
 def rank_top(df: DataFrame, by: str, k: int = RANK_LIMIT, ascending: bool = False,
              rank_col: str = "rank") -> DataFrame:
     """W1 + F9: rows with ``rank() <= k`` over ``by`` (missing values rank last), plus rank.
 
     Rank of a value v = 1 + number of rows strictly before v, so every value among the
-    first k rows in sort order has rank <= k and no other value does.
+    first k rows in sort order has rank <= k and no other value does. The scan runs when this is
+    called: each task's leading rows are written, as they are read twice.
     """
-    firsts = df.select(F.col(by).alias("_v")).orderBy(_order("_v", ascending)).limit(k)
+    near = materialize(leading_rows(df, by, k, ascending), "leading-rows")
+    firsts = near.select(F.col(by).alias("_v")).orderBy(_order("_v", ascending)).limit(k)
     counts = firsts.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_order("_v", ascending)).rowsBetween(Window.unboundedPreceding, -1)
     ranks = counts.select(
         "_v", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + 1).cast("int").alias(rank_col))
-    joined = df.join(F.broadcast(ranks), df[by].eqNullSafe(ranks["_v"]), "inner")
+    joined = near.join(F.broadcast(ranks), near[by].eqNullSafe(ranks["_v"]), "inner")
     return joined.drop("_v")
 
 

@@ -1,102 +1,109 @@
-"""Exact quantiles with linear interpolation, computed without one task holding a group.
-
-``percentile``/``median`` are exact in Spark but their final aggregation keeps every
-distinct value of a group in one task. Here the work stays spread out, in one way for every size:
-
-1. count rows per (group, value): map-side partial aggregation, so a value that holds a
-   third of all rows becomes one row with a count;
-2. range-partition those (group, value, count) rows and write them once to the shared scratch
-   folder with their partition's number;
-3. per (partition, group) totals -> offsets by a window over at most ``partitions x groups``
-   rows; they tell which partition holds each rank a quantile needs (floor and ceil of
-   ``(n - 1) * p``);
-4. running counts by a window over (partition, group), only where a wanted rank lies; a window
-   never holds more than one range partition.
+"""Exact quantiles with linear interpolation: a sketch brackets each wanted rank, a second scan
+counts what lies below and sorts only the band between.
+
+``percentile``/``median`` are exact in Spark but their final aggregation keeps every distinct
+value of a group in one task. Here no value leaves its task but those of the bands:
+
+1. one aggregation gives each group's size, mean and a mergeable quantile sketch
+   (``percentile_approx``, rank error at most n / accuracy) with the values a margin below and
+   above each quantile; the margin covers the sketch's error four times;
+2. a second scan turns each value into its band's value, or into "below" (one counter for each
+   task, group and quantile), and drops those above. Counts combine before the shuffle, so a value
+   that holds a third of all rows is one row a task;
+3. running counts over each band, about 8 / accuracy of a group's rows, tell the values at the
+   wanted ranks. Groups so small that the margin is less than four ranks are their own band.
+
+The ranks found are checked against the counts; should one lie outside its band, bands are widened
+and the second scan runs again, so results are exact whatever the sketch does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statmart.functions.coerce import nan_to_null
-from statmart.session import default_parallelism, materialize
+from statmart.session import materialize
 
+ACCURACY = 10_000
 
-def value_counts(long_df: DataFrame, key: str, value: str) -> DataFrame:
-    """(_g, _v, _c): distinct (group, value) with counts; NULL and NaN values skipped."""
-    vals = (long_df.select(F.col(key).alias("_g"), nan_to_null(F.col(value).cast("double")).alias("_v"))
-            .where(F.col("_v").isNotNull()))
-    return vals.groupBy("_g", "_v").agg(F.count(F.lit(1)).alias("_c"))
 
+def _brackets(values: DataFrame, probs: Mapping[str, float], margin: float, accuracy: int) -> DataFrame:
+    """(_g, _n, _mean, _ends): size, mean and sketched values around each quantile, a row a group."""
+    around = [min(1.0, max(0.0, p + side * margin)) for p in probs.values() for side in (-1, 1)]
+    return values.groupBy("_g").agg(F.count("_v").alias("_n"), F.avg("_v").alias("_mean"),
+                                    F.percentile_approx("_v", around, accuracy).alias("_ends"))
 
-def counted_values(long_df: DataFrame, key: str, value: str) -> DataFrame:
-    """(_g, _v, _c, _pid): ``value_counts`` in range partitions of (group, value), written once;
-    means and quantiles read it instead of the input."""
-    spark = long_df.sparkSession
-    ranged = (value_counts(long_df, key, value).repartitionByRange(default_parallelism(spark), "_g", "_v")
-              .withColumn("_pid", F.spark_partition_id()))
-    return materialize(ranged, "value-counts")
 
+def _wanted(groups: DataFrame, probs: Mapping[str, float], margin: float) -> DataFrame:
+    """(_g, _q, _lo, _hi, _first, _second, _frac): a quantile's band and the 1-based ranks between
+    which it is interpolated."""
+    whole = F.col("_n") * margin < 4  # such a group is its own band
 
-def _targets(sizes: DataFrame, probs: Mapping[str, float]) -> DataFrame:
-    """(_g, _q, _frac, _side, _r): the two 1-based ranks each quantile interpolates between."""
-    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("_q"), F.lit(float(p)).alias("_p"))
-                                 for n, p in probs.items()]))
-    pos = (F.col("_n") - 1) * F.col("_p")
-    return (sizes.select("_g", "_n", wanted.alias("_qp"))
-            .select("_g", "_n", "_qp._q", "_qp._p")
-            .select("_g", "_q", (pos - F.floor(pos)).alias("_frac"),
-                    F.explode(F.array(
-                        F.struct(F.lit(0).alias("_side"), (F.floor(pos) + 1).cast("long").alias("_r")),
-                        F.struct(F.lit(1).alias("_side"), (F.ceil(pos) + 1).cast("long").alias("_r")),
-                    )).alias("_t"))
-            .select("_g", "_q", "_frac", "_t._side", "_t._r"))
+    def one(k: int, name: str, p: float) -> Column:
+        pos = (F.col("_n") - 1) * F.lit(float(p))
+        return F.struct(F.lit(name).alias("_q"),
+                        F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_ends")[2 * k]).alias("_lo"),
+                        F.when(whole, F.lit(float("inf"))).otherwise(F.col("_ends")[2 * k + 1]).alias("_hi"),
+                        (F.floor(pos) + 1).cast("long").alias("_first"), (F.ceil(pos) + 1).cast("long").alias("_second"),
+                        (pos - F.floor(pos)).alias("_frac"))
 
+    rows = F.explode(F.array(*[one(k, n, p) for k, (n, p) in enumerate(probs.items())]))
+    return groups.where("_n > 0").select("_g", rows.alias("_w")).select("_g", "_w.*")
 
-def exact_quantiles(long_df: DataFrame | None, key: str, value: str, probs: Mapping[str, float],
-                    counts: DataFrame | None = None) -> DataFrame:
-    """One row per group: ``key`` and one column per entry of ``probs`` (name -> p).
+
+def _selected(values: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(_g, _q, _frac, _a, _b): the values at each quantile's two ranks (null: not in its band)."""
+    # one row a group and quantile: broadcast when proven small, else a join on the group
+    near = values.where("_v is not null").join(wanted, "_g").where(F.col("_v") <= F.col("_hi"))
+    banded = near.select("_g", "_q", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v"))
+    counts = banded.groupBy("_g", "_q", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    upto = Window.partitionBy("_g", "_q").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counts.withColumn("_last", F.sum("_c").over(upto)).join(wanted, ["_g", "_q"])
+
+    def at(rank: str) -> Column:
+        here = (F.col(rank) <= F.col("_last")) & (F.col(rank) > F.col("_last") - F.col("_c"))
+        return F.max(F.when(here, F.col("_v")))
+
+    return placed.groupBy("_g", "_q").agg(F.max("_frac").alias("_frac"), at("_first").alias("_a"), at("_second").alias("_b"))
+
+
+def summaries(long_df: DataFrame, key: str, value: str, probs: Mapping[str, float],
+              accuracy: int = ACCURACY) -> DataFrame:
+    """One row per group: ``key``, ``n``, ``mean`` and one column per entry of ``probs`` (name -> p).
 
     Linear interpolation between the closest ranks, NULL/NaN values skipped: the same
     definition as a continuous quantile (``q(0.5)`` of 1, 2, 3, 4 is 2.5; ``q(0.9)`` 3.7).
-    ``counts`` may be passed from ``counted_values``.
+    The input is read twice; what is written between the scans has a few rows a group.
     """
-    if counts is None:
-        counts = counted_values(long_df, key, value)
-    totals = counts.groupBy("_pid", "_g").agg(F.sum("_c").alias("_t"))
-    earlier = Window.partitionBy("_g").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", "_g", "_t", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
-    sizes = totals.groupBy("_g").agg(F.sum("_t").alias("_n"))
-    wanted = (_targets(sizes, probs).join(offsets, "_g")
-              .where((F.col("_r") > F.col("_off")) & (F.col("_r") <= F.col("_off") + F.col("_t")))
-              .select("_pid", "_g", "_q", "_frac", "_side", (F.col("_r") - F.col("_off")).alias("_r")))
-    upto = Window.partitionBy("_pid", "_g").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (counts.join(wanted.select("_pid", "_g").distinct(), ["_pid", "_g"], "left_semi")
-              .withColumn("_last", F.sum("_c").over(upto)))
-    hits = placed.join(wanted, ["_pid", "_g"]).where(
-        (F.col("_r") <= F.col("_last")) & (F.col("_r") > F.col("_last") - F.col("_c")))
-    ends = hits.groupBy("_g", "_q").agg(
-        F.max(F.when(F.col("_side") == 0, F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_side") == 1, F.col("_v"))).alias("_hi"),
-        F.max("_frac").alias("_frac"))
-    lo, hi, frac = F.col("_lo"), F.col("_hi"), F.col("_frac")
-    between = F.when((lo == hi) | (frac == 0), lo).otherwise(lo + (hi - lo) * frac)
-    out = (ends.select("_g", "_q", between.alias("_val"))
-           .groupBy("_g").pivot("_q", list(probs)).agg(F.first("_val")))
-    return out.withColumnRenamed("_g", key)
-
-
-def mean_from_counts(ranged: DataFrame, key: str, name: str = "mean") -> DataFrame:
-    """Per-group mean from (group, value, count) rows."""
-    return ranged.groupBy("_g").agg(
-        (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias(name)).withColumnRenamed("_g", key)
+    values = long_df.select(F.col(key).alias("_g"), nan_to_null(F.col(value).cast("double")).alias("_v"))
+    margin = 4.0 / accuracy
+    while True:
+        groups = materialize(_brackets(values, probs, margin, accuracy), "quantile-brackets")
+        wanted = _wanted(groups, probs, margin)
+        found = materialize(_selected(values, wanted), "quantile-values")
+        whole = found.where("_a is not null and _b is not null")
+        if margin >= 1 or wanted.join(whole, ["_g", "_q"], "left_anti").isEmpty():
+            break
+        margin *= 16
+    a, b, frac = F.col("_a"), F.col("_b"), F.col("_frac")
+    between = F.when((a == b) | (frac == 0), a).otherwise(a + (b - a) * frac)
+    quantiles = (found.select("_g", "_q", between.alias("_val"))
+                 .groupBy("_g").pivot("_q", list(probs)).agg(F.first("_val")))
+    return (groups.where("_n > 0").join(quantiles, "_g")
+            .select(F.col("_g").alias(key), F.col("_n").alias("n"), F.col("_mean").alias("mean"), *probs))
+
+
+def exact_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str, float],
+                    accuracy: int = ACCURACY) -> DataFrame:
+    """One row per group: ``key`` and one column per entry of ``probs``, see ``summaries``."""
+    return summaries(long_df, key, value, probs, accuracy).select(key, *probs)
 
 
 def approx_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str, float],
-                     accuracy: int = 10_000) -> DataFrame:
+                     accuracy: int = ACCURACY) -> DataFrame:
     """Bounded-memory alternative: ``percentile_approx`` per group (rank error at most
     n / accuracy, the result is a value from the data, no interpolation)."""
     v = nan_to_null(F.col(value).cast("double"))

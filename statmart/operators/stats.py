@@ -15,9 +15,7 @@ from statmart.functions.arith import round_half_even
 from statmart.functions.coerce import nan_to_null, to_double
 from statmart.functions.text import format_2f, option_text
 from statmart.operators.filters import has_columns
-from statmart.operators.quantiles import (
-    approx_quantiles, counted_values, exact_quantiles, mean_from_counts,
-)
+from statmart.operators.quantiles import approx_quantiles, summaries
 from statmart.schemas import GROUP_METRICS, SUMMARY_STATS
 
 QUANTILES = {"median": 0.5, "p90": 0.9}
@@ -79,24 +77,20 @@ def stat_summary(df: DataFrame, stats: Sequence[str] = SUMMARY_STATS,
                  accuracy: int = 10_000) -> DataFrame:
     """One row per statistic with its mean and quantiles (median, p90).
 
-    ``exact=True`` (default): linear interpolation between the closest ranks. When this is
-    called the value counts are computed and written once, in range partitions; no task holds a
-    group. ``exact=False``: ``percentile_approx``,
-    fully lazy.
+    ``exact=True`` (default): linear interpolation between the closest ranks; the two scans of
+    ``quantiles.summaries`` run when this is called, no task holds a group. ``exact=False``:
+    ``percentile_approx``, fully lazy.
     """
     stats = has_columns(df, stats)
     long = long_form(df, stats)
     if exact:
-        counts = counted_values(long, "stat", "value")
-        means = mean_from_counts(counts, "stat")
-        qs = exact_quantiles(None, "stat", "value", quantiles, counts=counts)
+        found = summaries(long, "stat", "value", quantiles)
     else:
-        means = long.groupBy("stat").agg(F.avg("value").alias("mean"))
-        qs = approx_quantiles(long, "stat", "value", quantiles, accuracy)
+        found = long.groupBy("stat").agg(F.avg("value").alias("mean")).join(
+            approx_quantiles(long, "stat", "value", quantiles, accuracy), "stat")
     # every listed statistic gets a row, NULL when it has no values
     names = df.sparkSession.createDataFrame([(s,) for s in stats], "stat string")
-    return (names.join(means, "stat", "left").join(qs, "stat", "left")
-            .select("stat", "mean", *quantiles.keys()))
+    return names.join(found, "stat", "left").select("stat", "mean", *quantiles)
 
 
 def summary_text(summary: DataFrame) -> DataFrame:

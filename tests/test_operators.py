@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from statmart.operators import boards, filters, live, stats
 from statmart.operators.conform import dim_players, fact_player_history
@@ -240,3 +241,51 @@ def test_stat_summary_on_empty_input(spark):
     got = {r.stat: (r.mean, r.median, r.p90) for r in
            stats.stat_summary(df, ["total_points", "assists"]).collect()}
     assert got == {"total_points": (None, None, None), "assists": (None, None, None)}
+
+
+@pytest.mark.parametrize("accuracy", [16, 200, 10_000])
+def test_quantile_bands_equal_numpy(spark, accuracy):
+    from statmart.operators.quantiles import summaries
+
+    rng = np.random.default_rng(4)
+    n = 30_000
+    groups = np.where(rng.random(n) < 0.01, "small", np.where(rng.random(n) < 0.5, "hot", "wide"))
+    values = np.where((groups == "hot") & (rng.random(n) < 0.6), 7.25, np.round(rng.lognormal(3, 4, n), 3))
+    values[:40] = [np.nan, np.inf, -np.inf, -0.0] * 10
+    import pandas as pd
+    df = spark.createDataFrame(pd.DataFrame({"k": groups, "v": values})).repartition(7)
+    df = df.unionByName(spark.createDataFrame([("none", None), ("one", 3.5), ("two", 1.0), ("two", 2.0)], "k string, v double"))
+    probs = {"least": 0.0, "median": 0.5, "p90": 0.9, "p999": 0.999, "most": 1.0}
+    got = {r.k: r for r in summaries(df, "k", "v", probs, accuracy).collect()}
+    assert set(got) == {"small", "hot", "wide", "one", "two"} and got["two"].median == 1.5
+    for g in ("small", "hot", "wide"):
+        own = np.sort(values[(groups == g) & ~np.isnan(values)])
+        assert got[g].n == len(own)
+        for name, p in probs.items():
+            pos = (len(own) - 1) * p
+            a, b = own[int(np.floor(pos))], own[int(np.ceil(pos))]
+            assert got[g][name] == (a if a == b or pos == int(pos) else a + (b - a) * (pos - int(pos)))
+
+
+def test_bands_are_widened_until_they_hold_the_ranks(spark, monkeypatch):
+    from statmart.operators import quantiles
+
+    honest = quantiles._brackets
+
+    def wrong(values, probs, margin, accuracy):  # a sketch far off while the margin is small
+        found = honest(values, probs, margin, accuracy)
+        return found if margin > 0.5 else found.withColumn("_ends", F.transform("_ends", lambda x: x - 1e6))
+
+    monkeypatch.setattr(quantiles, "_brackets", wrong)
+    df = spark.range(5000).select(F.lit("g").alias("k"), F.col("id").cast("double").alias("v"))
+    assert quantiles.exact_quantiles(df, "k", "v", {"q": 0.5}, 4000).first()["q"] == 2499.5
+
+
+def test_rank_top_scans_once_and_limits_before_the_shuffle(spark):
+    df = spark.range(0, 20_000, numPartitions=6).select("id", F.when(F.col("id") % 3 == 0, 50.0).otherwise(F.col("id") % 40).alias("v"))
+    text = boards.leading_rows(df, "v", 20)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Range") == 1 and "WindowGroupLimit" in text
+    got = boards.rank_top(df, "v", 20)
+    assert got.count() == 6667 and {r["rank"] for r in got.select("rank").distinct().collect()} == {1}
+    few = {r.id: r["rank"] for r in boards.rank_top(df.where("id < 9"), "v", 4).collect()}
+    assert few == {0: 1, 3: 1, 6: 1, 8: 4}
