@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from statmart.operators.filters import has_columns
 from statmart.schemas import BOARD_SPECS, CHARTS, RANK_LIMIT, TOP_BOARD_COLUMNS, TOP_N
-from statmart.session import materialize
+from statmart.session import settled
 
 
 def _order(column: str, ascending: bool) -> Column:
@@ -66,9 +66,9 @@ def rank_top(df: DataFrame, by: str, k: int = RANK_LIMIT, ascending: bool = Fals
 
     Rank of a value v = 1 + number of rows strictly before v, so every value among the
     first k rows in sort order has rank <= k and no other value does. The scan runs when this is
-    called: each task's leading rows are written, as they are read twice.
+    called: each task's leading rows are kept, as they are read twice.
     """
-    near = materialize(leading_rows(df, by, k, ascending), "leading-rows")
+    near = settled(leading_rows(df, by, k, ascending), "leading-rows")
     firsts = near.select(F.col(by).alias("_v")).orderBy(_order("_v", ascending)).limit(k)
     counts = firsts.groupBy("_v").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(_order("_v", ascending)).rowsBetween(Window.unboundedPreceding, -1)

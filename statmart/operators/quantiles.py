@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from statmart.functions.coerce import nan_to_null
-from statmart.session import materialize
+from statmart.session import settled
 
 ACCURACY = 10_000
 
@@ -37,37 +37,43 @@ def _brackets(values: DataFrame, probs: Mapping[str, float], margin: float, accu
                                     F.percentile_approx("_v", around, accuracy).alias("_ends"))
 
 
-def _wanted(groups: DataFrame, probs: Mapping[str, float], margin: float) -> DataFrame:
-    """(_g, _q, _lo, _hi, _first, _second, _frac): a quantile's band and the 1-based ranks between
-    which it is interpolated."""
+def _place(p: float) -> Column:
+    """Where a quantile lies among ``_n`` sorted values, counted from 0."""
+    return (F.col("_n") - 1) * F.lit(float(p))
+
+
+def _bands(groups: DataFrame, probs: Mapping[str, float], margin: float) -> DataFrame:
+    """(_g, _q, _lo, _hi, _first, _second): a quantile's band of values and the 1-based ranks
+    between which it is interpolated."""
     whole = F.col("_n") * margin < 4  # such a group is its own band
 
-    def one(k: int, name: str, p: float) -> Column:
-        pos = (F.col("_n") - 1) * F.lit(float(p))
-        return F.struct(F.lit(name).alias("_q"),
+    def one(k: int, p: float) -> Column:
+        return F.struct(F.lit(k).alias("_q"),
                         F.when(whole, F.lit(float("-inf"))).otherwise(F.col("_ends")[2 * k]).alias("_lo"),
                         F.when(whole, F.lit(float("inf"))).otherwise(F.col("_ends")[2 * k + 1]).alias("_hi"),
-                        (F.floor(pos) + 1).cast("long").alias("_first"), (F.ceil(pos) + 1).cast("long").alias("_second"),
-                        (pos - F.floor(pos)).alias("_frac"))
+                        (F.floor(_place(p)) + 1).cast("long").alias("_first"), (F.ceil(_place(p)) + 1).cast("long").alias("_second"))
 
-    rows = F.explode(F.array(*[one(k, n, p) for k, (n, p) in enumerate(probs.items())]))
+    rows = F.explode(F.array(*[one(k, p) for k, p in enumerate(probs.values())]))
     return groups.where("_n > 0").select("_g", rows.alias("_w")).select("_g", "_w.*")
 
 
-def _selected(values: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(_g, _q, _frac, _a, _b): the values at each quantile's two ranks (null: not in its band)."""
+def _selected(values: DataFrame, groups: DataFrame, probs: Mapping[str, float], margin: float) -> DataFrame:
+    """(_g, _n, _mean, _a0, _b0, _a1, ...): the values at each quantile's two ranks, a row a group
+    (null: a rank outside its band)."""
+    bands = _bands(groups, probs, margin)
     # one row a group and quantile: broadcast when proven small, else a join on the group
-    near = values.where("_v is not null").join(wanted, "_g").where(F.col("_v") <= F.col("_hi"))
-    banded = near.select("_g", "_q", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v"))
-    counts = banded.groupBy("_g", "_q", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    near = values.where("_v is not null").join(bands, "_g").where(F.col("_v") <= F.col("_hi"))
+    banded = near.select("_g", "_q", "_first", "_second", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_v"))
+    counts = banded.groupBy("_g", "_q", "_first", "_second", "_v").agg(F.count(F.lit(1)).alias("_c"))
     upto = Window.partitionBy("_g", "_q").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.withColumn("_last", F.sum("_c").over(upto)).join(wanted, ["_g", "_q"])
+    placed = counts.withColumn("_last", F.sum("_c").over(upto))
 
-    def at(rank: str) -> Column:
-        here = (F.col(rank) <= F.col("_last")) & (F.col(rank) > F.col("_last") - F.col("_c"))
+    def at(k: int, rank: str) -> Column:
+        here = (F.col("_q") == k) & (F.col(rank) <= F.col("_last")) & (F.col(rank) > F.col("_last") - F.col("_c"))
         return F.max(F.when(here, F.col("_v")))
 
-    return placed.groupBy("_g", "_q").agg(F.max("_frac").alias("_frac"), at("_first").alias("_a"), at("_second").alias("_b"))
+    ends = [at(k, rank).alias(f"{name}{k}") for k in range(len(probs)) for name, rank in (("_a", "_first"), ("_b", "_second"))]
+    return groups.where("_n > 0").drop("_ends").join(placed.groupBy("_g").agg(*ends), "_g", "left")
 
 
 def summaries(long_df: DataFrame, key: str, value: str, probs: Mapping[str, float],
@@ -76,24 +82,24 @@ def summaries(long_df: DataFrame, key: str, value: str, probs: Mapping[str, floa
 
     Linear interpolation between the closest ranks, NULL/NaN values skipped: the same
     definition as a continuous quantile (``q(0.5)`` of 1, 2, 3, 4 is 2.5; ``q(0.9)`` 3.7).
-    The input is read twice; what is written between the scans has a few rows a group.
+    The input is read twice; what is kept between the scans has a row a group.
     """
     values = long_df.select(F.col(key).alias("_g"), nan_to_null(F.col(value).cast("double")).alias("_v"))
     margin = 4.0 / accuracy
     while True:
-        groups = materialize(_brackets(values, probs, margin, accuracy), "quantile-brackets")
-        wanted = _wanted(groups, probs, margin)
-        found = materialize(_selected(values, wanted), "quantile-values")
-        whole = found.where("_a is not null and _b is not null")
-        if margin >= 1 or wanted.join(whole, ["_g", "_q"], "left_anti").isEmpty():
+        groups = settled(_brackets(values, probs, margin, accuracy), "quantile-brackets")
+        found = settled(_selected(values, groups, probs, margin), "quantile-values")
+        outside = " or ".join(f"_a{k} is null or _b{k} is null" for k in range(len(probs)))
+        if margin >= 1 or found.where(outside).isEmpty():
             break
         margin *= 16
-    a, b, frac = F.col("_a"), F.col("_b"), F.col("_frac")
-    between = F.when((a == b) | (frac == 0), a).otherwise(a + (b - a) * frac)
-    quantiles = (found.select("_g", "_q", between.alias("_val"))
-                 .groupBy("_g").pivot("_q", list(probs)).agg(F.first("_val")))
-    return (groups.where("_n > 0").join(quantiles, "_g")
-            .select(F.col("_g").alias(key), F.col("_n").alias("n"), F.col("_mean").alias("mean"), *probs))
+
+    def between(k: int, p: float) -> Column:
+        a, b, frac = F.col(f"_a{k}"), F.col(f"_b{k}"), _place(p) - F.floor(_place(p))
+        return F.when((a == b) | (frac == 0), a).otherwise(a + (b - a) * frac)
+
+    return found.select(F.col("_g").alias(key), F.col("_n").alias("n"), F.col("_mean").alias("mean"),
+                        *[between(k, p).alias(name) for k, (name, p) in enumerate(probs.items())])
 
 
 def exact_quantiles(long_df: DataFrame, key: str, value: str, probs: Mapping[str, float],

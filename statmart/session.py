@@ -79,11 +79,23 @@ def materialize(df, name: str):
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)  # known: no job to look it up
+
+
+#: Rows that ``settled`` may hold on the driver.
+FEW_ROWS = 10_000
+
+
+def settled(df, name: str, rows: int = FEW_ROWS):
+    """``df`` computed once: as a local table if it has at most ``rows`` rows, else written."""
+    found = df.take(rows + 1)
+    if len(found) > rows:
+        return materialize(df, name)
+    return df.sparkSession.createDataFrame([tuple(r) for r in found], df.schema)
 
 
 def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "materialize", "default_parallelism"]
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "materialize", "settled", "default_parallelism"]

@@ -25,6 +25,7 @@ import io
 import re
 import warnings
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,7 +36,7 @@ from statmart.functions.text import (
     before_first_dot, clean_identifier, dashes_to_underscores, decoded_path, file_name,
     parent_folder,
 )
-from statmart.session import materialize
+from statmart.session import materialize, settled
 
 CORRUPT = "_corrupt"
 SOURCE = "source_file"
@@ -90,9 +91,11 @@ def landed_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame |
 
 
 def file_headers(lines: DataFrame) -> DataFrame:
-    """(source_file, header, _header_row): the first non-blank line of every file."""
-    return (lines.where(F.col("_start") == 0).groupBy(SOURCE)
-            .agg(F.min_by("value", "_row").alias("header"), F.min("_row").alias("_header_row")))
+    """(source_file, header, _header_row, lines): the first non-blank line of every file, and how
+    many non-blank lines it has."""
+    first = F.when(F.col("_start") == 0, F.col("_row"))
+    return lines.groupBy(SOURCE).agg(F.min_by("value", first).alias("header"), F.min(first).alias("_header_row"),
+                                     F.count(F.lit(1)).alias("lines"))
 
 
 def _schema_for(columns: Sequence[str], types: Mapping[str, T.DataType] | None) -> T.StructType:
@@ -144,6 +147,30 @@ def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
+class Landed(NamedTuple):
+    """Parsed rows of landed files, and (source_file, lines) of the files that hold a line."""
+
+    rows: DataFrame
+    files: DataFrame
+
+
+def read_landed(spark: SparkSession, paths: str | Sequence[str],
+                schema: T.StructType | Mapping[str, T.DataType] | None = None,
+                options: Mapping[str, str] | None = None, infer: bool = False) -> Landed:
+    """``read_csv_files`` with the files' numbers of lines (rows are one less: the header)."""
+    types = _as_types(schema)
+    lines = landed_lines(spark, paths)
+    if lines is None:
+        return Landed(_empty(spark, types), spark.createDataFrame([], f"{SOURCE} string, lines long"))
+    # a row a file: on the driver while they are few, beyond that only the distinct headers are
+    headers = settled(file_headers(lines), "landed-headers", HEADERS)
+    distinct = sorted(r[0] for r in headers.select("header").distinct().toLocalIterator())
+    if not distinct:
+        return Landed(_empty(spark, types), headers.select(SOURCE, "lines"))
+    rows = _parsed_lines(lines, headers.drop("lines"), distinct, types, options)
+    return Landed(with_inferred_types(rows, known=types) if infer else rows, headers.select(SOURCE, "lines"))
+
+
 def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
                    schema: T.StructType | Mapping[str, T.DataType] | None = None,
                    options: Mapping[str, str] | None = None, infer: bool = False) -> DataFrame:
@@ -153,21 +180,7 @@ def read_csv_files(spark: SparkSession, paths: str | Sequence[str],
     as the narrowest type that holds all their values. The result has the union of all
     columns, ``source_file`` and ``_corrupt`` (NULL for good rows).
     """
-    types = _as_types(schema)
-    lines = landed_lines(spark, paths)
-    if lines is None:
-        return _empty(spark, types)
-    headers = file_headers(lines)
-    few = headers.take(HEADERS + 1)
-    if len(few) <= HEADERS:  # few files: their headers become a local table, which joins without a job
-        headers, distinct = spark.createDataFrame([tuple(r) for r in few], headers.schema), sorted({r.header for r in few})
-    else:
-        headers = materialize(headers, "landed-headers")
-        distinct = sorted(r[0] for r in headers.select("header").distinct().toLocalIterator())
-    if not distinct:
-        return _empty(spark, types)
-    rows = _parsed_lines(lines, headers, distinct, types, options)
-    return with_inferred_types(rows, known=types) if infer else rows
+    return read_landed(spark, paths, schema, options, infer).rows
 
 
 # --- type inference ---------------------------------------------------------------------------

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from statmart.functions.text import decoded_path
 from statmart.session import materialize
 from statmart.sources.csv_files import (
-    QUARANTINED, SOURCE, literal_path, mark_quarantine, read_csv_files, split_marked,
+    QUARANTINED, SOURCE, literal_path, mark_quarantine, read_landed, split_marked,
 )
 
 BINARY_FILE_SCHEMA = T.StructType([
@@ -107,20 +107,14 @@ def commit_files(spark: SparkSession, files: Sequence[Row], batch: str, target:
     rows, then their manifest rows. Returns the number of files."""
     if not files:
         return 0
-    rows = read_csv_files(spark, [literal_path(r[SOURCE]) for r in files], schema)
-    rows = mark_quarantine(transform(rows) if transform else rows)
+    landed = read_landed(spark, [literal_path(r[SOURCE]) for r in files], schema)
+    rows = mark_quarantine(transform(landed.rows) if transform else landed.rows)
     folder = f"{target.rstrip('/')}/batch={batch}"
     rows.write.mode("overwrite").partitionBy(*partition_by, QUARANTINED).parquet(folder)
-    # rows of each file: one narrow column of what this commit has just written
-    try:
-        counts = spark.read.schema(f"{SOURCE} string").parquet(folder).groupBy(SOURCE).agg(F.count(F.lit(1)).alias("rows"))
-    except AnalysisException as e:  # files without any row
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        counts = spark.createDataFrame([], f"{SOURCE} string, rows long")
     listed = spark.createDataFrame([tuple(r) for r in files], LISTING)
-    manifest = listed.join(counts, SOURCE, "left").select(
-        SOURCE, "size", "modified", F.lit(batch).alias("batch"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+    manifest = listed.join(landed.files, SOURCE, "left").select(
+        SOURCE, "size", "modified", F.lit(batch).alias("batch"),
+        (F.coalesce("lines", F.lit(1)) - 1).cast("long").alias("rows"),  # all but the header
         F.current_timestamp().alias("committed"))
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{_folder(target)}/commit={batch}")
     return len(files)
