@@ -112,31 +112,46 @@ def _factored(estimate: DataFrame, *more: str) -> DataFrame:
     return estimate.select("key", *[f"m{i}" for i in range(D)], *[f"l{i}{j}" for i, j in _triangle()], log_det.alias("log_det"), *more)
 
 
-def _distance(points: DataFrame, estimate: DataFrame, *more: str) -> DataFrame:
-    """``points`` with their squared Mahalanobis distance ``d2`` from their group's estimate."""
+def _centred(points: DataFrame, estimate: DataFrame, *more: str) -> DataFrame:
+    """``points`` with their squared Mahalanobis distance ``d2`` from their group's estimate and
+    their vector from its centre (y0 .. y4)."""
     out = points.join(estimate, "key")
+    out = out.withColumns({f"y{i}": F.col(v) - F.col(f"m{i}") for i, v in enumerate(NAMES)})
     for i in range(D):
-        rest = F.col(NAMES[i]) - F.col(f"m{i}") - sum((F.col(f"l{i}{j}") * F.col(f"z{j}") for j in range(i)), F.lit(0.0))
+        rest = F.col(f"y{i}") - sum((F.col(f"l{i}{j}") * F.col(f"z{j}") for j in range(i)), F.lit(0.0))
         out = out.withColumn(f"z{i}", rest / F.col(f"l{i}{i}"))
-    return out.withColumn("d2", sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(D)), F.lit(0.0))).select(*points.columns, "d2", *more)
+    d2 = sum((F.col(f"z{i}") * F.col(f"z{i}") for i in range(D)), F.lit(0.0))
+    return out.withColumn("d2", d2).select(*points.columns, "d2", *more, *[f"y{i}" for i in range(D)])
 
 
-def _scatter(points: DataFrame, factor: Column, *more: str) -> DataFrame:
-    """Mean and covariance (times ``factor``, with floors) of each group's points, factored; ``more``
-    columns have one value in a group."""
-    sums = points.groupBy("key").agg(
-        F.first(factor).alias("factor"), *[F.first(c).alias(c) for c in more],
-        *[F.avg(v).alias(f"m{i}") for i, v in enumerate(NAMES)],
-        *[F.covar_pop(NAMES[i], NAMES[j]).alias(f"s{i}{j}") for i, j in _triangle()])
-    cells = [(F.col(f"s{i}{j}") * F.col("factor") + (F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0))).alias(_cell(i, j)) for i, j in _triangle()]
-    return _factored(sums.select("key", *[f"m{i}" for i in range(D)], *cells, *more), *more)
+def _distance(points: DataFrame, estimate: DataFrame) -> DataFrame:
+    """``points`` with their squared Mahalanobis distance ``d2`` from their group's estimate."""
+    return _centred(points, estimate).select(*points.columns, "d2")
+
+
+def _scatter(points: DataFrame, estimate: DataFrame, factor: Column, *more: str) -> DataFrame:
+    """Mean and covariance (times ``factor``, with floors) of each group's points, which lie around
+    the centre of ``estimate``, factored; ``more`` columns have one value in a group.
+
+    Sums of products around a near centre lose no digits and are a fifth of the state of as many
+    covariance aggregates. They are written before they are factored, which keeps generated code small."""
+    sums = materialize(points.groupBy("key").agg(
+        F.first(factor).alias("factor"), *[F.first(c).alias(c) for c in more], F.count(F.lit(1)).alias("n"),
+        *[F.sum(f"y{i}").alias(f"t{i}") for i in range(D)],
+        *[F.sum(F.col(f"y{i}") * F.col(f"y{j}")).alias(f"s{i}{j}") for i, j in _triangle()]), "mcd-sums")
+    centre = estimate.select("key", *[F.col(f"m{i}").alias(f"o{i}") for i in range(D)])
+    off = [F.col(f"t{i}") / F.col("n") for i in range(D)]
+    means = [(F.col(f"o{i}") + off[i]).alias(f"m{i}") for i in range(D)]
+    cells = [((F.col(f"s{i}{j}") / F.col("n") - off[i] * off[j]) * F.col("factor") + F.lit(FLOORS[i] ** 2 if i == j else 0.0)).alias(_cell(i, j))
+             for i, j in _triangle()]
+    return _factored(sums.join(centre, "key").select("key", *means, *cells, *more), *more)
 
 
 def _start(points: DataFrame) -> DataFrame:
     """First estimate: medians, and median absolute deviations as a diagonal scatter."""
     middle = points.groupBy("key").agg(*[F.percentile_approx(v, 0.5).alias(f"m{i}") for i, v in enumerate(NAMES)])
-    spread = points.join(middle, "key").groupBy("key", *[f"m{i}" for i in range(D)]).agg(
-        *[F.percentile_approx(F.abs(F.col(v) - F.col(f"m{i}")), 0.5).alias(f"a{i}") for i, v in enumerate(NAMES)])
+    spread = materialize(points.join(middle, "key").groupBy("key", *[f"m{i}" for i in range(D)]).agg(
+        *[F.percentile_approx(F.abs(F.col(v) - F.col(f"m{i}")), 0.5).alias(f"a{i}") for i, v in enumerate(NAMES)]), "mcd-start")
     cells = [(F.pow(F.lit(1.4826) * F.col(f"a{i}"), F.lit(2)) + F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(_cell(i, j))
              for i, j in _triangle()]
     return _factored(spread.select("key", *[f"m{i}" for i in range(D)], *cells))
@@ -157,13 +172,13 @@ def group_keys(points: DataFrame) -> DataFrame:
 def _concentrated(points: DataFrame, estimate: DataFrame) -> DataFrame:
     """The estimate from the closest (n + D + 1) / 2 of each group's n rows by ``estimate``, and
     the latter's log determinant as ``old_det``."""
-    measured = _distance(points, estimate, "log_det")
+    measured = _centred(points, estimate, "log_det")
     limits = measured.groupBy("key").agg(F.percentile_approx("d2", F.array(*map(F.lit, SHARES))).alias("limits"), F.count(F.lit(1)).alias("n"),
                                            F.first("log_det").alias("old_det"))
     place = F.least(F.ceil(100 * (F.col("n") + D + 1) / F.col("n")), F.lit(200)).cast("int") - 99
     limits = limits.select("key", "old_det", F.element_at("limits", place).alias("limit"),
                            F.element_at(F.array(*[F.lit(consistency(x)) for x in SHARES]), place).alias("consistent"))
-    return _scatter(measured.join(limits, "key").where(F.col("d2") <= F.col("limit")), F.col("consistent"), "old_det")
+    return _scatter(measured.join(limits, "key").where(F.col("d2") <= F.col("limit")), estimate, F.col("consistent"), "old_det")
 
 
 def minimum_covariance_determinant(points: DataFrame) -> DataFrame:
@@ -173,13 +188,16 @@ def minimum_covariance_determinant(points: DataFrame) -> DataFrame:
     steps = []
     while not fallen.isEmpty():
         steps.append(fallen.withColumn("step", F.lit(len(steps))))
-        fallen = materialize(_concentrated(points, fallen).where(F.col("log_det") < F.col("old_det") - FALL).drop("old_det"), "mcd")
+        # written before it is filtered: a filter on the determinant would be pushed below the factor,
+        # with the whole factor in place of its name, which grows beyond what one method may hold
+        step = materialize(_concentrated(points, fallen), "mcd")
+        fallen = step.where(F.col("log_det") < F.col("old_det") - FALL).drop("old_det")
     if not steps:
         return fallen.drop("log_det")
     columns = [c for c in steps[0].columns if c not in ("key", "step")]
     last = reduce(DataFrame.unionByName, steps).groupBy("key").agg(F.max_by(F.struct(*columns), "step").alias("x"))
     estimate = materialize(last.select("key", "x.*").drop("log_det"), "mcd")
-    return materialize(_scatter(_distance(points, estimate).where(F.col("d2") <= REWEIGHT), F.lit(1.0)).drop("log_det"), "mcd")
+    return materialize(_scatter(_centred(points, estimate).where(F.col("d2") <= REWEIGHT), estimate, F.lit(1.0)).drop("log_det"), "mcd")
 
 
 def quality_verdicts(docs: DataFrame, cut: float = CUT) -> DataFrame:

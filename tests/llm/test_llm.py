@@ -360,3 +360,25 @@ def test_every_operator_is_registered():
 
     names = entry.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+
+
+def test_outlier_plans_stay_small(spark):
+    """The determinant is never spelled out in full: code of one step fits a generated method."""
+    rng = np.random.default_rng(2)
+    points = spark.createDataFrame([("g", *map(float, rng.normal(size=5))) for _ in range(300)], "key string, v0 double, v1 double, v2 double, v3 double, v4 double")
+    step = outliers._concentrated(points, outliers._start(points).withColumn("log_det", F.lit(9.0)))
+    assert len(step._jdf.queryExecution().optimizedPlan().toString()) < 40_000
+    reference = np.array(points.select(*outliers.NAMES).collect())
+    for _ in range(30):  # concentration steps as the textbook has them, floors in the scatter
+        if _ == 0:
+            centre = np.median(reference, axis=0)
+            scatter = np.diag((1.4826 * np.median(abs(reference - centre), axis=0)) ** 2 + np.array(outliers.FLOORS) ** 2)
+        d2 = np.einsum("ij,jk,ik->i", reference - centre, np.linalg.inv(scatter), reference - centre)
+        held = reference[d2 <= np.sort(d2)[int(np.ceil((len(d2) + 6) / 2)) - 1]]
+        centre, scatter = held.mean(axis=0), np.cov(held.T, bias=True) * outliers.consistency(0.51) + np.diag(np.array(outliers.FLOORS) ** 2)
+    d2 = np.einsum("ij,jk,ik->i", reference - centre, np.linalg.inv(scatter), reference - centre)
+    core = reference[d2 <= outliers.REWEIGHT]
+    row = outliers.minimum_covariance_determinant(points).first()
+    assert np.allclose([row[f"m{i}"] for i in range(5)], core.mean(axis=0), atol=0.05)
+    factor = np.array([[row[f"l{i}{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
+    assert np.allclose(factor @ factor.T, np.cov(core.T, bias=True) + np.diag(np.array(outliers.FLOORS) ** 2), atol=0.15)
