@@ -51,7 +51,9 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_NODE = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+#: White-space separated tokens with a digit or @. A match starts where a token does, so a token
+#: without either is read once and not again from each of its characters.
+_NODE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 # dresses of a base match: @ and dots spaced, in brackets or as words, other signs between octets
 _AT = r"\s{0,3}[\[({<]?\s{0,3}(?:@|\bat\b)\s{0,3}[\])}>]?\s{0,3}"
 _DOT = r"\s{0,2}[\[({<]?\s{0,2}(?:\.|\bdot\b)\s{0,2}[\])}>]?\s{0,2}"

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -382,3 +384,14 @@ def test_outlier_plans_stay_small(spark):
     assert np.allclose([row[f"m{i}"] for i in range(5)], core.mean(axis=0), atol=0.05)
     factor = np.array([[row[f"l{i}{j}"] if j <= i else 0.0 for j in range(5)] for i in range(5)])
     assert np.allclose(factor @ factor.T, np.cov(core.T, bias=True) + np.diag(np.array(outliers.FLOORS) ** 2), atol=0.15)
+
+
+def test_tokens_of_personal_data_are_found_in_linear_time():
+    rng, plain = random.Random(8), re.compile(r"[^\x20\x09-\x0D]+")
+    for _ in range(3000):
+        text = "".join(rng.choice("ab1@ \t\n.é漢") for _ in range(rng.randrange(40)))
+        expected = [m.span() for m in plain.finditer(text) if re.search("[0-9@]", m.group())]
+        assert [m.span() for m in pii._NODE.finditer(text)] == expected
+    began = time.perf_counter()
+    assert pii._NODE.findall("漢" * 200_000 + " " + "x" * 200_000 + " a@b") == ["a@b"]
+    assert time.perf_counter() - began < 1  # 8 s for a tenth of one such token before
