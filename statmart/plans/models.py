@@ -26,16 +26,27 @@ from statmart.sinks.export import export_csv
 from statmart.sinks.tables import load_snapshot, replace_table
 from statmart.sources.csv_files import family_glob, with_path_keys
 from statmart.sources.json_docs import explode_records, read_documents
+from statmart.sources.json_split import read_records
 from statmart.streaming.incremental import batch_ingest, read_target
 
 
 def load_snapshot_file(spark: SparkSession, path: str, database: str,
-                       schema: T.StructType | None = None, multi_line: bool = True) -> list[str]:
-    """Snapshot document(s) at ``path`` -> ``<db>.players`` and ``<db>.teams`` + log row."""
-    docs = read_documents(spark, path, schema, multi_line)
-    tables = {f"{database}.players": explode_records(docs, "elements")}
-    if "teams" in docs.columns:
-        tables[f"{database}.teams"] = explode_records(docs, "teams")
+                       schema: T.StructType | None = None, multi_line: bool = True,
+                       split: bool = False) -> list[str]:
+    """Snapshot document(s) at ``path`` -> ``<db>.players`` and ``<db>.teams`` + log row.
+
+    ``split=True`` (with ``schema``) reads each document by many tasks: for large ones.
+    """
+    if split:
+        if schema is None:
+            raise ValueError("split=True needs a schema")
+        found = read_records(spark, path, {f.name: f.dataType.elementType for f in schema
+                                           if f.name in ("elements", "teams")})
+    else:
+        docs = read_documents(spark, path, schema, multi_line)
+        found = {name: explode_records(docs, name) for name in ("elements", "teams")
+                 if name == "elements" or name in docs.columns}
+    tables = {f"{database}.{'players' if name == 'elements' else name}": df for name, df in found.items()}
     return load_snapshot(spark, tables, f"{database}.snapshot_metadata")
 
 

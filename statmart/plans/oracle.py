@@ -388,6 +388,9 @@ ORACLE["ingest_history"] = (
 ORACLE["ingest_snapshot_document"] = (
     "SELECT 'element' AS kind, n_nationkey AS key, n_name AS name, n_regionkey AS region FROM nation "
     "UNION ALL SELECT 'team', r_regionkey, r_name, r_regionkey FROM region")
+ORACLE["ingest_large_document"] = (
+    "SELECT 'element' AS kind, o_orderkey AS key, o_orderpriority || '\"}], {' AS name, o_custkey AS other FROM orders "
+    "UNION ALL SELECT 'team', c_custkey, c_name, c_custkey FROM customer")
 
 
 def _ieee(num: str, den: str, alias: str) -> str:

@@ -644,6 +644,26 @@ def q_ingest_snapshot_document(spark, sf_dir):
             F.col("r_regionkey").alias("region")))
 
 
+@query("ingest_large_document")
+def q_ingest_large_document(spark, sf_dir):
+    """All orders as elements and all customers as teams in one document, which is read
+    by as many tasks as its file has blocks. Comments get signs that JSON text has outside of strings."""
+    from statmart.plans.landing import land_document
+    from statmart.plans.models import load_snapshot_file
+    from statmart.sources.json_docs import snapshot_schema
+    orders = testdata.read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.concat("o_orderpriority", F.lit('"}], {')).alias("o_note"))
+    customer = testdata.read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    path, db = f"{_fresh(spark, 'large-document')}/doc", _fresh_database(spark, "large")
+    land_document(spark, {"elements": orders, "teams": customer}, path)
+    load_snapshot_file(spark, path, db, snapshot_schema(orders.schema, customer.schema), split=True)
+    return spark.table(f"{db}.players").select(
+        F.lit("element").alias("kind"), F.col("o_orderkey").alias("key"), F.col("o_note").alias("name"),
+        F.col("o_custkey").alias("other")).unionByName(spark.table(f"{db}.teams").select(
+            F.lit("team").alias("kind"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name"),
+            F.col("c_custkey").alias("other")))
+
+
 def _fresh_database(spark, name):
     import uuid
     db = f"sm_{name}_{uuid.uuid4().hex[:10]}"

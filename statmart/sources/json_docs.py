@@ -1,8 +1,8 @@
 """Landed JSON snapshot documents -> record rows.
 
 A snapshot document is ``{"elements": [{...}, ...], "teams": [{...}, ...]}``. A single
-pretty-printed document must be read with ``multi_line=True`` and is one task per file
-(JSON documents are not splittable); land large snapshots as JSON Lines (one document per
+pretty-printed document must be read with ``multi_line=True`` and is one task per file:
+read large ones with ``json_split.read_records``, or land them as JSON Lines (one document per
 line, each holding a slice of the records) so Spark splits the files across tasks.
 """
 
