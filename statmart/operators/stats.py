@@ -7,6 +7,7 @@ runs map-side, so the shuffle carries one row per group per task, never the raw
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from statmart.functions.text import format_2f, option_text
 from statmart.operators.filters import has_columns
 from statmart.operators.quantiles import approx_quantiles, summaries
 from statmart.schemas import GROUP_METRICS, SUMMARY_STATS
+from statmart.session import settled
 
 QUANTILES = {"median": 0.5, "p90": 0.9}
 
@@ -66,6 +68,48 @@ def latest_update(df: DataFrame, column: str = "last_updated") -> DataFrame:
     return df.agg(F.max(column).alias(column))
 
 
+def dashboard_summaries(df: DataFrame, metrics: Sequence[str] = GROUP_METRICS,
+                        bound_columns: Sequence[str] = ("price", "total_points"),
+                        option_columns: Sequence[str] = ("position",), key: str = "position",
+                        updated: str = "last_updated", scale: int | None = 2) -> dict[str, DataFrame]:
+    """``selection_by_position``, ``metrics_by_position``, ``bounds``, ``options`` and (where the column
+    exists) ``last_updated`` from one scan: grouping sets by each key and over all rows.
+
+    The scan runs when this is called. It leaves one row for each value of a key; the datasets
+    are selections of these rows, with the values of the functions of the same names.
+    """
+    options_of = has_columns(df, option_columns)
+    keys = list(dict.fromkeys([key, *options_of]))
+    means = {c: F.avg(to_double(df, c)) for c in has_columns(df, metrics)}
+    if scale is not None:
+        means = {c: round_half_even(m, scale) for c, m in means.items()}
+    aggs = [F.count("id").alias("_id"), F.avg(to_double(df, "selected_by_percent")).alias("_selected")]
+    aggs += [m.alias(f"_mean_{c}") for c, m in means.items()]
+    for c in bound_columns:
+        aggs += [F.min(c).alias(f"_{c}_min"), F.max(c).alias(f"_{c}_max")]
+    has_time = bool(has_columns(df, [updated]))
+    if has_time:
+        aggs.append(F.max(updated).alias("_updated"))
+    found = df.groupingSets([[k] for k in keys] + [[]], *keys).agg(F.grouping_id().alias("_set"), *aggs)
+    found = settled(found, "dashboard-summaries")
+    everything = (1 << len(keys)) - 1  # a key's bit is 0 in the rows grouped by it
+    of_key = {k: F.col("_set") == everything - (1 << (len(keys) - 1 - i)) for i, k in enumerate(keys)}
+    total = found.where(F.col("_set") == everything)
+    groups = found.where(of_key[key] & F.col(key).isNotNull())
+    out = {
+        "selection_by_position": groups.select(key, F.col("_id").alias("id"), F.col("_selected").alias("selected_by_percent")),
+        "metrics_by_position": groups.select(key, *[F.col(f"_mean_{c}").alias(c) for c in means]),
+        # an aggregate once more: one row also where there are no rows at all
+        "bounds": total.agg(*[F.max(f"_{c}_{side}").alias(f"{c}_{side}") for c in bound_columns for side in ("min", "max")]),
+    }
+    texts = [found.where(of_key[c]).select(F.lit(c).alias("kind"), option_text(F.col(c)).alias("value")) for c in options_of]
+    if texts:
+        out["options"] = reduce(DataFrame.unionByName, texts).distinct().orderBy("kind", "value")
+    if has_time:
+        out["last_updated"] = total.agg(F.max("_updated").alias(updated))
+    return out
+
+
 def long_form(df: DataFrame, stats: Sequence[str]) -> DataFrame:
     """(stat, value) rows for the listed columns, NaN as missing."""
     wide = df.select(*[nan_to_null(to_double(df, s)).alias(s) for s in stats])

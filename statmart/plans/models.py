@@ -4,7 +4,7 @@
 * ``build_models``: ``players`` -> ``dim_players``, ``fact_player_history`` ->
   ``player_stats`` (the gold mart), each written as a table.
 * ``board_dashboard`` / ``live_dashboard``: every table and chart dataset of the two
-  dashboards for one filter state, as lazy DataFrames (no collect inside).
+  dashboards for one filter state, as DataFrames.
 * ``load_history``: landed season CSV families -> one bronze table per family,
   partitioned by season, each file loaded once.
 """
@@ -72,7 +72,9 @@ def build_models(spark: SparkSession, database: str, source: str = "players",
 
 def board_dashboard(mart: DataFrame, position: str = filters.ALL, min_price=None,
                     min_points=None) -> dict[str, DataFrame]:
-    """Every dataset of the mart dashboard for one filter state."""
+    """Every dataset of the mart dashboard for one filter state.
+
+    Those that no filter changes come from one scan of the mart, which runs at the call."""
     from statmart.functions.coerce import coerce_numeric
     from statmart.schemas import BOARD_NUMERIC
 
@@ -81,16 +83,11 @@ def board_dashboard(mart: DataFrame, position: str = filters.ALL, min_price=None
     out = {
         "top_performers": boards.top_k(chosen, "total_points", columns=TOP_BOARD_COLUMNS),
         "form_price": boards.chart_data(chosen, "form_price"),
-        "selection_by_position": stats.selection_by_position(data),
-        "metrics_by_position": stats.metrics_by_position(data),
         "top_value": boards.top_k(chosen, "points_per_million", columns=TOP_BOARD_COLUMNS),
         "xg_goals": boards.chart_data(chosen, "xg_goals"),
         "influence": boards.influence_chart(chosen),
-        "bounds": stats.bounds(data),
-        "options": stats.options(data, ["position"]),
+        **stats.dashboard_summaries(data),
     }
-    if "last_updated" in data.columns:
-        out["last_updated"] = stats.latest_update(data)
     # F11 / F12 as lazy one-row flags: nothing matched the filters; no selection values
     out["no_rows"] = _no_rows(chosen)
     out["selection_missing"] = out["selection_by_position"].agg(

@@ -257,6 +257,22 @@ def _agg_metrics_sql():
                      f"GROUP BY position")
 
 
+def _dashboard_summaries_sql():
+    from statmart.schemas import GROUP_METRICS
+
+    def rows(dataset, key, name, value, where=""):
+        return f"SELECT '{dataset}' AS dataset, {key} AS key, '{name}' AS name, {fx(value)} AS value FROM mart {where}"
+    known = "WHERE position IS NOT NULL GROUP BY position"
+    parts = [rows("selection_by_position", "position", "id", "count(id)", known),
+             rows("selection_by_position", "position", "selected_by_percent", "avg(selected_by_percent)", known)]
+    parts += [rows("metrics_by_position", "position", c, f"round_even(avg(CAST({c} AS DOUBLE)) * 100, 0) / 100", known)
+              for c in GROUP_METRICS]
+    parts += [rows("bounds", "CAST(NULL AS VARCHAR)", f"{c}_{side}", f"{side}({c})")
+              for c in ("price", "total_points") for side in ("min", "max")]
+    parts.append("SELECT DISTINCT 'options', coalesce(position, 'nan'), 'position', CAST(NULL AS DOUBLE) FROM mart")
+    return with_live(" UNION ALL ".join(parts))
+
+
 LIVE_OUT = ["id", "web_name", "team", "position", "price", "points_per_million",
             "points_per_90", "goals_per_90", "assists_per_90", "goal_involvement_per_90",
             "xGI_per_90", "clean_sheet_percentage", "goals_conceded_per_90",
@@ -295,6 +311,7 @@ def _more():
             "SELECT position, count(id) AS id, " + r("avg(selected_by_percent)", "selected_by_percent")
             + " FROM mart WHERE position IS NOT NULL GROUP BY position"),
         "agg_metrics": _agg_metrics_sql(),
+        "dashboard_summaries": _dashboard_summaries_sql(),
         "bounds": with_live(
             "SELECT " + r("min(price)", "price_min") + ", " + r("max(price)", "price_max")
             + ", min(total_points) AS total_points_min, max(total_points) AS total_points_max "

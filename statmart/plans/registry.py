@@ -313,6 +313,21 @@ def q_bounds(spark, sf_dir):
     return stats.bounds(mart(spark, sf_dir))
 
 
+@query("dashboard_summaries")
+def q_dashboard_summaries(spark, sf_dir):
+    """A1-A5: the dashboard's small datasets from one scan of the mart, as (dataset, key, name, value) rows."""
+    found = stats.dashboard_summaries(mart(spark, sf_dir))
+
+    def long(dataset, key):
+        names = [c for c in found[dataset].columns if c != "position"]
+        values = found[dataset].select(key.alias("key"), *[F.col(c).cast("double").alias(c) for c in names])
+        return values.unpivot(["key"], names, "name", "value").select(F.lit(dataset).alias("dataset"), "key", "name", "value")
+    options = found["options"].select(F.lit("options").alias("dataset"), F.col("value").alias("key"),
+                                      F.col("kind").alias("name"), F.lit(None).cast("double").alias("value"))
+    return (long("selection_by_position", F.col("position")).unionByName(long("metrics_by_position", F.col("position")))
+            .unionByName(long("bounds", F.lit(None).cast("string"))).unionByName(options))
+
+
 @query("options")
 def q_options(spark, sf_dir):
     """Sorted distinct positions (missing -> 'nan') and team names."""
@@ -448,28 +463,30 @@ def q_ingest_path_keys(spark, sf_dir):
 def q_ingest_name_collisions(spark, sf_dir):
     """Customer landed in player folders '<segment>-x' and '<segment>_x' (one write,
     partitioned by folder name); both clean to the same table name and the first folder
-    by path order wins, with all of its files."""
-    from statmart.sources.csv_files import first_file_per_table
-    return first_file_per_table(_colliding_folders(spark, sf_dir), "players").select(
+    by path order wins, with all of its files. The listing decides: no other file is opened."""
+    from statmart.sources.first_files import read_first_files
+    root, schema = _land_colliding_folders(spark, sf_dir)
+    return read_first_files(spark, root, "players", schema=schema, file_glob="*/*.csv").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "table_name")
 
 
 @query("ingest_keep_all")
 def q_ingest_keep_all(spark, sf_dir):
     """Names collide as above, and every folder's rows are kept (told apart by their folder)."""
-    return _colliding_folders(spark, sf_dir).select(
+    from statmart.sources.csv_files import read_family
+    root, schema = _land_colliding_folders(spark, sf_dir)
+    return read_family(spark, root, "players", schema=schema, file_glob="*/*.csv").select(
         "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "table_name", "entity")
 
 
-def _colliding_folders(spark, sf_dir):
-    from statmart.sources.csv_files import read_family
+def _land_colliding_folders(spark, sf_dir):
     cust = testdata.read_table(spark, sf_dir, "customer")
     root = _fresh(spark, "ingest-collisions")
     folder = F.concat(F.col("c_mktsegment"),
                       F.when(F.col("c_nationkey") < 12, F.lit("-x")).otherwise(F.lit("_x")))
     (cust.withColumn("name", folder).write.partitionBy("name").option("header", True)
      .csv(f"{root}/data/2023-24/players"))
-    return read_family(spark, root, "players", schema=cust.schema, file_glob="*/*.csv")
+    return root, cust.schema
 
 
 @query("ingest_json_explode")

@@ -3,6 +3,7 @@ import os
 
 from pyspark.sql import types as T
 
+from statmart.operators import stats
 from statmart.operators.filters import FilterSpec
 from statmart.plans import models
 from tests.conftest import rows
@@ -47,6 +48,11 @@ def test_snapshot_models_and_dashboards(spark, tmp_dir):
     assert 0 < len(top) <= 10 and all(r.position == "MID" for r in top)
     assert board["influence"].count() == min(20, board["form_price"].count())
     assert board["last_updated"].count() == 1
+    apart = {"selection_by_position": stats.selection_by_position(mart), "bounds": stats.bounds(mart),
+             "metrics_by_position": stats.metrics_by_position(mart), "options": stats.options(mart, ["position"]),
+             "last_updated": stats.latest_update(mart)}
+    for name, other in apart.items():
+        assert sorted(map(str, board[name].collect())) == sorted(map(str, other.collect())), name
     assert board["no_rows"].first().empty is False
     assert board["selection_missing"].first().all_missing is False
     nothing = models.board_dashboard(mart, position="MID", min_price=1e9)
@@ -77,3 +83,19 @@ def test_load_history_once_per_file_with_new_columns(spark, tmp_dir):
     got = models.read_history(spark, out, "gw")
     assert sorted(rows(got, "name", "starts", "mins", "season", "table_name")) == [
         ("a", None, 90, "2022-23", "gw_2022_23_gw1"), ("b", "1", 45, "2023-24", "gw_2023_24_gw1")]
+
+
+def test_dashboard_summaries_scan_once_and_empty(spark, tmp_dir):
+    columns = ["id", "position", "team", "selected_by_percent", "price", "total_points", "goals_per_90"]
+    data = [(i, [None, "MID", "DEF"][i % 3], i % 4, float(i), i / 2, i, None if i % 5 == 0 else i / 7) for i in range(40)]
+    spark.createDataFrame(data, columns).write.parquet(f"{tmp_dir}/mart")
+    df = spark.read.parquet(f"{tmp_dir}/mart")
+    for frame in (df, df.where("id < 0")):
+        found = stats.dashboard_summaries(frame, option_columns=("position", "team"))
+        assert "last_updated" not in found
+        apart = {"selection_by_position": stats.selection_by_position(frame), "bounds": stats.bounds(frame),
+                 "metrics_by_position": stats.metrics_by_position(frame), "options": stats.options(frame)}
+        for name, other in apart.items():
+            assert found[name].columns == other.columns
+            assert sorted(map(str, found[name].collect())) == sorted(map(str, other.collect())), name
+            assert "parquet" not in found[name]._jdf.queryExecution().executedPlan().toString().lower()

@@ -68,6 +68,28 @@ def test_families_and_path_keys(spark, tmp_dir):
         csv_files.family_glob(tmp_dir, "fixtures")
 
 
+def test_first_files_open_no_loser(spark, tmp_dir, monkeypatch):
+    from statmart.sources import first_files
+    for k, name in enumerate(["b-1", "b_1", "c", "d.x", "d.y"]):
+        _write(f"{tmp_dir}/data/2023-24/gws/{name}.csv", f"id,v{k}\n{k},{k}\n")
+    _write(f"{tmp_dir}/data/2022-23/gws/b_1.csv", "id\n9\n")
+    _write(f"{tmp_dir}/data/2023-24/gws/a-1.csv", "")
+    _write(f"{tmp_dir}/data/2023-24/gws/a_1.csv", "id\n8\n")
+    opened = []
+    read = first_files.read_csv_files
+    monkeypatch.setattr(first_files, "read_csv_files", lambda s, paths, *a: opened.extend(paths) or read(s, paths, *a))
+    every = csv_files.read_family(spark, tmp_dir, "gw", schema={"id": T.LongType()})
+    for size in (10_000, 2):  # one slice, several
+        opened.clear()
+        found = first_files.read_first_files(spark, tmp_dir, "gw", schema={"id": T.LongType()}, slice_files=size)
+        assert sorted(rows(found, "id", "table_name")) == sorted(
+            rows(csv_files.first_file_per_table(every, "gw"), "id", "table_name"))
+        assert sorted(p.split("/data/")[1] for p in opened) == [
+            "2022-23/gws/b_1.csv", "2023-24/gws/a_1.csv", "2023-24/gws/b-1.csv", "2023-24/gws/c.csv", "2023-24/gws/d.x.csv"]
+    assert first_files.read_first_files(spark, f"{tmp_dir}/none", "gw", schema=T.StructType(
+        [T.StructField("id", T.LongType())])).count() == 0
+
+
 def test_snapshot_document_multiline(spark, tmp_dir):
     doc = {"elements": [{"id": 1, "web_name": "A", "form": "1.5"}, {"id": 2, "web_name": "B"}],
            "teams": [{"id": 1, "name": "Arsenal"}]}
