@@ -40,6 +40,7 @@ from statmart.llm.common import batches, bounded_sample, map_batches
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 SAMPLE = 20_000
+#: The field's unary potentials are fitted on so many token shapes at least, the commonest first.
 SHAPES = 50_000
 BELIEF = 0.8
 #: Messages have settled when none changes by more.
@@ -374,8 +375,12 @@ def added_spans(text: str, base: list[tuple[int, int, int]], field: Field) -> li
     return [(k, s, e) for k, s, e, i in out if repeats.get(i) == k or plausible(k, text[s:e])]
 
 
-def learn_field(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
-    """Potentials learnt from base matches of about ``sample`` documents at most, with candidate tokens."""
+def learn_field(docs: DataFrame, sample: int = SAMPLE, shapes: int = SHAPES) -> Field | None:
+    """Potentials learnt from base matches of about ``sample`` documents at most, with candidate tokens.
+
+    The unary potentials are fitted on the ``shapes`` commonest shapes of tokens (with their labels); the
+    counts for chain and skip potentials, at most a row for each pair of labels, always come whole.
+    """
     chosen = bounded_sample(docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]")), sample, "doc_id", "text").select("text")
 
     def count(stream):
@@ -399,7 +404,8 @@ def learn_field(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
                                               "seen": pa.array(seen.values(), type=pa.int64())})
 
     rows = (map_batches(chosen, count, "what string, label int, seen long").groupBy("what", "label").agg(F.sum("seen").alias("seen"))
-            .orderBy(F.desc("seen"), "what", "label").limit(SHAPES).collect())
+            .orderBy(F.col("what").startswith("n\x1f"), F.desc("seen"), "what", "label")
+            .limit(shapes + 2 * len(LABELS) ** 2).collect())
     nodes = [(r["what"].split("\x1f")[1:], r["label"], r["seen"]) for r in rows if r["what"].startswith("n")]
     if not any(label for _, label, _ in nodes):
         return None

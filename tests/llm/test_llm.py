@@ -395,3 +395,40 @@ def test_tokens_of_personal_data_are_found_in_linear_time():
     began = time.perf_counter()
     assert pii._NODE.findall("漢" * 200_000 + " " + "x" * 200_000 + " a@b") == ["a@b"]
     assert time.perf_counter() - began < 1  # 8 s for a tenth of one such token before
+
+
+def test_counts_of_transitions_come_whole_beside_few_shapes(spark):
+    rng = random.Random(5)
+    rows = [(i, f"n{i} a{i}.b@mail{i % 7}.org or +1 555 01{i % 90:02d} 77, 10.0.{i % 200}.{i % 9} {rng.randint(1, 10 ** (i % 9 + 1))} x{i}y "
+             f"a{i}.b@mail{i % 7}.org " + " ".join("".join(rng.choice("aA1.-@:/") for _ in range(9)) for _ in range(5))) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, few = pii.learn_field(docs), pii.learn_field(docs, shapes=12)
+    assert len(few.weights) < len(whole.weights)
+    assert np.array_equal(few.chain, whole.chain) and np.array_equal(few.skip, whole.skip)
+
+
+def _plain_base(text):
+    """The contract's patterns one by one: leftmost matches, those that fail dropped."""
+    def luhn(digits):
+        doubled = [int(d) if i % 2 == 0 else sum(divmod(2 * int(d), 10)) for i, d in enumerate(reversed(digits))]
+        return sum(doubled) % 10 == 0
+    patterns = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", lambda m: 16 <= len(d := re.sub("[^0-9]", "", m)) <= 19 and luhn(d)),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 8 <= len(re.sub("[^0-9]", "", m)) <= 15)]
+    return [(k, m.start(), m.end()) for k, (pattern, fits) in enumerate(patterns)
+            for m in re.finditer(pattern, text) if fits(m.group())]
+
+
+def test_base_spans_equal_the_patterns_on_random_texts():
+    rng = random.Random(11)
+    parts = ["a", "Z9", ".", "..", "@", "-", " ", "+", "(", ")", "1", "25", "256", "10.0.0.1", "4111 1111 1111 1111", "4111-1111",
+             "\n", "é", "x@y.z", "+1 (555) 010-77", "0000000000000000", "%_", "１", "٣", "\x1f", " ", "1.2.3", ".4"]
+    found = 0
+    for _ in range(6000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 24)))
+        spans = sorted(pii.base_spans(text))
+        assert spans == sorted(_plain_base(text)), text
+        found += len(spans)
+    assert found > 2000
