@@ -142,7 +142,8 @@ class Restorer:
     def decode(self, token: str, forced: frozenset = frozenset()) -> str:
         """The likeliest reading: words of letters, separated by single spaces; the signs at the places
         ``forced`` are letters."""
-        # states: (last two classes, last letter) -> (cost, reading)
+        # states: (last two classes, last letter) -> (cost, reading); their letters are readings of the last
+        # three signs that were not left out, so a run of such signs adds states and length does not
         states = {(0, 0, ""): (0.0, "")}
         for i, c in enumerate(token + " "):
             options: list[tuple[str, float]] = []
@@ -174,7 +175,7 @@ class Restorer:
                         key, value = (b, k, x), (cost + extra - self.logs[a][b][k], text + x)
                     if key not in after or value < after[key]:
                         after[key] = value
-            states = after if len(after) <= 64 else dict(sorted(after.items(), key=lambda s: s[1])[:64])
+            states = after
         return min(states.values())[1].strip()
 
     def long_words(self, token: str) -> list[str]:

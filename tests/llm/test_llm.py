@@ -432,3 +432,33 @@ def test_base_spans_equal_the_patterns_on_random_texts():
         assert spans == sorted(_plain_base(text)), text
         found += len(spans)
     assert found > 2000
+
+
+def test_lattice_finds_the_best_of_all_readings():
+    rng = random.Random(3)
+    counts = np.array([rng.randint(0, 40) for _ in range(toxicity.CLASSES ** 3)], dtype=float)
+    restorer = toxicity.Restorer(toxicity.log_probabilities(counts))
+
+    def readings(token):
+        """(cost, reading) of every path: each sign is a letter, a break or left out."""
+        paths = [(0.0, "", 0, 0, "")]
+        for i, c in enumerate(token + " "):
+            inner = 0 < i < len(token)
+            same = inner and token[i - 1] == c
+            left_out = [toxicity.REPEAT_COST] if same and c.isalpha() else [toxicity.SEPARATOR_COST] if inner and c in toxicity.SEPARATORS \
+                else [toxicity.REPEAT_COST] if same and c in toxicity.SIGNS else []
+            end = 0 < i < len(token) - 1 and c in toxicity.SIGNS
+            letters = [(c, 0.0)] if c.isalpha() else [(" ", toxicity.BREAK_COST if end else 0.0)] + [
+                (x, toxicity.SIGN_COST) for x in toxicity.SIGNS.get(c, "")]
+            after = [(cost + extra, text, a, b, last) for cost, text, a, b, last in paths for extra in left_out]
+            for cost, text, a, b, _ in paths:
+                for x, extra in letters:
+                    k = 0 if x == " " else toxicity.class_of(x)
+                    after.append((cost + extra, text, a, b, "") if x == " " and b == 0
+                                 else (cost + extra - restorer.logs[a][b][k], text + x, b, k, x))
+            paths = after
+        return min((cost, text) for cost, text, *_ in paths)[1].strip()
+
+    for _ in range(300):
+        token = "".join(rng.choice("abss@$1!0-.*") for _ in range(rng.randint(1, 7)))
+        assert restorer.decode(token) == readings(token), token
