@@ -2,7 +2,8 @@
 
 * ``load_snapshot_file``: snapshot JSON -> ``players``, ``teams`` tables (replaced) + log.
 * ``build_models``: ``players`` -> ``dim_players``, ``fact_player_history`` ->
-  ``player_stats`` (the gold mart), each written as a table.
+  ``player_stats`` (the gold mart), each written as a table. ``refresh_models``: the same
+  tables, kept in step by writing changed players only.
 * ``board_dashboard`` / ``live_dashboard``: every table and chart dataset of the two
   dashboards for one filter state, as DataFrames.
 * ``load_history``: landed season CSV families -> one bronze table per family,
@@ -23,6 +24,7 @@ from statmart.operators.conform import dim_players, fact_player_history
 from statmart.operators.mart import build_mart
 from statmart.schemas import BOARD_SPECS, CHARTS, FAMILIES, TOP_BOARD_COLUMNS
 from statmart.sinks.export import export_csv
+from statmart.sinks.refresh import refresh_table
 from statmart.sinks.tables import load_snapshot, replace_table
 from statmart.sources.csv_files import family_glob, with_path_keys
 from statmart.sources.json_docs import explode_records, read_documents
@@ -70,6 +72,22 @@ def build_models(spark: SparkSession, database: str, source: str = "players",
     return spark.table(f"{database}.player_stats")
 
 
+def refresh_models(spark: SparkSession, database: str, source: str = "players",
+                   last_updated: Column | None | bool = None, path: str | None = None) -> dict[str, dict]:
+    """The tables of ``build_models``, each brought up to date by writing changed players only.
+
+    Dim and fact take the players whose own columns changed; the mart those whose dim or fact row
+    changed. Returns what was written for each table (``sinks.refresh.refresh_table``).
+    """
+    players = spark.table(f"{database}.{source}")
+    dim, fact, mart = (f"{database}.{n}" for n in ("dim_players", "fact_player_history", "player_stats"))
+    done = {dim: refresh_table(dim, "id", [(dim_players(players), "id")], path=path),
+            fact: refresh_table(fact, "player_id", [(fact_player_history(players), "player_id")], path=path)}
+    done[mart] = refresh_table(mart, "id", [(spark.table(dim), "id"), (spark.table(fact), "player_id")],
+                               partial(build_mart, last_updated=last_updated), path=path)
+    return {name.split(".")[-1]: found for name, found in done.items()}
+
+
 def board_dashboard(mart: DataFrame, position: str = filters.ALL, min_price=None,
                     min_points=None) -> dict[str, DataFrame]:
     """Every dataset of the mart dashboard for one filter state.
@@ -147,5 +165,5 @@ def read_history(spark: SparkSession, out_dir: str, family: str) -> DataFrame:
     return read_target(spark, f"{out_dir.rstrip('/')}/{family}")
 
 
-__all__ = ["load_snapshot_file", "build_models", "board_dashboard", "live_dashboard",
+__all__ = ["load_snapshot_file", "build_models", "refresh_models", "board_dashboard", "live_dashboard",
            "load_history", "read_history", "CHARTS"]

@@ -375,6 +375,7 @@ ORACLE.update({
 })
 
 ORACLE["models_materialized"] = mart_select(MART_COLUMNS)
+ORACLE["mart_incremental"] = mart_select(MART_COLUMNS)
 
 ORACLE["ingest_name_collisions"] = (
     "SELECT c_custkey, c_name, c_nationkey, " + r("c_acctbal") + ", c_mktsegment, "

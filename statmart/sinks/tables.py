@@ -72,12 +72,15 @@ def _write_version(df: DataFrame, name: str, path: str | None, partition_by: Seq
     return version
 
 
-def _point_to(spark: SparkSession, name: str, version: str) -> None:
-    """Make ``name`` the given version, by one catalog operation. A plain table of that name, made
-    by other means, becomes a version itself first (once in its life, by a rename)."""
+def _point_to(spark: SparkSession, name: str, version: str | None = None, query: str | None = None,
+              properties: dict[str, str] | None = None) -> None:
+    """Make ``name`` the given version (or a query over versions), by one catalog operation. A plain
+    table of that name, made by other means, becomes a version itself first (once in its life, by a rename)."""
     if table_exists(spark, name) and spark.catalog.getTable(name).tableType != "VIEW":
         spark.sql(f"ALTER TABLE {name} RENAME TO {name}__v_{0:020d}_{uuid.uuid4().hex[:8]}")
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {version}")
+    kept = ", ".join(f"'{k}' = '{v}'" for k, v in (properties or {}).items())
+    spark.sql(f"CREATE OR REPLACE VIEW {name} {f'TBLPROPERTIES ({kept})' if kept else ''} "
+              f"AS {query or f'SELECT * FROM {version}'}")
 
 
 def versions(spark: SparkSession, name: str) -> list[str]:
