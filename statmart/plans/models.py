@@ -141,14 +141,15 @@ def load_history(spark: SparkSession, root: str, out_dir: str,
                  seasons: Sequence[str] | None = None,
                  families: Sequence[str] = FAMILIES,
                  schemas: dict[str, T.StructType] | None = None,
-                 file_globs: dict[str, str] | None = None) -> dict[str, int]:
+                 file_globs: dict[str, str] | None = None, infer: bool = False) -> dict[str, int]:
     """Landed CSV families -> one parquet dataset per family under ``out_dir``,
     partitioned by season.
 
     A file already loaded is not loaded again, a changed one replaces its earlier version
     (``streaming.incremental``). Later seasons may add columns: runs append, and ``read_history``
     merges the schemas. Rows that did not parse go to a partition of their own
-    (``read_quarantine``). ``file_globs`` replaces a family's file pattern within its folder.
+    (``read_quarantine``). With ``infer`` the kinds of values are noted, for
+    ``read_history(..., infer=True)``. ``file_globs`` replaces a family's file pattern within its folder.
     Returns the number of new files per family.
     """
     loaded = {}
@@ -156,13 +157,14 @@ def load_history(spark: SparkSession, root: str, out_dir: str,
         globs = [family_glob(root, family, s, (file_globs or {}).get(family)) for s in (seasons or ["*"])]
         loaded[family] = batch_ingest(
             spark, globs, f"{out_dir.rstrip('/')}/{family}", (schemas or {}).get(family),
-            transform=partial(with_path_keys, family=family), partition_by=["season"])
+            transform=partial(with_path_keys, family=family), partition_by=["season"], infer=infer)
     return loaded
 
 
-def read_history(spark: SparkSession, out_dir: str, family: str) -> DataFrame:
-    """A family's rows that parsed, with the union of all seasons' columns."""
-    return read_target(spark, f"{out_dir.rstrip('/')}/{family}")
+def read_history(spark: SparkSession, out_dir: str, family: str, infer: bool = False) -> DataFrame:
+    """A family's rows that parsed, with the union of all seasons' columns; with ``infer`` as the
+    types that all seasons loaded so far ask for."""
+    return read_target(spark, f"{out_dir.rstrip('/')}/{family}", infer)
 
 
 __all__ = ["load_snapshot_file", "build_models", "refresh_models", "board_dashboard", "live_dashboard",

@@ -394,6 +394,8 @@ ORACLE["ingest_inferred"] = (
     "THEN 'C' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS o_custkey, " + r("o_totalprice") + ", "
     + r("CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' THEN o_totalprice ELSE floor(o_totalprice) END", "amount")
     + ", o_orderdate, o_orderpriority, CAST(NULL AS VARCHAR) AS note FROM orders")
+ORACLE["ingest_widening"] = ORACLE["ingest_inferred"].replace(
+    " FROM orders", ", 'string bigint, bigint bigint, string double' AS seen FROM orders")
 ORACLE["ingest_manifest"] = ORDERS_SQL.replace(" FROM orders", ", 'True 0 True 0' AS loaded FROM orders")
 ORACLE["ingest_schema_growth"] = (
     "SELECT o_orderkey, " + r("o_totalprice") + ", CASE WHEN o_orderdate >= TIMESTAMP '1997-01-01' "

@@ -585,6 +585,37 @@ def q_ingest_inferred(spark, sf_dir):
     return read_csv_files(spark, f"{root}/land/*/*.csv", infer=True).select(*columns)
 
 
+@query("ingest_widening")
+def q_ingest_widening(spark, sf_dir):
+    """Types are reconciled from commit to commit. The first wave lands with whole amounts and a
+    file with texts for keys, which is then delivered again with numbers; the second wave brings broken
+    amounts and keys that are text. ``seen`` tells the types of key and amount after each run."""
+    from statmart.plans.landing import land_csv, land_named
+    from statmart.streaming.incremental import batch_ingest, read_target
+    _, wave1, wave2 = _orders_waves(spark, sf_dir)
+    root = _fresh(spark, "ingest-widening")
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "amount", "o_orderdate", "o_orderpriority", "note"]
+    note = F.lit(None).cast("string")
+    early = wave1.withColumns({"amount": F.floor("o_totalprice"), "note": note}).select(*columns)
+    key = F.concat(F.lit("C"), F.col("o_custkey").cast("string"))
+    late = wave2.withColumns({"amount": F.col("o_totalprice"), "note": note, "o_custkey": key}).select(*columns)
+    seen = []
+
+    def run():
+        batch_ingest(spark, f"{root}/land/*", f"{root}/bronze", infer=True)
+        found = read_target(spark, f"{root}/bronze", infer=True)
+        types = dict(found.dtypes)
+        seen.append(f"{types['o_custkey']} {types['amount']}")
+        return found
+
+    land_named(early.withColumn("o_custkey", key), f"{root}/land/1")
+    run()
+    land_named(early, f"{root}/land/1")
+    run()
+    land_csv(late, f"{root}/land/2")
+    return run().select(*columns, F.lit(", ".join(seen)).alias("seen"))
+
+
 @query("ingest_manifest")
 def q_ingest_manifest(spark, sf_dir):
     """The first wave lands with wrong prices beside a folder whose files hold headers only;

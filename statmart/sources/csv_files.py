@@ -104,7 +104,7 @@ def _schema_for(columns: Sequence[str], types: Mapping[str, T.DataType] | None)
     return T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def _as_types(schema: T.StructType | Mapping[str, T.DataType] | None) -> dict[str, T.DataType]:
+def declared_types(schema: T.StructType | Mapping[str, T.DataType] | None) -> dict[str, T.DataType]:
     if schema is None:
         return {}
     if isinstance(schema, T.StructType):
@@ -158,7 +158,7 @@ def read_landed(spark: SparkSession, paths: str | Sequence[str],
                 schema: T.StructType | Mapping[str, T.DataType] | None = None,
                 options: Mapping[str, str] | None = None, infer: bool = False) -> Landed:
     """``read_csv_files`` with the files' numbers of lines (rows are one less: the header)."""
-    types = _as_types(schema)
+    types = declared_types(schema)
     lines = landed_lines(spark, paths)
     if lines is None:
         return Landed(_empty(spark, types), spark.createDataFrame([], f"{SOURCE} string, lines long"))

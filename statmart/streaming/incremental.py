@@ -14,6 +14,11 @@ Batch form (``batch_ingest``): new files are loaded in slices of about ``slice_f
 commit of its own, so the driver never holds more than one slice's paths and a failed run keeps
 the slices that it has committed.
 
+Types (``infer=True``): commits keep undeclared columns as text, and the manifest holds for each file the
+kinds of values that each such column has. A reader combines the kinds of the files it shows
+(``target_types``), so a column widens as later commits bring other values, and narrows again when
+the file that widened it is replaced. No commit is rewritten, and no values are read to decide.
+
 Streaming form (``stream_ingest``): a ``binaryFile`` file stream lists new CSV paths (the file
 contents are not read by the stream); its checkpoint remembers which files were already seen.
 ``trigger(availableNow=True)`` processes what has landed and stops. A micro-batch that is re-run
@@ -35,7 +40,8 @@ from pyspark.sql import types as T
 from statmart.functions.text import decoded_path
 from statmart.session import materialize
 from statmart.sources.csv_files import (
-    QUARANTINED, SOURCE, literal_path, mark_quarantine, read_landed, split_marked,
+    CORRUPT, QUARANTINED, SOURCE, declared_types, kind_bits, literal_path, mark_quarantine, read_landed, split_marked,
+    type_of_bits, typed,
 )
 
 BINARY_FILE_SCHEMA = T.StructType([
@@ -45,7 +51,7 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("content", T.BinaryType()),
 ])
 LISTING = f"{SOURCE} string, size long, modified timestamp"
-MANIFEST = f"{LISTING}, batch string, rows long, committed timestamp"
+MANIFEST = f"{LISTING}, batch string, rows long, committed timestamp, kinds map<string, int>"
 #: Files that one commit loads, about; the paths of one commit are held on the driver.
 SLICE_FILES = 10_000
 
@@ -102,9 +108,10 @@ def superseded(manifest: DataFrame) -> DataFrame:
 def commit_files(spark: SparkSession, files: Sequence[Row], batch: str, target: str,
                  schema: T.StructType | Mapping[str, T.DataType] | None = None,
                  transform: Callable[[DataFrame], DataFrame] | None = None,
-                 partition_by: Sequence[str] = ()) -> int:
+                 partition_by: Sequence[str] = (), infer: bool = False) -> int:
     """Load a slice of listed files as one commit (replacing one of the same name): first the
-    rows, then their manifest rows. Returns the number of files."""
+    rows, then their manifest rows, with ``infer`` those with the kinds of values that were written.
+    Returns the number of files."""
     if not files:
         return 0
     landed = read_landed(spark, [literal_path(r[SOURCE]) for r in files], schema)
@@ -112,14 +119,49 @@ def commit_files(spark: SparkSession, files: Sequence[Row], batch: str, target:
     folder = f"{target.rstrip('/')}/batch={batch}"
     rows.write.mode("overwrite").partitionBy(*partition_by, QUARANTINED).parquet(folder)
     listed = spark.createDataFrame([tuple(r) for r in files], LISTING)
-    manifest = listed.join(landed.files, SOURCE, "left").select(
+    known = listed.join(landed.files, SOURCE, "left")
+    if infer:
+        fixed = {*declared_types(schema), CORRUPT, SOURCE, *partition_by}
+        undeclared = [c for c in landed.rows.columns if c in rows.columns and c not in fixed]
+        written = spark.read.schema(rows.schema).parquet(folder)  # a commit without rows has no files
+        known = known.join(file_kinds(written, undeclared), SOURCE, "left")
+        # a file without good rows says nothing about types
+        kinds = F.coalesce("kinds", F.create_map().cast("map<string, int>"))
+    else:
+        kinds = F.lit(None).cast("map<string, int>")
+    manifest = known.select(
         SOURCE, "size", "modified", F.lit(batch).alias("batch"),
         (F.coalesce("lines", F.lit(1)) - 1).cast("long").alias("rows"),  # all but the header
-        F.current_timestamp().alias("committed"))
+        F.current_timestamp().alias("committed"), kinds.alias("kinds"))
     manifest.coalesce(1).write.mode("overwrite").parquet(f"{_folder(target)}/commit={batch}")
     return len(files)
 
 
+def file_kinds(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(source_file, kinds): for each file the kinds of its good rows' values by column, as bits. An
+    OR by file, which combines in the tasks."""
+    if not columns:
+        return rows.sparkSession.createDataFrame([], f"{SOURCE} string, kinds map<string, int>")
+    found = rows.where(F.col(QUARANTINED).cast("int") == 0).groupBy(SOURCE).agg(
+        *[F.bit_or(kind_bits(F.col(f"`{c}`"))).alias(f"_{i}") for i, c in enumerate(columns)])
+    return found.select(SOURCE, F.create_map(
+        *[x for i, c in enumerate(columns) for x in (F.lit(c), F.col(f"_{i}"))]).alias("kinds"))
+
+
+def target_types(spark: SparkSession, target: str) -> dict[str, T.DataType]:
+    """The narrowest types that hold all values of the files that a target shows, for its undeclared
+    columns. None if a file with rows was loaded without ``infer``: what it holds isn't known.
+
+    Reads the manifest only; one row a column comes to the driver.
+    """
+    manifest = read_manifest(spark, target)
+    shown = manifest.join(superseded(manifest), [SOURCE, "batch"], "left_anti")
+    if not shown.where(F.col("kinds").isNull() & (F.col("rows") > 0)).isEmpty():
+        return {}
+    kinds = shown.select(F.explode("kinds").alias("column", "bits")).groupBy("column").agg(F.bit_or("bits").alias("bits"))
+    return {r.column: type_of_bits(r.bits) for r in kinds.collect()}
+
+
 def slices(files: DataFrame, slice_files: int = SLICE_FILES) -> Iterator[list[Row]]:
     """Disjoint slices of about ``slice_files`` listed files each. A listing beyond one slice is
     written once and cut by a hash of the paths; the driver holds one slice's rows at a time."""
@@ -137,12 +179,12 @@ def batch_ingest(spark: SparkSession, glob: str | Sequence[str], target: str,
                  schema: T.StructType | Mapping[str, T.DataType] | None = None,
                  file_filter: str = "*.csv", run_id: str | None = None, slice_files: int = SLICE_FILES,
                  transform: Callable[[DataFrame], DataFrame] | None = None,
-                 partition_by: Sequence[str] = ()) -> int:
+                 partition_by: Sequence[str] = (), infer: bool = False) -> int:
     """Load the files, or versions of files, not yet in ``target``; returns how many."""
     files = new_files(list_files(spark, glob, file_filter), read_manifest(spark, target))
     run, loaded = run_id or uuid.uuid4().hex[:12], 0
     for k, part in enumerate(slices(files, slice_files)):
-        loaded += commit_files(spark, part, f"{run}-{k:06d}", target, schema, transform, partition_by)
+        loaded += commit_files(spark, part, f"{run}-{k:06d}", target, schema, transform, partition_by, infer)
     return loaded
 
 
@@ -156,11 +198,11 @@ def write_batch(spark: SparkSession, paths: list[str], batch_id: int, target: st
 
 def stream_ingest(spark: SparkSession, glob: str, target: str, checkpoint: str,
                   schema: T.StructType | Mapping[str, T.DataType] | None = None,
-                  file_filter: str = "*.csv", max_files_per_batch: int = 1000) -> None:
+                  file_filter: str = "*.csv", max_files_per_batch: int = 1000, infer: bool = False) -> None:
     """Load the files that landed since the last run into ``target`` (parquet folder)."""
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         # one row per new file in this micro-batch (bounded by max_files_per_batch)
-        commit_files(batch.sparkSession, batch.collect(), f"stream-{batch_id:012d}", target, schema)
+        commit_files(batch.sparkSession, batch.collect(), f"stream-{batch_id:012d}", target, schema, infer=infer)
 
     query = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
              .option("pathGlobFilter", file_filter)
@@ -184,9 +226,12 @@ def _committed(spark: SparkSession, target: str) -> DataFrame:
     return rows.join(superseded(manifest), [SOURCE, "batch"], "left_anti").drop("batch")
 
 
-def read_target(spark: SparkSession, target: str) -> DataFrame:
-    """The target's rows that parsed, with the union of all batches' columns."""
-    return split_marked(_committed(spark, target))[0]
+def read_target(spark: SparkSession, target: str, infer: bool = False) -> DataFrame:
+    """The target's rows that parsed, with the union of all batches' columns; with ``infer`` the
+    undeclared ones as the types that all commits together ask for (``target_types``)."""
+    rows = split_marked(_committed(spark, target))[0]
+    types = target_types(spark, target) if infer else {}
+    return rows.withColumns({c: typed(F.col(f"`{c}`"), t) for c, t in types.items() if c in rows.columns})
 
 
 def read_quarantine(spark: SparkSession, target: str) -> DataFrame:

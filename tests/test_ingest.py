@@ -143,3 +143,51 @@ def test_a_run_reads_the_manifest_and_not_the_target(spark, tmp_dir):
     plan = incremental.new_files(incremental.list_files(spark, land), incremental.read_manifest(spark, target))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "_manifest" in text and "batch=" not in text and "binaryFile" in text.replace("BinaryFile", "binaryFile")
+
+
+def test_types_widen_and_narrow_from_commit_to_commit(spark, tmp_dir):
+    land, target = f"{tmp_dir}/land", f"{tmp_dir}/target"
+
+    def run(*rows_of_file, name, head="id,a,b"):
+        _write(f"{land}/{name}.csv", "\n".join([head, *rows_of_file]) + "\n")
+        stamp = time.time() + len(os.listdir(land)) + len(rows_of_file[0]) if rows_of_file else time.time()
+        os.utime(f"{land}/{name}.csv", (stamp, stamp))
+        incremental.batch_ingest(spark, f"{land}/*", target, SCHEMA, infer=True)
+        found = incremental.read_target(spark, target, infer=True)
+        types = dict(found.dtypes)
+        return found, [types.get(c) for c in ("id", "a", "b", "c")]
+
+    assert run("1,1,true", name="one")[1] == ["bigint", "bigint", "boolean", None]
+    assert run("2,NA,", name="two")[1] == ["bigint", "bigint", "boolean", None]
+    assert run("3,2.5,false", name="three")[1] == ["bigint", "double", "boolean", None]
+    assert run(name="header", head="id,a,b,c")[1] == ["bigint", "double", "boolean", None]
+    assert run("4,5", name="narrow")[1] == ["bigint", "double", "boolean", None]  # put aside: no field b
+    found, types = run("x5,late,maybe", "5,late,maybe", "6,7,true,2024-01-01", name="wide", head="id,a,b")
+    assert types == ["bigint", "string", "string", None]
+    found, types = run("5,-1,true,2024-01-01", name="wide", head="id,a,b,c")
+    assert types == ["bigint", "double", "boolean", "timestamp_ntz"]
+    got = sorted(rows(found.select("id", "a", "b"), "id", "a", "b"))
+    assert got == [(1, 1.0, True), (2, None, None), (3, 2.5, False), (5, -1.0, True)]
+    # a commit whose kinds weren't noted: nothing is known, so columns stay text
+    _write(f"{land}/plain.csv", "id,a,b\n8,1,true\n")
+    incremental.batch_ingest(spark, f"{land}/*", target, SCHEMA)
+    assert incremental.target_types(spark, target) == {}
+    assert dict(incremental.read_target(spark, target, infer=True).dtypes)["a"] == "string"
+
+
+def test_types_of_commits_equal_those_of_one_read(spark, tmp_dir):
+    values = ["1", "2.5", "x", "2024-01-01", "true", "", "99999999999999999999", "inf"]
+    for i, v in enumerate(values):
+        _write(f"{tmp_dir}/land/{i}.csv", "k,v,w\n" + f"{i},{v},{values[i - 1] if i < 2 else 3}\n")
+    incremental.batch_ingest(spark, f"{tmp_dir}/land/*", f"{tmp_dir}/t", slice_files=3, infer=True)
+    got = incremental.read_target(spark, f"{tmp_dir}/t", infer=True)
+    want = csv_files.read_csv_files(spark, f"{tmp_dir}/land/*.csv", infer=True)
+    assert {c: t for c, t in got.dtypes} == {c: t for c, t in want.dtypes if c != "_corrupt"}
+    assert sorted(rows(got, "k", "v", "w"), key=str) == sorted(rows(want, "k", "v", "w"), key=str)
+
+
+def test_streamed_commits_note_kinds(spark, tmp_dir):
+    for n, v in enumerate(["1", "2.5"]):
+        _write(f"{tmp_dir}/land/{n}.csv", f"v\n{v}\n")
+        incremental.stream_ingest(spark, f"{tmp_dir}/land", f"{tmp_dir}/t", f"{tmp_dir}/ckpt", infer=True)
+        assert dict(incremental.read_target(spark, f"{tmp_dir}/t", infer=True).dtypes)["v"] == ["bigint", "double"][n]
