@@ -3,9 +3,13 @@ queries. All output goes under the session's shared checkpoint folder."""
 
 from __future__ import annotations
 
+import contextlib
+import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statmart.session import scratch_path
@@ -45,24 +49,52 @@ def land_lines(lines: DataFrame, header: str, path: str) -> None:
 
 
 def land_document(spark: SparkSession, arrays: dict[str, DataFrame], path: str) -> None:
-    """One JSON document over many lines, ``{"<name>": [<record>, ...], ...}``, in one file.
+    """One JSON document over many lines, ``{"<name>": [<record>, ...], ...}``, in one file."""
+    document_lines(arrays).write.text(path)
 
-    A document is one file, so one task writes it: for tables that a snapshot holds in one
-    document (some hundred records). Absent values have no key.
+
+def document_lines(arrays: dict[str, DataFrame]) -> DataFrame:
+    """The document's lines (column ``value``) in one partition.
+
+    A document is one file, so one task writes it. The records are turned to text by many tasks;
+    the one task passes them on as they come (an array's records have no order) and keeps those of
+    later arrays in temporary files, so its memory doesn't grow with them. Absent values have no key.
     """
-    lines = None
+    records = None
     for k, (name, df) in enumerate(arrays.items()):
-        record = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-        order = Window.partitionBy(F.lit(k)).orderBy("value")
-        numbered = record.withColumn("_n", F.row_number().over(order))
-        records = numbered.select(F.lit(k).alias("_k"), "_n", F.concat(
-            F.when(F.col("_n") > 1, F.lit(",")).otherwise(F.lit("")), "value").alias("value"))
-        start = f'{"{" if k == 0 else "],"} "{name}": ['
-        head = spark.range(1).select(F.lit(k).alias("_k"), F.lit(0).alias("_n"), F.lit(start).alias("value"))
-        part = head.unionByName(records)
-        lines = part if lines is None else lines.unionByName(part)
-    end = spark.range(1).select(F.lit(len(arrays)).alias("_k"), F.lit(0).alias("_n"), F.lit("]}").alias("value"))
-    lines.unionByName(end).coalesce(1).sortWithinPartitions("_k", "_n").select("value").write.text(path)
+        part = df.select(F.lit(k).alias("k"), F.concat(F.lit(","), F.to_json(F.struct(*df.columns))).alias("value"))
+        records = part if records is None else records.unionByName(part)
+    names = list(arrays)
+
+    def lines(values):
+        return pa.RecordBatch.from_arrays([pa.array(values, type=pa.string())], ["value"])
+
+    def document(stream):
+        begun = set()
+
+        def part(batch, k):
+            values = batch.filter(pc.equal(batch.column("k"), k)).column("value")
+            if len(values) and k not in begun:  # the first record follows no comma
+                begun.add(k)
+                values = pa.array([values[0].as_py()[1:], *values[1:].to_pylist()], type=pa.string())
+            return lines(values)
+
+        with contextlib.ExitStack() as stack:
+            kept = [stack.enter_context(tempfile.TemporaryFile()) for _ in names[1:]]
+            writers = [pa.ipc.new_stream(f, lines([]).schema) for f in kept]
+            yield lines([f'{{ "{names[0]}": ['])
+            for batch in stream:
+                yield part(batch, 0)
+                for k, writer in enumerate(writers, 1):
+                    writer.write_batch(part(batch, k))
+            for name, file, writer in zip(names[1:], kept, writers):
+                writer.close()
+                file.seek(0)
+                yield lines([f'], "{name}": ['])
+                yield from pa.ipc.open_stream(file)
+            yield lines(["]}"])
+
+    return records.repartition(1).mapInArrow(document, "value string")
 
 
 def land_by_season(df: DataFrame, root: str, season: Column, folder: str,

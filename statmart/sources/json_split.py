@@ -12,7 +12,7 @@ and the place of each piece within the document is found by a prefix scan:
 3. ``read_records``: with a block's start known, running sums within it tell which pieces make
    one record; a record that crosses blocks is put together from the few pieces at their edges.
 
-No task holds more than a block and no record is parsed twice.
+No task holds more than a few blocks, which have a bounded number of pieces, and no record is parsed twice.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from statmart.functions.lookup import join_lookup
 from statmart.functions.text import decoded_path
-from statmart.session import materialize, settled
+from statmart.session import default_parallelism, materialize, settled
 from statmart.sources.csv_files import SOURCE
 
 # Possessive throughout: strings of any length are matched without recursion.
@@ -36,6 +36,9 @@ _HEAD = rf'(?s)^(?:\s*+\{{)?+(?:[^"{{]++|{_STRING})*+'
 _IN_STRING = r'(?s)^(?:[^"\\]++|\\.)*+(?:"|$)'
 #: Depth within an array of the document: the document's braces, then the array's brackets.
 _RECORDS = 2
+#: Pieces of a file block that are handled together, as a power of two: a block with many short
+#: pieces counts as several, since the facts of a piece may take more than its text.
+_BLOCK_PIECES = 15
 
 
 def _brackets(text: Column) -> Column:
@@ -72,17 +75,22 @@ def _facts(text: Column, ends_outside: Column, skipped: Column) -> Column:
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(value, source_file, _start, _place, quotes, facts) of the texts before each ``}``, written once."""
+    """(value, source_file, _start, _place, quotes, facts) of the texts before each ``}``, written once
+    and dealt by block; ``_start`` orders the blocks of a file."""
     text = spark.read.text(path, lineSep="}").select(
         "value", decoded_path(F.col("_metadata.file_path")).alias(SOURCE),
-        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_place"))
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_place"))
     plain = F.regexp_replace("value", r"(?s)\\.", "")
     quotes = F.length(F.regexp_replace(plain, '[^"]++', ""))
     even = quotes % 2 == 0
     rest = F.regexp_replace("value", _IN_STRING, "")
     inside = _facts(rest, ~even, F.length("value") - F.length(rest))
-    return materialize(text.withColumns({
-        "quotes": quotes % 2, "facts": F.array(_facts(F.col("value"), even, F.lit(0)), inside)}), "json-pieces")
+    pieces = materialize(text.select(
+        "value", SOURCE, F.struct("_block", F.shiftright("_place", _BLOCK_PIECES).alias("part")).alias("_start"), "_place",
+        (quotes % 2).alias("quotes"), F.array(_facts(F.col("value"), even, F.lit(0)), inside).alias("facts")), "json-pieces")
+    # a task sorts what it is dealt: as many tasks as there are blocks, however few the session asks for
+    blocks = pieces.select(SOURCE, "_start").distinct().count()
+    return pieces.repartition(max(blocks, default_parallelism(spark)), SOURCE, "_start")
 
 
 def _before(*keys: str, order: str):
@@ -141,16 +149,18 @@ def record_texts(spark: SparkSession, path: str) -> DataFrame:
         SOURCE, "_start", "_place", opens.alias("opens"), named.alias("named"),
         F.concat(F.when(opens, F.substr("value", fact["skip"] + 1)).otherwise(F.col("value")), F.lit("}")).alias("text"),
         (F.col("depth") + fact["change"] <= _RECORDS).alias("ends"),
+        named.isNotNull().alias("names"),
         # a unit begins where the depth is that of records or less; it has one record or none
         F.sum((lowest <= _RECORDS).cast("int")).over(ordered).alias("unit"),
         F.last(named, ignorenulls=True).over(ordered).alias("name"))
     units = marked.groupBy(SOURCE, "_start", "unit").agg(
         F.expr("listagg(text, '') WITHIN GROUP (ORDER BY _place)").alias("text"),
-        F.bool_or("opens").alias("opens"), F.bool_or("ends").alias("ends"),
+        F.bool_or("opens").alias("opens"), F.bool_or("ends").alias("ends"), F.bool_or("names").alias("names"),
         F.min_by("name", "_place").alias("name"), F.max_by("name", "_place").alias("last_name"))
     units = materialize(units, "json-units")
     # names and records go on from block to block: one row a block, and the pieces at its edges
-    names = units.groupBy(SOURCE, "_start").agg(F.max_by("last_name", "unit").alias("last_name"))
+    # (a block's first unit is 0 or 1, so every block is there; units without a new name are not sorted)
+    names = units.where("names or unit <= 1").groupBy(SOURCE, "_start").agg(F.max_by("last_name", "unit").alias("last_name"))
     names = names.select(SOURCE, "_start", F.last("last_name", ignorenulls=True).over(
         _before(SOURCE, order="_start")).alias("known"))
     units = join_lookup(units, names, [SOURCE, "_start"]).withColumn("name", F.coalesce("name", "known"))

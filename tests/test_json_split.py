@@ -7,6 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from statmart.plans.landing import document_lines, land_document
+from statmart.sources import json_split
 from statmart.sources.json_split import read_records, record_texts
 
 NASTY = ["", "}", "{", '"', "\\", '\\"', '": [', "]}", "[{", "a}b{c", "é}", "\n", "{}}", "\\\\}"]
@@ -89,3 +91,29 @@ def test_long_strings_and_lists_need_no_recursion(spark, tmp_dir):
     pathlib.Path(f"{tmp_dir}/d.json").write_text(json.dumps(doc))
     assert _found(spark, tmp_dir) == _expected(doc)
     assert record_texts(spark, tmp_dir).agg(F.max(F.length("text"))).first()[0] > 800_000
+
+
+def test_blocks_have_a_bounded_number_of_pieces_and_a_task_each(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(json_split, "_BLOCK_PIECES", 5)
+    docs = [_document(seed) for seed in range(2)]
+    for k, doc in enumerate(docs):
+        pathlib.Path(f"{tmp_dir}/d{k}.json").write_text(json.dumps(doc))
+    pieces = json_split._pieces(spark, tmp_dir)
+    sizes = [r["count"] for r in pieces.groupBy("source_file", "_start").count().collect()]
+    assert max(sizes) <= 32 and len(sizes) > 20
+    assert pieces.rdd.getNumPartitions() >= len(sizes)
+    assert _found(spark, tmp_dir) == sorted(r for doc in docs for r in _expected(doc))
+
+
+def test_landed_document_is_not_sorted_in_its_one_task(spark, tmp_dir):
+    many = spark.range(40_000).selectExpr("id", "if(id % 7 = 0, null, concat('n}\"', id)) as name")
+    arrays = {"elements": many, "none": many.where("id < 0"), "teams": many.where("id < 3").union(many.where("id < 3"))}
+    plan = document_lines(arrays)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Window" not in plan
+    land_document(spark, arrays, f"{tmp_dir}/doc")
+    (file,) = pathlib.Path(f"{tmp_dir}/doc").glob("part-*")
+    doc = json.loads(file.read_text())
+    assert list(doc) == ["elements", "none", "teams"] and doc["none"] == []
+    for name in ("elements", "teams"):
+        want = [{k: v for k, v in r.asDict().items() if v is not None} for r in arrays[name].collect()]
+        assert sorted(map(json.dumps, doc[name])) == sorted(map(json.dumps, want))
