@@ -7,6 +7,8 @@ columns do no harm; a null text counts as empty; repeated rows are kept as repea
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -98,19 +100,6 @@ class Memo(dict):
         return value
 
 
-class _Numbers(dict):
-    """Key -> its number in order of first use; ``new`` collects keys not seen before."""
-
-    def __init__(self):
-        super().__init__()
-        self.new: list = []
-
-    def __missing__(self, key):
-        self.new.append(key)
-        value = self[key] = len(self)
-        return value
-
-
 class PieceTable:
     """Integer sequences of distinct units (words), encoded once per task and gathered per text.
 
@@ -123,7 +112,7 @@ class PieceTable:
         self.reset()
 
     def reset(self):
-        self.index = _Numbers()
+        self.index = defaultdict(count().__next__)  # unit -> its number in order of first use
         self.flat = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.lengths = np.zeros(0, dtype=np.int64)
@@ -133,10 +122,10 @@ class PieceTable:
         """Number of each unit, encoding those not seen before."""
         if len(self.index) > self.limit:
             self.reset()
+        known = len(self.index)
         codes = np.fromiter(map(self.index.__getitem__, units), dtype=np.int64, count=len(units))
-        if self.index.new:
-            flat, lengths, *extra = self.encode(self.index.new)
-            self.index.new = []
+        if len(self.index) > known:
+            flat, lengths, *extra = self.encode(list(islice(self.index, known, None)))
             self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
             self.flat = np.concatenate([self.flat, flat])
             self.lengths = np.concatenate([self.lengths, lengths])

@@ -86,75 +86,109 @@ class PieceModel:
             pieces[node] = i
         self.piece_at = np.array(pieces, dtype=np.int64)
         self.children = children
-        keys = np.array([a << 21 | b for a, b in children], dtype=np.int64)
-        order = np.argsort(keys)
-        self.keys, self.targets = keys[order], np.array(list(children.values()), dtype=np.int64)[order]
+        self._index(np.array([a << 21 | b for a, b in children], dtype=np.int64), np.array(list(children.values()), dtype=np.int64))
         self.longest = max(len(b.decode()) for b in self.bytes_of if b and b[0] < 128 or len(b) > 1)
         self.unknown = float(self.scores.min()) - 10.0
         self.piece_lengths = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.piece_starts = np.cumsum(self.piece_lengths) - self.piece_lengths
         self.piece_bytes = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
 
+    def _index(self, keys: np.ndarray, targets: np.ndarray):
+        """Arcs of the trie: those of its root by code point, all by (node, code point) in an open hash table."""
+        root = keys < 1 << 21
+        self.first = np.zeros(int(keys[root].max(initial=0)) + 2, dtype=np.int64)  # the last stands for all beyond
+        self.first[keys[root]] = targets[root]
+        bits = max(3, (4 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_keys, self.slot_targets = np.full(1 << bits, -1, dtype=np.int64), np.zeros(1 << bits, dtype=np.int64)
+        left, at = np.arange(len(keys)), self._slots(keys)
+        while len(left):
+            free = self.slot_keys[at] < 0
+            self.slot_keys[at[free]] = keys[left[free]]
+            placed = self.slot_keys[at] == keys[left]
+            self.slot_targets[at[placed]] = targets[left[placed]]
+            left, at = left[~placed], (at[~placed] + 1) & self.mask
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
     def _step(self, nodes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        key = nodes << 21 | codes
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return self.targets[at], self.keys[at] == key
+        keys = nodes << 21 | codes
+        at = self._slots(keys)
+        found = self.slot_keys.take(at)
+        hit = found == keys
+        other = np.flatnonzero(~hit & (found >= 0))
+        while len(other):
+            at[other] = (at[other] + 1) & self.mask
+            found = self.slot_keys[at[other]]
+            same = found == keys[other]
+            hit[other[same]] = True
+            other = other[~same & (found >= 0)]
+        return self.slot_targets.take(at), hit
 
     def _same_length(self, words: list[str]):
         """(pieces by place or 0 lengths, scores, losses) of words that have one length."""
         count, size = len(words), len(words[0])
-        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64).reshape(count, size)
-        forward = np.full((count, size + 1), -np.inf)
-        forward[:, 0] = 0.0
-        came, by = np.zeros((count, size + 1), dtype=np.int64), np.zeros((count, size + 1), dtype=np.int64)
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).reshape(count, size)
+        codes = np.ascontiguousarray(codes.T).astype(np.int64)
+        forward = np.full((size + 1, count), -np.inf)
+        forward[0] = 0.0
+        came, by = np.zeros((size + 1, count), dtype=np.int16), np.zeros((size + 1, count), dtype=np.int32)
         arcs = []
 
         def relax(rows, i, length, pieces, scores):
-            total = forward[rows, i] + scores
-            better = total > forward[rows, i + length]
-            won = rows[better]
-            forward[won, i + length] = total[better]
-            came[won, i + length], by[won, i + length] = length, pieces[better]
+            total = forward[i].take(rows) + scores
+            end = forward[i + length]
+            better = np.flatnonzero(total > end.take(rows))
+            won = rows.take(better)
+            end[won] = total.take(better)
+            came[i + length][won], by[i + length][won] = length, pieces.take(better)
             arcs.append((rows, i, length, scores))
 
         for i in range(size):
             known = np.zeros(count, dtype=bool)
-            nodes, hit = self._step(np.zeros(count, dtype=np.int64), codes[:, i])
-            rows, nodes = np.flatnonzero(hit), nodes[hit]
+            nodes = self.first.take(codes[i], mode="clip")
+            rows = np.flatnonzero(nodes)
+            nodes = nodes.take(rows)
             for length in range(1, min(self.longest, size - i) + 1):
                 if not len(rows):
                     break
-                pieces = self.piece_at[nodes]
-                good = pieces >= 0
-                if good.any():
-                    relax(rows[good], i, length, pieces[good], self.scores[pieces[good]])
+                pieces = self.piece_at.take(nodes)
+                good = np.flatnonzero(pieces >= 0)
+                if len(good):
+                    pieces, having = pieces.take(good), rows.take(good)
+                    relax(having, i, length, pieces, self.scores.take(pieces))
                     if length == 1:
-                        known[rows[good]] = True
+                        known[having] = True
                 if i + length < size:
-                    nodes, hit = self._step(nodes, codes[rows, i + length])
-                    rows, nodes = rows[hit], nodes[hit]
+                    nodes, hit = self._step(nodes, codes[i + length].take(rows))
+                    hit = np.flatnonzero(hit)
+                    rows, nodes = rows.take(hit), nodes.take(hit)
             rest = np.flatnonzero(~known)
             if len(rest):
-                relax(rest, i, 1, -1 - codes[rest, i], np.full(len(rest), self.unknown))
-        chosen = np.zeros((count, size), dtype=np.int64)  # length of the best path's piece at each start
-        labels = np.zeros((count, size), dtype=np.int64)
+                relax(rest, i, 1, -1 - codes[i].take(rest), np.full(len(rest), self.unknown))
+        chosen = np.zeros((size, count), dtype=np.int16)  # length of the best path's piece at each start
+        labels = np.zeros((size, count), dtype=np.int32)
         place, rows = np.full(count, size), np.arange(count)
         while len(rows):
             at = place[rows]
-            length = came[rows, at]
-            chosen[rows, at - length], labels[rows, at - length] = length, by[rows, at]
+            length = came[at, rows]
+            chosen[at - length, rows], labels[at - length, rows] = length, by[at, rows]
             place[rows] = at - length
             rows = rows[place[rows] > 0]
-        backward = np.full((count, size + 1), -np.inf)
-        backward[:, size] = 0.0
+        backward = np.full((size + 1, count), -np.inf)
+        backward[size] = 0.0
         loss = np.full(count, np.inf)
         for rows, i, length, scores in reversed(arcs):
-            ahead = scores + backward[rows, i + length]
-            backward[rows, i] = np.maximum(backward[rows, i], ahead)
-            off = chosen[rows, i] != length
-            loss[rows[off]] = np.minimum(loss[rows[off]], (forward[rows, size] - forward[rows, i] - ahead)[off])
-        on = chosen > 0
-        return labels[on], on.sum(axis=1), forward[:, size], loss
+            ahead = scores + backward[i + length].take(rows)
+            start = backward[i]
+            start[rows] = np.maximum(start.take(rows), ahead)
+            off = np.flatnonzero(chosen[i].take(rows) != length)
+            if len(off):
+                rows = rows.take(off)
+                loss[rows] = np.minimum(loss.take(rows), forward[size].take(rows) - forward[i].take(rows) - ahead.take(off))
+        on = chosen.T > 0
+        return labels.T[on], on.sum(axis=1), forward[size], loss
 
     def best_of_words(self, words: list[str]):
         """(ids, lengths, scores, losses): best segmentation of each word, concatenated."""
@@ -244,7 +278,7 @@ def encode(docs: DataFrame, n_best: int = N_BEST, model_path: str | None = None)
 
     def work():
         model = PieceModel(path)
-        words = PieceTable(model.best_of_words, limit=200_000)
+        words = PieceTable(model.best_of_words, limit=400_000)
         memo = Memo(lambda word: model.n_best_of_word(word, n_best))
 
         def one(text, units, codes):
@@ -265,7 +299,7 @@ def encode(docs: DataFrame, n_best: int = N_BEST, model_path: str | None = None)
         def run(batch):
             texts = [x or "" for x in batch.column("text").to_pylist()]
             made = []
-            for first, last in groups_of(texts, 1 << 19):
+            for first, last in groups_of(texts, 1 << 20):
                 split = [_UNITS.findall(" " + x) for x in texts[first:last]]
                 codes = words.codes([u for x in split for u in x])
                 at = 0

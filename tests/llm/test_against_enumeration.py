@@ -3,11 +3,13 @@
 import random
 import zlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
 from statmart.llm import pieces, url_filter
+from statmart.llm.common import PieceTable
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,6 +55,34 @@ def test_n_best_of_whole_texts_equal_enumeration(spark):
             assert scores[tuple(ids)] == pytest.approx(score)
 
 
+def test_trie_lookups_in_tables_equal_the_dictionary():
+    model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(3)
+    known = [*model.children, *((node, ord(c)) for node in rng.sample(range(len(model.piece_at)), 2000) for c in "aeé \U0001F600")]
+    nodes, codes = (np.array(x, dtype=np.int64) for x in zip(*known))
+    targets, hit = model._step(nodes, codes)
+    assert [int(t) if h else None for t, h in zip(targets, hit)] == [model.children.get(key) for key in known]
+    points = np.array([*range(0x3000), 0xD800, 0x10FFFF])
+    assert model.first.take(points, mode="clip").tolist() == [model.children.get((0, c), 0) for c in points.tolist()]
+
+
+def test_word_segmentations_equal_a_star_and_words_are_encoded_once():
+    model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = random.Random(5)
+    words = [" " + "".join(rng.choice("abcdeinorst'é中\U0001F600") for _ in range(rng.randint(0, 14))) for _ in range(400)]
+    asked = []
+    words_seen = PieceTable(lambda units: asked.extend(units) or model.best_of_words(units))
+    codes = np.concatenate([words_seen.codes(words[:250]), words_seen.codes(words)])[250:]
+    assert asked == list(dict.fromkeys(words))
+    ends = np.cumsum(words_seen.lengths[codes])
+    ids = np.split(words_seen.gather(codes), ends[:-1])
+    for word, found, score, loss in zip(words, ids, words_seen.extra[0][codes], words_seen.extra[1][codes]):
+        best = model.n_best_of_word(word, 2)
+        assert score == pytest.approx(best[0][0])
+        assert loss == pytest.approx(best[0][0] - best[1][0] if len(best) > 1 else np.inf)
+        assert len(best) > 1 and loss < 1e-9 or found.tolist() == best[0][1]
+
+
 def plain_url(url):
     """(host, path, rule, verdict of the rule) as the contract words them."""
     rest = url.split("://", 1)[1] if url and "://" in url else ""
