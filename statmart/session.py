@@ -71,15 +71,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/statmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Spark's own setting (4.1 on; older ones ignore it): a statement's shuffle files are removed at its end.
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but computes the input once, and later reads
-    get column pruning and filter pushdown on the written files.
+    get column pruning and filter pushdown on the written files. The shuffle files of the write
+    are of no further use and go as soon as it ends.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)  # known: no job to look it up
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_SHUFFLE_CLEANUP, None)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_SHUFFLE_CLEANUP) if before is None else spark.conf.set(_SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)  # known: no job to look it up
 
 
 #: Rows that ``settled`` may hold on the driver.

@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -7,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from statmart.session import materialize
 from statmart.sinks import export, tables
 from statmart.sources import csv_files, json_docs
 from statmart.streaming import incremental
@@ -313,3 +315,20 @@ def test_a_plain_table_becomes_a_version(spark, tmp_dir):
     spark.range(3).write.saveAsTable(f"{db}.t")
     assert tables.replace_table(spark.table(f"{db}.t").where("id > 0"), f"{db}.t")
     assert spark.table(f"{db}.t").count() == 2 and len(tables.versions(spark, f"{db}.t")) == 2
+
+
+def test_materialize_leaves_no_shuffle_files(spark):
+    def shuffles():
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        files = env.blockManager().diskBlockManager().getAllFiles()
+        return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffles(), spark.conf.get(key)
+    made = materialize(spark.range(1000).selectExpr("id % 7 as k").groupBy("k").agg(F.count("*").alias("n")), "shuffled")
+    deadline = time.time() + 20
+    while shuffles() - before and time.time() < deadline:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(key) == setting
+    assert sorted(map(tuple, made.collect())) == [(k, 143 if k < 6 else 142) for k in range(7)]
