@@ -20,18 +20,20 @@ documents; an empty table gives an empty dataset.
 
 from __future__ import annotations
 
-import itertools
-import re
+import codecs
+import os
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from statmart.llm.common import PieceTable, batches, groups_of, map_batches, partitions, text_bytes
+from statmart.llm.common import BATCH_BYTES, PieceTable, batches, map_batches, partitions
 from statmart.session import scratch_path
 
 END_ID = 1
@@ -87,60 +89,100 @@ class EliasFano:
         return (places << self.bits) | (low << np.arange(self.bits)).sum(axis=1)
 
 
-#: A comma or full stop after a letter and before white space is a token of its own either way.
-_POINT = re.compile(rb"(?<=[a-z])([,.])(?=[ \n])")
+#: Letters up to U+00FF that normalisation leaves as they are or lower-cases one by one.
+_LETTERS = "a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 
+#: A comma or full stop after such a letter and before white space is a token of its own either way.
+_POINT = rf"([{_LETTERS}])([,.])([ \n])"
 
-#: Units of letters that normalisation leaves as they are and that are one token of the pre-tokenizer.
-_PLAIN = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+#: Units that the pre-tokenizer cuts into runs of letters, single digits and runs of other signs (an
+#: apostrophe may begin an English ending, so it is left out).
+_PLAIN = rf"\A[!-&(-@\[-~{_LETTERS}]*\z"
+_SIGNS = r"[0-9]|[!-/:-@\[-`{-~]+"
+_PIECE = rf"{_SIGNS}|[^!-@\[-`{{-~]+"
 
+#: Units handed to the library at once.
+_UNITS = 20_000
 
-def _byte_characters() -> dict[int, str]:
-    """The characters by which the byte-level step writes the UTF-8 bytes of U+00DF to U+00FF."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
+
+def _byte_letters() -> str:
+    """The characters by which the byte-level step writes each byte; a space stays as it is."""
+    shown = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255}
+    hidden = [b for b in range(256) if b not in shown]
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)} | {32: " "}
+    return "".join(letter[b] for b in range(256))
+
+
+@lru_cache(maxsize=2)
+def _tokenizers(path: str):
+    """The tokenizer, its model behind no other step than cutting at white space, and which tokens
+    close a piece. A worker process reads the file once for all its tasks."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    full = Tokenizer.from_file(path)
+    bare = Tokenizer(full.model)
+    bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    vocabulary, suffix = full.get_vocab(), full.model.end_of_word_suffix
+    closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    closing[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+    return full, bare, closing
 
 
 def word_tokenizer(path: str):
-    """``encode(raws) -> [ids]`` with a lower-casing word BPE of the tokenizers library.
+    """``encode(texts) -> [ids]`` with a lower-casing byte-level word BPE of the tokenizers library;
+    ``texts`` is an Arrow array of strings without nulls.
 
     The tokenizer drops white space, lower-cases and never joins across white space, so texts are
-    encoded word by word, each distinct word once; texts that hold a control string go whole.
+    encoded word by word, each distinct word once; texts that hold a control string go whole. Arrow
+    cuts the texts and finds the distinct words, and the library gets many new words in one call.
     """
-    from tokenizers import Tokenizer
-
-    model = Tokenizer.from_file(path)
-    words, plain, written = model.model, _PLAIN.fullmatch, _byte_characters()
-
-    def encode_units(units: list[bytes]):
-        decoded = [u.decode() for u in units]
-        found: list = [[t.id for t in words.tokenize(u if u.isascii() else u.translate(written))] if plain(u) else None for u in decoded]
-        rest = [i for i, x in enumerate(found) if x is None]
-        for first in range(0, len(rest), 4000):
-            part = rest[first:first + 4000]
-            out = model.encode([decoded[i] for i in part], is_pretokenized=True, add_special_tokens=False)
-            for i in part:
-                found[i] = []
-            for word, token in zip(out.word_ids, out.ids):
-                found[part[word]].append(token)
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        return np.fromiter(itertools.chain.from_iterable(found), dtype=np.int32, count=int(lengths.sum())), lengths
+    full, bare, closing = _tokenizers(path)
+    letters = _byte_letters()
+
+    def encode_plain(units: list[str]):
+        """Ids and lengths of units of ``_PLAIN``, written as the steps before the model would."""
+        text = pc.replace_substring_regex(pa.scalar(" ".join(units)), _SIGNS, r" \0 ").as_py()
+        text, _ = codecs.charmap_decode(text.lower().encode(), "strict", letters)
+        ids = np.array(bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int32)
+        pieces = np.cumsum(pc.count_substring_regex(pa.array(units, type=pa.string()), _PIECE).to_numpy())
+        ends = np.flatnonzero(closing[ids]) + 1
+        if len(ends) != pieces[-1]:  # a model without closing tokens
+            return encode_other(units)
+        return ids, np.diff(np.append(0, ends)[pieces], prepend=0)
+
+    def encode_other(units: list[str]):
+        out = full.encode(units, is_pretokenized=True, add_special_tokens=False)
+        return np.array(out.ids, dtype=np.int32), np.bincount(np.array(out.word_ids, dtype=np.int64), minlength=len(units))
+
+    def encode_units(units: list[str]):
+        plain = pc.match_substring_regex(pa.array(units, type=pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
+        lengths, starts, found, total = np.zeros(len(units), dtype=np.int64), np.zeros(len(units), dtype=np.int64), [], 0
+        for encode_part, places in ((encode_plain, np.flatnonzero(plain)), (encode_other, np.flatnonzero(~plain))):
+            for first in range(0, len(places), _UNITS):
+                own = places[first:first + _UNITS]
+                ids, counts = encode_part([units[i] for i in own.tolist()])
+                lengths[own], starts[own] = counts, total + np.cumsum(counts) - counts
+                found.append(ids)
+                total += len(ids)
+        ends = np.cumsum(lengths)
+        return np.concatenate(found)[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)], lengths
 
     table = PieceTable(encode_units)
 
-    def encode(raws: list[bytes]) -> list[np.ndarray]:
-        units, counts = [], []
-        for raw in raws:
-            own = [] if b"<|" in raw else _POINT.sub(rb" \1", raw.lower()).split()
-            counts.append(len(own))
-            units += own
-        codes = table.codes(units)
+    def encode(texts: pa.Array) -> list[np.ndarray]:
+        low = pc.ascii_lower(texts)
+        whole = pc.match_substring(low, "<|")
+        cut = pc.replace_substring_regex(pc.if_else(whole, pa.scalar("", low.type), low), _POINT, r"\1 \2\3")
+        words = pc.ascii_split_whitespace(cut)
+        units = words.flatten().dictionary_encode()
+        codes = table.codes(units.dictionary.to_numpy(zero_copy_only=False).tolist())[units.indices.to_numpy()]
         ends = np.concatenate([[0], np.cumsum(table.lengths[codes])])
-        flat, places = table.gather(codes), np.concatenate([[0], np.cumsum(counts)])
-        return [np.array(model.encode(raw.decode(), add_special_tokens=False).ids, dtype=np.int32) if b"<|" in raw
-                else flat[ends[places[i]]:ends[places[i + 1]]] for i, raw in enumerate(raws)]
+        places = np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])
+        out = np.split(table.gather(codes), ends[places[1:-1]])
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)):
+            out[i] = np.array(full.encode(texts[int(i)].as_py(), add_special_tokens=False).ids, dtype=np.int32)
+        return out
 
     return encode
 
@@ -166,9 +208,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
                                               [c.split()[0] for c in SHARD.split(", ")])
 
         for batch in stream:
-            keys, raws = batch.column("doc_id").to_pylist(), text_bytes(batch)
-            for first, last in groups_of(raws):
-                for key, ids in zip(keys[first:last], encode(raws[first:last])):
+            keys, texts = batch.column("doc_id").to_pylist(), pc.fill_null(batch.column("text"), "")
+            sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+            cuts = [0, *(np.flatnonzero(np.diff(sizes // BATCH_BYTES)) + 1).tolist(), len(keys)]
+            for first, last in zip(cuts, cuts[1:]):
+                for key, ids in zip(keys[first:last], encode(texts[first:last])):
                     if held and size + len(ids) >= SHARD_IDS:
                         yield shard()
                         seq, doc_ids, held, size = seq + 1, [], [], 0
@@ -177,6 +221,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str | None =
                     size += len(ids) + 1
         if held:
             yield shard()
+        pa.default_memory_pool().release_unused()  # workers are used again by later stages
 
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .repartitionByRange(partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text"))

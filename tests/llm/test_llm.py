@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import sys
 import time
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -313,6 +315,34 @@ def test_token_files_round_trip(spark, texts):
         at += len(ids)
 
 
+def test_token_words_equal_the_library():
+    """Units written out for the model alone, and all others, give the ids of whole texts."""
+    from tokenizers import Tokenizer
+
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(8)
+    signs = [*"abcdzABCZ019 \n\t.,'!$%<>|/w_~@[`{", "'s", "'S", "'re", ". ", ", ", "<|", "</w>", "<|endoftext|>", *"\u0130\u03a3\u03c2\u00df\u1e9e\u00e9\u00c9\u0301\u00d1\u00b5\u00aa\u00d7\u00f7"
+             "\u00ff\u00de\u00a0\u0085\x00\x1c\x7f\u2003\u200b\u4e2d\u010a\u0120\u212b\u00b2\u0663\u00ad\U0001f600"]
+    texts = ["".join(rng.choices(signs, k=rng.randrange(14))) for _ in range(6000)] + ["", " ", "a" * 3000]
+    encode = token_files.word_tokenizer(path)
+    got = [ids.tolist() for first in range(0, len(texts), 2500) for ids in encode(pa.array(texts[first:first + 2500], type=pa.string()))]
+    assert got == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_token_words_are_encoded_in_bulk():
+    """The cost of new words is the library's: no call in Python for each, no file read for each task."""
+    path, rng = public_tokenizers.path("word_bpe_49k.json"), random.Random(9)
+    words = ["".join(rng.choices("abcdefgh\u00e9\u00c9", k=9)) + rng.choice(["", "", ",", ".", "!!", "7"]) for _ in range(20_000)]
+    texts, calls = pa.array([" ".join(words[i:i + 50]) for i in range(0, len(words), 50)]), []
+    token_files.word_tokenizer(path)
+    sys.setprofile(lambda frame, event, arg: calls.append(getattr(arg, "__name__", "")) if event in ("call", "c_call") else None)
+    try:
+        found = token_files.word_tokenizer(path)(texts)
+    finally:
+        sys.setprofile(None)
+    assert len(found) == 400 and all(map(len, found))
+    assert "from_file" not in calls and len(calls) < len(set(words)) / 4
+
+
 def test_elias_fano_select():
     rng = np.random.default_rng(0)
     for n, universe in ((1, 1), (5, 5000), (1000, 1200), (3000, 10_000_000)):
